@@ -25,6 +25,8 @@ RATING_BY_PRIORITY = ["AAA", "AA", "A", "BBB", "BB"]
 AGENCIES = ["MOODY", "SP", "FITCH"]
 OUTLOOK_BY_STATUS = {"F": "STABLE", "O": "POSITIVE", "P": "NEGATIVE"}
 TXN_STATUS_BY_ORDER_STATUS = {"F": "SETTLED", "O": "PENDING", "P": "EXECUTED"}
+ASSET_COUNTRIES = ["US", "GB", "DE", "FR", "JP", "CA", "AU"]
+SECURITY_RATINGS = ["AAA", "AA", "A", "BBB", "BB", "B", "CCC"]
 
 
 def _empty_if(df: DataFrame, skip: bool) -> DataFrame:
@@ -224,6 +226,7 @@ class Roles:
             (mv * (F.lit(1) + F.col("l_tax").cast("decimal(4,2)"))).cast("decimal(18,2)").alias("cost_basis_local"),
             F.when(F.col("l_linestatus") == "F", "SETTLED").otherwise("PENDING").alias("settlement_status"),
             F.col("l_returnflag").alias("return_flag"),
+            currency_of("l_suppkey").alias("currency_code"),
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         ).withColumn("unrealized_gl_local", (F.col("market_value_local") - F.col("cost_basis_local")).cast("decimal(18,2)"))
@@ -420,6 +423,35 @@ class Roles:
             day("ts").alias("cash_flow_date"), kind.alias("cash_flow_type"),
             money("value").alias("amount_local"), F.lit("USD").alias("currency_code"))
 
+    @cached_property
+    def asset(self) -> DataFrame:
+        """Asset master (aspen): one asset per part brand."""
+        p = self.t.part
+        brand_no = F.substring("p_brand", 7, 4).cast("bigint")
+        agg = p.groupBy(brand_no.alias("brand_no"), "p_brand").agg(
+            F.min("p_type").alias("asset_class"),
+            F.sum(F.col("p_retailprice").cast("decimal(18,2)")).alias("total_size_local"))
+        return agg.select(
+            F.concat(F.lit("AST_"), F.col("brand_no").cast("string")).alias("source_key"),
+            F.concat(F.lit("EK_AST_"), F.col("brand_no").cast("string")).alias("enterprise_key"),
+            F.col("p_brand").alias("asset_name"), F.lit("BRAND").alias("asset_type"), "asset_class",
+            pick(ASSET_COUNTRIES, "brand_no").alias("country_code"),
+            (F.lit(1990) + F.col("brand_no") % 10).cast("int").alias("vintage_year"),
+            F.col("total_size_local").cast("decimal(18,2)").alias("total_size_local"),
+            F.lit("USD").alias("currency_code"), F.col("brand_no"))
+
+    @cached_property
+    def security_rating(self) -> DataFrame:
+        """Security ratings (aspen): one rating per security at issue."""
+        p = self.t.part
+        return p.select(
+            F.concat(F.lit("SRAT_"), F.col("p_partkey").cast("string")).alias("source_key"),
+            F.concat(F.lit("PRT_"), F.col("p_partkey").cast("string")).alias("security_source_key"),
+            F.date_add(F.lit(dt.date(1994, 1, 1)), (F.col("p_partkey") % 365).cast("int")).alias("rating_date"),
+            pick(AGENCIES, "p_partkey").alias("rating_agency"),
+            pick(SECURITY_RATINGS, "p_size").alias("rating_value"),
+            F.lit("STABLE").alias("rating_outlook"), F.lit("NEW").alias("rating_action_type"))
+
     # ------------------------------------------------------------- hierarchies
     @cached_property
     def industry(self) -> DataFrame:

@@ -33,4 +33,7 @@ def compose(final_sql: str, ctes: dict[str, str]) -> str:
     if not order:
         return final_sql.strip()
     body = ",\n".join(f"{n} AS (\n{ctes[n].strip()}\n)" for n in order)
-    return f"WITH {body}\n{final_sql.strip()}"
+    final = final_sql.strip()
+    if re.match(r"(?i)^with\s", final):
+        return f"WITH {body},\n{final[4:].lstrip()}"
+    return f"WITH {body}\n{final}"

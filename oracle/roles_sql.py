@@ -95,6 +95,7 @@ WITH b AS (
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS cost_basis_local,
          CASE WHEN l_linestatus = 'F' THEN 'SETTLED' ELSE 'PENDING' END AS settlement_status,
          l_returnflag AS return_flag,
+         ['USD','EUR','GBP','JPY','CAD','AUD'][l_suppkey % 6 + 1] AS currency_code,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
          l_returnflag, l_linestatus
   FROM lineitem),
@@ -206,6 +207,21 @@ SELECT CAST(event_id AS BIGINT) AS event_id, 'SUP_' || CAST(user_id % 10 AS VARC
             WHEN event_type = 'error' THEN 'FEE' WHEN event_type = 'click' THEN 'EXPENSE' ELSE 'DISTRIBUTION' END AS cash_flow_type,
        CAST(value AS DECIMAL(18,2)) AS amount_local, 'USD' AS currency_code
 FROM events""",
+    "r_asset": """
+SELECT 'AST_' || CAST(brand_no AS VARCHAR) AS source_key, 'EK_AST_' || CAST(brand_no AS VARCHAR) AS enterprise_key,
+       p_brand AS asset_name, 'BRAND' AS asset_type, asset_class,
+       ['US','GB','DE','FR','JP','CA','AU'][brand_no % 7 + 1] AS country_code,
+       CAST(1990 + brand_no % 10 AS INTEGER) AS vintage_year, CAST(total_size_local AS DECIMAL(18,2)) AS total_size_local,
+       'USD' AS currency_code, brand_no
+FROM (SELECT CAST(substring(p_brand, 7, 4) AS BIGINT) AS brand_no, p_brand, min(p_type) AS asset_class,
+             sum(CAST(p_retailprice AS DECIMAL(18,2))) AS total_size_local FROM part GROUP BY 1, 2)""",
+    "r_security_rating": """
+SELECT 'SRAT_' || CAST(p_partkey AS VARCHAR) AS source_key, 'PRT_' || CAST(p_partkey AS VARCHAR) AS security_source_key,
+       CAST(DATE '1994-01-01' + CAST(p_partkey % 365 AS INTEGER) AS DATE) AS rating_date,
+       ['MOODY','SP','FITCH'][p_partkey % 3 + 1] AS rating_agency,
+       ['AAA','AA','A','BBB','BB','B','CCC'][p_size % 7 + 1] AS rating_value,
+       'STABLE' AS rating_outlook, 'NEW' AS rating_action_type
+FROM part""",
     "r_industry": """
 SELECT DISTINCT 'IND_' || substring(p_brand, 7, 4) AS classification_code, p_brand AS classification_name,
        'IND_ROOT' AS parent_code, 2 AS classification_level, 'BRAND' AS classification_system
