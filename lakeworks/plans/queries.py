@@ -72,5 +72,40 @@ def crosswalk_merge(lake) -> DataFrame:
     return twice.groupBy("source_system").agg(F.count(F.lit(1)).alias("mapping_count"))
 
 
+# --- silver ------------------------------------------------------------------
+for _k, _n in {
+    "security_dim": "security_dim", "rating_dim": "rating_dim", "contract_dim": "contract_dim",
+    "portfolio_dim": "portfolio_dim", "entity_dim": "entity_dim", "industry_dim": "industry_dim",
+    "reporting_group_dim": "reporting_group_dim", "business_unit_dim": "business_unit_dim",
+    "fx_rates": "fx_rate_dim", "silver_position": "position_analytics_fact",
+    "position_monthend": "position_monthend_fact", "security_master": "security_master_fact",
+    "silver_security_price": "security_price_fact", "contract_details": "contract_details_fact",
+    "silver_contract_summary": "contract_summary_fact", "portfolio_analytics": "portfolio_analytics_fact",
+    "analytics_monthend": "portfolio_analytics_monthend_fact", "collateral_exposure": "collateral_exposure_fact",
+    "collateral_positions": "collateral_positions_fact", "silver_transaction": "transaction_fact",
+    "cancels_amendment": "contract_details_cancels_fact", "cancels_remap": "position_cancels_fact",
+    "price_cancels": "security_price_cancels_fact", "income_bridge": "income_bridge",
+}.items():
+    entity_query(_k, f"silver.{_n}")
+
+
+@query("covenant_breach")
+def covenant_breach(lake) -> DataFrame:
+    """A5: boolean-any per contract and covenant day."""
+    cov = lake.roles.covenant
+    return cov.groupBy("contract_source_key", "covenant_date").agg(
+        (F.max(F.when(F.col("covenant_status") == "TRIPPED", 1).otherwise(0)) > 0).alias("has_active_breach"),
+        F.count(F.lit(1)).alias("covenant_rows"))
+
+
+@query("surrogate_keys")
+def surrogate_keys(lake) -> DataFrame:
+    """Global row ids over the deduplicated positions without a
+    single-partition window."""
+    from lakeworks.operators.rowid import dense_row_id
+    p = lake.get("bronze.position").select("enterprise_key", "position_date")
+    return dense_row_id(p, [F.col("position_date"), F.col("enterprise_key")], "row_id")
+
+
 def run_query(lake, key: str) -> DataFrame:
     return finalize(QUERIES[key](lake))

@@ -1 +1,386 @@
-"""Silver layer (filled in below)."""
+"""Silver layer: SCD2 dimensions, FX, dated facts, month-end, cancels, income."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from lakeworks.functions.scalar import rating_score, safe_div
+from lakeworks.operators.dedup import latest_wins
+from lakeworks.operators.fx import normalize_currency
+from lakeworks.operators.keys import resolve_keys
+from lakeworks.operators.rowid import dense_row_id
+from lakeworks.operators.scd2 import scd1_as_scd2, scd2_chain
+from lakeworks.operators.snapshot import month_end_snapshot
+from lakeworks.operators.temporal import temporal_join
+from lakeworks.plans.registry import entity
+
+SCD = ["effective_start_date", "effective_end_date", "is_current", "preceding_record_sk", "succeeding_record_sk"]
+
+
+def _fx(lake) -> DataFrame:
+    return lake.get("silver.fx_rate_dim")
+
+
+def _usd(lake, df, amounts, ccy, date, scale=2):
+    return normalize_currency(df, _fx(lake), amounts, ccy, date, scale=scale, missing=lake.cfg.fx_missing)
+
+
+def _dim(lake, name, sk, key="enterprise_key", current=False, prefix="d_"):
+    """Dimension columns renamed for a temporal / current join."""
+    d = lake.get(name)
+    if current:
+        d = d.filter(F.col("is_current"))
+    return d.select(F.col(key).alias(f"{prefix}key"), F.col(sk),
+                    F.col("effective_start_date").alias(f"{prefix}start"),
+                    F.col("effective_end_date").alias(f"{prefix}end"))
+
+
+def _tjoin(lake, fact, name, sk, fact_key, date_col, prefix):
+    d = _dim(lake, name, sk, prefix=prefix)
+    out = temporal_join(fact, d, fact_key, f"{prefix}key", date_col, f"{prefix}start", f"{prefix}end", how="left")
+    return out.drop(f"{prefix}key", f"{prefix}start", f"{prefix}end")
+
+
+def _cjoin(lake, fact, name, sk, fact_key, prefix, key="enterprise_key", how="left"):
+    d = _dim(lake, name, sk, key=key, current=True, prefix=prefix)
+    out = fact.join(d, fact[fact_key] == d[f"{prefix}key"], how)
+    return out.drop(f"{prefix}key", f"{prefix}start", f"{prefix}end")
+
+
+def _xw(lake):
+    return lake.get("bronze.crosswalk_current")
+
+
+# ----------------------------------------------------------------- dimensions
+@entity("silver.security_dim")
+def security_dim(lake) -> DataFrame:
+    s = lake.roles.security
+    s = resolve_keys(s, _xw(lake), "aspen", "issuer_source_key", "issuer_enterprise_key")
+    ch = scd2_chain(s, "enterprise_key", [F.col("issue_date").asc_nulls_last(), F.col("version_no")],
+                    "issue_date", "security_sk")
+    return ch.select("security_sk", "enterprise_key", *SCD, "source_key", "security_name", "security_type",
+                     "asset_class", "sub_asset_class", "issue_date", "maturity_date", "coupon_rate", "currency_code",
+                     "issuer_enterprise_key", "brand")
+
+
+@entity("silver.rating_dim")
+def rating_dim(lake) -> DataFrame:
+    r = lake.get("bronze.rating").filter(F.col("rated_enterprise_key").isNotNull())
+    ch = scd2_chain(r, "rated_enterprise_key", [F.col("rating_date"), F.col("source_key")], "rating_date",
+                    "security_rating_sk")
+    return ch.select("security_rating_sk", F.col("source_key").alias("enterprise_key"), *SCD,
+                     "rated_enterprise_key", "rated_object_type", "rating_agency", "rating_value", "rating_outlook",
+                     rating_score("rating_value").alias("rating_numeric_score"))
+
+
+@entity("silver.contract_dim")
+def contract_dim(lake) -> DataFrame:
+    ch = scd2_chain(lake.roles.contract, "enterprise_key", [F.col("signing_date"), F.col("version_no")],
+                    "signing_date", "contract_sk")
+    return ch.select("contract_sk", "enterprise_key", *SCD, "source_key", "contract_name", "entity_source_key",
+                     "contract_type", "signing_date", "maturity_date", "principal_local", "currency_code",
+                     "coupon_rate", "spread_over_benchmark", "status")
+
+
+@entity("silver.portfolio_dim")
+def portfolio_dim(lake) -> DataFrame:
+    p = lake.get("bronze.portfolio")
+    p = resolve_keys(p, _xw(lake), "internal_admin", "bu_source_key", "business_unit_enterprise_key")
+    d = scd1_as_scd2(p, ["enterprise_key"], "portfolio_sk")
+    return d.select("portfolio_sk", "enterprise_key", *SCD, "portfolio_name", "base_currency", "custodian_currency",
+                    "business_unit_enterprise_key")
+
+
+@entity("silver.entity_dim")
+def entity_dim(lake) -> DataFrame:
+    ch = scd2_chain(lake.roles.entity, "enterprise_key", [F.col("formation_date"), F.col("version_no")],
+                    "formation_date", "entity_sk")
+    flags = lake.get("bronze.entity").select(F.col("enterprise_key").alias("__ek"), "has_contracts")
+    ch = ch.join(flags, ch.enterprise_key == flags.__ek, "left")
+    return ch.select("entity_sk", "enterprise_key", *SCD, "source_key", "entity_name", "entity_type",
+                     "jurisdiction", "formation_date", "country",
+                     F.coalesce(F.col("has_contracts"), F.lit(False)).alias("has_contracts"))
+
+
+@entity("silver.industry_dim")
+def industry_dim(lake) -> DataFrame:
+    d = scd1_as_scd2(lake.roles.industry, ["classification_code"], "industry_sk")
+    return d.select("industry_sk", F.col("classification_code").alias("enterprise_key"), *SCD,
+                    "classification_name", "parent_code", "classification_level", "classification_system")
+
+
+@entity("silver.reporting_group_dim")
+def reporting_group_dim(lake) -> DataFrame:
+    d = scd1_as_scd2(lake.roles.reporting_group, ["group_code"], "reporting_group_sk")
+    return d.select("reporting_group_sk", F.col("group_code").alias("enterprise_key"), *SCD,
+                    "group_name", "parent_group_code", "group_level", "group_type")
+
+
+@entity("silver.business_unit_dim")
+def business_unit_dim(lake) -> DataFrame:
+    bu = lake.get("bronze.business_unit")
+    one = lake.roles.compliance.agg(F.count(F.lit(1)).cast("bigint").alias("risk_team_code_count"))
+    bu = bu.crossJoin(F.broadcast(one))
+    d = scd1_as_scd2(bu, ["enterprise_key"], "business_unit_sk")
+    return d.select("business_unit_sk", "enterprise_key", *SCD, "bu_code", "bu_name", "bu_type", "strategy_name",
+                    F.expr("strategy_name LIKE 'PD\\\\_%' ESCAPE '\\\\'").alias("is_pd_strategy"),
+                    "associated_risk_team_codes", "risk_team_code_count")
+
+
+@entity("silver.fx_rate_dim")
+def fx_rate_dim(lake) -> DataFrame:
+    fx = lake.get("bronze.fx_rate")
+    d = dense_row_id(fx, ["from_currency", "to_currency", "rate_date"], "fx_rate_sk")
+    return d.select("fx_rate_sk", "from_currency", "to_currency", "rate_date", "fx_rate", "rate_type")
+
+
+# ---------------------------------------------------------------------- facts
+@entity("silver.position_analytics_fact")
+def position_fact(lake) -> DataFrame:
+    p = lake.get("bronze.position")
+    p = _tjoin(lake, p, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "position_date", "pd_")
+    bu_of = lake.get("silver.portfolio_dim").select(F.col("portfolio_sk").alias("__psk"),
+                                                    F.col("business_unit_enterprise_key").alias("__buek"))
+    p = p.join(bu_of, p.portfolio_sk == bu_of.__psk, "left").drop("__psk")
+    p = _cjoin(lake, p, "silver.business_unit_dim", "business_unit_sk", "__buek", "bu_").drop("__buek")
+    p = _tjoin(lake, p, "silver.security_dim", "security_sk", "security_enterprise_key", "position_date", "sd_")
+    p = _usd(lake, p, {"market_value_usd": "market_value_local", "book_value_usd": "book_value_local",
+                       "cost_basis_usd": "cost_basis_local", "unrealized_gl_usd": "unrealized_gl_local"},
+             "currency_code", "position_date")
+    p = dense_row_id(p, ["enterprise_key"], "position_sk")
+    return p.select("position_sk", "enterprise_key", "position_date", "portfolio_sk", "security_sk",
+                    "business_unit_sk", "quantity", "market_value_local", "market_value_usd", "book_value_local",
+                    "book_value_usd", "cost_basis_local", "cost_basis_usd", "unrealized_gl_local",
+                    "unrealized_gl_usd", "currency_code", "fx_rate_to_usd", "settlement_status",
+                    "contract_source_key", "return_flag")
+
+
+@entity("silver.position_monthend_fact")
+def position_monthend(lake) -> DataFrame:
+    p = lake.get("silver.position_analytics_fact")
+    me = month_end_snapshot(
+        p, "position_date", ["portfolio_sk", "security_sk", "business_unit_sk", "currency_code"],
+        [F.sum("quantity").alias("quantity"), F.sum("market_value_local").alias("market_value_local"),
+         F.sum("market_value_usd").alias("market_value_usd"), F.sum("book_value_local").alias("book_value_local"),
+         F.sum("cost_basis_usd").alias("cost_basis_usd"), F.sum("unrealized_gl_usd").alias("unrealized_gl_usd"),
+         F.count(F.lit(1)).alias("position_count")])
+    me = dense_row_id(me, [F.col("monthend_date"), F.col("portfolio_sk").asc_nulls_last(),
+                           F.col("security_sk").asc_nulls_last(), F.col("business_unit_sk").asc_nulls_last(),
+                           F.col("currency_code")], "position_monthend_sk")
+    return me
+
+
+@entity("silver.security_master_fact")
+def security_master(lake) -> DataFrame:
+    as_of = F.lit(lake.cfg.as_of)
+    cur = lake.get("silver.security_dim").filter(F.col("is_current"))
+    price = lake.get("bronze.security").select(F.col("enterprise_key").alias("__ek"), "latest_close_price",
+                                               "latest_close_price_currency", "latest_price_date")
+    m = cur.join(price, cur.enterprise_key == price.__ek, "left").drop("__ek")
+    m = _usd(lake, m, {"latest_close_price_usd": "latest_close_price"}, "latest_close_price_currency",
+             "latest_price_date", scale=6)
+    m = m.withColumn("snapshot_date", as_of) \
+        .withColumn("days_to_maturity", F.datediff(F.col("maturity_date"), as_of).cast("bigint")) \
+        .withColumn("is_matured", F.col("maturity_date") < as_of)
+    m = dense_row_id(m, ["security_sk"], "security_master_sk")
+    return m.select("security_master_sk", "snapshot_date", "security_sk", "enterprise_key", "security_name",
+                    "asset_class", "latest_close_price", "latest_close_price_usd", "latest_price_date",
+                    "days_to_maturity", "is_matured")
+
+
+@entity("silver.security_price_fact")
+def security_price_fact(lake) -> DataFrame:
+    p = lake.get("bronze.security_price")
+    p = _tjoin(lake, p, "silver.security_dim", "security_sk", "security_enterprise_key", "price_date", "sd_")
+    p = _usd(lake, p, {"close_price_usd": "close_price_local"}, "currency_code", "price_date", scale=6)
+    p = dense_row_id(p, [F.col("security_enterprise_key"), F.col("price_date")], "security_price_sk")
+    return p.select("security_price_sk", F.col("security_enterprise_key").alias("enterprise_key"), "price_date",
+                    "security_sk", "close_price_local", "close_price_usd", "currency_code", "price_type",
+                    "fx_rate_to_usd")
+
+
+def _breach_as_of(lake) -> DataFrame:
+    """Latest covenant day on or before as_of per contract, breached when any
+    covenant tripped that day (A5)."""
+    cov = lake.roles.covenant.filter(F.col("covenant_date") <= F.lit(lake.cfg.as_of))
+    per_day = cov.groupBy("contract_source_key", "covenant_date").agg(
+        (F.max(F.when(F.col("covenant_status") == "TRIPPED", 1).otherwise(0)) > 0).alias("has_active_breach"))
+    return latest_wins(per_day, ["contract_source_key"], [F.col("covenant_date").desc()])
+
+
+@entity("silver.contract_details_fact")
+def contract_details(lake) -> DataFrame:
+    as_of = F.lit(lake.cfg.as_of)
+    c = lake.get("bronze.contract").withColumn("detail_date", as_of)
+    c = _cjoin(lake, c, "silver.contract_dim", "contract_sk", "enterprise_key", "cd_")
+    c = _cjoin(lake, c, "silver.entity_dim", "entity_sk", "entity_enterprise_key", "ed_")
+    c = _usd(lake, c, {"principal_usd": "principal_local"}, "currency_code", "detail_date")
+    key_map = lake.roles.contract.filter(F.expr("source_key NOT LIKE '%\\\\_v2' ESCAPE '\\\\'")) \
+        .select(F.col("enterprise_key").alias("__ek"), F.col("source_key").alias("__csk")).distinct()
+    c = c.join(key_map, c.enterprise_key == key_map.__ek, "left")
+    br = _breach_as_of(lake)
+    c = c.join(br, c.__csk == br.contract_source_key, "left")
+    c = c.withColumn("days_to_maturity", F.datediff(F.col("maturity_date"), as_of).cast("bigint")) \
+        .withColumn("has_active_breach", F.coalesce(F.col("has_active_breach"), F.lit(False)))
+    c = dense_row_id(c, ["enterprise_key"], "contract_details_sk")
+    return c.select("contract_details_sk", "enterprise_key", "detail_date", "contract_sk", "entity_sk",
+                    "contract_type", "principal_local", "principal_usd", "coupon_rate", "spread_over_benchmark",
+                    "days_to_maturity", "status", "has_active_breach", "currency_code", "fx_rate_to_usd")
+
+
+@entity("silver.contract_summary_fact")
+def contract_summary(lake) -> DataFrame:
+    s = resolve_keys(lake.roles.contract_summary, _xw(lake), "efront", "contract_source_key", "enterprise_key")
+    s = _tjoin(lake, s, "silver.contract_dim", "contract_sk", "enterprise_key", "summary_date", "cd_")
+    s = _usd(lake, s, {"outstanding_principal_usd": "outstanding_principal_local",
+                       "accrued_interest_usd": "accrued_interest_local", "paid_to_date_usd": "paid_to_date_local"},
+             "currency_code", "summary_date")
+    s = dense_row_id(s, [F.col("enterprise_key"), F.col("summary_date")], "contract_summary_sk")
+    return s.select("contract_summary_sk", "enterprise_key", "summary_date", "contract_sk",
+                    "outstanding_principal_local", "outstanding_principal_usd", "accrued_interest_local",
+                    "accrued_interest_usd", "paid_to_date_local", "paid_to_date_usd", "currency_code",
+                    "fx_rate_to_usd", "performance_status")
+
+
+@entity("silver.portfolio_analytics_fact")
+def portfolio_analytics(lake) -> DataFrame:
+    risk = lake.get("bronze.portfolio_risk")
+    perf = lake.get("bronze.portfolio_performance").select(
+        F.col("portfolio_source_key").alias("__pk"), F.col("performance_date").alias("__pdate"),
+        "period_return_pct", "benchmark_code")
+    a = risk.join(perf, (risk.portfolio_source_key == perf.__pk) & (risk.risk_date == perf.__pdate), "left") \
+        .drop("__pk", "__pdate").withColumnRenamed("risk_date", "analytics_date")
+    w = Window.partitionBy("portfolio_enterprise_key", F.year("analytics_date")).orderBy("analytics_date") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    a = a.withColumn("ytd_return_pct", F.round(F.sum("period_return_pct").over(w), 6))
+    a = _tjoin(lake, a, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "analytics_date", "pd_")
+    bu_of = lake.get("silver.portfolio_dim").select(F.col("portfolio_sk").alias("__psk"),
+                                                    F.col("business_unit_enterprise_key").alias("__buek"))
+    a = a.join(bu_of, a.portfolio_sk == bu_of.__psk, "left").drop("__psk")
+    a = _cjoin(lake, a, "silver.business_unit_dim", "business_unit_sk", "__buek", "bu_").drop("__buek")
+    a = dense_row_id(a, [F.col("portfolio_enterprise_key"), F.col("analytics_date")], "portfolio_analytics_sk")
+    return a.select("portfolio_analytics_sk", "analytics_date", "portfolio_sk", "business_unit_sk", "var_95",
+                    "var_99", "expected_shortfall", "period_return_pct", "ytd_return_pct",
+                    F.lit(0.01).alias("benchmark_return_pct"), "benchmark_code")
+
+
+@entity("silver.portfolio_analytics_monthend_fact")
+def analytics_monthend(lake) -> DataFrame:
+    a = lake.get("silver.portfolio_analytics_fact")
+    me = month_end_snapshot(a, "analytics_date", ["portfolio_sk", "business_unit_sk"], [
+        F.max("var_95").alias("var_95"), F.max("var_99").alias("var_99"),
+        F.round(F.avg("period_return_pct"), 6).alias("avg_period_return_pct"),
+        F.max("ytd_return_pct").alias("ytd_return_pct")])
+    return dense_row_id(me, [F.col("monthend_date"), F.col("portfolio_sk").asc_nulls_last(),
+                             F.col("business_unit_sk").asc_nulls_last()], "analytics_monthend_sk")
+
+
+@entity("silver.collateral_exposure_fact")
+def collateral_exposure(lake) -> DataFrame:
+    e = resolve_keys(lake.roles.collateral_exposure, _xw(lake), "efront", "contract_source_key", "enterprise_key")
+    e = _tjoin(lake, e, "silver.contract_dim", "contract_sk", "enterprise_key", "exposure_date", "cd_")
+    e = _usd(lake, e, {"exposure_amount_usd": "exposure_amount_local", "collateral_value_usd": "collateral_value_local"},
+             "currency_code", "exposure_date")
+    e = e.withColumn("ltv_pct", F.round(safe_div("exposure_amount_usd", "collateral_value_usd"), 6))
+    e = dense_row_id(e, [F.col("enterprise_key"), F.col("exposure_date")], "collateral_exposure_sk")
+    return e.select("collateral_exposure_sk", "enterprise_key", "exposure_date", "contract_sk",
+                    "exposure_amount_local", "exposure_amount_usd", "collateral_value_local", "collateral_value_usd",
+                    "collateral_type", "ltv_pct")
+
+
+@entity("silver.collateral_positions_fact")
+def collateral_positions(lake) -> DataFrame:
+    c = lake.get("bronze.collateral")
+    c = resolve_keys(c, _xw(lake), "state_street", "security_source_key", "security_enterprise_key")
+    c = _tjoin(lake, c, "silver.contract_dim", "contract_sk", "contract_enterprise_key", "position_date", "cd_")
+    c = _tjoin(lake, c, "silver.security_dim", "security_sk", "security_enterprise_key", "position_date", "sd_")
+    ccy = lake.get("silver.contract_dim").select(F.col("contract_sk").alias("__csk"),
+                                                 F.col("currency_code").alias("currency_code"))
+    c = c.join(ccy, c.contract_sk == ccy.__csk, "left").drop("__csk")
+    c = _usd(lake, c, {"position_value_usd": "position_value_local"}, "currency_code", "position_date")
+    c = dense_row_id(c, [F.col("contract_enterprise_key"), F.col("security_enterprise_key"), F.col("position_date"),
+                         F.col("l_linenumber"), F.col("position_value_local"), F.col("collateral_role")],
+                     "collateral_position_sk")
+    return c.select("collateral_position_sk", F.col("contract_enterprise_key").alias("enterprise_key"),
+                    "position_date", "contract_sk", "security_sk", "position_value_local", "position_value_usd",
+                    "currency_code", "collateral_role")
+
+
+@entity("silver.transaction_fact")
+def transaction_fact(lake) -> DataFrame:
+    t = latest_wins(lake.get("bronze.transaction"), ["enterprise_key"],
+                    [F.col("transaction_date").desc(), F.col("transaction_status")])
+    t = _tjoin(lake, t, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "transaction_date", "pd_")
+    bu_of = lake.get("silver.portfolio_dim").select(F.col("portfolio_sk").alias("__psk"),
+                                                    F.col("business_unit_enterprise_key").alias("__buek"))
+    t = t.join(bu_of, t.portfolio_sk == bu_of.__psk, "left").drop("__psk")
+    t = _cjoin(lake, t, "silver.business_unit_dim", "business_unit_sk", "__buek", "bu_").drop("__buek")
+    t = _tjoin(lake, t, "silver.security_dim", "security_sk", "security_enterprise_key", "transaction_date", "sd_")
+    t = _usd(lake, t, {"gross_amount_usd": "gross_amount_local", "fees_usd": "fees_local",
+                       "net_amount_usd": "net_amount_local"}, "currency_code", "transaction_date")
+    t = dense_row_id(t, ["enterprise_key"], "transaction_sk")
+    return t.select("transaction_sk", "enterprise_key", "transaction_date", "settlement_date", "portfolio_sk",
+                    "security_sk", "business_unit_sk", "transaction_type", "transaction_status", "quantity",
+                    "gross_amount_local", "gross_amount_usd", "fees_usd", "net_amount_usd", "currency_code",
+                    "fx_rate_to_usd", "_source_pref")
+
+
+# ---------------------------------------------------------- history (cancels)
+@entity("silver.contract_details_cancels_fact")
+def cancels_amendment(lake) -> DataFrame:
+    raw = lake.roles.contract
+    c2 = raw.filter(F.expr("source_key LIKE '%\\\\_v2' ESCAPE '\\\\'")).select(
+        F.regexp_replace("source_key", "_v2$", "").alias("original_source_key"),
+        F.col("signing_date").alias("amendment_date"))
+    c1 = raw.select(F.col("source_key").alias("__k1"), F.col("principal_local").alias("original_principal_local"),
+                    F.col("currency_code").alias("original_currency_code"))
+    a = c2.join(c1, c2.original_source_key == c1.__k1, "inner").drop("__k1")
+    a = resolve_keys(a, _xw(lake), "efront", "original_source_key", "original_enterprise_key")
+    old = lake.get("silver.contract_dim").filter(~F.col("is_current")).select(
+        F.col("enterprise_key").alias("__ek"), "contract_sk")
+    a = a.join(old, a.original_enterprise_key == old.__ek, "left").drop("__ek")
+    a = _usd(lake, a, {"cancelled_principal_usd": "original_principal_local"}, "original_currency_code",
+             "amendment_date")
+    a = dense_row_id(a, [F.col("amendment_date"), F.col("original_source_key")], "cancel_sk")
+    return a.select("cancel_sk", F.col("contract_sk").alias("cancelled_contract_details_sk"), "contract_sk",
+                    F.col("amendment_date").alias("cancel_event_date"),
+                    F.lit(None).cast("date").alias("original_detail_date"), F.lit("AMENDMENT").alias("cancel_reason"),
+                    "cancelled_principal_usd", "original_source_key")
+
+
+@entity("silver.position_cancels_fact")
+def cancels_remap(lake) -> DataFrame:
+    p = lake.roles.position.filter(F.expr("enterprise_key LIKE 'REMAPPED\\\\_%' ESCAPE '\\\\'"))
+    p = resolve_keys(p, _xw(lake), "state_street", "portfolio_source_key", "portfolio_enterprise_key")
+    p = resolve_keys(p, _xw(lake), "aspen", "security_source_key", "security_enterprise_key")
+    p = _cjoin(lake, p, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "pd_")
+    p = _tjoin(lake, p, "silver.security_dim", "security_sk", "security_enterprise_key", "position_date", "sd_")
+    p = _usd(lake, p, {"cancelled_market_value_usd": "market_value_local"}, "currency_code", "position_date")
+    p = dense_row_id(p, [F.col("position_date"), F.col("source_key"), F.col("market_value_local")], "cancel_sk")
+    return p.select("cancel_sk", F.xxhash64("source_key").alias("cancelled_position_sk"), "portfolio_sk",
+                    "security_sk", F.col("position_date").alias("cancel_event_date"),
+                    F.col("position_date").alias("original_position_date"),
+                    F.lit("CROSSWALK_REMAP").alias("cancel_reason"), "cancelled_market_value_usd")
+
+
+@entity("silver.security_price_cancels_fact")
+def price_cancels(lake) -> DataFrame:
+    """Structurally present, no price corrections modelled: empty typed frame."""
+    schema = ("cancel_sk bigint, cancelled_security_price_sk bigint, security_sk bigint, cancel_event_date date, "
+              "original_price_date date, cancel_reason string, cancelled_close_price_usd decimal(18,6)")
+    return lake.spark.createDataFrame([], schema)
+
+
+@entity("silver.income_bridge")
+def income_bridge(lake) -> DataFrame:
+    cf = lake.roles.cash_flow.filter(F.col("cash_flow_type") == "INCOME")
+    cf = resolve_keys(cf, _xw(lake), "state_street", "portfolio_source_key", "portfolio_enterprise_key")
+    cf = _cjoin(lake, cf, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "pd_", how="inner")
+    cf = _usd(lake, cf, {"income_amount_usd": "amount_local"}, "currency_code", "cash_flow_date")
+    cf = dense_row_id(cf, [F.col("cash_flow_date"), F.col("portfolio_source_key"), F.col("event_id")],
+                      "income_bridge_sk")
+    return cf.select("income_bridge_sk", "portfolio_sk", F.lit(None).cast("bigint").alias("security_sk"),
+                     F.lit(None).cast("bigint").alias("contract_sk"), F.col("cash_flow_date").alias("income_date"),
+                     F.lit("COUPON").alias("income_type"), F.col("amount_local").alias("income_amount_local"),
+                     "income_amount_usd", "currency_code")

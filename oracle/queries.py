@@ -4,10 +4,12 @@ from oracle.bronze_sql import BRONZE
 from oracle.compose import compose
 from oracle.fin import fin
 from oracle.roles_sql import ROLES
+from oracle.silver_sql import SILVER
 
 CTES: dict[str, str] = {}
 CTES.update(ROLES)
 CTES.update(BRONZE)
+CTES.update(SILVER)
 
 FINAL: dict[str, str] = {}
 
@@ -49,6 +51,49 @@ FINAL["crosswalk_merge"] = """
 SELECT source_system, count(*) AS mapping_count
 FROM (SELECT DISTINCT source_system, source_key, enterprise_key FROM b_crosswalk) GROUP BY source_system"""
 
+_S = {
+    "security_dim": ("s_security_dim", ""),
+    "rating_dim": ("s_rating_dim", "#rating_numeric_score"),
+    "contract_dim": ("s_contract_dim", "$principal_local"),
+    "portfolio_dim": ("s_portfolio_dim", ""),
+    "entity_dim": ("s_entity_dim", ""),
+    "industry_dim": ("s_industry_dim", "#classification_level"),
+    "reporting_group_dim": ("s_reporting_group_dim", "#group_level"),
+    "business_unit_dim": ("s_business_unit_dim", "~associated_risk_team_codes"),
+    "fx_rates": ("s_fx_rate_dim", "$fx_rate"),
+    "silver_position": ("s_position", "$quantity, $market_value_local, $market_value_usd, $book_value_local, "
+                        "$book_value_usd, $cost_basis_local, $cost_basis_usd, $unrealized_gl_local, "
+                        "$unrealized_gl_usd, $fx_rate_to_usd"),
+    "position_monthend": ("s_position_monthend", "$quantity, $market_value_local, $market_value_usd, "
+                          "$book_value_local, $cost_basis_usd, $unrealized_gl_usd"),
+    "security_master": ("s_security_master", "$latest_close_price, $latest_close_price_usd"),
+    "silver_security_price": ("s_security_price", "$close_price_local, $close_price_usd, $fx_rate_to_usd"),
+    "contract_details": ("s_contract_details", "$principal_local, $principal_usd, $fx_rate_to_usd"),
+    "silver_contract_summary": ("s_contract_summary", "$outstanding_principal_local, $outstanding_principal_usd, "
+                                "$accrued_interest_local, $accrued_interest_usd, $paid_to_date_local, "
+                                "$paid_to_date_usd, $fx_rate_to_usd"),
+    "portfolio_analytics": ("s_portfolio_analytics", "$var_95, $var_99, $expected_shortfall, $benchmark_return_pct"),
+    "analytics_monthend": ("s_analytics_monthend", "$var_95, $var_99"),
+    "collateral_exposure": ("s_collateral_exposure", "$exposure_amount_local, $exposure_amount_usd, "
+                            "$collateral_value_local, $collateral_value_usd"),
+    "collateral_positions": ("s_collateral_positions", "$position_value_local, $position_value_usd"),
+    "silver_transaction": ("s_transaction", "$quantity, $gross_amount_local, $gross_amount_usd, $fees_usd, "
+                           "$net_amount_usd, $fx_rate_to_usd"),
+    "cancels_amendment": ("s_cancels_amendment", "$cancelled_principal_usd"),
+    "price_cancels": ("s_price_cancels", "$cancelled_close_price_usd"),
+    "income_bridge": ("s_income_bridge", "$income_amount_local, $income_amount_usd"),
+}
+for _k, (_src, _c) in _S.items():
+    FINAL[_k] = fin(_src, _c)
+FINAL["covenant_breach"] = """
+SELECT contract_source_key, covenant_date,
+       max(CASE WHEN covenant_status = 'TRIPPED' THEN 1 ELSE 0 END) > 0 AS has_active_breach,
+       count(*) AS covenant_rows
+FROM r_covenant GROUP BY 1, 2"""
+FINAL["surrogate_keys"] = """
+SELECT enterprise_key, position_date, row_number() OVER (ORDER BY position_date, enterprise_key) AS row_id
+FROM b_position"""
+
 
 def oracle(key: str) -> str:
     return compose(FINAL[key], CTES)
