@@ -1 +1,170 @@
-"""Gold layer (filled in below)."""
+"""Gold layer: per-team marts and the cross-team consolidated books.
+
+The reference repeats ten view bodies per team. Here each mart is ONE frame
+tagged with ``team_code`` (one pass over silver for all teams); a team's view
+is a filter on ``team_code``, which prunes partitions when the frame is
+stored partitioned by team.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakeworks.operators.rowid import dense_row_id
+from lakeworks.operators.windows import dense_rank_within, share_of_total
+from lakeworks.plans.registry import entity
+
+
+def _teams(lake) -> DataFrame:
+    """Current business units with their team code (a handful of rows)."""
+    bu = lake.get("silver.business_unit_dim").filter(F.col("is_current"))
+    if lake.cfg.skip_teams:
+        bu = bu.filter(~F.col("bu_code").isin(list(lake.cfg.skip_teams)))
+    return bu.select("business_unit_sk", F.col("bu_code").alias("team_code"), "is_pd_strategy",
+                     F.col("enterprise_key").alias("bu_enterprise_key"))
+
+
+def team_filter(df: DataFrame, team: str) -> DataFrame:
+    """One team's view of a tagged mart."""
+    return df.filter(F.col("team_code") == team)
+
+
+@entity("gold.position_analytics_fact")
+def team_position(lake) -> DataFrame:
+    p = lake.get("silver.position_analytics_fact")
+    p = p.join(F.broadcast(_teams(lake).select("business_unit_sk", "team_code")), "business_unit_sk", "inner")
+    p = share_of_total(p, ["team_code", "position_date"], "market_value_usd", "concentration_pct")
+    p = dense_rank_within(p, ["team_code", "position_date"], "market_value_usd", "portfolio_rank")
+    return p.select("team_code", "position_sk", "enterprise_key", "position_date", "portfolio_sk", "security_sk",
+                    "business_unit_sk", "quantity", "market_value_usd", "book_value_usd", "cost_basis_usd",
+                    "unrealized_gl_usd", "concentration_pct", "portfolio_rank", "currency_code")
+
+
+@entity("gold.team_securities")
+def team_securities(lake) -> DataFrame:
+    return lake.get("gold.position_analytics_fact").select("team_code", "security_sk") \
+        .filter(F.col("security_sk").isNotNull()).distinct()
+
+
+@entity("gold.contract_details_fact")
+def team_contract_details(lake) -> DataFrame:
+    """Contracts whose collateral includes a security the team holds (semi-join per team)."""
+    cp = lake.get("silver.collateral_positions_fact").select("contract_sk", "security_sk")
+    tc = cp.join(lake.get("gold.team_securities"), "security_sk", "inner") \
+        .select("team_code", "contract_sk").filter(F.col("contract_sk").isNotNull()).distinct()
+    c = lake.get("silver.contract_details_fact")
+    cd = lake.get("silver.contract_dim").filter(F.col("is_current")).select(
+        F.col("contract_sk").alias("__csk"), F.year("signing_date").cast("bigint").alias("vintage_year"))
+    out = c.join(tc, "contract_sk", "inner").join(cd, F.col("contract_sk") == F.col("__csk"), "left").drop("__csk")
+    return out.select("team_code", "contract_details_sk", "enterprise_key", "detail_date", "contract_sk", "entity_sk",
+                      "contract_type", "principal_usd", "coupon_rate", "spread_over_benchmark", "days_to_maturity",
+                      "status", "has_active_breach", "vintage_year")
+
+
+def _team_contracts(lake) -> DataFrame:
+    return lake.get("gold.contract_details_fact").select("team_code", "contract_sk").distinct()
+
+
+@entity("gold.contract_summary_fact")
+def team_contract_summary(lake) -> DataFrame:
+    s = lake.get("silver.contract_summary_fact").join(_team_contracts(lake), "contract_sk", "inner")
+    return s.select("team_code", "contract_summary_sk", "enterprise_key", "summary_date", "contract_sk",
+                    "outstanding_principal_usd", "accrued_interest_usd", "paid_to_date_usd", "performance_status")
+
+
+@entity("gold.portfolio_analytics_fact")
+def team_portfolio_analytics(lake) -> DataFrame:
+    a = lake.get("silver.portfolio_analytics_fact")
+    a = a.join(F.broadcast(_teams(lake).select("business_unit_sk", "team_code")), "business_unit_sk", "inner")
+    return a.select("team_code", "portfolio_analytics_sk", "analytics_date", "portfolio_sk", "business_unit_sk",
+                    "var_95", "var_99", "expected_shortfall", "period_return_pct", "ytd_return_pct",
+                    "benchmark_return_pct", "benchmark_code")
+
+
+@entity("gold.security_dim")
+def team_security_dim(lake) -> DataFrame:
+    s = lake.get("silver.security_dim").join(lake.get("gold.team_securities"), "security_sk", "inner")
+    return s.select("team_code", "security_sk", "enterprise_key", "effective_start_date", "effective_end_date",
+                    "is_current", "security_name", "asset_class", "sub_asset_class", "issue_date", "maturity_date",
+                    "coupon_rate", "currency_code")
+
+
+@entity("gold.security_master_fact")
+def team_security_master(lake) -> DataFrame:
+    m = lake.get("silver.security_master_fact").join(
+        lake.get("gold.security_dim").select("team_code", "security_sk"), "security_sk", "inner")
+    return m.select("team_code", "security_master_sk", "snapshot_date", "security_sk", "enterprise_key",
+                    "security_name", "asset_class", "latest_close_price_usd", "days_to_maturity", "is_matured")
+
+
+@entity("gold.security_price_fact")
+def team_security_price(lake) -> DataFrame:
+    p = lake.get("silver.security_price_fact").join(
+        lake.get("gold.security_dim").select("team_code", "security_sk"), "security_sk", "inner")
+    return p.select("team_code", "security_price_sk", "enterprise_key", "price_date", "security_sk",
+                    "close_price_usd", "currency_code", "price_type")
+
+
+@entity("gold.security_rating_dim")
+def team_rating(lake) -> DataFrame:
+    keys = lake.get("gold.security_dim").select("team_code", F.col("enterprise_key").alias("rated_enterprise_key")) \
+        .distinct()
+    r = lake.get("silver.rating_dim").join(keys, "rated_enterprise_key", "inner")
+    return r.select("team_code", "security_rating_sk", "enterprise_key", "effective_start_date", "effective_end_date",
+                    "is_current", "rated_enterprise_key", "rating_agency", "rating_value", "rating_outlook",
+                    "rating_numeric_score")
+
+
+@entity("gold.collateral_exposure_fact")
+def team_collateral_exposure(lake) -> DataFrame:
+    e = lake.get("silver.collateral_exposure_fact").join(_team_contracts(lake), "contract_sk", "inner")
+    return e.select("team_code", "collateral_exposure_sk", "enterprise_key", "exposure_date", "contract_sk",
+                    "exposure_amount_usd", "collateral_value_usd", "collateral_type", "ltv_pct")
+
+
+@entity("gold.collateral_positions_fact")
+def team_collateral_positions(lake) -> DataFrame:
+    c = lake.get("silver.collateral_positions_fact").join(_team_contracts(lake), "contract_sk", "inner")
+    return c.select("team_code", "collateral_position_sk", "enterprise_key", "position_date", "contract_sk",
+                    "security_sk", "position_value_usd", "collateral_role")
+
+
+def _pd_teams(lake) -> DataFrame:
+    return _teams(lake).filter(F.col("is_pd_strategy")).select("team_code")
+
+
+@entity("gold.consolidated_position_book")
+def consolidated_positions(lake) -> DataFrame:
+    p = lake.get("gold.position_analytics_fact").join(F.broadcast(_pd_teams(lake)), "team_code", "left_semi")
+    p = dense_row_id(p, ["position_date", "team_code", "enterprise_key"], "pd_position_book_sk")
+    return p.select("pd_position_book_sk", "team_code", "enterprise_key", "position_date", "portfolio_sk",
+                    "security_sk", "business_unit_sk", "market_value_usd", "book_value_usd", "cost_basis_usd",
+                    "unrealized_gl_usd", "concentration_pct", "portfolio_rank", "currency_code")
+
+
+@entity("gold.consolidated_contract_book")
+def consolidated_contracts(lake) -> DataFrame:
+    s = lake.get("gold.contract_summary_fact").join(F.broadcast(_pd_teams(lake)), "team_code", "left_semi")
+    d = lake.get("gold.contract_details_fact").select(
+        F.col("team_code").alias("__t"), F.col("contract_sk").alias("__c"), F.col("detail_date").alias("__d"),
+        "has_active_breach")
+    j = s.join(d, (s.team_code == d.__t) & (s.contract_sk == d.__c) & (s.summary_date == d.__d), "left")
+    j = j.withColumn("has_active_breach", F.coalesce(F.col("has_active_breach"), F.lit(False)))
+    j = dense_row_id(j, ["summary_date", "team_code", "enterprise_key"], "pd_contract_book_sk")
+    return j.select("pd_contract_book_sk", "team_code", "enterprise_key", "summary_date", "contract_sk",
+                    "outstanding_principal_usd", "accrued_interest_usd", "paid_to_date_usd", "performance_status",
+                    "has_active_breach")
+
+
+@entity("gold.consolidated_transaction_book")
+def consolidated_transactions(lake) -> DataFrame:
+    pf = lake.get("silver.portfolio_dim").filter(F.col("is_current")).select(
+        "portfolio_sk", F.col("business_unit_enterprise_key").alias("bu_enterprise_key"))
+    teams = _teams(lake).filter(F.col("is_pd_strategy")).select("bu_enterprise_key", "team_code")
+    pp = pf.join(F.broadcast(teams), "bu_enterprise_key", "inner").select("portfolio_sk", "team_code")
+    t = lake.get("silver.transaction_fact").join(pp, "portfolio_sk", "inner")
+    t = dense_row_id(t, ["transaction_date", "team_code", "enterprise_key"], "pd_transaction_book_sk")
+    return t.select("pd_transaction_book_sk", "team_code", "enterprise_key", "transaction_date", "settlement_date",
+                    "portfolio_sk", "security_sk", "transaction_type", "gross_amount_usd", "net_amount_usd",
+                    "fees_usd", "currency_code")

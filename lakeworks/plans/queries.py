@@ -107,5 +107,18 @@ def surrogate_keys(lake) -> DataFrame:
     return dense_row_id(p, [F.col("position_date"), F.col("enterprise_key")], "row_id")
 
 
+# --- gold --------------------------------------------------------------------
+for _k, _n in {
+    "team_position": "position_analytics_fact", "team_contract_details": "contract_details_fact",
+    "team_contract_summary": "contract_summary_fact", "team_portfolio_analytics": "portfolio_analytics_fact",
+    "team_security_dim": "security_dim", "team_security_master": "security_master_fact",
+    "team_security_price": "security_price_fact", "team_rating": "security_rating_dim",
+    "team_collateral_exposure": "collateral_exposure_fact", "team_collateral_positions": "collateral_positions_fact",
+    "consolidated_positions": "consolidated_position_book", "consolidated_contracts": "consolidated_contract_book",
+    "consolidated_transactions": "consolidated_transaction_book",
+}.items():
+    entity_query(_k, f"gold.{_n}")
+
+
 def run_query(lake, key: str) -> DataFrame:
     return finalize(QUERIES[key](lake))

@@ -5,11 +5,13 @@ from oracle.compose import compose
 from oracle.fin import fin
 from oracle.roles_sql import ROLES
 from oracle.silver_sql import SILVER
+from oracle.gold_sql import GOLD
 
 CTES: dict[str, str] = {}
 CTES.update(ROLES)
 CTES.update(BRONZE)
 CTES.update(SILVER)
+CTES.update(GOLD)
 
 FINAL: dict[str, str] = {}
 
@@ -94,6 +96,29 @@ FINAL["surrogate_keys"] = """
 SELECT enterprise_key, position_date, row_number() OVER (ORDER BY position_date, enterprise_key) AS row_id
 FROM b_position"""
 
+_G = {
+    "team_position": ("g_team_position", "$quantity, $market_value_usd, $book_value_usd, $cost_basis_usd, "
+                      "$unrealized_gl_usd"),
+    "team_contract_details": ("g_team_contract_details", "$principal_usd"),
+    "team_contract_summary": ("g_team_contract_summary", "$outstanding_principal_usd, $accrued_interest_usd, "
+                              "$paid_to_date_usd"),
+    "team_portfolio_analytics": ("g_team_portfolio_analytics", "$var_95, $var_99, $expected_shortfall, "
+                                 "$benchmark_return_pct"),
+    "team_security_dim": ("g_team_security_dim", ""),
+    "team_security_master": ("g_team_security_master", "$latest_close_price_usd"),
+    "team_security_price": ("g_team_security_price", "$close_price_usd"),
+    "team_rating": ("g_team_rating", "#rating_numeric_score"),
+    "team_collateral_exposure": ("g_team_collateral_exposure", "$exposure_amount_usd, $collateral_value_usd"),
+    "team_collateral_positions": ("g_team_collateral_positions", "$position_value_usd"),
+    "consolidated_positions": ("g_consolidated_positions", "$market_value_usd, $book_value_usd, $cost_basis_usd, "
+                               "$unrealized_gl_usd"),
+    "consolidated_contracts": ("g_consolidated_contracts", "$outstanding_principal_usd, $accrued_interest_usd, "
+                               "$paid_to_date_usd"),
+    "consolidated_transactions": ("g_consolidated_transactions", "$gross_amount_usd, $net_amount_usd, $fees_usd"),
+}
+for _k, (_src, _c) in _G.items():
+    FINAL[_k] = fin(_src, _c)
+
 
 def oracle(key: str) -> str:
     return compose(FINAL[key], CTES)
