@@ -34,7 +34,7 @@ def _ns_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str =
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
 
 
-def share_of_total(df: DataFrame, group: Sequence[str], value: str, out: str, digits: int | None = 6) -> DataFrame:
+def share_of_total(df: DataFrame, group: Sequence[str], value: str, out: str, digits: int | None = None) -> DataFrame:
     """``value / NULLIF(SUM(value) OVER (PARTITION BY group), 0)`` as DOUBLE."""
     tot = df.groupBy(*group).agg(F.sum(value).alias("__tot"))
     j = _ns_join(df, tot, list(group))

@@ -1 +1,334 @@
-"""Star-schema mart (filled in below)."""
+"""Kimball star (dims, facts, bridges, SCD2 key crosswalk) and the mart views (Q1-Q11).
+
+Dimensions reuse the silver SCD2 chains; facts carry the dimension version
+valid on the event date (anchor chain: contract -> owner -> entity version on
+the day). Mart aggregates whose groups are bounded by a dimension (portfolio
+x day, entity x portfolio x day) use windows; shares over raw fact rows use
+the skew-safe grouped-sum join.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from lakeworks.functions.scalar import pick, safe_div
+from lakeworks.operators.keys import resolve_keys
+from lakeworks.operators.rowid import dense_row_id
+from lakeworks.operators.temporal import temporal_join
+from lakeworks.operators.windows import share_of_total
+from lakeworks.plans.registry import entity
+
+# Fixed values of the star seed
+PORTFOLIO_TYPES = ["FUND", "SMA", "CO_INVEST"]
+SOURCE_REGISTRY = [("STATE_STREET", "State Street custody"), ("BLOOMBERG", "Bloomberg"),
+                   ("EFRONT", "eFront"), ("ENTERPRISE", "Enterprise master")]
+KEY_DOMAINS = [("ENTITY", "Entity"), ("SECURITY", "Security"), ("PORTFOLIO", "Portfolio")]
+REMAP_DATE = dt.date(1998, 7, 1)
+BASE_DATE = dt.date(1990, 1, 1)
+
+
+def _entity_of_contract(lake, df: DataFrame, contract_key: str, date_col: str) -> DataFrame:
+    """Anchor chain: contract source key -> owner entity key -> entity version valid on the date (inner)."""
+    owners = lake.roles.contract.filter(F.col("version_no") == 1).select(
+        F.col("source_key").alias("__ck"), F.col("entity_source_key").alias("__esk"))
+    j = df.join(owners, F.col(contract_key) == F.col("__ck"), "inner").drop("__ck")
+    j = resolve_keys(j, lake.get("bronze.crosswalk_current"), "efront", "__esk", "__eek").drop("__esk")
+    ed = lake.get("silver.entity_dim").select(
+        F.col("enterprise_key").alias("__ed_key"), "entity_sk",
+        F.col("effective_start_date").alias("__ed_s"), F.col("effective_end_date").alias("__ed_e"))
+    out = temporal_join(j, ed, "__eek", "__ed_key", date_col, "__ed_s", "__ed_e", how="inner")
+    return out.drop("__eek", "__ed_key", "__ed_s", "__ed_e")
+
+
+# ---------------------------------------------------------------- dimensions
+@entity("mart.dim_portfolio_group")
+def dim_portfolio_group(lake) -> DataFrame:
+    r = lake.roles.t.region
+    return r.select(F.col("r_regionkey").cast("bigint").alias("portfolio_group_sk"),
+                    F.concat(F.lit("EK_PG_"), F.col("r_regionkey").cast("string")).alias("enterprise_portfolio_group_id"),
+                    F.col("r_name").alias("group_name"), F.lit("REGION").alias("group_type"),
+                    F.lit(True).alias("is_current"))
+
+
+@entity("mart.dim_portfolio")
+def dim_portfolio(lake) -> DataFrame:
+    pd = lake.get("silver.portfolio_dim")
+    rp = lake.roles.portfolio.select(F.col("enterprise_key").alias("__ek"), "portfolio_name", "currency_code",
+                                     "bu_source_key", "supplier_key")
+    j = pd.drop("portfolio_name").join(rp, pd.enterprise_key == rp.__ek, "left")
+    return j.select("portfolio_sk", F.col("enterprise_key").alias("enterprise_portfolio_id"),
+                    F.substring("bu_source_key", 4, 10).cast("bigint").alias("portfolio_group_sk"),
+                    "portfolio_name", pick(PORTFOLIO_TYPES, "supplier_key").alias("portfolio_type"),
+                    "currency_code", "is_current", "effective_start_date", "effective_end_date")
+
+
+@entity("mart.dim_entity")
+def dim_entity(lake) -> DataFrame:
+    e = lake.get("silver.entity_dim")
+    reg = lake.roles.entity.select(F.col("source_key").alias("__sk"), "region_key")
+    e = e.join(reg, e.source_key == reg.__sk, "left")
+    return e.select("entity_sk", F.col("enterprise_key").alias("enterprise_entity_id"), "entity_name", "entity_type",
+                    "jurisdiction", F.col("region_key").alias("portfolio_group_sk"), "is_current",
+                    "effective_start_date", "effective_end_date")
+
+
+@entity("mart.dim_security")
+def dim_security(lake) -> DataFrame:
+    s = lake.get("silver.security_dim")
+    return s.select("security_sk", F.col("enterprise_key").alias("enterprise_security_id"),
+                    F.substring("brand", 7, 4).cast("bigint").alias("asset_sk"), "security_name", "security_type",
+                    F.col("source_key").alias("cusip"), "is_current", "effective_start_date", "effective_end_date")
+
+
+@entity("mart.dim_asset")
+def dim_asset(lake) -> DataFrame:
+    a = lake.roles.asset
+    return a.select(F.col("brand_no").alias("asset_sk"), F.col("enterprise_key").alias("enterprise_asset_id"),
+                    "asset_name", "asset_type", F.concat(F.lit("CITY_"), (F.col("brand_no") % 5).cast("string")).alias("city"),
+                    "country_code", (F.col("brand_no") % 5).alias("managing_group_id"), F.lit(True).alias("is_current"))
+
+
+# --------------------------------------------------------------------- facts
+@entity("mart.fact_position")
+def fact_position(lake) -> DataFrame:
+    p = lake.get("silver.position_analytics_fact")
+    p = _entity_of_contract(lake, p, "contract_source_key", "position_date")
+    return p.select(F.col("position_sk").alias("position_id"), "position_date", "portfolio_sk", "entity_sk",
+                    "security_sk", "quantity", F.col("market_value_usd").alias("market_value"),
+                    F.col("book_value_usd").alias("book_value"), F.col("cost_basis_usd").alias("cost_basis"),
+                    F.col("unrealized_gl_usd").alias("unrealized_gain_loss"),
+                    F.col("currency_code").alias("local_currency_code"),
+                    F.lit("USD").alias("reporting_currency_code"), F.col("fx_rate_to_usd").alias("fx_rate"),
+                    F.lit("state_street").alias("record_source"))
+
+
+@entity("mart.fact_transaction")
+def fact_transaction(lake) -> DataFrame:
+    t = lake.get("silver.transaction_fact").filter(F.col("transaction_status") == "SETTLED")
+    t = t.withColumn("__txn_ck", F.concat(F.lit("ORD_"), F.substring("enterprise_key", 8, 20)))
+    t = _entity_of_contract(lake, t, "__txn_ck", "transaction_date")
+    sign = F.when(F.col("transaction_type") == "SELL", F.lit(-1)).otherwise(F.lit(1))
+    gross = (F.col("gross_amount_usd") * sign).cast("decimal(18,2)")
+    return t.select(F.col("transaction_sk").alias("transaction_id"), "transaction_date", "settlement_date",
+                    "portfolio_sk", "entity_sk", "security_sk", "transaction_type",
+                    (F.col("quantity") * sign).cast("decimal(18,4)").alias("quantity"),
+                    gross.alias("gross_amount"), F.col("fees_usd").alias("fees"),
+                    (gross - F.col("fees_usd")).cast("decimal(18,2)").alias("net_amount"),
+                    F.concat(F.lit("CPTY_"), (F.col("transaction_sk") % 7).cast("string")).alias("counterparty"),
+                    F.col("fx_rate_to_usd").alias("fx_rate"), F.lit("state_street").alias("record_source"))
+
+
+# ------------------------------------------------------------------- bridges
+@entity("mart.key_crosswalk")
+def key_crosswalk(lake) -> DataFrame:
+    """SCD2 crosswalk with ONE_TO_ONE, MANY_TO_ONE and ONE_TO_MANY mappings,
+    remaps of every 25th entity from 1998-07-01, and Bloomberg security ids."""
+    c = lake.roles.t.customer.select(F.col("c_custkey").cast("bigint").alias("c"))
+    p = lake.roles.t.part.select(F.col("p_partkey").cast("bigint").alias("p"))
+    cs = F.col("c").cast("string")
+
+    def rows(df, domain, system, key, target, rel, split, start, end, current):
+        return df.select(F.lit(domain).alias("domain_code"), F.lit(system).alias("source_system"),
+                         key.alias("source_key"), F.lit("ENTERPRISE").alias("target_system"),
+                         target.alias("target_key"), F.lit(rel).alias("relationship_type"),
+                         (split if isinstance(split, Column) else F.lit(split)).cast("int").alias("split_sequence"),
+                         F.lit(start).alias("effective_start_date"),
+                         (end if end is not None else F.lit(None).cast("date")).alias("effective_end_date"),
+                         current.alias("is_current"))
+
+    remapped = (F.col("c") % 25 == 0)
+    arms = [
+        rows(c, "ENTITY", "STATE_STREET", F.concat(F.lit("SS_ENT_"), cs), F.concat(F.lit("EK_CUS_"), cs),
+             "ONE_TO_ONE", 1, BASE_DATE, F.when(remapped, F.lit(REMAP_DATE - dt.timedelta(days=1))), ~remapped),
+        rows(c.filter(remapped), "ENTITY", "STATE_STREET", F.concat(F.lit("SS_ENT_"), cs),
+             F.concat(F.lit("REMAPPED_EK_CUS_"), cs), "ONE_TO_ONE", 1, REMAP_DATE, None, F.lit(True)),
+        rows(c, "ENTITY", "EFRONT", F.concat(F.lit("EF_ENT_"), cs), F.concat(F.lit("EK_CUS_"), cs),
+             "ONE_TO_ONE", 1, BASE_DATE, None, F.lit(True)),
+        rows(c.filter(F.col("c") < 10).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))),
+             "ENTITY", "STATE_STREET", F.concat(F.lit("SS_ENT_"), cs, F.lit("_"), F.col("k").cast("string")),
+             F.concat(F.lit("EK_CUS_"), cs), "MANY_TO_ONE", F.col("k"), BASE_DATE, None, F.lit(True)),
+        rows(c.filter((F.col("c") >= 10) & (F.col("c") < 30)).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(2)))),
+             "ENTITY", "STATE_STREET", F.concat(F.lit("SS_GRP_"), cs),
+             F.concat(F.lit("EK_CUS_"), (F.col("c") + F.col("k") - 1).cast("string")), "ONE_TO_MANY", F.col("k"),
+             BASE_DATE, None, F.lit(True)),
+        rows(p, "SECURITY", "BLOOMBERG", F.concat(F.lit("BBG_"), F.col("p").cast("string")),
+             F.concat(F.lit("EK_PRT_"), F.col("p").cast("string")), "ONE_TO_ONE", 1, BASE_DATE, None, F.lit(True)),
+    ]
+    xw = arms[0]
+    for a in arms[1:]:
+        xw = xw.unionByName(a)
+    xw = dense_row_id(xw, ["domain_code", "source_system", "source_key", "effective_start_date", "target_key"],
+                      "crosswalk_sk")
+    # links between a closed mapping and the one that replaced it (same source key, next day)
+    nxt = xw.select(F.col("domain_code").alias("__d"), F.col("source_system").alias("__s"),
+                    F.col("source_key").alias("__k"), F.col("effective_start_date").alias("__start"),
+                    F.col("crosswalk_sk").alias("succeeding_record_sk"))
+    xw = xw.join(nxt, (xw.domain_code == nxt.__d) & (xw.source_system == nxt.__s) & (xw.source_key == nxt.__k)
+                 & (F.date_add(xw.effective_end_date, 1) == nxt.__start), "left").drop("__d", "__s", "__k", "__start")
+    prv = xw.select(F.col("domain_code").alias("__d"), F.col("source_system").alias("__s"),
+                    F.col("source_key").alias("__k"), F.col("effective_end_date").alias("__end"),
+                    F.col("crosswalk_sk").alias("preceding_record_sk"))
+    xw = xw.join(prv, (xw.domain_code == prv.__d) & (xw.source_system == prv.__s) & (xw.source_key == prv.__k)
+                 & (F.date_sub(xw.effective_start_date, 1) == prv.__end), "left").drop("__d", "__s", "__k", "__end")
+    return xw
+
+
+@entity("mart.investor_portfolio_group_alloc")
+def investor_pg_alloc(lake) -> DataFrame:
+    c = lake.roles.t.customer.select(F.col("c_custkey").cast("bigint").alias("investor_sk"))
+    r = lake.roles.t.region.select(F.col("r_regionkey").cast("bigint").alias("portfolio_group_sk"))
+    pairs = c.crossJoin(F.broadcast(r)).filter((F.col("investor_sk") * 7 + F.col("portfolio_group_sk")) % 5 == 0)
+    pct = (F.lit(Decimal("0.5")) + F.lit(Decimal("0.1")) * ((F.col("investor_sk") * 3 + F.col("portfolio_group_sk")) % 245))
+    return pairs.select("investor_sk", "portfolio_group_sk", pct.cast("decimal(8,5)").alias("ownership_percentage"),
+                        F.lit(True).alias("is_current"))
+
+
+@entity("mart.portfolio_entity_alloc")
+def portfolio_entity_alloc(lake) -> DataFrame:
+    f = lake.get("mart.fact_position").select("portfolio_sk", "entity_sk").distinct()
+    pct = ((F.col("portfolio_sk") + F.col("entity_sk")) % 20 + 1) * 5
+    return f.select("portfolio_sk", "entity_sk", pct.cast("decimal(8,5)").alias("ownership_percentage"),
+                    F.lit(True).alias("is_current"))
+
+
+@entity("mart.pg_portfolio_alloc")
+def pg_portfolio_alloc(lake) -> DataFrame:
+    p = lake.get("mart.dim_portfolio")
+    return p.select("portfolio_group_sk", "portfolio_sk", F.lit(Decimal("100")).cast("decimal(8,5)").alias("ownership_percentage"),
+                    F.lit(True).alias("is_current"))
+
+
+# ---------------------------------------------------------------- mart views
+def _enriched_base(lake, fact: DataFrame) -> DataFrame:
+    pf = lake.get("mart.dim_portfolio").select("portfolio_sk", "portfolio_name", "portfolio_type")
+    e = lake.get("mart.dim_entity").select("entity_sk", "enterprise_entity_id", "entity_name", "entity_type",
+                                           "jurisdiction")
+    s = lake.get("mart.dim_security").select("security_sk", "asset_sk", "security_name", "security_type", "cusip",
+                                             "enterprise_security_id")
+    a = lake.get("mart.dim_asset").select("asset_sk", "asset_name", "asset_type", F.col("city").alias("asset_city"),
+                                          F.col("country_code"))
+    return fact.join(pf, "portfolio_sk").join(e, "entity_sk").join(s, "security_sk").join(F.broadcast(a), "asset_sk")
+
+
+@entity("mart.aum_daily_by_portfolio")
+def aum_daily(lake) -> DataFrame:
+    p = lake.get("mart.fact_position")
+    agg = p.groupBy("position_date", "portfolio_sk").agg(
+        F.sum("market_value").alias("aum"), F.sum("book_value").alias("book_value"),
+        F.sum("unrealized_gain_loss").alias("unrealized_pnl"), F.count(F.lit(1)).alias("position_count"))
+    pf = lake.get("mart.dim_portfolio").select("portfolio_sk", "portfolio_name", "portfolio_type")
+    return agg.join(pf, "portfolio_sk").select("position_date", "portfolio_sk", "portfolio_name", "portfolio_type",
+                                               "aum", "book_value", "unrealized_pnl", "position_count")
+
+
+@entity("mart.position_enriched")
+def position_enriched(lake) -> DataFrame:
+    b = _enriched_base(lake, lake.get("mart.fact_position"))
+    return b.select("position_id", "position_date", "portfolio_sk", "portfolio_name", "portfolio_type", "entity_sk",
+                    "entity_name", "entity_type", "jurisdiction", "asset_sk", "asset_name", "asset_type", "asset_city",
+                    F.col("country_code").alias("asset_country"), "security_sk", "security_name", "security_type",
+                    "cusip", "quantity", "market_value", "book_value", "cost_basis", "unrealized_gain_loss",
+                    "local_currency_code", "reporting_currency_code", "fx_rate", "record_source")
+
+
+@entity("mart.portfolio_kpi_daily")
+def portfolio_kpi(lake) -> DataFrame:
+    p = lake.get("mart.fact_position")
+    da = p.groupBy("position_date", "portfolio_sk").agg(
+        F.sum("market_value").alias("aum"), F.sum("unrealized_gain_loss").alias("unrealized_pnl"),
+        F.countDistinct("entity_sk").alias("active_entity_count"), F.count(F.lit(1)).alias("position_count"))
+    w = Window.partitionBy("portfolio_sk").orderBy("position_date")
+    wd = Window.partitionBy("position_date").orderBy(F.col("aum").desc())
+    w7, w30 = w.rowsBetween(-6, 0), w.rowsBetween(-29, 0)
+    k = (da.withColumn("aum_7day_ma", F.sum("aum").over(w7).cast("double") / F.count(F.lit(1)).over(w7).cast("double"))
+         .withColumn("aum_30day_ma", F.sum("aum").over(w30).cast("double") / F.count(F.lit(1)).over(w30).cast("double"))
+         .withColumn("aum_year_ago", F.lag("aum", 365).over(w))
+         .withColumn("aum_rank_on_date", F.dense_rank().over(wd).cast("bigint")))
+    pf = lake.get("mart.dim_portfolio").select("portfolio_sk", "portfolio_name", "portfolio_type")
+    return k.join(pf, "portfolio_sk").select("position_date", "portfolio_sk", "portfolio_name", "portfolio_type",
+                                             "aum", "unrealized_pnl", "active_entity_count", "position_count",
+                                             "aum_7day_ma", "aum_30day_ma", "aum_year_ago", "aum_rank_on_date")
+
+
+def _external_xw(lake, domain: str, system: str, key_alias: str, target_alias: str, prefix: str) -> DataFrame:
+    xw = lake.get("mart.key_crosswalk").filter(
+        (F.col("relationship_type") == "ONE_TO_ONE") & (F.col("domain_code") == domain) & (F.col("source_system") == system))
+    return xw.select(F.col("target_key").alias(target_alias), F.col("source_key").alias(key_alias),
+                     F.col("effective_start_date").alias(f"{prefix}s"), F.col("effective_end_date").alias(f"{prefix}e"))
+
+
+@entity("mart.position_with_external_keys")
+def position_external_keys(lake) -> DataFrame:
+    b = _enriched_base(lake, lake.get("mart.fact_position"))
+    ss = _external_xw(lake, "ENTITY", "STATE_STREET", "state_street_entity_id", "__ss_t", "__ss_")
+    bbg = _external_xw(lake, "SECURITY", "BLOOMBERG", "bloomberg_security_id", "__bb_t", "__bb_")
+    j = temporal_join(b, ss, "enterprise_entity_id", "__ss_t", "position_date", "__ss_s", "__ss_e", open_end=True)
+    j = temporal_join(j, bbg, "enterprise_security_id", "__bb_t", "position_date", "__bb_s", "__bb_e", open_end=True)
+    return j.select("position_id", "position_date", "portfolio_name", "entity_name", "security_name", "asset_name",
+                    "country_code", "quantity", "market_value", "state_street_entity_id", "bloomberg_security_id")
+
+
+@entity("mart.portfolio_book")
+def portfolio_book(lake) -> DataFrame:
+    b = _enriched_base(lake, lake.get("mart.fact_position"))
+    by_entity = b.groupBy("position_date", "portfolio_name", "portfolio_type", "enterprise_entity_id",
+                          "country_code").agg(F.sum("market_value").alias("entity_mv"))
+    w = Window.partitionBy("position_date", "portfolio_name").orderBy(
+        F.col("entity_mv").desc(), F.col("enterprise_entity_id"), F.col("country_code"))
+    ranked = by_entity.withColumn("rn", F.row_number().over(w))
+    book = ranked.groupBy("position_date", "portfolio_name", "portfolio_type").agg(
+        F.sum("entity_mv").alias("aum"),
+        F.sum(F.when(F.col("rn") <= 3, F.col("entity_mv")).otherwise(F.lit(0))).alias("__top3"),
+        F.countDistinct("enterprise_entity_id").alias("entity_count"),
+        F.countDistinct("country_code").alias("country_count"))
+    wd = Window.partitionBy("position_date").orderBy(F.col("aum").desc())
+    return book.select("position_date", "portfolio_name", "portfolio_type", "aum",
+                       safe_div("__top3", "aum").alias("top_3_concentration_pct"),
+                       "entity_count", "country_count",
+                       F.dense_rank().over(wd).cast("bigint").alias("aum_rank_on_date"))
+
+
+@entity("mart.security_book")
+def security_book(lake) -> DataFrame:
+    b = _enriched_base(lake, lake.get("mart.fact_position"))
+    ps = b.groupBy("position_date", "portfolio_name", "portfolio_type", "entity_name", "asset_name", "country_code",
+                   "security_name", "security_type").agg(
+        F.sum("market_value").alias("market_value"), F.sum("unrealized_gain_loss").alias("unrealized_pnl"))
+    w = Window.partitionBy("position_date", "portfolio_name")
+    tot = F.sum("market_value").over(w).cast("double")
+    return ps.withColumn("pct_of_portfolio_aum",
+                         F.col("market_value").cast("double") / F.when(tot != 0, tot))
+
+
+@entity("mart.transaction_book")
+def transaction_book(lake) -> DataFrame:
+    t = lake.get("mart.fact_transaction")
+    pf = lake.get("mart.dim_portfolio").select("portfolio_sk", "portfolio_name", "portfolio_type")
+    j = t.join(pf, "portfolio_sk")
+
+    def cnt(kind):
+        return F.sum(F.when(F.col("transaction_type") == kind, 1).otherwise(0)).cast("bigint")
+
+    book = j.groupBy("portfolio_name", "portfolio_type", "transaction_date").agg(
+        F.sum("gross_amount").alias("net_gross_flow"), F.sum(F.abs("gross_amount")).alias("turnover_gross"),
+        F.sum("net_amount").alias("net_cash_flow"), F.sum("fees").alias("total_fees"),
+        F.count(F.lit(1)).alias("transaction_count"),
+        F.countDistinct("security_sk").alias("distinct_securities_traded"),
+        cnt("BUY").alias("buy_count"), cnt("SELL").alias("sell_count"),
+        cnt("ACQUISITION").alias("acquisition_count"), cnt("DISPOSAL").alias("disposal_count"))
+    wd = Window.partitionBy("transaction_date").orderBy(F.col("turnover_gross").desc())
+    return book.withColumn("turnover_rank_on_date", F.dense_rank().over(wd).cast("bigint"))
+
+
+@entity("mart.transaction_detail")
+def transaction_detail(lake) -> DataFrame:
+    b = _enriched_base(lake, lake.get("mart.fact_transaction")).withColumn("__abs", F.abs("gross_amount"))
+    b = share_of_total(b, ["portfolio_name", "transaction_date"], "__abs", "pct_of_daily_turnover")
+    return b.select("transaction_id", "transaction_date", "settlement_date", "portfolio_name", "portfolio_type",
+                    "entity_name", "asset_name", "country_code", "security_name", "security_type", "transaction_type",
+                    "quantity", "gross_amount", "fees", "net_amount", "counterparty", "record_source",
+                    "pct_of_daily_turnover")

@@ -120,5 +120,282 @@ for _k, _n in {
     entity_query(_k, f"gold.{_n}")
 
 
+# --- star mart views ------------------------------------------------------------
+for _k, _n in {
+    "aum_daily": "aum_daily_by_portfolio", "position_enriched": "position_enriched", "portfolio_kpi": "portfolio_kpi_daily",
+    "position_external_keys": "position_with_external_keys", "portfolio_book": "portfolio_book",
+    "security_book": "security_book", "transaction_book": "transaction_book", "transaction_detail": "transaction_detail",
+}.items():
+    entity_query(_k, f"mart.{_n}")
+
+
+@query("current_entity")
+def current_entity(lake) -> DataFrame:
+    """Q1: current entities with their group and external ids pivoted to columns."""
+    e = lake.get("mart.dim_entity").filter(F.col("is_current"))
+    g = lake.get("mart.dim_portfolio_group").select("portfolio_group_sk", "group_name")
+    xw = lake.get("mart.key_crosswalk").filter(
+        F.col("is_current") & (F.col("domain_code") == "ENTITY") & (F.col("relationship_type") == "ONE_TO_ONE"))
+    ids = xw.groupBy(F.col("target_key").alias("enterprise_entity_id")).agg(
+        F.max(F.when(F.col("source_system") == "STATE_STREET", F.col("source_key"))).alias("state_street_id"),
+        F.max(F.when(F.col("source_system") == "EFRONT", F.col("source_key"))).alias("efront_id"))
+    return e.join(F.broadcast(g), "portfolio_group_sk", "left").join(ids, "enterprise_entity_id", "left").select(
+        "entity_sk", "enterprise_entity_id", "entity_name", "entity_type", "jurisdiction", "group_name",
+        "state_street_id", "efront_id")
+
+
+@query("portfolio_hierarchy")
+def portfolio_hierarchy(lake) -> DataFrame:
+    p = lake.get("mart.dim_portfolio").filter(F.col("is_current"))
+    g = lake.get("mart.dim_portfolio_group").filter(F.col("is_current"))
+    return p.join(F.broadcast(g), "portfolio_group_sk", "left").select(
+        "portfolio_sk", "enterprise_portfolio_id", "portfolio_name", "portfolio_type", "portfolio_group_sk",
+        "group_name", "group_type")
+
+
+@query("security_with_asset")
+def security_with_asset(lake) -> DataFrame:
+    s = lake.get("mart.dim_security").filter(F.col("is_current"))
+    a = lake.get("mart.dim_asset").select("asset_sk", "asset_name", "asset_type", "country_code", "managing_group_id")
+    t = lake.roles.team.select(F.col("region_key").alias("managing_group_id"), F.col("bu_code").alias("team_code"))
+    return s.join(a, "asset_sk", "left").join(F.broadcast(t), "managing_group_id", "left").select(
+        "security_sk", "enterprise_security_id", "security_name", "security_type", "asset_sk", "asset_name",
+        "asset_type", "country_code", "team_code")
+
+
+# --- headline / demo queries (X1-X21) --------------------------------------------
+def _between(col, lo, hi):
+    import datetime as dt
+    return F.col(col).between(F.lit(dt.date.fromisoformat(lo)), F.lit(dt.date.fromisoformat(hi)))
+
+
+@query("demo_aum_window")
+def demo_aum_window(lake) -> DataFrame:
+    a = lake.get("mart.aum_daily_by_portfolio").filter(_between("position_date", "2000-01-01", "2000-12-31"))
+    return a.orderBy(F.col("position_date").desc(), F.col("aum").desc(), F.col("portfolio_sk")).limit(100) \
+        .select("position_date", "portfolio_name", "portfolio_type", "aum", "position_count")
+
+
+@query("demo_position_window")
+def demo_position_window(lake) -> DataFrame:
+    e = lake.get("mart.position_enriched").filter(
+        (F.col("portfolio_type") == "FUND") & _between("position_date", "2000-10-01", "2000-12-31"))
+    return e.select("position_id", "position_date", "portfolio_name", "entity_name", "asset_name", "asset_city",
+                    "security_name", "security_type", "market_value", "unrealized_gain_loss")
+
+
+@query("demo_point_lookup")
+def demo_point_lookup(lake) -> DataFrame:
+    first = lake.get("mart.dim_security").filter(F.col("is_current")).agg(F.min("security_sk").alias("security_sk"))
+    p = lake.get("mart.fact_position").filter(_between("position_date", "2000-01-01", "2000-12-31"))
+    return p.join(F.broadcast(first), "security_sk", "inner").select(
+        "position_id", "position_date", "security_sk", "market_value", "quantity")
+
+
+@query("kpi_top_yoy")
+def kpi_top_yoy(lake) -> DataFrame:
+    k = lake.get("mart.portfolio_kpi_daily")
+    last = k.agg(F.max("position_date").alias("position_date"))
+    k = k.join(F.broadcast(last), "position_date", "inner")
+    ago = F.col("aum_year_ago")
+    yoy = F.when(ago.isNull() | (ago == 0), F.lit(None).cast("double")).otherwise(
+        (F.col("aum") - ago).cast("double") / ago.cast("double") * 100)
+    return k.orderBy(F.col("aum").desc(), F.col("portfolio_name")).limit(20).select(
+        "portfolio_name", "portfolio_type", "aum", "aum_year_ago", yoy.alias("yoy_pct_change"), "aum_7day_ma",
+        "aum_30day_ma", "aum_rank_on_date")
+
+
+@query("kpi_timeline")
+def kpi_timeline(lake) -> DataFrame:
+    return lake.get("mart.portfolio_kpi_daily").filter(F.col("portfolio_sk") == 1).select(
+        "position_date", "aum", "aum_7day_ma", "aum_30day_ma", "aum_year_ago", "aum_rank_on_date",
+        "active_entity_count")
+
+
+@query("recon_month")
+def recon_month(lake) -> DataFrame:
+    return lake.get("mart.position_with_external_keys").filter(
+        _between("position_date", "2000-01-01", "2000-01-31")).select(
+        "position_id", "position_date", "portfolio_name", "entity_name", "security_name", "state_street_entity_id",
+        "bloomberg_security_id", "market_value")
+
+
+@query("external_by_country")
+def external_by_country(lake) -> DataFrame:
+    x = lake.get("mart.position_with_external_keys")
+    return x.groupBy("country_code").agg(
+        F.countDistinct("state_street_entity_id").alias("distinct_ss_entities"),
+        F.countDistinct("bloomberg_security_id").alias("distinct_bbg_securities"),
+        F.sum("market_value").alias("total_market_value"), F.count(F.lit(1)).alias("row_count"))
+
+
+@query("book_x_security")
+def book_x_security(lake) -> DataFrame:
+    pb = lake.get("mart.portfolio_book")
+    sb = lake.get("mart.security_book").select("portfolio_name", "position_date", "security_name", "entity_name",
+                                               "asset_name", "market_value", "pct_of_portfolio_aum")
+    return pb.join(sb, ["portfolio_name", "position_date"]).select(
+        "portfolio_name", "position_date", "aum", "aum_rank_on_date", "top_3_concentration_pct", "entity_count",
+        "security_name", "entity_name", "asset_name", "market_value", "pct_of_portfolio_aum")
+
+
+@query("peak_concentration")
+def peak_concentration(lake) -> DataFrame:
+    from pyspark.sql import Window
+    pb = lake.get("mart.portfolio_book").withColumn("yr", F.year("position_date").cast("bigint"))
+    w = Window.partitionBy("portfolio_name", "yr").orderBy(F.col("top_3_concentration_pct").desc(), "position_date")
+    r = pb.withColumn("rank_in_year", F.row_number().over(w).cast("bigint"))
+    sb = lake.get("mart.security_book").select("portfolio_name", "position_date", "security_name", "entity_name",
+                                               "country_code", "market_value", "pct_of_portfolio_aum")
+    return r.join(sb, ["portfolio_name", "position_date"]).select(
+        "portfolio_name", "yr", F.col("position_date").alias("peak_date"),
+        F.col("top_3_concentration_pct").alias("peak_concentration"), F.col("aum").alias("aum_on_peak_date"),
+        "entity_count", "rank_in_year", "security_name", "entity_name", "country_code", "market_value",
+        "pct_of_portfolio_aum")
+
+
+@query("turnover_ratio")
+def turnover_ratio(lake) -> DataFrame:
+    tb = lake.get("mart.transaction_book")
+    pb = lake.get("mart.portfolio_book").select(
+        "portfolio_name", F.col("position_date").alias("transaction_date"), "aum", "aum_rank_on_date",
+        "top_3_concentration_pct", "entity_count")
+    j = tb.join(pb, ["portfolio_name", "transaction_date"])
+    return j.select("portfolio_name", "portfolio_type", "transaction_date", "transaction_count",
+                    "distinct_securities_traded", "turnover_gross", "net_gross_flow", "total_fees", "buy_count",
+                    "sell_count", "turnover_rank_on_date", "aum", "aum_rank_on_date", "top_3_concentration_pct",
+                    "entity_count", safe_div_col("turnover_gross", "aum").alias("turnover_ratio"))
+
+
+@query("txn_three_way")
+def txn_three_way(lake) -> DataFrame:
+    td = lake.get("mart.transaction_detail")
+    sb = lake.get("mart.security_book").select(
+        "portfolio_name", "security_name", F.col("position_date").alias("transaction_date"),
+        F.col("market_value").alias("position_market_value"), "pct_of_portfolio_aum")
+    tb = lake.get("mart.transaction_book").select(
+        "portfolio_name", "transaction_date", F.col("turnover_gross").alias("portfolio_day_turnover"),
+        F.col("transaction_count").alias("portfolio_day_txn_count"), "turnover_rank_on_date")
+    j = td.join(sb, ["portfolio_name", "security_name", "transaction_date"]).join(tb, ["portfolio_name", "transaction_date"])
+    return j.select("transaction_id", "transaction_date", "portfolio_name", "security_name", "entity_name",
+                    "country_code", "transaction_type", F.col("quantity").alias("txn_quantity"),
+                    F.col("gross_amount").alias("txn_gross"), "counterparty", "pct_of_daily_turnover",
+                    "position_market_value", "pct_of_portfolio_aum", "portfolio_day_turnover",
+                    "portfolio_day_txn_count", "turnover_rank_on_date",
+                    safe_div_col(F.abs("gross_amount"), "portfolio_day_turnover").alias("txn_share_of_portfolio_day"))
+
+
+@query("allocation_summary")
+def allocation_summary(lake) -> DataFrame:
+    g = lake.get("mart.dim_portfolio_group").filter(F.col("is_current"))
+    a = lake.get("mart.investor_portfolio_group_alloc").filter(F.col("is_current"))
+    j = g.join(a, "portfolio_group_sk", "left")
+    return j.groupBy("group_name").agg(F.countDistinct("investor_sk").alias("investors_in_group"),
+                                       F.round(F.sum("ownership_percentage"), 2).alias("total_pct_committed"))
+
+
+@query("dimension_counts")
+def dimension_counts(lake) -> DataFrame:
+    def c(name, df):
+        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("entity_type"), "row_count")
+    cur = F.col("is_current")
+    parts = [
+        c("investors", lake.roles.t.customer),
+        c("portfolio_groups", lake.get("mart.dim_portfolio_group").filter(cur)),
+        c("portfolios", lake.get("mart.dim_portfolio").filter(cur)),
+        c("entities", lake.get("mart.dim_entity").filter(cur)),
+        c("assets", lake.get("mart.dim_asset").filter(cur)),
+        c("securities", lake.get("mart.dim_security").filter(cur)),
+        c("crosswalk_mappings", lake.get("mart.key_crosswalk").filter(cur)),
+        c("positions", lake.get("mart.fact_position")),
+        c("investor_pg_alloc", lake.get("mart.investor_portfolio_group_alloc")),
+        c("pg_portfolio_alloc", lake.get("mart.pg_portfolio_alloc")),
+        c("portfolio_entity_alloc", lake.get("mart.portfolio_entity_alloc")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("position_summary")
+def position_summary(lake) -> DataFrame:
+    p = lake.get("mart.fact_position")
+    return p.agg(F.min("position_date").alias("earliest_date"), F.max("position_date").alias("latest_date"),
+                 F.countDistinct("position_date").alias("distinct_dates"), F.count(F.lit(1)).alias("total_rows"),
+                 F.round(F.sum("market_value"), 2).alias("total_market_value"),
+                 (F.sum("market_value").cast("double") / F.count(F.lit(1)).cast("double")).alias("avg_market_value"))
+
+
+@query("adhoc_top_positions")
+def adhoc_top_positions(lake) -> DataFrame:
+    b = lake.get("gold.consolidated_position_book")
+    return b.orderBy(F.col("market_value_usd").desc(), F.col("enterprise_key"), F.col("team_code")).limit(10).select(
+        "team_code", "enterprise_key", "security_sk", "position_date", "market_value_usd", "concentration_pct",
+        "portfolio_rank")
+
+
+@query("adhoc_team_aum")
+def adhoc_team_aum(lake) -> DataFrame:
+    b = lake.get("gold.consolidated_position_book")
+    last = b.agg(F.max("position_date").alias("position_date"))
+    b = b.join(F.broadcast(last), "position_date", "inner")
+    return b.groupBy("team_code").agg(
+        F.countDistinct("enterprise_key").alias("unique_positions"), F.sum("market_value_usd").alias("total_aum_usd"),
+        F.round(F.avg("concentration_pct"), 9).alias("avg_concentration_pct"),
+        F.max("portfolio_rank").alias("deepest_rank"))
+
+
+@query("adhoc_contract_concentration")
+def adhoc_contract_concentration(lake) -> DataFrame:
+    b = lake.get("gold.consolidated_contract_book")
+    last = b.agg(F.max("summary_date").alias("summary_date"))
+    b = b.join(F.broadcast(last), "summary_date", "inner")
+    return b.orderBy(F.col("outstanding_principal_usd").desc(), F.col("team_code"), F.col("enterprise_key")).limit(20) \
+        .select("team_code", "contract_sk", "summary_date", "outstanding_principal_usd", "accrued_interest_usd",
+                "performance_status", "has_active_breach")
+
+
+@query("txn_by_quarter")
+def txn_by_quarter(lake) -> DataFrame:
+    t = lake.get("gold.consolidated_transaction_book")
+    return t.groupBy("team_code", F.date_trunc("quarter", F.col("transaction_date")).cast("date").alias("quarter")).agg(
+        F.count(F.lit(1)).alias("txn_count"), F.sum("gross_amount_usd").alias("gross_volume_usd"),
+        F.sum("fees_usd").alias("total_fees_usd"))
+
+
+@query("scd2_version_counts")
+def scd2_version_counts(lake) -> DataFrame:
+    out = None
+    for name in ("contract_dim", "security_dim", "entity_dim"):
+        d = lake.get(f"silver.{name}").agg(
+            F.count(F.lit(1)).alias("total_versions"), F.countDistinct("enterprise_key").alias("unique_keys"))
+        d = d.select(F.lit(name).alias("dimension"), "total_versions", "unique_keys",
+                     (F.col("total_versions") - F.col("unique_keys")).alias("amendments"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@query("provenance_share")
+def provenance_share(lake) -> DataFrame:
+    from pyspark.sql import Window
+    s = lake.get("bronze.security").groupBy("_source_pref").agg(F.count(F.lit(1)).alias("rows_won_by_source"))
+    tot = F.sum("rows_won_by_source").over(Window.partitionBy())
+    return s.withColumn("pct_of_total", F.col("rows_won_by_source").cast("double") / tot.cast("double"))
+
+
+@query("fx_latest")
+def fx_latest(lake) -> DataFrame:
+    fx = lake.get("silver.fx_rate_dim")
+    last = fx.agg(F.max("rate_date").alias("rate_date"))
+    return fx.join(F.broadcast(last), "rate_date", "inner").select("from_currency", "to_currency", "rate_date", "fx_rate")
+
+
+def safe_div_col(num, den):
+    n = F.col(num) if isinstance(num, str) else num
+    d = (F.col(den) if isinstance(den, str) else den).cast("double")
+    return n.cast("double") / F.when(d != 0, d)
+
+
 def run_query(lake, key: str) -> DataFrame:
     return finalize(QUERIES[key](lake))

@@ -248,12 +248,13 @@ def portfolio_analytics(lake) -> DataFrame:
     risk = lake.get("bronze.portfolio_risk")
     perf = lake.get("bronze.portfolio_performance").select(
         F.col("portfolio_source_key").alias("__pk"), F.col("performance_date").alias("__pdate"),
-        "period_return_pct", "benchmark_code")
+        "period_return_pct", "return_sum", "return_count", "benchmark_code")
     a = risk.join(perf, (risk.portfolio_source_key == perf.__pk) & (risk.risk_date == perf.__pdate), "left") \
         .drop("__pk", "__pdate").withColumnRenamed("risk_date", "analytics_date")
     w = Window.partitionBy("portfolio_enterprise_key", F.year("analytics_date")).orderBy("analytics_date") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    a = a.withColumn("ytd_return_pct", F.round(F.sum("period_return_pct").over(w), 6))
+    a = a.withColumn("ytd_return_pct",
+                     F.sum("return_sum").over(w).cast("double") / F.sum("return_count").over(w).cast("double"))
     a = _tjoin(lake, a, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "analytics_date", "pd_")
     bu_of = lake.get("silver.portfolio_dim").select(F.col("portfolio_sk").alias("__psk"),
                                                     F.col("business_unit_enterprise_key").alias("__buek"))
@@ -261,8 +262,8 @@ def portfolio_analytics(lake) -> DataFrame:
     a = _cjoin(lake, a, "silver.business_unit_dim", "business_unit_sk", "__buek", "bu_").drop("__buek")
     a = dense_row_id(a, [F.col("portfolio_enterprise_key"), F.col("analytics_date")], "portfolio_analytics_sk")
     return a.select("portfolio_analytics_sk", "analytics_date", "portfolio_sk", "business_unit_sk", "var_95",
-                    "var_99", "expected_shortfall", "period_return_pct", "ytd_return_pct",
-                    F.lit(0.01).alias("benchmark_return_pct"), "benchmark_code")
+                    "var_99", "expected_shortfall", "period_return_pct", "return_sum", "return_count",
+                    "ytd_return_pct", F.lit(0.01).alias("benchmark_return_pct"), "benchmark_code")
 
 
 @entity("silver.portfolio_analytics_monthend_fact")
@@ -270,7 +271,7 @@ def analytics_monthend(lake) -> DataFrame:
     a = lake.get("silver.portfolio_analytics_fact")
     me = month_end_snapshot(a, "analytics_date", ["portfolio_sk", "business_unit_sk"], [
         F.max("var_95").alias("var_95"), F.max("var_99").alias("var_99"),
-        F.round(F.avg("period_return_pct"), 6).alias("avg_period_return_pct"),
+        (F.sum("return_sum").cast("double") / F.sum("return_count").cast("double")).alias("avg_period_return_pct"),
         F.max("ytd_return_pct").alias("ytd_return_pct")])
     return dense_row_id(me, [F.col("monthend_date"), F.col("portfolio_sk").asc_nulls_last(),
                              F.col("business_unit_sk").asc_nulls_last()], "analytics_monthend_sk")
@@ -282,7 +283,7 @@ def collateral_exposure(lake) -> DataFrame:
     e = _tjoin(lake, e, "silver.contract_dim", "contract_sk", "enterprise_key", "exposure_date", "cd_")
     e = _usd(lake, e, {"exposure_amount_usd": "exposure_amount_local", "collateral_value_usd": "collateral_value_local"},
              "currency_code", "exposure_date")
-    e = e.withColumn("ltv_pct", F.round(safe_div("exposure_amount_usd", "collateral_value_usd"), 6))
+    e = e.withColumn("ltv_pct", safe_div("exposure_amount_usd", "collateral_value_usd"))
     e = dense_row_id(e, [F.col("enterprise_key"), F.col("exposure_date")], "collateral_exposure_sk")
     return e.select("collateral_exposure_sk", "enterprise_key", "exposure_date", "contract_sk",
                     "exposure_amount_local", "exposure_amount_usd", "collateral_value_local", "collateral_value_usd",

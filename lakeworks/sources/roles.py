@@ -382,11 +382,12 @@ class Roles:
     @cached_property
     def portfolio_performance(self) -> DataFrame:
         pm = self.portfolio_month
-        ret = F.round(F.col("__ret_sum").cast("double") / F.col("__ret_n"), 6)
+        ret = F.col("__ret_sum").cast("double") / F.col("__ret_n").cast("double")
         return pm.select(
             F.concat(F.lit("SUP_"), F.col("l_suppkey").cast("string")).alias("portfolio_source_key"),
             F.col("risk_date").alias("performance_date"),
             ret.alias("period_return_pct"),
+            F.col("__ret_sum").alias("return_sum"), F.col("__ret_n").cast("bigint").alias("return_count"),
             F.lit("BM_GLOBAL").alias("benchmark_code"),
             F.col("l_suppkey").cast("bigint").alias("supplier_key"))
 

@@ -8,7 +8,7 @@ FROM s_business_unit_dim WHERE is_current""",
 WITH p AS (SELECT p.*, t.team_code FROM s_position p JOIN g_teams t ON t.business_unit_sk = p.business_unit_sk)
 SELECT team_code, position_sk, enterprise_key, position_date, portfolio_sk, security_sk, business_unit_sk, quantity,
        market_value_usd, book_value_usd, cost_basis_usd, unrealized_gl_usd,
-       round(CAST(market_value_usd AS DOUBLE) / NULLIF(CAST(sum(market_value_usd) OVER (PARTITION BY team_code, position_date) AS DOUBLE), 0), 6) AS concentration_pct,
+       CAST(market_value_usd AS DOUBLE) / NULLIF(CAST(sum(market_value_usd) OVER (PARTITION BY team_code, position_date) AS DOUBLE), 0) AS concentration_pct,
        dense_rank() OVER (PARTITION BY team_code, position_date ORDER BY market_value_usd DESC NULLS LAST) AS portfolio_rank,
        currency_code
 FROM p""",

@@ -6,12 +6,14 @@ from oracle.fin import fin
 from oracle.roles_sql import ROLES
 from oracle.silver_sql import SILVER
 from oracle.gold_sql import GOLD
+from oracle.mart_sql import MART
 
 CTES: dict[str, str] = {}
 CTES.update(ROLES)
 CTES.update(BRONZE)
 CTES.update(SILVER)
 CTES.update(GOLD)
+CTES.update(MART)
 
 FINAL: dict[str, str] = {}
 
@@ -26,7 +28,7 @@ _B = {
     "transaction": "$quantity, $gross_amount_local, $fees_local, $net_amount_local, ~_sources_in_conflict",
     "security_price": "$close_price_local, ~_sources_in_conflict",
     "portfolio_risk": "$var_95, $var_99, $expected_shortfall, ~_sources_in_conflict",
-    "portfolio_performance": "~_sources_in_conflict",
+    "portfolio_performance": "$return_sum, ~_sources_in_conflict",
     "rating": "~_sources_in_conflict",
     "collateral": "$position_value_local, #l_linenumber, ~_sources_in_conflict",
     "fx_rate": "$fx_rate, ~_sources_in_conflict",
@@ -74,7 +76,7 @@ _S = {
     "silver_contract_summary": ("s_contract_summary", "$outstanding_principal_local, $outstanding_principal_usd, "
                                 "$accrued_interest_local, $accrued_interest_usd, $paid_to_date_local, "
                                 "$paid_to_date_usd, $fx_rate_to_usd"),
-    "portfolio_analytics": ("s_portfolio_analytics", "$var_95, $var_99, $expected_shortfall, $benchmark_return_pct"),
+    "portfolio_analytics": ("s_portfolio_analytics", "$var_95, $var_99, $expected_shortfall, $benchmark_return_pct, $return_sum"),
     "analytics_monthend": ("s_analytics_monthend", "$var_95, $var_99"),
     "collateral_exposure": ("s_collateral_exposure", "$exposure_amount_local, $exposure_amount_usd, "
                             "$collateral_value_local, $collateral_value_usd"),
@@ -119,6 +121,174 @@ _G = {
 for _k, (_src, _c) in _G.items():
     FINAL[_k] = fin(_src, _c)
 
+_M = {
+    "aum_daily": ("k_aum_daily", "$aum, $book_value, $unrealized_pnl"),
+    "position_enriched": ("k_position_enriched", "$quantity, $market_value, $book_value, $cost_basis, "
+                          "$unrealized_gain_loss, $fx_rate"),
+    "portfolio_kpi": ("k_portfolio_kpi", "$aum, $unrealized_pnl, $aum_year_ago"),
+    "position_external_keys": ("k_external_keys", "$quantity, $market_value"),
+    "portfolio_book": ("k_portfolio_book", "$aum"),
+    "security_book": ("k_security_book", "$market_value, $unrealized_pnl"),
+    "transaction_book": ("k_transaction_book", "$net_gross_flow, $turnover_gross, $net_cash_flow, $total_fees, "
+                         "#buy_count, #sell_count, #acquisition_count, #disposal_count"),
+    "transaction_detail": ("k_transaction_detail", "$quantity, $gross_amount, $fees, $net_amount"),
+}
+for _k, (_src, _c) in _M.items():
+    FINAL[_k] = fin(_src, _c)
+
+FINAL["current_entity"] = """
+WITH ids AS (
+  SELECT target_key AS enterprise_entity_id,
+         max(CASE WHEN source_system = 'STATE_STREET' THEN source_key END) AS state_street_id,
+         max(CASE WHEN source_system = 'EFRONT' THEN source_key END) AS efront_id
+  FROM k_key_crosswalk WHERE is_current AND domain_code = 'ENTITY' AND relationship_type = 'ONE_TO_ONE'
+  GROUP BY target_key)
+SELECT e.entity_sk, e.enterprise_entity_id, e.entity_name, e.entity_type, e.jurisdiction, g.group_name,
+       ids.state_street_id, ids.efront_id
+FROM k_dim_entity e LEFT JOIN k_dim_portfolio_group g ON g.portfolio_group_sk = e.portfolio_group_sk
+LEFT JOIN ids ON ids.enterprise_entity_id = e.enterprise_entity_id
+WHERE e.is_current"""
+FINAL["portfolio_hierarchy"] = """
+SELECT p.portfolio_sk, p.enterprise_portfolio_id, p.portfolio_name, p.portfolio_type, p.portfolio_group_sk,
+       g.group_name, g.group_type
+FROM k_dim_portfolio p LEFT JOIN (SELECT * FROM k_dim_portfolio_group WHERE is_current) g
+  ON g.portfolio_group_sk = p.portfolio_group_sk
+WHERE p.is_current"""
+FINAL["security_with_asset"] = """
+SELECT s.security_sk, s.enterprise_security_id, s.security_name, s.security_type, s.asset_sk, a.asset_name,
+       a.asset_type, a.country_code, t.bu_code AS team_code
+FROM k_dim_security s LEFT JOIN k_dim_asset a ON a.asset_sk = s.asset_sk
+LEFT JOIN r_team t ON t.region_key = a.managing_group_id
+WHERE s.is_current"""
+FINAL["demo_aum_window"] = """
+SELECT position_date, portfolio_name, portfolio_type, CAST(aum AS DOUBLE) AS aum, position_count
+FROM k_aum_daily WHERE position_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'
+ORDER BY position_date DESC, aum DESC, portfolio_sk LIMIT 100"""
+FINAL["demo_position_window"] = """
+SELECT position_id, position_date, portfolio_name, entity_name, asset_name, asset_city, security_name, security_type,
+       CAST(market_value AS DOUBLE) AS market_value, CAST(unrealized_gain_loss AS DOUBLE) AS unrealized_gain_loss
+FROM k_position_enriched
+WHERE portfolio_type = 'FUND' AND position_date BETWEEN DATE '2000-10-01' AND DATE '2000-12-31'"""
+FINAL["demo_point_lookup"] = """
+SELECT p.position_id, p.position_date, p.security_sk, CAST(p.market_value AS DOUBLE) AS market_value,
+       CAST(p.quantity AS DOUBLE) AS quantity
+FROM k_fact_position p
+JOIN (SELECT security_sk FROM k_dim_security WHERE is_current ORDER BY security_sk LIMIT 1) ss
+  ON ss.security_sk = p.security_sk
+WHERE p.position_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"""
+FINAL["kpi_top_yoy"] = """
+SELECT portfolio_name, portfolio_type, CAST(aum AS DOUBLE) AS aum, CAST(aum_year_ago AS DOUBLE) AS aum_year_ago,
+       CASE WHEN aum_year_ago IS NULL OR aum_year_ago = 0 THEN NULL
+            ELSE CAST(aum - aum_year_ago AS DOUBLE) / CAST(aum_year_ago AS DOUBLE) * 100 END AS yoy_pct_change,
+       aum_7day_ma, aum_30day_ma, aum_rank_on_date
+FROM k_portfolio_kpi WHERE position_date = (SELECT max(position_date) FROM k_portfolio_kpi)
+ORDER BY aum DESC, portfolio_name LIMIT 20"""
+FINAL["kpi_timeline"] = """
+SELECT position_date, CAST(aum AS DOUBLE) AS aum, aum_7day_ma, aum_30day_ma, CAST(aum_year_ago AS DOUBLE) AS aum_year_ago,
+       aum_rank_on_date, active_entity_count
+FROM k_portfolio_kpi WHERE portfolio_sk = 1"""
+FINAL["recon_month"] = """
+SELECT position_id, position_date, portfolio_name, entity_name, security_name, state_street_entity_id,
+       bloomberg_security_id, CAST(market_value AS DOUBLE) AS market_value
+FROM k_external_keys WHERE position_date BETWEEN DATE '2000-01-01' AND DATE '2000-01-31'"""
+FINAL["external_by_country"] = """
+SELECT country_code, count(DISTINCT state_street_entity_id) AS distinct_ss_entities,
+       count(DISTINCT bloomberg_security_id) AS distinct_bbg_securities,
+       CAST(sum(market_value) AS DOUBLE) AS total_market_value, count(*) AS row_count
+FROM k_external_keys GROUP BY country_code"""
+FINAL["book_x_security"] = """
+SELECT pb.portfolio_name, pb.position_date, CAST(pb.aum AS DOUBLE) AS aum, pb.aum_rank_on_date,
+       pb.top_3_concentration_pct, pb.entity_count, sb.security_name, sb.entity_name, sb.asset_name,
+       CAST(sb.market_value AS DOUBLE) AS market_value, sb.pct_of_portfolio_aum
+FROM k_portfolio_book pb JOIN k_security_book sb
+  ON pb.portfolio_name = sb.portfolio_name AND pb.position_date = sb.position_date"""
+FINAL["peak_concentration"] = """
+WITH r AS (SELECT *, CAST(year(position_date) AS BIGINT) AS yr,
+                  row_number() OVER (PARTITION BY portfolio_name, year(position_date)
+                                     ORDER BY top_3_concentration_pct DESC, position_date) AS rank_in_year
+           FROM k_portfolio_book)
+SELECT r.portfolio_name, r.yr, r.position_date AS peak_date, r.top_3_concentration_pct AS peak_concentration,
+       CAST(r.aum AS DOUBLE) AS aum_on_peak_date, r.entity_count, r.rank_in_year, sb.security_name, sb.entity_name,
+       sb.country_code, CAST(sb.market_value AS DOUBLE) AS market_value, sb.pct_of_portfolio_aum
+FROM r JOIN k_security_book sb ON sb.portfolio_name = r.portfolio_name AND sb.position_date = r.position_date"""
+FINAL["turnover_ratio"] = """
+SELECT tb.portfolio_name, tb.portfolio_type, tb.transaction_date, tb.transaction_count, tb.distinct_securities_traded,
+       CAST(tb.turnover_gross AS DOUBLE) AS turnover_gross, CAST(tb.net_gross_flow AS DOUBLE) AS net_gross_flow,
+       CAST(tb.total_fees AS DOUBLE) AS total_fees, CAST(tb.buy_count AS BIGINT) AS buy_count,
+       CAST(tb.sell_count AS BIGINT) AS sell_count, tb.turnover_rank_on_date, CAST(pb.aum AS DOUBLE) AS aum,
+       pb.aum_rank_on_date, pb.top_3_concentration_pct, pb.entity_count,
+       CAST(tb.turnover_gross AS DOUBLE) / NULLIF(CAST(pb.aum AS DOUBLE), 0) AS turnover_ratio
+FROM k_transaction_book tb JOIN k_portfolio_book pb
+  ON tb.portfolio_name = pb.portfolio_name AND tb.transaction_date = pb.position_date"""
+FINAL["txn_three_way"] = """
+SELECT td.transaction_id, td.transaction_date, td.portfolio_name, td.security_name, td.entity_name, td.country_code,
+       td.transaction_type, CAST(td.quantity AS DOUBLE) AS txn_quantity, CAST(td.gross_amount AS DOUBLE) AS txn_gross,
+       td.counterparty, td.pct_of_daily_turnover, CAST(sb.market_value AS DOUBLE) AS position_market_value,
+       sb.pct_of_portfolio_aum, CAST(tb.turnover_gross AS DOUBLE) AS portfolio_day_turnover,
+       tb.transaction_count AS portfolio_day_txn_count, tb.turnover_rank_on_date,
+       CAST(abs(td.gross_amount) AS DOUBLE) / NULLIF(CAST(tb.turnover_gross AS DOUBLE), 0) AS txn_share_of_portfolio_day
+FROM k_transaction_detail td
+JOIN k_security_book sb ON td.portfolio_name = sb.portfolio_name AND td.security_name = sb.security_name
+  AND td.transaction_date = sb.position_date
+JOIN k_transaction_book tb ON td.portfolio_name = tb.portfolio_name AND td.transaction_date = tb.transaction_date"""
+FINAL["allocation_summary"] = """
+SELECT g.group_name, count(DISTINCT a.investor_sk) AS investors_in_group,
+       CAST(round(sum(a.ownership_percentage), 2) AS DOUBLE) AS total_pct_committed
+FROM k_dim_portfolio_group g LEFT JOIN (SELECT * FROM k_investor_pg_alloc WHERE is_current) a
+  ON g.portfolio_group_sk = a.portfolio_group_sk
+WHERE g.is_current GROUP BY g.group_name"""
+FINAL["dimension_counts"] = """
+SELECT 'investors' AS entity_type, count(*) AS row_count FROM customer
+UNION ALL SELECT 'portfolio_groups', count(*) FROM k_dim_portfolio_group WHERE is_current
+UNION ALL SELECT 'portfolios', count(*) FROM k_dim_portfolio WHERE is_current
+UNION ALL SELECT 'entities', count(*) FROM k_dim_entity WHERE is_current
+UNION ALL SELECT 'assets', count(*) FROM k_dim_asset WHERE is_current
+UNION ALL SELECT 'securities', count(*) FROM k_dim_security WHERE is_current
+UNION ALL SELECT 'crosswalk_mappings', count(*) FROM k_key_crosswalk WHERE is_current
+UNION ALL SELECT 'positions', count(*) FROM k_fact_position
+UNION ALL SELECT 'investor_pg_alloc', count(*) FROM k_investor_pg_alloc
+UNION ALL SELECT 'pg_portfolio_alloc', count(*) FROM k_pg_portfolio_alloc
+UNION ALL SELECT 'portfolio_entity_alloc', count(*) FROM k_portfolio_entity_alloc"""
+FINAL["position_summary"] = """
+SELECT min(position_date) AS earliest_date, max(position_date) AS latest_date,
+       count(DISTINCT position_date) AS distinct_dates, count(*) AS total_rows,
+       CAST(round(sum(market_value), 2) AS DOUBLE) AS total_market_value,
+       CAST(sum(market_value) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_market_value
+FROM k_fact_position"""
+FINAL["adhoc_top_positions"] = """
+SELECT team_code, enterprise_key, security_sk, position_date, CAST(market_value_usd AS DOUBLE) AS market_value_usd,
+       concentration_pct, portfolio_rank
+FROM g_consolidated_positions ORDER BY market_value_usd DESC, enterprise_key, team_code LIMIT 10"""
+FINAL["adhoc_team_aum"] = """
+SELECT team_code, count(DISTINCT enterprise_key) AS unique_positions,
+       CAST(sum(market_value_usd) AS DOUBLE) AS total_aum_usd, round(avg(concentration_pct), 9) AS avg_concentration_pct,
+       max(portfolio_rank) AS deepest_rank
+FROM g_consolidated_positions WHERE position_date = (SELECT max(position_date) FROM g_consolidated_positions)
+GROUP BY team_code"""
+FINAL["adhoc_contract_concentration"] = """
+SELECT team_code, contract_sk, summary_date, CAST(outstanding_principal_usd AS DOUBLE) AS outstanding_principal_usd,
+       CAST(accrued_interest_usd AS DOUBLE) AS accrued_interest_usd, performance_status, has_active_breach
+FROM g_consolidated_contracts WHERE summary_date = (SELECT max(summary_date) FROM g_consolidated_contracts)
+ORDER BY outstanding_principal_usd DESC, team_code, enterprise_key LIMIT 20"""
+FINAL["txn_by_quarter"] = """
+SELECT team_code, CAST(date_trunc('quarter', transaction_date) AS DATE) AS quarter, count(*) AS txn_count,
+       CAST(sum(gross_amount_usd) AS DOUBLE) AS gross_volume_usd, CAST(sum(fees_usd) AS DOUBLE) AS total_fees_usd
+FROM g_consolidated_transactions GROUP BY 1, 2"""
+FINAL["scd2_version_counts"] = """
+SELECT 'contract_dim' AS dimension, count(*) AS total_versions, count(DISTINCT enterprise_key) AS unique_keys,
+       count(*) - count(DISTINCT enterprise_key) AS amendments FROM s_contract_dim
+UNION ALL SELECT 'security_dim', count(*), count(DISTINCT enterprise_key), count(*) - count(DISTINCT enterprise_key)
+FROM s_security_dim
+UNION ALL SELECT 'entity_dim', count(*), count(DISTINCT enterprise_key), count(*) - count(DISTINCT enterprise_key)
+FROM s_entity_dim"""
+FINAL["provenance_share"] = """
+SELECT _source_pref, count(*) AS rows_won_by_source,
+       CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS pct_of_total
+FROM b_security GROUP BY _source_pref"""
+FINAL["fx_latest"] = """
+SELECT from_currency, to_currency, rate_date, CAST(fx_rate AS DOUBLE) AS fx_rate
+FROM s_fx_rate_dim WHERE rate_date = (SELECT max(rate_date) FROM s_fx_rate_dim)"""
+
 
 def oracle(key: str) -> str:
     return compose(FINAL[key], CTES)

@@ -187,7 +187,8 @@ SELECT 'SUP_' || CAST(l_suppkey AS VARCHAR) AS portfolio_source_key, risk_date,
 FROM r_portfolio_month""",
     "r_portfolio_performance": """
 SELECT 'SUP_' || CAST(l_suppkey AS VARCHAR) AS portfolio_source_key, risk_date AS performance_date,
-       round(CAST(ret_sum AS DOUBLE) / ret_n, 6) AS period_return_pct, 'BM_GLOBAL' AS benchmark_code,
+       CAST(ret_sum AS DOUBLE) / CAST(ret_n AS DOUBLE) AS period_return_pct, ret_sum AS return_sum,
+       CAST(ret_n AS BIGINT) AS return_count, 'BM_GLOBAL' AS benchmark_code,
        CAST(l_suppkey AS BIGINT) AS supplier_key
 FROM r_portfolio_month""",
     "r_capital_activity": """

@@ -155,16 +155,16 @@ FROM r_contract_summary s {_res('x', 'efront', 's.contract_source_key')}
 {fxj('fx', 's.currency_code', 's.summary_date')}""",
     "s_portfolio_analytics": """
 WITH a AS (
-  SELECT r.*, r.risk_date AS analytics_date, pf.period_return_pct, pf.benchmark_code
+  SELECT r.*, r.risk_date AS analytics_date, pf.period_return_pct, pf.return_sum, pf.return_count, pf.benchmark_code
   FROM b_portfolio_risk r LEFT JOIN b_portfolio_performance pf
     ON pf.portfolio_source_key = r.portfolio_source_key AND pf.performance_date = r.risk_date),
 a2 AS (
-  SELECT *, round(sum(period_return_pct) OVER (PARTITION BY portfolio_enterprise_key, year(analytics_date)
-                      ORDER BY analytics_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS ytd_return_pct
-  FROM a)
+  SELECT *, CAST(sum(return_sum) OVER y AS DOUBLE) / CAST(sum(return_count) OVER y AS DOUBLE) AS ytd_return_pct
+  FROM a WINDOW y AS (PARTITION BY portfolio_enterprise_key, year(analytics_date) ORDER BY analytics_date
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT row_number() OVER (ORDER BY a2.portfolio_enterprise_key, a2.analytics_date) AS portfolio_analytics_sk,
        a2.analytics_date, pd.portfolio_sk, bu.business_unit_sk, a2.var_95, a2.var_99, a2.expected_shortfall,
-       a2.period_return_pct, a2.ytd_return_pct, 0.01 AS benchmark_return_pct, a2.benchmark_code
+       a2.period_return_pct, a2.return_sum, a2.return_count, a2.ytd_return_pct, 0.01 AS benchmark_return_pct, a2.benchmark_code
 FROM a2
 LEFT JOIN s_portfolio_dim pd ON pd.enterprise_key = a2.portfolio_enterprise_key
   AND a2.analytics_date BETWEEN pd.effective_start_date AND pd.effective_end_date
@@ -172,7 +172,7 @@ LEFT JOIN s_business_unit_dim bu ON bu.enterprise_key = pd.business_unit_enterpr
     "s_analytics_monthend": """
 WITH m AS (
   SELECT last_day(analytics_date) AS monthend_date, portfolio_sk, business_unit_sk,
-         max(var_95) AS var_95, max(var_99) AS var_99, round(avg(period_return_pct), 6) AS avg_period_return_pct,
+         max(var_95) AS var_95, max(var_99) AS var_99, CAST(sum(return_sum) AS DOUBLE) / CAST(sum(return_count) AS DOUBLE) AS avg_period_return_pct,
          max(ytd_return_pct) AS ytd_return_pct
   FROM s_portfolio_analytics WHERE analytics_date = last_day(analytics_date) GROUP BY 1, 2, 3)
 SELECT *, row_number() OVER (ORDER BY monthend_date, portfolio_sk NULLS LAST, business_unit_sk NULLS LAST)
@@ -188,7 +188,7 @@ WITH e AS (
 SELECT row_number() OVER (ORDER BY enterprise_key, exposure_date) AS collateral_exposure_sk, enterprise_key,
        exposure_date, contract_sk, exposure_amount_local, exposure_amount_usd, collateral_value_local,
        collateral_value_usd, collateral_type,
-       round(CAST(exposure_amount_usd AS DOUBLE) / NULLIF(CAST(collateral_value_usd AS DOUBLE), 0), 6) AS ltv_pct
+       CAST(exposure_amount_usd AS DOUBLE) / NULLIF(CAST(collateral_value_usd AS DOUBLE), 0) AS ltv_pct
 FROM e""",
     "s_collateral_positions": f"""
 WITH c AS (
