@@ -391,6 +391,20 @@ def fx_latest(lake) -> DataFrame:
     return fx.join(F.broadcast(last), "rate_date", "inner").select("from_currency", "to_currency", "rate_date", "fx_rate")
 
 
+# --- key mapping, SCD2 maintenance, deltas, anchors, JSON -----------------------
+def _maint(name):
+    def run(lake):
+        from lakeworks.plans import maintenance
+        return getattr(maintenance, name)(lake)
+    return run
+
+
+for _k in ["mapping_add", "mapping_supersede", "resolve_as_of", "resolve_all_targets", "resolve_all_sources",
+           "scd2_close_chain", "scd2_apply", "scd2_soft_delete", "hash_delta", "watermark_delta", "anchor_chain",
+           "json_techniques"]:
+    QUERIES[_k] = _maint(f"{_k}_report")
+
+
 def safe_div_col(num, den):
     n = F.col(num) if isinstance(num, str) else num
     d = (F.col(den) if isinstance(den, str) else den).cast("double")

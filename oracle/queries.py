@@ -289,6 +289,152 @@ FINAL["fx_latest"] = """
 SELECT from_currency, to_currency, rate_date, CAST(fx_rate AS DOUBLE) AS fx_rate
 FROM s_fx_rate_dim WHERE rate_date = (SELECT max(rate_date) FROM s_fx_rate_dim)"""
 
+CTES["k_entity_soft_deleted"] = """
+SELECT entity_sk, enterprise_key, effective_start_date,
+       CASE WHEN del THEN DATE '1999-06-30' ELSE effective_end_date END AS effective_end_date,
+       CASE WHEN del THEN FALSE ELSE is_current END AS is_current, preceding_record_sk,
+       CASE WHEN del THEN NULL ELSE succeeding_record_sk END AS succeeding_record_sk, entity_name
+FROM (SELECT *, is_current AND entity_type = 'HOUSEHOLD' AS del FROM s_entity_dim)"""
+_SEG = "FROM customer WHERE c_mktsegment = "
+FINAL["mapping_add"] = f"""
+WITH b AS (
+  SELECT 'ENTITY' AS domain_code, 'STATE_STREET' AS source_system, 'SS_NEW_' || CAST(c_custkey AS VARCHAR) AS source_key,
+         'ENTERPRISE' AS target_system, 'EK_CUS_' || CAST(c_custkey AS VARCHAR) AS target_key {_SEG}'BUILDING'
+  UNION ALL SELECT 'ENTITY', 'STATE_STREET', 'SS_ENT_' || CAST(c_custkey AS VARCHAR), 'ENTERPRISE',
+         'EK_CUS_' || CAST(c_custkey AS VARCHAR) {_SEG}'AUTOMOBILE'
+  UNION ALL SELECT 'FUND', 'STATE_STREET', 'SS_F_' || CAST(c_custkey AS VARCHAR), 'ENTERPRISE',
+         'EK_CUS_' || CAST(c_custkey AS VARCHAR) {_SEG}'FURNITURE'
+  UNION ALL SELECT 'ENTITY', 'CUSTODIAN_X', 'SS_H_' || CAST(c_custkey AS VARCHAR), 'ENTERPRISE',
+         'EK_CUS_' || CAST(c_custkey AS VARCHAR) {_SEG}'HOUSEHOLD'
+  UNION ALL SELECT 'ENTITY', 'STATE_STREET', 'SS_M_' || CAST(c_custkey AS VARCHAR), 'LEDGER_X',
+         'EK_CUS_' || CAST(c_custkey AS VARCHAR) {_SEG}'MACHINERY'),
+v AS (
+  SELECT b.*, CASE
+      WHEN domain_code NOT IN ('ENTITY', 'SECURITY', 'PORTFOLIO') THEN 45001
+      WHEN source_system NOT IN ('STATE_STREET', 'BLOOMBERG', 'EFRONT', 'ENTERPRISE') THEN 45002
+      WHEN target_system NOT IN ('STATE_STREET', 'BLOOMBERG', 'EFRONT', 'ENTERPRISE') THEN 45003
+      WHEN EXISTS (SELECT 1 FROM k_key_crosswalk x WHERE x.is_current AND x.domain_code = b.domain_code
+                   AND x.source_system = b.source_system AND x.source_key = b.source_key
+                   AND x.target_system = b.target_system) THEN 45004 END AS error_code
+  FROM b)
+SELECT domain_code, source_system, source_key, target_system, target_key,
+       CASE WHEN error_code IS NULL THEN 'INSERTED' ELSE 'REJECTED' END AS status,
+       CAST(error_code AS BIGINT) AS error_code,
+       CASE WHEN error_code IS NULL THEN (SELECT max(crosswalk_sk) FROM k_key_crosswalk)
+            + row_number() OVER (PARTITION BY error_code IS NULL
+                                 ORDER BY domain_code, source_system, source_key, target_system, target_key) END
+         AS crosswalk_sk
+FROM v"""
+FINAL["mapping_supersede"] = f"""
+WITH b AS (
+  SELECT 'ENTITY' AS domain_code, 'STATE_STREET' AS source_system, 'SS_ENT_' || CAST(c_custkey AS VARCHAR) AS source_key,
+         'ENTERPRISE' AS target_system, 'EK_CUS_' || CAST(c_custkey AS VARCHAR) || '_M' AS target_key {_SEG}'BUILDING'
+  UNION ALL SELECT 'ENTITY', 'STATE_STREET', 'SS_MISSING_' || CAST(c_custkey AS VARCHAR), 'ENTERPRISE',
+         'EK_CUS_' || CAST(c_custkey AS VARCHAR) {_SEG}'FURNITURE'),
+cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain_code, source_system, source_key, target_system
+                                                    ORDER BY crosswalk_sk DESC) AS rn
+                       FROM k_key_crosswalk WHERE is_current) WHERE rn = 1),
+j AS (SELECT b.*, cur.crosswalk_sk AS old_sk FROM b LEFT JOIN cur
+        ON cur.domain_code = b.domain_code AND cur.source_system = b.source_system
+       AND cur.source_key = b.source_key AND cur.target_system = b.target_system),
+ok AS (SELECT *, (SELECT max(crosswalk_sk) FROM k_key_crosswalk)
+                 + row_number() OVER (ORDER BY domain_code, source_system, source_key, target_system) AS new_sk
+       FROM j WHERE old_sk IS NOT NULL)
+SELECT x.crosswalk_sk, x.source_key, x.target_key, x.effective_start_date, DATE '2000-12-31' AS effective_end_date,
+       FALSE AS is_current, x.preceding_record_sk, ok.new_sk AS succeeding_record_sk, 'SUPERSEDED' AS status,
+       CAST(NULL AS BIGINT) AS error_code
+FROM k_key_crosswalk x JOIN ok ON ok.old_sk = x.crosswalk_sk
+UNION ALL
+SELECT ok.new_sk, ok.source_key, ok.target_key, DATE '2001-01-01', CAST(NULL AS DATE), TRUE, ok.old_sk,
+       CAST(NULL AS BIGINT), 'SUPERSEDED', CAST(NULL AS BIGINT) FROM ok
+UNION ALL
+SELECT CAST(NULL AS BIGINT), source_key, target_key, CAST(NULL AS DATE), CAST(NULL AS DATE), CAST(NULL AS BOOLEAN),
+       CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'REJECTED', 45005 FROM j WHERE old_sk IS NULL"""
+FINAL["resolve_as_of"] = """
+WITH f AS (SELECT p.position_id, p.position_date, 'SS_ENT_' || substring(e.enterprise_entity_id, 8, 20) AS source_key
+           FROM k_fact_position p JOIN k_dim_entity e ON e.entity_sk = p.entity_sk),
+m AS (SELECT f.*, x.target_key, row_number() OVER (PARTITION BY f.position_id ORDER BY x.crosswalk_sk DESC NULLS LAST) AS rn
+      FROM f LEFT JOIN k_key_crosswalk x ON x.domain_code = 'ENTITY' AND x.source_system = 'STATE_STREET'
+        AND x.target_system = 'ENTERPRISE' AND x.source_key = f.source_key
+        AND x.effective_start_date <= f.position_date
+        AND (x.effective_end_date IS NULL OR x.effective_end_date >= f.position_date))
+SELECT position_id, position_date, source_key, target_key FROM m WHERE rn = 1"""
+FINAL["resolve_all_targets"] = """
+WITH cur AS (SELECT * FROM k_key_crosswalk WHERE is_current AND domain_code = 'ENTITY' AND source_system = 'STATE_STREET')
+SELECT c.source_key, CAST(c.split_sequence AS BIGINT) AS split_sequence, c.target_key, c.relationship_type, n.n_targets
+FROM cur c JOIN (SELECT source_key, count(*) AS n_targets FROM cur GROUP BY source_key) n ON n.source_key = c.source_key"""
+FINAL["resolve_all_sources"] = """
+WITH cur AS (SELECT * FROM k_key_crosswalk WHERE is_current)
+SELECT c.target_key, c.source_system, c.source_key, c.relationship_type, n.n_sources
+FROM cur c JOIN (SELECT target_key, count(*) AS n_sources FROM cur GROUP BY target_key) n ON n.target_key = c.target_key"""
+FINAL["scd2_close_chain"] = """
+SELECT d.entity_sk, d.enterprise_key, d.effective_start_date,
+       COALESCE(CAST(s.effective_start_date - 1 AS DATE), DATE '9999-12-31') AS effective_end_date,
+       s.entity_sk IS NULL AS is_current, d.preceding_record_sk, s.entity_sk AS succeeding_record_sk, d.entity_name
+FROM s_entity_dim d LEFT JOIN s_entity_dim s ON s.preceding_record_sk = d.entity_sk"""
+FINAL["scd2_apply"] = """
+WITH ch AS (SELECT enterprise_key, DATE '2001-01-01' AS effective_start_date, entity_name || ' (Merged)' AS entity_name,
+                   entity_sk AS prev_sk
+            FROM s_entity_dim WHERE is_current AND entity_type = 'BUILDING'),
+n AS (SELECT ch.*, (SELECT max(entity_sk) FROM s_entity_dim)
+                   + row_number() OVER (ORDER BY enterprise_key, effective_start_date) AS new_sk FROM ch)
+SELECT d.entity_sk, d.enterprise_key, d.effective_start_date,
+       CASE WHEN n.new_sk IS NOT NULL THEN DATE '2000-12-31' ELSE d.effective_end_date END AS effective_end_date,
+       CASE WHEN n.new_sk IS NOT NULL THEN FALSE ELSE d.is_current END AS is_current, d.preceding_record_sk,
+       COALESCE(n.new_sk, d.succeeding_record_sk) AS succeeding_record_sk, d.entity_name
+FROM s_entity_dim d LEFT JOIN n ON n.prev_sk = d.entity_sk
+UNION ALL
+SELECT new_sk, enterprise_key, effective_start_date, DATE '9999-12-31', TRUE, prev_sk, CAST(NULL AS BIGINT), entity_name
+FROM n"""
+FINAL["scd2_soft_delete"] = "SELECT * FROM k_entity_soft_deleted"
+FINAL["hash_delta"] = """
+WITH prev AS (SELECT enterprise_key, entity_name, entity_type, jurisdiction FROM r_entity
+              WHERE version_no = 1 AND entity_type <> 'MACHINERY'),
+cur AS (SELECT enterprise_key, entity_name, entity_type, jurisdiction FROM b_entity WHERE entity_type <> 'FURNITURE'),
+j AS (SELECT CASE WHEN p.enterprise_key IS NULL THEN 'INSERT' WHEN c.enterprise_key IS NULL THEN 'SOFT_DELETE'
+                  WHEN c.entity_name IS DISTINCT FROM p.entity_name OR c.entity_type IS DISTINCT FROM p.entity_type
+                       OR c.jurisdiction IS DISTINCT FROM p.jurisdiction THEN 'UPDATE' ELSE 'UNCHANGED' END AS action
+      FROM cur c FULL OUTER JOIN prev p ON c.enterprise_key = p.enterprise_key)
+SELECT CAST(sum(CASE WHEN action <> 'SOFT_DELETE' THEN 1 ELSE 0 END) AS BIGINT) AS source_row_count,
+       CAST(sum(CASE WHEN action = 'INSERT' THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted,
+       CAST(sum(CASE WHEN action = 'UPDATE' THEN 1 ELSE 0 END) AS BIGINT) AS rows_updated,
+       CAST(sum(CASE WHEN action = 'SOFT_DELETE' THEN 1 ELSE 0 END) AS BIGINT) AS rows_soft_deleted,
+       CAST(sum(CASE WHEN action = 'UNCHANGED' THEN 1 ELSE 0 END) AS BIGINT) AS rows_unchanged
+FROM j"""
+FINAL["watermark_delta"] = """
+WITH tgt AS (SELECT * FROM r_contract WHERE signing_date <= DATE '1998-12-31'),
+wm AS (SELECT max(signing_date) AS wm FROM tgt),
+fresh AS (SELECT s.* FROM r_contract s CROSS JOIN wm WHERE wm.wm IS NULL OR s.signing_date > wm.wm)
+SELECT CASE WHEN k.enterprise_key IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action, count(*) AS row_count,
+       CAST(sum(f.principal_local) AS DOUBLE) AS principal_local
+FROM fresh f LEFT JOIN (SELECT DISTINCT enterprise_key FROM tgt) k ON k.enterprise_key = f.enterprise_key
+GROUP BY 1"""
+FINAL["anchor_chain"] = """
+WITH sa AS (SELECT enterprise_key AS sek, security_sk AS security_anchor_sk FROM s_security_dim
+            WHERE preceding_record_sk IS NULL),
+owners AS (SELECT source_key AS ck, 'EK_' || entity_source_key AS eek FROM r_contract WHERE version_no = 1),
+ea AS (SELECT enterprise_key AS eek2, entity_sk AS entity_anchor_sk FROM k_entity_soft_deleted
+       WHERE preceding_record_sk IS NULL)
+SELECT p.enterprise_key, p.position_date, sa.security_anchor_sk, sv.security_sk AS security_sk_on_date,
+       ea.entity_anchor_sk, ev.entity_sk AS entity_sk_on_date
+FROM b_position p JOIN sa ON p.security_enterprise_key = sa.sek
+JOIN owners o ON o.ck = p.contract_source_key JOIN ea ON ea.eek2 = o.eek
+JOIN s_security_dim s1 ON s1.security_sk = sa.security_anchor_sk
+JOIN s_security_dim sv ON sv.enterprise_key = s1.enterprise_key
+ AND p.position_date BETWEEN sv.effective_start_date AND sv.effective_end_date
+JOIN k_entity_soft_deleted e1 ON e1.entity_sk = ea.entity_anchor_sk
+JOIN k_entity_soft_deleted ev ON ev.enterprise_key = e1.enterprise_key
+ AND p.position_date BETWEEN ev.effective_start_date AND ev.effective_end_date"""
+FINAL["json_techniques"] = """
+WITH kv AS (
+  SELECT event_type, k AS json_key, CAST(json_extract(props, '$."' || k || '"') AS INTEGER) AS json_value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_path
+  FROM events, unnest(json_keys(props)) AS t(k))
+SELECT event_type, json_key, count(*) AS n_events, CAST(sum(json_value) AS BIGINT) AS sum_value,
+       CAST(min(json_value) AS BIGINT) AS min_value, CAST(max(json_value) AS BIGINT) AS max_value,
+       CAST(sum(k_path) AS BIGINT) AS sum_k_path
+FROM kv GROUP BY 1, 2"""
+
 
 def oracle(key: str) -> str:
     return compose(FINAL[key], CTES)
