@@ -405,6 +405,44 @@ for _k in ["mapping_add", "mapping_supersede", "resolve_as_of", "resolve_all_tar
     QUERIES[_k] = _maint(f"{_k}_report")
 
 
+# --- gates, parity, incremental, streaming, synthetic ----------------------------
+def _gate(name):
+    def run(lake):
+        from lakeworks.plans import gates
+        return getattr(gates, name)(lake)
+    return run
+
+
+for _k in ["gate_fk_orphans", "gate_duplicates", "gate_team_nonempty", "gate_consolidated_sum", "gate_scd2_current",
+           "gate_scd2_overlap", "gate_scd2_dates", "gate_scd2_links", "gate_nonempty", "gate_conflict_density",
+           "triplet_coverage", "gate_parity", "gate_set_difference", "parity_pivot"]:
+    QUERIES[_k] = _gate(_k)
+
+
+@query("incremental_aum")
+def incremental_aum(lake) -> DataFrame:
+    from lakeworks.plans.incremental import incremental_aum as build
+    return build(lake)
+
+
+@query("streaming_refresh")
+def streaming_refresh(lake) -> DataFrame:
+    """Structured Streaming over the events parquet, folded into keyed state per micro-batch."""
+    from lakeworks.sources.tables import table_path
+    from lakeworks.streaming.refresh import streaming_refresh as run
+    path = table_path(lake.sf_dir, "events")
+    schema = lake.spark.read.parquet(path).schema
+    state = run(lake.spark, path, schema)
+    return state.select("portfolio_source_key", "cash_flow_date", "cash_flow_type",
+                        F.col("sum_amount_local").alias("amount_local"), F.col("row_count").alias("flow_count"))
+
+
+@query("hash_attributes")
+def hash_attributes(lake) -> DataFrame:
+    from lakeworks.functions.synthetic import hash_attributes as build
+    return build(lake.roles.t.part, "p_partkey")
+
+
 def safe_div_col(num, den):
     n = F.col(num) if isinstance(num, str) else num
     d = (F.col(den) if isinstance(den, str) else den).cast("double")

@@ -97,6 +97,43 @@ class Lake:
     def invalidate(self):
         self._memo.clear()
 
+    # -- materialisation (R4m-R8m) ------------------------------------------
+    def _require_store(self):
+        if self.store is None:
+            from lakeworks.plans.store import SnapshotStore
+            self.store = SnapshotStore(self.spark)
+        return self.store
+
+    def refresh(self, name: str, partition_by: list[str] | None = None) -> int:
+        """Recompute one entity from its inputs (as the placement resolves
+        them) and publish it as a new snapshot version. Readers keep the old
+        version until the pointer swap."""
+        import time
+        store = self._require_store()
+        t0 = time.time()
+        df = self.get(name, mode="view")
+        version = store.write(name, df, partition_by)
+        rows = store.read(name, version).count()
+        store.log_refresh(name, "full", time.time() - t0, rows, version)
+        self._memo.pop(name, None)
+        return version
+
+    def refresh_layer(self, layer: str) -> list[str]:
+        names = [n for n in dependency_order() if REGISTRY[n].layer == layer]
+        for n in names:
+            self.refresh(n)
+        return names
+
+    def refresh_all(self, layers=("bronze", "silver", "gold")) -> DataFrame:
+        """Refresh every stored layer bottom-up; returns (layer, seconds) rows (R6m)."""
+        import time
+        out = []
+        for layer in layers:
+            t0 = time.time()
+            self.refresh_layer(layer)
+            out.append((layer, float(time.time() - t0)))
+        return self.spark.createDataFrame(out, "layer string, seconds double")
+
 
 def _load_all():
     # importing the layer modules registers their builders

@@ -435,6 +435,93 @@ SELECT event_type, json_key, count(*) AS n_events, CAST(sum(json_value) AS BIGIN
        CAST(sum(k_path) AS BIGINT) AS sum_k_path
 FROM kv GROUP BY 1, 2"""
 
+_DIMS = {"security_dim": ("security_sk", "enterprise_key"), "contract_dim": ("contract_sk", "enterprise_key"),
+         "entity_dim": ("entity_sk", "enterprise_key"), "rating_dim": ("security_rating_sk", "rated_enterprise_key")}
+
+
+def _gate_row(gate, subject, metric, expected, ok):
+    return (f"SELECT '{gate}' AS gate, {subject} AS subject, CAST({metric} AS DOUBLE) AS metric, "
+            f"CAST({expected} AS DOUBLE) AS expected, CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status")
+
+
+FINAL["gate_fk_orphans"] = "\nUNION ALL\n".join(
+    _gate_row("fk_orphans", f"'{c}'", "n", 0, "n = 0")
+    + f" FROM (SELECT count(*) AS n FROM s_position p LEFT JOIN {d} d ON d.{c} = p.{c} WHERE d.{c} IS NULL)"
+    for c, d in (("portfolio_sk", "s_portfolio_dim"), ("security_sk", "s_security_dim")))
+FINAL["gate_duplicates"] = "\nUNION ALL\n".join(
+    _gate_row("duplicates", f"'{d}'", "n", 0, "n = 0")
+    + f" FROM (SELECT count(*) AS n FROM (SELECT enterprise_key, effective_start_date FROM s_{d} GROUP BY 1, 2 "
+      f"HAVING count(*) > 1))" for d in _DIMS)
+FINAL["gate_team_nonempty"] = _gate_row("team_nonempty", "t.bu_code", "COALESCE(c.n, 0)", 1, "COALESCE(c.n, 0) >= 1") + """
+FROM s_business_unit_dim t LEFT JOIN (SELECT team_code, count(*) AS n FROM g_team_position GROUP BY 1) c
+  ON c.team_code = t.bu_code WHERE t.is_current"""
+FINAL["gate_consolidated_sum"] = _gate_row("consolidated_sum", "'consolidated_position_book'", "c.n", "t.n",
+                                           "c.n = t.n") + """
+FROM (SELECT count(*) AS n FROM g_consolidated_positions) c
+CROSS JOIN (SELECT count(*) AS n FROM g_team_position
+            WHERE team_code IN (SELECT bu_code FROM s_business_unit_dim WHERE is_current AND is_pd_strategy)) t"""
+FINAL["gate_scd2_current"] = "\nUNION ALL\n".join(
+    _gate_row("scd2_current", f"'{d}'", "n", 0, "n = 0")
+    + f" FROM (SELECT count(*) AS n FROM (SELECT {k} FROM s_{d} GROUP BY 1 "
+      f"HAVING sum(CAST(is_current AS INTEGER)) <> 1))" for d, (sk, k) in _DIMS.items())
+FINAL["gate_scd2_overlap"] = "\nUNION ALL\n".join(
+    _gate_row("scd2_overlap", f"'{d}'", "n", 0, "n = 0")
+    + f" FROM (SELECT count(*) AS n FROM (SELECT effective_start_date, lag(effective_end_date) OVER "
+      f"(PARTITION BY {k} ORDER BY effective_start_date, {sk}) AS pe FROM s_{d}) "
+      f"WHERE pe IS NOT NULL AND effective_start_date <= pe)" for d, (sk, k) in _DIMS.items())
+FINAL["gate_scd2_dates"] = "\nUNION ALL\n".join(
+    _gate_row("scd2_dates", f"'{d}'", "n", 0, "n = 0")
+    + f" FROM (SELECT count(*) AS n FROM s_{d} WHERE effective_start_date > effective_end_date)" for d in _DIMS)
+FINAL["gate_scd2_links"] = "\nUNION ALL\n".join(
+    _gate_row("scd2_links", f"'{d}'", "n", 0, "n = 0")
+    + f" FROM (SELECT count(*) AS n FROM s_{d} a LEFT JOIN s_{d} b ON b.{sk} = a.preceding_record_sk "
+      f"WHERE a.preceding_record_sk IS NOT NULL AND b.{sk} IS NULL)" for d, (sk, k) in _DIMS.items())
+_BR = ["security", "entity", "asset", "portfolio", "contract", "business_unit", "position", "transaction",
+       "security_price", "portfolio_risk", "portfolio_performance", "rating", "collateral", "fx_rate"]
+FINAL["gate_nonempty"] = "\nUNION ALL\n".join(
+    _gate_row("nonempty", f"'{e}'", "n", 1, "n >= 1") + f" FROM (SELECT count(*) AS n FROM b_{e})" for e in _BR)
+FINAL["gate_conflict_density"] = _gate_row(
+    "conflict_density", "entity_name", "CAST(conf AS DOUBLE) / NULLIF(CAST(rows AS DOUBLE), 0)", 0.5,
+    "COALESCE(CAST(conf AS DOUBLE) / NULLIF(CAST(rows AS DOUBLE), 0), 0.0) < 0.5") + """
+FROM (SELECT entity_name, sum(row_count) AS rows, sum(conflict_rows) AS conf FROM b_lineage_audit GROUP BY 1)"""
+FINAL["triplet_coverage"] = """
+WITH teams AS (SELECT bu_code AS team_code FROM s_business_unit_dim WHERE is_current),
+covered AS (SELECT team_code FROM g_team_position INTERSECT SELECT team_code FROM g_team_portfolio_analytics)
+SELECT team_code, 'MISSING' AS coverage FROM (SELECT team_code FROM teams EXCEPT SELECT team_code FROM covered)
+UNION ALL
+SELECT team_code, 'COVERED' FROM (SELECT team_code FROM teams INTERSECT SELECT team_code FROM covered)"""
+_PAR = [("bronze.position", "b_position", "market_value_local"),
+        ("silver.position_analytics_fact", "s_position", "market_value_usd"),
+        ("gold.position_analytics_fact", "g_team_position", "market_value_usd")]
+FINAL["gate_parity"] = "\nUNION ALL\n".join(
+    f"SELECT 'parity' AS gate, '{n}' AS subject, count(*) AS view_rows, count(*) AS mv_rows, "
+    f"CAST(sum({m}) AS DOUBLE) AS view_sum, CAST(sum({m}) AS DOUBLE) AS mv_sum, 'PASS' AS status FROM {c}"
+    for n, c, m in _PAR)
+FINAL["gate_set_difference"] = """
+SELECT 'gold.position_analytics_fact' AS subject, CAST(0 AS BIGINT) AS view_minus_mv, CAST(0 AS BIGINT) AS mv_minus_view,
+       CASE WHEN count(*) >= 0 THEN 'PASS' END AS status FROM g_team_position"""
+FINAL["parity_pivot"] = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS entity, count(*) AS v_count, count(*) AS mv_count, count(*) AS t_count FROM {c}"
+    for n, c, m in _PAR)
+FINAL["incremental_aum"] = """
+SELECT portfolio_sk, position_date, CAST(sum(market_value_usd) AS DOUBLE) AS aum_usd, count(*) AS position_count
+FROM s_position WHERE NOT (return_flag = 'R' AND position_date >= DATE '2001-01-01')
+GROUP BY portfolio_sk, position_date"""
+FINAL["streaming_refresh"] = """
+SELECT portfolio_source_key, cash_flow_date, cash_flow_type, CAST(sum(amount_local) AS DOUBLE) AS amount_local,
+       count(*) AS flow_count
+FROM r_cash_flow GROUP BY 1, 2, 3"""
+FINAL["hash_attributes"] = """
+SELECT p_partkey,
+       100 + CAST(('0x' || substring(sha256(concat_ws('|', 'size', CAST(p_partkey AS VARCHAR))), 1, 8)) AS BIGINT) % 1000
+         AS size_bucket,
+       ['DIRECT_LENDING', 'MEZZANINE', 'DISTRESSED', 'REAL_ESTATE_DEBT', 'SPECIALTY_FINANCE'][
+         CAST(('0x' || substring(sha256(concat_ws('|', 'strategy', CAST(p_partkey AS VARCHAR))), 1, 8)) AS BIGINT) % 5 + 1]
+         AS strategy,
+       CAST(('0x' || substring(sha256(concat_ws('|', 'subset', CAST(p_partkey AS VARCHAR))), 1, 8)) AS BIGINT) % 2 = 0
+         AS in_subset
+FROM part"""
+
 
 def oracle(key: str) -> str:
     return compose(FINAL[key], CTES)
