@@ -38,12 +38,21 @@ def current_mappings(xw: DataFrame) -> DataFrame:
     return latest_wins(xw, ["source_system", "source_key"], order)
 
 
-def resolve_keys(df: DataFrame, xw_current: DataFrame, system: str | Column, key_col: str,
+def resolve_keys(df: DataFrame, xw: DataFrame, system: str | Column, key_col: str,
                  out_col: str) -> DataFrame:
-    """Left-join a source key column to its enterprise key (NULL when unmapped)."""
+    """Left-join a source key column to its enterprise key (NULL when unmapped).
+
+    The crosswalk is first cut to the distinct keys the input actually uses
+    (a left-semi join that Catalyst pushes into every arm of the crosswalk
+    union), then deduplicated (newest mapping wins) - so the mapping joined
+    back is as small as the set of distinct keys, and AQE broadcasts it when
+    that is small instead of shuffling the fact.
+    """
     sys_col = system if isinstance(system, Column) else F.lit(system)
-    m = xw_current.select(F.col("source_system").alias("__xs"), F.col("source_key").alias("__xk"),
-                          F.col("enterprise_key").alias(out_col))
+    need = df.select(sys_col.alias("__ns"), F.col(key_col).alias("__nk")).distinct()
+    m = xw.join(need, (F.col("source_system") == F.col("__ns")) & (F.col("source_key") == F.col("__nk")), "left_semi")
+    m = current_mappings(m).select(F.col("source_system").alias("__xs"), F.col("source_key").alias("__xk"),
+                                   F.col("enterprise_key").alias(out_col))
     return df.join(m, (F.col("__xk") == F.col(key_col)) & (F.col("__xs") == sys_col), "left").drop("__xs", "__xk")
 
 

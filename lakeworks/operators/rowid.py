@@ -3,15 +3,19 @@
 ``row_number() over (order by ...)`` with no partition moves every row into
 one task. Instead: range-partition and sort on the (total) order, tag each row
 with ``monotonically_increasing_id`` (partition index in the upper bits,
-position in the lower 33 bits), checkpoint so every later pass sees the same
-partitioning, count rows per partition (one row per partition - bounded by
-the partition count, so the broadcast is safe) and add prefix-sum offsets.
+position in the lower 33 bits), persist so the count pass and the numbering
+pass read the same RDD (one range partitioner; a lost block is recomputed
+through that same partitioner, and the order is total, so the ids do not
+change), count rows per partition (one row per partition - bounded by the
+partition count, so the broadcast is safe) and add prefix-sum offsets.
+``durable=True`` checkpoints into the shared checkpoint folder instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,14 +25,20 @@ _MID = "__mid"
 _PID = "__pid"
 
 
-def dense_row_id(df: DataFrame, order: Sequence, name: str) -> DataFrame:
+def dense_row_id(df: DataFrame, order: Sequence, name: str, durable: bool = False,
+                 bounded: bool = False) -> DataFrame:
     """Add ``name`` = 1-based position of the row under ``order`` (BIGINT).
 
     Equal to ``row_number() over (order by ...)`` when ``order`` is total.
+    ``bounded=True`` is for inputs whose size has a fixed bound independent of
+    the data volume (calendar x currency, team lists, code lists): a plain
+    window in one task is then cheaper than the two-pass scheme.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if bounded:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
     tagged = df.orderBy(*order_cols).withColumn(_MID, F.monotonically_increasing_id())
-    tagged = cut_lineage(tagged)
+    tagged = cut_lineage(tagged) if durable else tagged.persist(StorageLevel.MEMORY_AND_DISK)
     pid = F.shiftright(F.col(_MID), 33)
     counts = tagged.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(

@@ -53,10 +53,10 @@ def scd2_chain(df: DataFrame, key: str, order: Sequence[Column], start_col: str,
 
 
 def scd1_as_scd2(df: DataFrame, order: Sequence, sk: str, start: dt.date = OPEN_START,
-                 end: dt.date = OPEN_END) -> DataFrame:
+                 end: dt.date = OPEN_END, bounded: bool = False) -> DataFrame:
     """Single-version dimension (D2): fixed range, current, no links."""
     return (
-        dense_row_id(df, order, sk)
+        dense_row_id(df, order, sk, bounded=bounded)
         .withColumn("effective_start_date", F.lit(start))
         .withColumn("effective_end_date", F.lit(end))
         .withColumn("is_current", F.lit(True))

@@ -23,7 +23,7 @@ def _fk_arm(df: DataFrame, system: str, key: str) -> DataFrame:
     return _arm(df, system, key, F.concat(F.lit("EK_"), F.col(key)))
 
 
-@entity("bronze.crosswalk")
+@entity("bronze.crosswalk", table=True)
 def crosswalk(lake) -> DataFrame:
     r = lake.roles
     arms = [
@@ -41,13 +41,18 @@ def crosswalk(lake) -> DataFrame:
     return build_crosswalk(arms).withColumn("mapping_active", F.lit(True))
 
 
+@entity("bronze.crosswalk_active")
+def crosswalk_active(lake) -> DataFrame:
+    return lake.get("bronze.crosswalk").filter(F.col("mapping_active"))
+
+
 @entity("bronze.crosswalk_current")
 def crosswalk_current(lake) -> DataFrame:
     return current_mappings(lake.get("bronze.crosswalk").filter(F.col("mapping_active")))
 
 
 def _resolve(lake, df, system, key_col, out_col):
-    return resolve_keys(df, lake.get("bronze.crosswalk_current"), system, key_col, out_col)
+    return resolve_keys(df, lake.get("bronze.crosswalk_active"), system, key_col, out_col)
 
 
 @entity("bronze.security")

@@ -47,7 +47,7 @@ def resolve_current(lake) -> DataFrame:
             .unionByName(r.contract.select(F.lit("efront").alias("source_system"), F.col("entity_source_key").alias("source_key")))
             .unionByName(r.cash_flow.select(F.lit("aladdin").alias("source_system"), F.col("portfolio_source_key").alias("source_key")))
             .distinct())
-    return resolve_keys(keys, lake.get("bronze.crosswalk_current"), F.col("source_system"), "source_key", "enterprise_key")
+    return resolve_keys(keys, lake.get("bronze.crosswalk_active"), F.col("source_system"), "source_key", "enterprise_key")
 
 
 @query("resolve_source_keys")

@@ -31,17 +31,22 @@ class Entity:
     build: Callable
     layer: str
     incremental: bool = False
+    table: bool = False
     deps: set = field(default_factory=set)
 
 
 REGISTRY: dict[str, Entity] = {}
 
 
-def entity(name: str, incremental: bool = False):
+def entity(name: str, incremental: bool = False, table: bool = False):
+    """Register a builder. ``table=True`` marks entities that are stored
+    tables by nature (the reference maintains them with MERGE, e.g. the key
+    crosswalk): the lake writes them once per session and every consumer
+    scans the snapshot instead of inlining the build."""
     layer = name.split(".", 1)[0]
 
     def deco(fn):
-        REGISTRY[name] = Entity(name, fn, layer, incremental)
+        REGISTRY[name] = Entity(name, fn, layer, incremental, table)
         return fn
 
     return deco
@@ -61,17 +66,19 @@ class Placement:
 
 S0 = Placement()
 S3 = Placement(silver=True, gold=True)
+S4 = Placement(silver=True, gold=True, mart=True)
 
 
 class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: LakeConfig | None = None,
-                 placement: Placement = S0, store=None):
+                 placement: Placement = S0, store=None, auto_refresh: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg or LakeConfig()
         self.roles = Roles(spark, sf_dir, self.cfg)
         self.placement = placement
         self.store = store
+        self.auto_refresh = auto_refresh
         self._memo: dict[str, DataFrame] = {}
         self._stack: list[str] = []
 
@@ -83,8 +90,17 @@ class Lake:
         if self._stack:
             REGISTRY[self._stack[-1]].deps.add(name)
         use_store = mode == "mv" or (mode is None and self.placement.stored(ent.layer))
+        if use_store and self.auto_refresh and not self._require_store().exists(name):
+            # cascade: a stored entity missing from the store is built once from
+            # its (stored) inputs and published before anyone reads it
+            self.refresh(name, log=False)
         if use_store and self.store is not None and self.store.exists(name):
             return self.store.read(name)
+        if ent.table and mode != "view":
+            store = self._require_store()
+            if not store.exists(name):
+                self.refresh(name, log=False)
+            return store.read(name)
         key = name if mode != "view" else name + "#view"
         if key not in self._memo:
             self._stack.append(name)
@@ -104,7 +120,7 @@ class Lake:
             self.store = SnapshotStore(self.spark)
         return self.store
 
-    def refresh(self, name: str, partition_by: list[str] | None = None) -> int:
+    def refresh(self, name: str, partition_by: list[str] | None = None, log: bool = True) -> int:
         """Recompute one entity from its inputs (as the placement resolves
         them) and publish it as a new snapshot version. Readers keep the old
         version until the pointer swap."""
@@ -113,8 +129,9 @@ class Lake:
         t0 = time.time()
         df = self.get(name, mode="view")
         version = store.write(name, df, partition_by)
-        rows = store.read(name, version).count()
-        store.log_refresh(name, "full", time.time() - t0, rows, version)
+        if log:
+            rows = store.read(name, version).count()
+            store.log_refresh(name, "full", time.time() - t0, rows, version)
         self._memo.pop(name, None)
         return version
 

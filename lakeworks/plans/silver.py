@@ -49,7 +49,7 @@ def _cjoin(lake, fact, name, sk, fact_key, prefix, key="enterprise_key", how="le
 
 
 def _xw(lake):
-    return lake.get("bronze.crosswalk_current")
+    return lake.get("bronze.crosswalk_active")
 
 
 # ----------------------------------------------------------------- dimensions
@@ -105,14 +105,14 @@ def entity_dim(lake) -> DataFrame:
 
 @entity("silver.industry_dim")
 def industry_dim(lake) -> DataFrame:
-    d = scd1_as_scd2(lake.roles.industry, ["classification_code"], "industry_sk")
+    d = scd1_as_scd2(lake.roles.industry, ["classification_code"], "industry_sk", bounded=True)
     return d.select("industry_sk", F.col("classification_code").alias("enterprise_key"), *SCD,
                     "classification_name", "parent_code", "classification_level", "classification_system")
 
 
 @entity("silver.reporting_group_dim")
 def reporting_group_dim(lake) -> DataFrame:
-    d = scd1_as_scd2(lake.roles.reporting_group, ["group_code"], "reporting_group_sk")
+    d = scd1_as_scd2(lake.roles.reporting_group, ["group_code"], "reporting_group_sk", bounded=True)
     return d.select("reporting_group_sk", F.col("group_code").alias("enterprise_key"), *SCD,
                     "group_name", "parent_group_code", "group_level", "group_type")
 
@@ -122,7 +122,7 @@ def business_unit_dim(lake) -> DataFrame:
     bu = lake.get("bronze.business_unit")
     one = lake.roles.compliance.agg(F.count(F.lit(1)).cast("bigint").alias("risk_team_code_count"))
     bu = bu.crossJoin(F.broadcast(one))
-    d = scd1_as_scd2(bu, ["enterprise_key"], "business_unit_sk")
+    d = scd1_as_scd2(bu, ["enterprise_key"], "business_unit_sk", bounded=True)
     return d.select("business_unit_sk", "enterprise_key", *SCD, "bu_code", "bu_name", "bu_type", "strategy_name",
                     F.expr("strategy_name LIKE 'PD\\\\_%' ESCAPE '\\\\'").alias("is_pd_strategy"),
                     "associated_risk_team_codes", "risk_team_code_count")
@@ -131,7 +131,8 @@ def business_unit_dim(lake) -> DataFrame:
 @entity("silver.fx_rate_dim")
 def fx_rate_dim(lake) -> DataFrame:
     fx = lake.get("bronze.fx_rate")
-    d = dense_row_id(fx, ["from_currency", "to_currency", "rate_date"], "fx_rate_sk")
+    # one row per currency pair and calendar day: bounded by the calendar
+    d = dense_row_id(fx, ["from_currency", "to_currency", "rate_date"], "fx_rate_sk", bounded=True)
     return d.select("fx_rate_sk", "from_currency", "to_currency", "rate_date", "fx_rate", "rate_type")
 
 
