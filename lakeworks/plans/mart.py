@@ -93,7 +93,7 @@ def dim_asset(lake) -> DataFrame:
 
 
 # --------------------------------------------------------------------- facts
-@entity("mart.fact_position")
+@entity("mart.fact_position", cluster=("position_date",))
 def fact_position(lake) -> DataFrame:
     p = lake.get("silver.position_analytics_fact")
     p = _entity_of_contract(lake, p, "contract_source_key", "position_date")
@@ -106,7 +106,7 @@ def fact_position(lake) -> DataFrame:
                     F.lit("state_street").alias("record_source"))
 
 
-@entity("mart.fact_transaction")
+@entity("mart.fact_transaction", cluster=("transaction_date",))
 def fact_transaction(lake) -> DataFrame:
     t = lake.get("silver.transaction_fact").filter(F.col("transaction_status") == "SETTLED")
     t = t.withColumn("__txn_ck", F.concat(F.lit("ORD_"), F.substring("enterprise_key", 8, 20)))
@@ -214,7 +214,7 @@ def _enriched_base(lake, fact: DataFrame) -> DataFrame:
     return fact.join(pf, "portfolio_sk").join(e, "entity_sk").join(s, "security_sk").join(F.broadcast(a), "asset_sk")
 
 
-@entity("mart.aum_daily_by_portfolio")
+@entity("mart.aum_daily_by_portfolio", cluster=("position_date",))
 def aum_daily(lake) -> DataFrame:
     p = lake.get("mart.fact_position")
     agg = p.groupBy("position_date", "portfolio_sk").agg(
@@ -225,7 +225,7 @@ def aum_daily(lake) -> DataFrame:
                                                "aum", "book_value", "unrealized_pnl", "position_count")
 
 
-@entity("mart.position_enriched")
+@entity("mart.position_enriched", cluster=("position_date",))
 def position_enriched(lake) -> DataFrame:
     b = _enriched_base(lake, lake.get("mart.fact_position"))
     return b.select("position_id", "position_date", "portfolio_sk", "portfolio_name", "portfolio_type", "entity_sk",
@@ -235,7 +235,7 @@ def position_enriched(lake) -> DataFrame:
                     "local_currency_code", "reporting_currency_code", "fx_rate", "record_source")
 
 
-@entity("mart.portfolio_kpi_daily")
+@entity("mart.portfolio_kpi_daily", cluster=("position_date",))
 def portfolio_kpi(lake) -> DataFrame:
     p = lake.get("mart.fact_position")
     da = p.groupBy("position_date", "portfolio_sk").agg(
@@ -261,7 +261,7 @@ def _external_xw(lake, domain: str, system: str, key_alias: str, target_alias: s
                      F.col("effective_start_date").alias(f"{prefix}s"), F.col("effective_end_date").alias(f"{prefix}e"))
 
 
-@entity("mart.position_with_external_keys")
+@entity("mart.position_with_external_keys", cluster=("position_date",))
 def position_external_keys(lake) -> DataFrame:
     b = _enriched_base(lake, lake.get("mart.fact_position"))
     ss = _external_xw(lake, "ENTITY", "STATE_STREET", "state_street_entity_id", "__ss_t", "__ss_")
