@@ -10,7 +10,8 @@ from lakeworks.operators.keys import build_crosswalk, current_mappings, resolve_
 from lakeworks.operators.unify import conflict_sources, unify_sources
 from lakeworks.plans.registry import entity
 
-EMPTY_CONFLICTS = F.array().cast("array<string>")
+def _no_conflicts():
+    return F.array().cast("array<string>")
 
 
 def _arm(df: DataFrame, system: str, key: str = "source_key", ek=None) -> DataFrame:
@@ -83,7 +84,7 @@ def entity_(lake) -> DataFrame:
     return u.select(
         "enterprise_key", "source_key", "entity_name", "entity_type", "jurisdiction", "formation_date", "country",
         (F.col("_source_pref") != "aspen").alias("has_contracts"), "_source_pref",
-        EMPTY_CONFLICTS.alias("_sources_in_conflict"))
+        _no_conflicts().alias("_sources_in_conflict"))
 
 
 @entity("bronze.asset")
@@ -91,7 +92,7 @@ def asset(lake) -> DataFrame:
     a = latest_wins(lake.roles.asset, ["enterprise_key"], [F.col("source_key").desc()])
     return a.select("enterprise_key", "source_key", "asset_name", "asset_type", "asset_class", "country_code",
                     "vintage_year", "total_size_local", "currency_code", F.lit("aspen").alias("_source_pref"),
-                    EMPTY_CONFLICTS.alias("_sources_in_conflict"))
+                    _no_conflicts().alias("_sources_in_conflict"))
 
 
 @entity("bronze.portfolio")
@@ -127,7 +128,7 @@ def contract(lake) -> DataFrame:
     return c.select("enterprise_key", "source_key", "contract_name", "entity_enterprise_key", "contract_type",
                     "signing_date", "maturity_date", "principal_local", "currency_code", "coupon_rate",
                     "spread_over_benchmark", "status", F.lit("efront").alias("_source_pref"),
-                    EMPTY_CONFLICTS.alias("_sources_in_conflict"))
+                    _no_conflicts().alias("_sources_in_conflict"))
 
 
 @entity("bronze.business_unit")
@@ -137,7 +138,7 @@ def business_unit(lake) -> DataFrame:
     return r.team.crossJoin(F.broadcast(codes)).select(
         "enterprise_key", "source_key", "bu_code", "bu_name", "bu_type", "strategy_name", "established_date",
         "associated_risk_team_codes", F.lit("internal_admin+aladdin").alias("_source_pref"),
-        EMPTY_CONFLICTS.alias("_sources_in_conflict"))
+        _no_conflicts().alias("_sources_in_conflict"))
 
 
 @entity("bronze.position")
@@ -149,7 +150,7 @@ def position(lake) -> DataFrame:
     return p.select("enterprise_key", "source_key", "portfolio_enterprise_key", "security_enterprise_key",
                     "contract_source_key", "position_date", "quantity", "market_value_local", "book_value_local",
                     "cost_basis_local", "unrealized_gl_local", "currency_code", "settlement_status", "return_flag",
-                    F.lit("state_street").alias("_source_pref"), EMPTY_CONFLICTS.alias("_sources_in_conflict"))
+                    F.lit("state_street").alias("_source_pref"), _no_conflicts().alias("_sources_in_conflict"))
 
 
 @entity("bronze.transaction")
@@ -174,25 +175,25 @@ def transaction(lake) -> DataFrame:
     u = settled.unionByName(inflight)
     u = _resolve(lake, u, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
     u = _resolve(lake, u, "state_street", "security_source_key", "security_enterprise_key")
-    return u.withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+    return u.withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.security_price")
 def security_price(lake) -> DataFrame:
     p = _resolve(lake, lake.roles.security_price, "state_street", "security_source_key", "security_enterprise_key")
-    return p.withColumn("_source_pref", F.lit("state_street")).withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+    return p.withColumn("_source_pref", F.lit("state_street")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.portfolio_risk")
 def portfolio_risk(lake) -> DataFrame:
     p = _resolve(lake, lake.roles.portfolio_risk, "aladdin", "portfolio_source_key", "portfolio_enterprise_key")
-    return p.withColumn("_source_pref", F.lit("aladdin")).withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+    return p.withColumn("_source_pref", F.lit("aladdin")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.portfolio_performance")
 def portfolio_performance(lake) -> DataFrame:
     p = _resolve(lake, lake.roles.portfolio_performance, "aladdin", "portfolio_source_key", "portfolio_enterprise_key")
-    return p.withColumn("_source_pref", F.lit("aladdin")).withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+    return p.withColumn("_source_pref", F.lit("aladdin")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.rating")
@@ -205,19 +206,19 @@ def rating(lake) -> DataFrame:
         "source_key", F.lit("ENTITY").alias("rated_object_type"), "rated_enterprise_key", "rating_date",
         "rating_agency", "rating_value", "rating_outlook", "rating_action_type")
     return sec.unionByName(ent).withColumn("_source_pref", F.lit("aspen")) \
-        .withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+        .withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.collateral")
 def collateral(lake) -> DataFrame:
     c = _resolve(lake, lake.roles.collateral_position, "efront", "contract_source_key", "contract_enterprise_key")
-    return c.withColumn("_source_pref", F.lit("efront")).withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+    return c.withColumn("_source_pref", F.lit("efront")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.fx_rate")
 def fx_rate(lake) -> DataFrame:
     return lake.roles.fx_rate.withColumn("_source_pref", F.lit("bloomberg")) \
-        .withColumn("_sources_in_conflict", EMPTY_CONFLICTS)
+        .withColumn("_sources_in_conflict", _no_conflicts())
 
 
 BRONZE_ENTITIES = ["security", "entity", "asset", "portfolio", "contract", "business_unit", "position",
