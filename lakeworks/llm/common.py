@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package where it isn't installed on the
+    executors; Spark hands the file out."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lakeworks_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    at = Path(tempfile.mkdtemp(prefix="lakeworks-code-")) / "lakeworks.zip"
+    with zipfile.ZipFile(at, "w") as z:
+        for f in [package / "__init__.py", package / "session.py", *sorted((package / "llm").glob("*.py"))]:
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(at))
+    sc._lakeworks_shipped = True
+
+
 def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
     """Keep Arrow batches of whole texts small, however long the texts are."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
@@ -34,6 +53,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator needs, under fixed names; null text is empty."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
