@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, exact_dedup, packing, sharding, token_counts, toxicity, vector_search
+from . import byte_bpe, chat_format, exact_dedup, packing, sharding, shingle_join, token_counts, toxicity, vector_search
 from .common import table
 
 
@@ -25,6 +25,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_shingle_join": shingle_join.query,
     "op2_sharding": sharding.query,
     "op3_byte_bpe": op3,
     "op4_token_counts": op4,
