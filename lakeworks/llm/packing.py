@@ -1,13 +1,12 @@
 """Operator 10: concatenate all documents' tokens and cut.
 
-Two passes over the documents, without a shuffle. The first counts the tokens
-of every partition of the scan; prefix sums over these totals (one row per
-partition) are the partitions' global offsets. The second pass encodes again,
-places every document at its global offset and cuts at the multiples of the
-window length: a document that crosses a cut leaves boundary pieces on both
-sides. Every partition records a checksum of its documents in the first pass
-and compares it in the second, so that a source that changed in between or
-was split in another way fails instead of giving wrong offsets.
+The documents are encoded once, into the shared checkpoint folder, and two
+passes read those files without a shuffle. The first sums the tokens of every
+partition; prefix sums over these totals (one row per partition) are the
+partitions' global offsets. The second places every document at its global
+offset and cuts at the multiples of the window length: a document that crosses
+a cut leaves boundary pieces on both sides. Each partition's checksum of its
+documents from the first pass is compared in the second.
 
 Null texts count as empty: one piece with the end token. Repeated rows are
 packed as often as they occur. No rows, no pieces.
@@ -16,6 +15,7 @@ packed as often as they occur. No rows, no pieces.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,36 +26,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import ids_and_texts, table, text_batches, utf8
+from .common import cut, ids_and_texts, text_batches, utf8
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 WINDOW, END = 4096, 2
 
+# a full stop or comma between a letter and white space is a token run of its own
+STOPS = re.compile(rb"(?<=[a-z])[.,](?=[ \n])")
+
 
 class WordCodec:
-    """Token ids as bytes (little-endian unsigned 32 bit). The tokenizer drops
-    white space and no token crosses it, so texts are encoded word by word;
-    the words' ids are kept while the cache has room."""
+    """Token ids as packed little-endian integers. The tokenizer lowers letters
+    and drops white space, and no token crosses white space, so texts are encoded
+    word by word; the words' ids are kept while the cache has room. Texts that
+    may hold a special token's string, where case matters, are encoded as they are."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def _learn(self, words: list[bytes]) -> None:
-        new = list({w for w in words if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(set(words))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[w] = np.asarray(e.ids, "<u4").tobytes()
+    def _ids(self, text: bytes) -> bytes:
+        return np.asarray(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self.known.__getitem__, words))
+        known = self.known
+        words = (text if b"<|" in text else STOPS.sub(rb" \g<0>", text.lower())).split()
+        found = list(map(known.get, words))
+        if None in found:
+            if len(known) > CACHE_WORDS:
+                known.clear()
+            for i, w in enumerate(words):
+                if found[i] is None:
+                    got = known.get(w)
+                    if got is None:
+                        got = known[w] = self._ids(w)
+                    found[i] = got
+        return b"".join(found)
 
 
 @functools.lru_cache(maxsize=2)
@@ -63,33 +70,42 @@ def load(path: str) -> WordCodec:
     return WordCodec(path)
 
 
-def _encoded(it: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[tuple[int, bytes]]:
-    codec = load(path)
-    tail = np.asarray([end], "<u4").tobytes()
-    for batch in it:
-        for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            yield doc, codec.encode(text) + tail
+def encode_documents(docs: DataFrame, path: str, end: int) -> DataFrame:
+    """doc_id, ids (packed): every document's ids with the end token."""
+    text_batches(docs.sparkSession)
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = load(path)
+        tail = np.asarray([end], codec.kind).tobytes()
+        for batch in it:
+            ids = [codec.encode(t) + tail for t in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], schema=schema)
+
+    return docs.mapInArrow(run, "doc_id long, ids binary")
 
 
 def _mark(mark: int, doc: int | None, n: int) -> int:
     return zlib.crc32(f"{doc}:{n};".encode(), mark)
 
 
-def partition_offsets(texts: DataFrame, path: str, end: int) -> dict[int, tuple[int, int]]:
-    """Scan partition -> (global offset, checksum). One row per partition comes
-    to the driver, as many as the scan has tasks."""
+def partition_offsets(encoded: DataFrame, width: int) -> dict[int, tuple[int, int]]:
+    """Partition -> (global offset, checksum). One row per partition comes to
+    the driver."""
     schema = pa.schema([("part", pa.int32()), ("total", pa.int64()), ("mark", pa.int64())])
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = mark = 0
-        for doc, ids in _encoded(it, path, end):
-            total += len(ids) // 4
-            mark = _mark(mark, doc, len(ids) // 4)
+        for batch in it:
+            for doc, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total += n // width
+                mark = _mark(mark, doc, n // width)
         yield pa.RecordBatch.from_pylist(
             [{"part": TaskContext.get().partitionId(), "total": total, "mark": mark}], schema=schema)
 
     offsets, at = {}, 0
-    for r in sorted(texts.mapInArrow(count, "part int, total long, mark long").collect()):
+    sizes = encoded.select("doc_id", F.octet_length("ids").alias("n"))
+    for r in sorted(sizes.mapInArrow(count, "part int, total long, mark long").collect()):
         offsets[r.part] = (at, r.mark)
         at += r.total
     return offsets
@@ -99,39 +115,39 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, id_co
          text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, and with ``with_ids`` the ids themselves."""
-    text_batches(docs.sparkSession)
-    texts = ids_and_texts(docs, id_col, text_col)
-    offsets = docs.sparkSession.sparkContext.broadcast(partition_offsets(texts, path, end))
+    encoded = cut(encode_documents(ids_and_texts(docs, id_col, text_col), path, end))
+    kind = load(path).kind
+    width = kind.itemsize
+    offsets = docs.sparkSession.sparkContext.broadcast(partition_offsets(encoded, width))
     fields = [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
     if with_ids:
         fields.append(("ids", pa.binary()))
     schema = pa.schema(fields)
 
-    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, expected = offsets.value[TaskContext.get().partitionId()]
         mark, cols = 0, [[] for _ in schema]
-        for doc, ids in _encoded(it, path, end):
-            n = len(ids) // 4
-            mark = _mark(mark, doc, n)
-            start = 0
-            while start < n:
-                length = min(n - start, window - (at + start) % window)
-                piece = ids[4 * start:4 * (start + length)]
-                row = (doc, start, length, zlib.crc32(piece), n, (at + start) // window, (at + start) % window, piece)
-                for c, v in zip(cols, row):
-                    c.append(v)
-                start += length
-            at += n
-            if len(cols[0]) >= 8192:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-                cols = [[] for _ in schema]
+        for batch in it:
+            for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.frombuffer(packed, kind).astype("<u4").tobytes()
+                n = len(ids) // 4
+                mark = _mark(mark, doc, n)
+                start = 0
+                while start < n:
+                    length = min(n - start, window - (at + start) % window)
+                    piece = ids[4 * start:4 * (start + length)]
+                    row = (doc, start, length, zlib.crc32(piece), n, (at + start) // window, (at + start) % window, piece)
+                    for c, v in zip(cols, row):
+                        c.append(v)
+                    start += length
+                at += n
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+            cols = [[] for _ in schema]
         if mark != expected:
             raise RuntimeError("the documents of a partition changed between the two passes")
-        if cols[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
     ddl = ", ".join(f"{f.name} {'binary' if f.name == 'ids' else 'long'}" for f in schema)
-    return texts.mapInArrow(cut, ddl)
+    return encoded.mapInArrow(place, ddl)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
