@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, exact_dedup, packing, sharding, shingle_join, token_counts, toxicity, vector_search
+from . import byte_bpe, chat_format, exact_dedup, packing, sharding, shingle_join, suffix_dedup, token_counts, toxicity, vector_search
 from .common import table
 
 
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4,
     "op5_chat_format": chat_format.query,
     "op6_toxicity": toxicity.query,
+    "op7_suffix_dedup": suffix_dedup.query,
     "op8_vector_search": vector_search.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_packing": op10,
