@@ -13,8 +13,8 @@ OPEN_END = dt.date(9999, 12, 31)
 
 # Currency of a portfolio = CURRENCIES[n_nationkey % 6]
 CURRENCIES = ["USD", "EUR", "GBP", "JPY", "CAD", "AUD"]
-# FX base rates to USD in units of 1e-4, index = position in CURRENCIES (pair index)
-FX_BASE_E4 = {"EUR": 10870, "GBP": 12660, "JPY": 67, "CAD": 7350, "AUD": 6580}
+# Made-up FX base rates to USD in units of 1e-4 (EUR 1.20, GBP 1.50, JPY 0.01, CAD 0.80, AUD 0.70)
+FX_BASE_E4 = {"EUR": 12000, "GBP": 15000, "JPY": 100, "CAD": 8000, "AUD": 7000}
 FX_EPOCH = dt.date(1995, 1, 1)
 FX_GAP_EVERY = 97                       # days with day_index % 97 = 0 have no rate
 

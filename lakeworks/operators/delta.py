@@ -57,8 +57,12 @@ def watermark_delta(src: DataFrame, tgt: DataFrame, keys: Sequence[str], wm_col:
 
 
 def merge_update(tgt: DataFrame, updates: DataFrame, keys: Sequence[str], set_cols: Sequence[str]) -> DataFrame:
-    """MERGE ... WHEN MATCHED UPDATE SET c = src.c for ``set_cols``."""
-    u = updates.select(*keys, *[F.col(c).alias(f"__u_{c}") for c in set_cols], F.lit(True).alias("__m"))
+    """MERGE ... WHEN MATCHED UPDATE SET c = src.c for ``set_cols``.
+
+    Of several updates to a key the largest (by ``set_cols``, nulls first)
+    counts, so no target row is repeated; null keys match nothing."""
+    u = updates.groupBy(*keys).agg(F.max(F.struct(*set_cols)).alias("__u")).select(
+        *keys, *[F.col(f"__u.{c}").alias(f"__u_{c}") for c in set_cols], F.lit(True).alias("__m"))
     j = tgt.join(u, list(keys), "left")
     for c in set_cols:
         j = j.withColumn(c, F.when(F.col("__m").isNotNull(), F.col(f"__u_{c}")).otherwise(F.col(c)))
@@ -69,9 +73,9 @@ def incremental_agg(state: DataFrame | None, inserts: DataFrame | None, deletes:
                     keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Maintain ``sum_<m>`` and ``row_count`` per key from row changes.
 
-    Inserted rows add, deleted rows subtract; groups whose count reaches 0
-    vanish. Replaying the same change twice is the caller's concern (the
-    streaming driver keys batches by id).
+    Inserted rows add, deleted rows subtract; groups whose count isn't above 0
+    vanish. Null keys are keys like any other. Replaying the same change twice
+    is the caller's concern (the streaming driver keys batches by id).
     """
     parts = []
     if inserts is not None:
@@ -86,10 +90,7 @@ def incremental_agg(state: DataFrame | None, inserts: DataFrame | None, deletes:
         delta = delta.unionByName(p)
     delta = delta.groupBy(*keys).agg(*aggs)
     if state is None:
-        return delta.filter(F.col("row_count") != 0)
+        return delta.filter(F.col("row_count") > 0)
     cols = [f"sum_{m}" for m in measures] + ["row_count"]
-    d = delta.select(*keys, *[F.col(c).alias(f"__d_{c}") for c in cols])
-    j = state.join(d, list(keys), "full_outer")
-    for c in cols:
-        j = j.withColumn(c, F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"__d_{c}"), F.lit(0)))
-    return j.select(*keys, *cols).filter(F.col("row_count") != 0)
+    both = state.select(*keys, *cols).unionByName(delta.select(*keys, *cols))
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols]).filter(F.col("row_count") > 0)

@@ -11,14 +11,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators.dedup import latest_wins
 from lakeworks.operators.delta import delta_counts, hash_delta, watermark_delta
 from lakeworks.operators.keys import resolve_as_of, star_current
 from lakeworks.operators.rowid import dense_row_id
-from lakeworks.operators.scd2 import apply_scd2, close_versions, soft_delete
+from lakeworks.operators.scd2 import apply_scd2, chain_batch, close_versions, soft_delete
 from lakeworks.operators.temporal import anchor_resolve
 from lakeworks.plans.mart import KEY_DOMAINS, SOURCE_REGISTRY
 
@@ -44,21 +44,34 @@ def add_mappings(xw: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]
                "source_system", "left")
     b = b.join(F.broadcast(systems.select(F.col("sys").alias("target_system"), F.lit(True).alias("__tgt_ok"))),
                "target_system", "left")
-    cur = xw.filter(F.col("is_current")).select(*XW_KEY).distinct().withColumn("__dup", F.lit(True))
-    b = b.join(cur, XW_KEY, "left")
+    if "split_sequence" not in b.columns:
+        b = b.withColumn("split_sequence", F.lit(None).cast("int"))
+    # a row without a split sequence clashes with any current mapping of its
+    # key, a row with one only with the same sequence; rows of the batch count
+    # in the order of (effective_start_date, target_key)
+    cur = xw.filter(F.col("is_current"))
+    any_ = cur.select(*XW_KEY).distinct().withColumn("__any", F.lit(True))
+    same = cur.select(*XW_KEY, "split_sequence").distinct().withColumn("__same", F.lit(True))
+    b = b.join(any_, XW_KEY, "left").join(same, [*XW_KEY, "split_sequence"], "left")
+    order = ["effective_start_date", "target_key", "split_sequence"]
+    in_key = F.row_number().over(Window.partitionBy(*XW_KEY).orderBy(*order))
+    in_split = F.row_number().over(Window.partitionBy(*XW_KEY, "split_sequence").orderBy(*order))
+    b = b.withColumn("__k", in_key).withColumn("__s", in_split)
+    dup = F.when(F.col("split_sequence").isNull(), F.col("__any").isNotNull() | (F.col("__k") > 1)) \
+        .otherwise(F.col("__same").isNotNull() | (F.col("__s") > 1))
     err = (F.when(F.col("__dom_ok").isNull(), F.lit(45001)).when(F.col("__src_ok").isNull(), F.lit(45002))
-           .when(F.col("__tgt_ok").isNull(), F.lit(45003)).when(F.col("__dup").isNotNull(), F.lit(45004)))
+           .when(F.col("__tgt_ok").isNull(), F.lit(45003)).when(dup, F.lit(45004)))
     b = b.withColumn("error_code", err).withColumn(
         "status", F.when(F.col("error_code").isNull(), "INSERTED").otherwise("REJECTED")) \
-        .drop("__dom_ok", "__src_ok", "__tgt_ok", "__dup")
+        .drop("__dom_ok", "__src_ok", "__tgt_ok", "__any", "__same", "__k", "__s")
     ok = b.filter(F.col("status") == "INSERTED")
     base = xw.agg(F.coalesce(F.max("crosswalk_sk"), F.lit(0)).alias("__max"))
-    ok = dense_row_id(ok, XW_KEY + ["target_key"], "__n").crossJoin(F.broadcast(base)) \
+    ok = dense_row_id(ok, XW_KEY + ["target_key", "split_sequence"], "__n").crossJoin(F.broadcast(base)) \
         .withColumn("crosswalk_sk", (F.col("__max") + F.col("__n")).cast("bigint")).drop("__n", "__max")
     rejected = b.filter(F.col("status") == "REJECTED").withColumn("crosswalk_sk", F.lit(None).cast("bigint"))
     result = ok.unionByName(rejected)
     new_rows = ok.select(
-        *XW_KEY, "target_key", "relationship_type", F.lit(1).alias("split_sequence"),
+        *XW_KEY, "target_key", "relationship_type", F.coalesce("split_sequence", F.lit(1)).alias("split_sequence"),
         "effective_start_date", F.lit(None).cast("date").alias("effective_end_date"), F.lit(True).alias("is_current"),
         "crosswalk_sk", F.lit(None).cast("bigint").alias("succeeding_record_sk"),
         F.lit(None).cast("bigint").alias("preceding_record_sk"))
@@ -67,29 +80,40 @@ def add_mappings(xw: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def supersede_mappings(xw: DataFrame, batch: DataFrame, eff_date: dt.date) -> tuple[DataFrame, DataFrame]:
     """Replace the current target of each (domain, source, key, target system)
-    from ``eff_date`` (C10): insert the new version, close the old one the day
-    before and link both ways. Keys without a current mapping: error 45005."""
+    (C10): insert the new version, close the old one the day before and link
+    both ways. Keys without a current mapping: error 45005.
+
+    Optional batch columns: ``effective_date`` (default ``eff_date``) and
+    ``new_relationship_type`` (default: the old one's). Several rows for a key
+    supersede each other in the order of (effective date, target_key)."""
     cur = star_current(xw).select(*XW_KEY, F.col("crosswalk_sk").alias("__old_sk"),
                                   F.col("relationship_type").alias("__rel"))
     b = batch.join(cur, XW_KEY, "left")
+    date = F.coalesce(F.col("effective_date"), F.lit(eff_date)) if "effective_date" in batch.columns else F.lit(eff_date)
+    rel = F.coalesce("new_relationship_type", "__rel") if "new_relationship_type" in batch.columns else F.col("__rel")
+    b = b.withColumn("__date", date).withColumn("__rel", rel)
     b = b.withColumn("error_code", F.when(F.col("__old_sk").isNull(), F.lit(45005))) \
         .withColumn("status", F.when(F.col("__old_sk").isNull(), "REJECTED").otherwise("SUPERSEDED"))
-    ok = b.filter(F.col("status") == "SUPERSEDED")
     base = xw.agg(F.coalesce(F.max("crosswalk_sk"), F.lit(0)).alias("__max"))
-    ok = dense_row_id(ok, XW_KEY, "__n").crossJoin(F.broadcast(base)) \
+    ok = dense_row_id(b.filter(F.col("status") == "SUPERSEDED"), [*XW_KEY, "__date", "target_key"], "__n") \
+        .crossJoin(F.broadcast(base)) \
         .withColumn("crosswalk_sk", (F.col("__max") + F.col("__n")).cast("bigint")).drop("__n", "__max")
-    changes = ok.select(F.col("__old_sk").alias("crosswalk_sk"), F.lit(eff_date).alias("close_date"),
-                        F.col("crosswalk_sk").alias("successor_sk"))
-    closed = close_versions(xw.withColumnRenamed("crosswalk_sk", "crosswalk_sk"), changes, "crosswalk_sk") \
-        .withColumn("effective_end_date", F.col("effective_end_date"))
+    ok = chain_batch(ok, XW_KEY, "crosswalk_sk", "__date") \
+        .withColumn("superseded_sk", F.coalesce("__prev", "__old_sk").cast("bigint"))
+    changes = ok.filter(F.col("__prev").isNull()).select(
+        F.col("__old_sk").alias("crosswalk_sk"), F.col("__date").alias("close_date"),
+        F.col("crosswalk_sk").alias("successor_sk"))
+    closed = close_versions(xw, changes, "crosswalk_sk")
     new_rows = ok.select(
         *XW_KEY, "target_key", F.col("__rel").alias("relationship_type"), F.lit(1).alias("split_sequence"),
-        F.lit(eff_date).alias("effective_start_date"), F.lit(None).cast("date").alias("effective_end_date"),
-        F.lit(True).alias("is_current"), "crosswalk_sk", F.lit(None).cast("bigint").alias("succeeding_record_sk"),
-        F.col("__old_sk").cast("bigint").alias("preceding_record_sk"))
-    result = b.select(*XW_KEY, "target_key", "status", "error_code", F.col("__old_sk").alias("superseded_sk")) \
-        .join(ok.select(*XW_KEY, "crosswalk_sk"), XW_KEY, "left")
-    return closed.unionByName(new_rows.select(*closed.columns)), result
+        F.col("__date").alias("effective_start_date"), F.date_sub("__next_start", 1).alias("effective_end_date"),
+        F.col("__next").isNull().alias("is_current"), "crosswalk_sk",
+        F.col("__next").cast("bigint").alias("succeeding_record_sk"),
+        F.col("superseded_sk").alias("preceding_record_sk"))
+    out = [*XW_KEY, "target_key", "status", "error_code", "superseded_sk", "crosswalk_sk"]
+    none = F.lit(None).cast("bigint")
+    rejected = b.filter(F.col("status") == "REJECTED").withColumn("superseded_sk", none).withColumn("crosswalk_sk", none)
+    return closed.unionByName(new_rows.select(*closed.columns)), ok.select(*out).unionByName(rejected.select(*out))
 
 
 # ------------------------------------------------------------ report builders

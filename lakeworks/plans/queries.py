@@ -65,10 +65,10 @@ def crosswalk_merge(lake) -> DataFrame:
     """Merge-insert of the full build into a crosswalk seeded with the
     master-data arms only; re-running inserts nothing (idempotent)."""
     from lakeworks.operators.keys import merge_insert
-    xw = lake.get("bronze.crosswalk").select("source_system", "source_key", "enterprise_key")
+    xw = lake.get("bronze.crosswalk_current").select("source_system", "source_key", "enterprise_key")
     seed = xw.filter(F.col("source_system").isin("aspen", "internal_admin"))
-    once = merge_insert(xw, seed, ["source_system", "source_key", "enterprise_key"])
-    twice = merge_insert(xw, once, ["source_system", "source_key", "enterprise_key"])
+    once = merge_insert(xw, seed, ["source_system", "source_key"])
+    twice = merge_insert(xw, once, ["source_system", "source_key"])
     return twice.groupBy("source_system").agg(F.count(F.lit(1)).alias("mapping_count"))
 
 
@@ -187,7 +187,7 @@ def demo_position_window(lake) -> DataFrame:
 @query("demo_point_lookup")
 def demo_point_lookup(lake) -> DataFrame:
     first = lake.get("mart.dim_security").filter(F.col("is_current")).agg(F.min("security_sk").alias("security_sk"))
-    p = lake.get("mart.fact_position").filter(_between("position_date", "2000-01-01", "2000-12-31"))
+    p = lake.get("mart.fact_position").filter(_between("position_date", "2000-06-01", "2000-06-30"))
     return p.join(F.broadcast(first), "security_sk", "inner").select(
         "position_id", "position_date", "security_sk", "market_value", "quantity")
 

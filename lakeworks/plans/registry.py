@@ -16,6 +16,7 @@ copy of any body - view/mv parity holds by construction.
 
 from __future__ import annotations
 
+import dis
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -83,15 +84,15 @@ class Lake:
         self.store = store
         self.auto_refresh = auto_refresh
         self._memo: dict[str, DataFrame] = {}
-        self._stack: list[str] = []
+        self._stack: list[tuple[str, bool]] = []  # entities being built, and whether fully live
 
     def get(self, name: str, mode: str | None = None) -> DataFrame:
-        """Resolve an entity. ``mode`` forces "view" or "mv"; by default the
-        placement decides."""
+        """Resolve an entity. ``mode`` forces "view" (live, with all its inputs
+        live too) or "mv"; by default the placement decides."""
         _load_all()
         ent = REGISTRY[name]
-        if self._stack:
-            REGISTRY[self._stack[-1]].deps.add(name)
+        if self._stack and self._stack[-1][1]:
+            mode = "view"
         use_store = mode == "mv" or (mode is None and self.placement.stored(ent.layer))
         if use_store and self.auto_refresh and not self._require_store().exists(name):
             # cascade: a stored entity missing from the store is built once from
@@ -103,15 +104,21 @@ class Lake:
             return self._table(name)
         key = name if mode != "view" else name + "#view"
         if key not in self._memo:
-            self._stack.append(name)
-            try:
-                self._memo[key] = ent.build(self)
-            finally:
-                self._stack.pop()
+            self._memo[key] = self._build(ent, live=mode == "view")
         return self._memo[key]
 
+    def _build(self, ent: Entity, live: bool) -> DataFrame:
+        self._stack.append((ent.name, live))
+        try:
+            return ent.build(self)
+        finally:
+            self._stack.pop()
+
     def invalidate(self):
+        """Forget all frames, file listings included: the next ones see the
+        sources as they are then."""
         self._memo.clear()
+        self.roles = Roles(self.spark, self.sf_dir, self.cfg)
 
     def _table(self, name: str) -> DataFrame:
         """Stored-by-nature entity: reuse the snapshot written by an earlier
@@ -125,10 +132,9 @@ class Lake:
             except Exception:  # noqa: BLE001 - snapshot folder removed: rebuild
                 _TABLES.pop(key, None)
         store = self._require_store()
-        if not store.exists(name):
-            self.refresh(name, log=False)
-        _TABLES[key] = store._version_dir(name, store.current_version(name))
-        return store.read(name)
+        version = self.refresh(name, log=False)
+        _TABLES[key] = store._version_dir(name, version)
+        return store.read(name, version)
 
     # -- materialisation (R4m-R8m) ------------------------------------------
     def _require_store(self):
@@ -142,16 +148,21 @@ class Lake:
         them) and publish it as a new snapshot version. Readers keep the old
         version until the pointer swap."""
         import time
+        _load_all()
         store = self._require_store()
         t0 = time.time()
-        df = self.get(name, mode="view")
+        if not self._stack:  # inside a cascade the frames of this refresh are still good
+            self.invalidate()
+        df = self._build(REGISTRY[name], live=False)
         if REGISTRY[name].cluster:
             df = df.sortWithinPartitions(*REGISTRY[name].cluster)
         version = store.write(name, df, partition_by)
         if log:
             rows = store.read(name, version).count()
             store.log_refresh(name, "full", time.time() - t0, rows, version)
-        self._memo.pop(name, None)
+        for n in {name, *dependants(name)}:
+            self._memo.pop(n, None)
+            self._memo.pop(n + "#view", None)
         return version
 
     def refresh_layer(self, layer: str) -> list[str]:
@@ -160,7 +171,7 @@ class Lake:
             self.refresh(n)
         return names
 
-    def refresh_all(self, layers=("bronze", "silver", "gold")) -> DataFrame:
+    def refresh_all(self, layers=("bronze", "silver", "gold", "mart")) -> DataFrame:
         """Refresh every stored layer bottom-up; returns (layer, seconds) rows (R6m)."""
         import time
         out = []
@@ -175,7 +186,8 @@ _TABLES: dict[tuple, str] = {}
 
 
 def _fingerprint(lake) -> tuple:
-    """(name, length, modification time) of every driver table file."""
+    """(path, length, modification time) of every file of the driver tables, in
+    folders of any depth."""
     from lakeworks.sources.tables import TABLES, table_path
     jvm = lake.spark.sparkContext._jvm
     conf = lake.spark.sparkContext._jsc.hadoopConfiguration()
@@ -184,9 +196,11 @@ def _fingerprint(lake) -> tuple:
         p = jvm.org.apache.hadoop.fs.Path(table_path(lake.sf_dir, t))
         fs = p.getFileSystem(conf)
         if fs.exists(p):
-            st = fs.getFileStatus(p)
-            out.append((t, st.getLen(), st.getModificationTime()))
-    return tuple(out)
+            files = fs.listFiles(p, True)
+            while files.hasNext():
+                st = files.next()
+                out.append((t, st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def _load_all():
@@ -194,19 +208,70 @@ def _load_all():
     from lakeworks.plans import bronze, gold, mart, silver  # noqa: F401
 
 
+def dependencies(name: str) -> set[str]:
+    """Entities a builder names: read off the code of the builder and of the
+    functions of these modules that it uses, so they are known before anything
+    has run. Reads of a whole group (a name made from a pattern) count as all
+    entities the group's list holds."""
+    ent = REGISTRY[name]
+    if ent.deps:
+        return ent.deps
+    short = {n.split(".", 1)[1]: n for n in REGISTRY}
+    seen, found, todo = set(), set(), [ent.build]
+    while todo:
+        f = todo.pop()
+        code = getattr(f, "__code__", None)
+        if code is None or f in seen or not f.__module__.startswith("lakeworks.plans"):
+            continue
+        seen.add(f)
+        values = [c.cell_contents for c in f.__closure__ or ()] + list(f.__defaults__ or ())
+        codes = [code]
+        while codes:
+            c = codes.pop()
+            values += c.co_consts
+            codes += [x for x in c.co_consts if hasattr(x, "co_consts")]
+            used = {i.argval for i in dis.get_instructions(c) if i.opname == "LOAD_GLOBAL"}
+            values += [f.__globals__[n] for n in sorted(used) if n in f.__globals__]
+        for v in values:
+            if isinstance(v, str) and v in REGISTRY:
+                found.add(v)
+            elif isinstance(v, (list, tuple, dict)):
+                found |= {x if x in REGISTRY else short[x] for x in v
+                          if isinstance(x, str) and (x in REGISTRY or x in short)}
+            elif callable(v):
+                todo.append(v)
+    rank = {layer: k for k, layer in enumerate(LAYERS)}
+    ent.deps = {n for n in found - {name} if rank.get(REGISTRY[n].layer, 9) <= rank.get(ent.layer, 9)}
+    return ent.deps
+
+
+def dependants(name: str) -> set[str]:
+    """Entities that read ``name``, directly or through others."""
+    out: set[str] = set()
+    todo = [name]
+    while todo:
+        n = todo.pop()
+        new = {m for m in REGISTRY if n in dependencies(m)} - out
+        out |= new
+        todo += new
+    return out
+
+
+LAYERS = ("bronze", "silver", "gold", "mart")
+
+
 def dependency_order(names=None) -> list[str]:
-    """Topological order of registered entities (R5m). Dependencies are
-    recorded the first time a builder runs; layer order breaks the rest."""
+    """Topological order of registered entities (R5m), inputs first."""
     _load_all()
     names = list(names or REGISTRY)
-    rank = {"bronze": 0, "silver": 1, "gold": 2, "mart": 3}
+    rank = {layer: k for k, layer in enumerate(LAYERS)}
     out, seen = [], set()
 
     def visit(n):
         if n in seen:
             return
         seen.add(n)
-        for d in sorted(REGISTRY[n].deps):
+        for d in sorted(dependencies(n)):
             visit(d)
         out.append(n)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.functions.scalar import rating_score, safe_div
+from lakeworks.functions.scalar import hash_int, rating_score, safe_div
 from lakeworks.operators.dedup import latest_wins
 from lakeworks.operators.fx import normalize_currency
 from lakeworks.operators.keys import resolve_keys
@@ -360,8 +360,9 @@ def cancels_remap(lake) -> DataFrame:
     p = _tjoin(lake, p, "silver.security_dim", "security_sk", "security_enterprise_key", "position_date", "sd_")
     p = _usd(lake, p, {"cancelled_market_value_usd": "market_value_local"}, "currency_code", "position_date")
     p = dense_row_id(p, [F.col("position_date"), F.col("source_key"), F.col("market_value_local")], "cancel_sk")
-    return p.select("cancel_sk", F.xxhash64("source_key").alias("cancelled_position_sk"), "portfolio_sk",
-                    "security_sk", F.col("position_date").alias("cancel_event_date"),
+    position = hash_int("cancelled_position", ["source_key"], 12, 1 << 48)
+    return p.select("cancel_sk", position.alias("cancelled_position_sk"), "portfolio_sk", "security_sk",
+                    F.col("position_date").alias("cancel_event_date"),
                     F.col("position_date").alias("original_position_date"),
                     F.lit("CROSSWALK_REMAP").alias("cancel_reason"), "cancelled_market_value_usd")
 

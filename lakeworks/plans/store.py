@@ -1,12 +1,11 @@
-"""Versioned parquet snapshots with an atomic current-version pointer (S9, S14, R8m).
+"""Parquet snapshots: a refresh writes a new folder, readers take the newest complete one.
 
 ``t_<entity>`` / ``mv<entity>`` of the reference become snapshot versions:
-each refresh writes a NEW folder ``<root>/<entity>/v=<n>`` and only then
-swaps the ``_CURRENT`` pointer (write a temp file, rename). Readers that
-resolved the previous version keep reading it; nothing is ever overwritten
-in place, so a lost executor or a failed job leaves the old version intact.
-File operations go through the Hadoop FileSystem of the path, so the root
-can live on any shared storage the cluster mounts.
+each refresh writes a NEW folder ``<root>/<entity>/v=<n>``. A folder counts
+from the moment its job commits (Spark's ``_SUCCESS`` file), so there is no
+pointer to swap: readers see the old version until then, and a failed job
+leaves it intact. Two writers get two folders. File operations go through the
+Hadoop FileSystem of the path, so the root can live on any shared storage.
 """
 
 from __future__ import annotations
@@ -37,33 +36,10 @@ class SnapshotStore:
     def _version_dir(self, name: str, version: int) -> str:
         return f"{self._dir(name)}/v={version:06d}"
 
-    def _pointer(self, name: str) -> str:
-        return f"{self._dir(name)}/_CURRENT"
-
-    # -- pointer -----------------------------------------------------------
     def current_version(self, name: str) -> int | None:
-        p = self._Path(self._pointer(name))
-        if not self._fs.exists(p):
-            return None
-        stream = self._fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine().strip())
-        finally:
-            stream.close()
-
-    def _swap_pointer(self, name: str, version: int) -> None:
-        tmp = self._Path(f"{self._dir(name)}/_CURRENT.{uuid.uuid4().hex}")
-        out = self._fs.create(tmp, True)
-        try:
-            out.write(bytearray(f"{version}\n".encode()))
-        finally:
-            out.close()
-        target = self._Path(self._pointer(name))
-        if self._fs.exists(target):
-            self._fs.delete(target, False)
-        self._fs.rename(tmp, target)
+        done = [v for v in self.versions(name)
+                if self._fs.exists(self._Path(f"{self._version_dir(name, v)}/_SUCCESS"))]
+        return max(done, default=None)
 
     # -- API ---------------------------------------------------------------
     def versions(self, name: str) -> list[int]:
@@ -81,15 +57,25 @@ class SnapshotStore:
         return self.current_version(name) is not None
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write a new version and make it current; returns the version."""
-        version = (max(self.versions(name)) + 1) if self.versions(name) else 1
-        w = df.write.mode("errorifexists")
+        """Write a new version, current once it is complete; returns the version."""
+        version = max(self.versions(name), default=0) + 1
+        self._fs.mkdirs(self._Path(self._dir(name)))
+        while not self._claim(name, version):
+            version += 1
+        w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self._version_dir(name, version))
-        self._swap_pointer(name, version)
         return version
 
+    def _claim(self, name: str, version: int) -> bool:
+        """Creating the claim file fails for all writers but one."""
+        try:
+            self._fs.create(self._Path(f"{self._dir(name)}/_claim-{version:06d}"), False).close()
+        except Exception:  # noqa: BLE001 - another writer has it
+            return False
+        return True
+
     def read(self, name: str, version: int | None = None) -> DataFrame:
         v = version if version is not None else self.current_version(name)
         if v is None:
@@ -98,7 +84,8 @@ class SnapshotStore:
 
     def history(self, name: str) -> DataFrame:
         """DESCRIBE HISTORY: one row per version with its row count."""
-        rows = [(v, self.spark.read.parquet(self._version_dir(name, v)).count()) for v in self.versions(name)]
+        rows = [(v, self.spark.read.parquet(self._version_dir(name, v)).count()) for v in self.versions(name)
+                if self._fs.exists(self._Path(f"{self._version_dir(name, v)}/_SUCCESS"))]
         return self.spark.createDataFrame(rows, "version int, row_count long").withColumn(
             "is_current", F.col("version") == F.lit(self.current_version(name)))
 

@@ -23,12 +23,17 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "lakeworks", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master or "local[8]").appName(app)
+    """A session with this library's defaults. Master, memory and shuffle
+    partitions stay as submitted unless they are given (tests and bench do)."""
+    builder = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"
+    if master:
+        builder = builder.master(master)
+        conf["spark.driver.memory"] = "16g"
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

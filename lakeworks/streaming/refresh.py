@@ -1,11 +1,12 @@
 """Streaming refresh of an additive rollup (the streaming form of R10m / H1).
 
-Cash-flow events arrive as parquet files. Each micro-batch is folded into a
-keyed (sum, count) state with :func:`incremental_agg`; the new state is
-published as a snapshot version tagged with the batch id, and a batch id at
-or below the last published one is skipped, so a replayed batch after a
-failure does not double count. Late rows need no watermark: sums merge by key
-whatever the arrival order.
+Cash-flow events arrive as parquet files. Each micro-batch is reduced to
+keyed (sum, count) partials, written to a folder named after the batch id;
+writing a batch again replaces its folder, so a batch that is replayed after
+a failure, in this process or another, counts once. The state is the sum of
+all partials, so a batch writes only the keys it touches. With the caller's
+``root`` (shared storage) a later run continues where the last one stopped.
+Late rows need no watermark: sums merge by key whatever the arrival order.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.operators.delta import incremental_agg
-from lakeworks.plans.store import SnapshotStore
 from lakeworks.session import ensure_checkpoint_dir
 
 KEYS = ["portfolio_source_key", "cash_flow_date", "cash_flow_type"]
+STATE = ("portfolio_source_key string, cash_flow_date date, cash_flow_type string, "
+         "sum_amount_local decimal(28,2), row_count bigint")
 
 
 def cash_flow_rows(events: DataFrame) -> DataFrame:
@@ -32,20 +34,26 @@ def cash_flow_rows(events: DataFrame) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("amount_local"))
 
 
-def streaming_refresh(spark: SparkSession, source_path: str, schema, store: SnapshotStore | None = None,
-                      name: str = "stream.cash_flow_rollup", max_files_per_trigger: int = 1) -> DataFrame:
-    """Run the stream over everything available now and return the final state."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    store = store or SnapshotStore(spark, f"{root}/stream-{uuid.uuid4().hex[:12]}")
-    last = {"batch": -1}
+def partials(spark: SparkSession, root: str) -> DataFrame:
+    """The state: all batches' partials added up."""
+    return (spark.read.schema(STATE).parquet(f"{root}/batches/batch=*")
+            .groupBy(*KEYS).agg(F.sum("sum_amount_local").alias("sum_amount_local"),
+                                F.sum("row_count").alias("row_count")))
+
+
+def write_batch(root: str, batch: DataFrame, batch_id: int) -> None:
+    state = incremental_agg(None, cash_flow_rows(batch), None, KEYS, ["amount_local"])
+    state.write.mode("overwrite").parquet(f"{root}/batches/batch={batch_id}")
+
+
+def streaming_refresh(spark: SparkSession, source_path: str, schema, root: str | None = None,
+                      max_files_per_trigger: int = 1) -> DataFrame:
+    """Run the stream over everything that has arrived since ``root``'s last
+    run and return the state. Without ``root`` the run stands alone."""
+    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= last["batch"]:
-            return
-        prev = store.read(name) if store.exists(name) else None
-        state = incremental_agg(prev, cash_flow_rows(batch), None, KEYS, ["amount_local"])
-        store.write(name, state)
-        last["batch"] = batch_id
+        write_batch(root, batch, batch_id)
 
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if source_path.endswith(".parquet"):
@@ -55,7 +63,7 @@ def streaming_refresh(spark: SparkSession, source_path: str, schema, store: Snap
         source_path = f"{folder}/{fname[:-1]}[{fname[-1]}]"
     q = (reader.parquet(source_path)
          .writeStream.foreachBatch(fold)
-         .option("checkpointLocation", f"{store.root}/_checkpoint")
+         .option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return store.read(name)
+    return partials(spark, root)

@@ -14,7 +14,7 @@ def _refs(sql: str, names) -> list[str]:
     return [n for n in names if re.search(rf"\b{re.escape(n)}\b", sql)]
 
 
-def compose(final_sql: str, ctes: dict[str, str]) -> str:
+def compose(final_sql: str, ctes: dict[str, str], materialized: bool = False) -> str:
     order: list[str] = []
     seen: set[str] = set()
 
@@ -32,7 +32,7 @@ def compose(final_sql: str, ctes: dict[str, str]) -> str:
         visit(n)
     if not order:
         return final_sql.strip()
-    body = ",\n".join(f"{n} AS (\n{ctes[n].strip()}\n)" for n in order)
+    body = ",\n".join(f"{n} AS {'MATERIALIZED ' if materialized else ''}(\n{ctes[n].strip()}\n)" for n in order)
     final = final_sql.strip()
     if re.match(r"(?i)^with\s", final):
         return f"WITH {body},\n{final[4:].lstrip()}"

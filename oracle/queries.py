@@ -52,8 +52,8 @@ SELECT enterprise_key, CAST(count(*) AS BIGINT) AS n_source_keys,
        string_agg(source_system || ':' || source_key, ',' ORDER BY source_system, source_key) AS source_keys
 FROM b_crosswalk GROUP BY enterprise_key"""
 FINAL["crosswalk_merge"] = """
-SELECT source_system, count(*) AS mapping_count
-FROM (SELECT DISTINCT source_system, source_key, enterprise_key FROM b_crosswalk) GROUP BY source_system"""
+SELECT source_system, count(DISTINCT source_key) AS mapping_count
+FROM b_crosswalk GROUP BY source_system"""
 
 _S = {
     "security_dim": ("s_security_dim", ""),
@@ -84,6 +84,7 @@ _S = {
     "silver_transaction": ("s_transaction", "$quantity, $gross_amount_local, $gross_amount_usd, $fees_usd, "
                            "$net_amount_usd, $fx_rate_to_usd"),
     "cancels_amendment": ("s_cancels_amendment", "$cancelled_principal_usd"),
+    "cancels_remap": ("s_cancels_remap", "$cancelled_market_value_usd"),
     "price_cancels": ("s_price_cancels", "$cancelled_close_price_usd"),
     "income_bridge": ("s_income_bridge", "$income_amount_local, $income_amount_usd"),
 }
@@ -175,7 +176,7 @@ SELECT p.position_id, p.position_date, p.security_sk, CAST(p.market_value AS DOU
 FROM k_fact_position p
 JOIN (SELECT security_sk FROM k_dim_security WHERE is_current ORDER BY security_sk LIMIT 1) ss
   ON ss.security_sk = p.security_sk
-WHERE p.position_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"""
+WHERE p.position_date BETWEEN DATE '2000-06-01' AND DATE '2000-06-30'"""
 FINAL["kpi_top_yoy"] = """
 SELECT portfolio_name, portfolio_type, CAST(aum AS DOUBLE) AS aum, CAST(aum_year_ago AS DOUBLE) AS aum_year_ago,
        CASE WHEN aum_year_ago IS NULL OR aum_year_ago = 0 THEN NULL
@@ -523,5 +524,9 @@ SELECT p_partkey,
 FROM part"""
 
 
+# twins whose shared parts DuckDB would otherwise run again for every use
+MATERIALIZED = {"demo_point_lookup"}
+
+
 def oracle(key: str) -> str:
-    return compose(FINAL[key], CTES)
+    return compose(FINAL[key], CTES, materialized=key in MATERIALIZED)

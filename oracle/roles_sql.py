@@ -242,7 +242,7 @@ days AS (
   SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi + 730 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS rate_date
   FROM span),
 d2 AS (SELECT rate_date, (rate_date - DATE '1995-01-01') AS day_idx FROM days),
-pairs AS (SELECT * FROM (VALUES ('EUR', 1, 10870), ('GBP', 2, 12660), ('JPY', 3, 67), ('CAD', 4, 7350), ('AUD', 5, 6580)) t(from_currency, pair, base_e4))
+pairs AS (SELECT * FROM (VALUES ('EUR', 1, 12000), ('GBP', 2, 15000), ('JPY', 3, 100), ('CAD', 4, 8000), ('AUD', 5, 7000)) t(from_currency, pair, base_e4))
 SELECT from_currency, 'USD' AS to_currency, rate_date,
        CAST(CAST(CAST(base_e4 AS BIGINT) * (980 + (day_idx * 7 + pair * 13) % 41) AS DECIMAL(18,0)) * CAST(0.0000001 AS DECIMAL(8,7)) AS DECIMAL(18,8)) AS fx_rate,
        'SPOT' AS rate_type

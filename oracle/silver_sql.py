@@ -228,6 +228,18 @@ SELECT row_number() OVER (ORDER BY a.amendment_date, a.original_source_key) AS c
 FROM a {_res('x', 'efront', 'a.original_source_key')}
 LEFT JOIN s_contract_dim old ON old.enterprise_key = x.enterprise_key AND NOT old.is_current
 {fxj('fx', 'a.original_currency_code', 'a.amendment_date')}""",
+    "s_cancels_remap": f"""
+WITH p AS (SELECT * FROM r_position WHERE enterprise_key LIKE 'REMAPPED\\_%' ESCAPE '\\')
+SELECT row_number() OVER (ORDER BY p.position_date, p.source_key, p.market_value_local) AS cancel_sk,
+       CAST('0x' || substr(sha256('cancelled_position|' || p.source_key), 1, 12) AS BIGINT) AS cancelled_position_sk,
+       pd.portfolio_sk, sd.security_sk, p.position_date AS cancel_event_date,
+       p.position_date AS original_position_date, 'CROSSWALK_REMAP' AS cancel_reason,
+       {usd('p.market_value_local')} AS cancelled_market_value_usd
+FROM p {_res('x', 'state_street', 'p.portfolio_source_key')}
+{_res('y', 'aspen', 'p.security_source_key')}
+{cj('pd', 's_portfolio_dim', 'x.enterprise_key')}
+{tj('sd', 's_security_dim', 'y.enterprise_key', 'p.position_date')}
+{fxj('fx', 'p.currency_code', 'p.position_date')}""",
     "s_price_cancels": """
 SELECT CAST(NULL AS BIGINT) AS cancel_sk, CAST(NULL AS BIGINT) AS cancelled_security_price_sk,
        CAST(NULL AS BIGINT) AS security_sk, CAST(NULL AS DATE) AS cancel_event_date,

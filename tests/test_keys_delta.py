@@ -85,3 +85,58 @@ def test_merge_update(spark):
     tgt = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, n int")
     upd = spark.createDataFrame([(2, "B", 99)], "k int, v string, n int")
     assert rows(merge_update(tgt, upd, ["k"], ["v"])) == [(1, "a", 10), (2, "B", 20)]
+
+
+def test_add_mappings_in_batch_order_and_splits(spark):
+    cols = ("domain_code string, source_system string, source_key string, target_system string, target_key string, "
+            "relationship_type string, effective_start_date date, split_sequence int")
+    one, many = "ONE_TO_ONE", "ONE_TO_MANY"
+    batch = spark.createDataFrame([
+        ("ENTITY", "STATE_STREET", "S2", "ENTERPRISE", "E2", one, D(2001, 1, 1), None),
+        ("ENTITY", "STATE_STREET", "S2", "ENTERPRISE", "E9", one, D(2001, 2, 1), None),      # the key is taken by now
+        ("ENTITY", "STATE_STREET", "S6", "ENTERPRISE", "E6a", many, D(2001, 1, 1), 1),
+        ("ENTITY", "STATE_STREET", "S6", "ENTERPRISE", "E6b", many, D(2001, 1, 1), 2),       # another part of the split
+        ("ENTITY", "STATE_STREET", "S6", "ENTERPRISE", "E6c", many, D(2001, 3, 1), 2),
+        ("ENTITY", "STATE_STREET", "S1", "ENTERPRISE", "E1b", many, D(2001, 3, 1), 2)], cols)
+    new_xw, res = add_mappings(_xw(spark), batch)
+    assert dict(rows(res, "target_key", "error_code")) == {
+        "E2": None, "E9": 45004, "E6a": None, "E6b": None, "E6c": 45004, "E1b": None}
+    assert new_xw.count() == 5 and new_xw.select("crosswalk_sk").distinct().count() == 5
+
+
+def test_supersede_one_key_twice_in_a_batch(spark):
+    batch = spark.createDataFrame([
+        ("ENTITY", "STATE_STREET", "S1", "ENTERPRISE", "E1c", D(2002, 1, 1), None),
+        ("ENTITY", "STATE_STREET", "S1", "ENTERPRISE", "E1b", D(2000, 1, 1), "MERGED")],
+        "domain_code string, source_system string, source_key string, target_system string, target_key string, "
+        "effective_date date, new_relationship_type string")
+    xw, res = supersede_mappings(_xw(spark), batch, D(1999, 1, 1))
+    chain = {r.target_key: r for r in xw.collect()}
+    assert len(chain) == xw.count() == 3 and [k for k, r in chain.items() if r.is_current] == ["E1c"]
+    assert chain["E1"].effective_end_date == D(1999, 12, 31) and chain["E1b"].effective_end_date == D(2001, 12, 31)
+    assert chain["E1"].succeeding_record_sk == chain["E1b"].crosswalk_sk == chain["E1c"].preceding_record_sk
+    assert chain["E1b"].succeeding_record_sk == chain["E1c"].crosswalk_sk
+    assert (chain["E1b"].relationship_type, chain["E1c"].relationship_type) == ("MERGED", "ONE_TO_ONE")
+    assert dict(rows(res, "target_key", "superseded_sk")) == {"E1b": 1, "E1c": chain["E1b"].crosswalk_sk}
+
+
+def test_merge_update_with_repeated_keys(spark):
+    tgt = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    upd = spark.createDataFrame([(1, "x"), (1, "z"), (1, "y"), (None, "q")], "k int, v string")
+    assert sorted(map(tuple, merge_update(tgt, upd, ["k"], ["v"]).collect()), key=str) == [(1, "z"), (None, "n")]
+
+
+def test_incremental_null_keys_are_one_group(spark):
+    base = spark.createDataFrame([(None, 1, Decimal("1.00"))], "g string, d int, m decimal(18,2)")
+    state = incremental_agg(None, base, None, ["g", "d"], ["m"])
+    state = incremental_agg(state, base, None, ["g", "d"], ["m"])
+    assert [tuple(r) for r in state.collect()] == [(None, 1, Decimal("2.00"), 2)]
+    over = incremental_agg(state, None, base.unionByName(base).unionByName(base), ["g", "d"], ["m"])
+    assert over.count() == 0
+
+
+def test_merge_insert_matches_on_the_source_key(spark):
+    cols = "source_system string, source_key string, enterprise_key string"
+    tgt = spark.createDataFrame([("s", "k1", "E1")], cols)
+    src = spark.createDataFrame([("s", "k1", "E9"), ("s", "k2", "E2")], cols)
+    assert rows(merge_insert(src, tgt, ["source_system", "source_key"])) == [("s", "k1", "E1"), ("s", "k2", "E2")]

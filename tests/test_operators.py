@@ -115,3 +115,39 @@ def test_share_and_dense_rank_match_windows(spark):
     expect = df.withColumn("r", F.dense_rank().over(w))
     got = dense_rank_within(df, ["g"], "v", "r")
     assert rows(got, "id", "r") == rows(expect, "id", "r")
+
+
+def test_scd2_chain_keeps_null_keys(spark):
+    from lakeworks.operators.scd2 import scd2_chain
+    df = spark.createDataFrame([(None, 1, dt.date(2000, 1, 1)), (None, 2, dt.date(2001, 1, 1)), ("a", 1, None)],
+                               "k string, v int, d date")
+    got = {(r.k, r.v): r for r in scd2_chain(df, "k", [F.col("v")], "d", "sk").collect()}
+    assert len(got) == 3 and got[None, 1].effective_end_date == dt.date(2000, 12, 31)
+    assert [got[None, v].is_current for v in (1, 2)] == [False, True] and got["a", 1].is_current
+
+
+def test_apply_scd2_with_several_changes_to_a_key(spark):
+    from lakeworks.operators.scd2 import apply_scd2, scd2_chain
+    dim = scd2_chain(spark.createDataFrame([("a", 1, dt.date(2000, 1, 1)), ("b", 1, dt.date(2000, 1, 1))],
+                                           "k string, v int, d date"), "k", [F.col("v")], "d", "sk") \
+        .select("sk", "k", "v", "effective_start_date", "effective_end_date", "is_current", "preceding_record_sk",
+                "succeeding_record_sk")
+    changes = spark.createDataFrame([("a", 5, dt.date(2002, 1, 1)), ("a", 4, dt.date(2001, 1, 1)),
+                                     ("a", 3, dt.date(2001, 1, 1)), ("c", 9, dt.date(2001, 1, 1))],
+                                    "k string, v int, effective_start_date date")
+    out = apply_scd2(dim, changes, "k", "sk").collect()
+    a = sorted((r for r in out if r.k == "a"), key=lambda r: r.effective_start_date)
+    assert [r.v for r in a] == [1, 4, 5] and [r.is_current for r in a] == [False, False, True]
+    assert [str(r.effective_end_date) for r in a] == ["2000-12-31", "2001-12-31", "9999-12-31"]
+    assert [r.succeeding_record_sk for r in a] == [a[1].sk, a[2].sk, None]
+    assert [r.preceding_record_sk for r in a] == [None, a[0].sk, a[1].sk]
+    assert len(out) == 5 and len({r.sk for r in out}) == 5
+
+
+def test_close_versions_with_a_repeated_change(spark):
+    from lakeworks.operators.scd2 import close_versions
+    dim = spark.createDataFrame([(1, True, dt.date(9999, 12, 31), None)],
+                                "sk long, is_current boolean, effective_end_date date, succeeding_record_sk long")
+    changes = spark.createDataFrame([(1, dt.date(2001, 1, 1), 7), (1, dt.date(2000, 1, 1), 6), (None, dt.date(2000, 1, 1), 5)],
+                                    "sk long, close_date date, successor_sk long")
+    assert [tuple(r) for r in close_versions(dim, changes, "sk").collect()] == [(1, False, dt.date(1999, 12, 31), 6)]
