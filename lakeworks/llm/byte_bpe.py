@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 
 from .common import ids_and_texts, text_batches, utf8
 
-#: Pieces kept encoded per worker; the cache only saves time and is emptied when full.
-CACHE_PIECES = 300_000
+#: What a worker keeps; it only saves time. Words: in each of two generations.
+CACHE_WORDS = 300_000
+CACHE_PREFIXES = 1_500_000
+NEVER = 1 << 60
 
 
 class PrefixBpe:
@@ -40,7 +42,8 @@ class PrefixBpe:
         self._grow_merge_trees()
         self.longest = max(map(len, self.usable))
         self._pairs: dict[int, bool] = {}
-        self._pieces: dict[bytes, tuple[int, ...]] = {}
+        self._last: dict[bytes, int] = {}
+        self._spines: dict[int, tuple[list[bytes], list[int]]] = {}
 
     def _grow_merge_trees(self) -> None:
         """The two tokens whose merge makes each token. Tokens that merging
@@ -69,34 +72,43 @@ class PrefixBpe:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _spine(self, token: int, side: int) -> tuple[list[bytes], list[int]]:
+        """The nodes of a merge tree along one side, from the single byte up to
+        the token, and the rank at which each of them is merged into the next."""
+        nodes = [token]
+        while nodes[-1] in self.children:
+            nodes.append(self.children[nodes[-1]][side])
+        nodes.reverse()
+        return [self.vocab[n] for n in nodes], nodes[1:] + [NEVER]
+
     def _pair_is_valid(self, a: int, b: int) -> bool:
         """Do the bytes of tokens a and b, put together, encode as [a, b]?
 
         While both tokens are being built, the symbols that touch the seam are
         nodes on a's right spine and b's left spine. The pair breaks iff some
-        touching nodes x, y make a token whose rank comes up before either of
-        them is merged away (on equal ranks the merge further left is first).
+        touching nodes make a token whose rank comes up before either of them
+        is merged away (on equal ranks the merge further left is first).
         """
-        kids, vocab, get = self.children, self.vocab, self.ranks.get
-        never = 1 << 60
-        right, left = [a], [b]
-        while right[-1] in kids:
-            right.append(kids[right[-1]][1])
-        while left[-1] in kids:
-            left.append(kids[left[-1]][0])
-        x, y = len(right) - 1, len(left) - 1
+        spines, get = self._spines, self.ranks.get
+        left = spines.get(a << 1)
+        if left is None:
+            left = spines[a << 1] = self._spine(a, 1)
+        right = spines.get(b << 1 | 1)
+        if right is None:
+            right = spines[b << 1 | 1] = self._spine(b, 0)
+        (xs, x_ends), (ys, y_ends) = left, right
+        i = k = 0
         while True:
-            x_ends = right[x - 1] if x else never
-            y_ends = left[y - 1] if y else never
-            m = get(vocab[right[x]] + vocab[left[y]], never)
-            if m < x_ends and m <= y_ends and m != never:
+            x_end, y_end = x_ends[i], y_ends[k]
+            m = get(xs[i] + ys[k])
+            if m is not None and m < x_end and m <= y_end:
                 return False
-            if x == 0 and y == 0:
-                return True
-            if x_ends <= y_ends:
-                x -= 1
+            if x_end <= y_end:
+                if x_end == NEVER:
+                    return True
+                i += 1
             else:
-                y -= 1
+                k += 1
 
     def last_tokens(self, piece: bytes, last: list[int] | None = None) -> list[int]:
         """``last[i]`` for every prefix of ``piece``; a table for a shorter
@@ -130,11 +142,43 @@ class PrefixBpe:
             i -= len(self.vocab[last[i]])
         return out[::-1]
 
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def encode_piece(self, piece: bytes) -> list[int]:
+        """One piece's ids. Last tokens depend on nothing but the prefix, so
+        they are kept by prefix and pieces that begin alike share them."""
         whole = self.ranks.get(piece)
         if whole is not None:
-            return (whole,)
-        return tuple(self.tokens_of(self.last_tokens(piece)))
+            return [whole]
+        if len(piece) > 64:  # long pieces share little
+            return self.tokens_of(self.last_tokens(piece))
+        last = self._last
+        if len(last) > CACHE_PREFIXES:
+            last.clear()
+        get, pairs, n = self.usable.get, self._pairs, len(piece)
+        known = n
+        while known and piece[:known] not in last:
+            known -= 1
+        for i in range(known + 1, n + 1):
+            prefix = piece[:i]
+            for j in range(i - self.longest if i > self.longest else 0, i):
+                t = get(prefix[j:])
+                if t is not None:
+                    if not j:
+                        break
+                    key = last[piece[:j]] << 20 | t
+                    ok = pairs.get(key)
+                    if ok is None:
+                        if len(pairs) > 2_000_000:
+                            pairs.clear()
+                        ok = pairs[key] = self._pair_is_valid(key >> 20, t)
+                    if ok:
+                        break
+            last[prefix] = t
+        out = []
+        while n:
+            t = last[piece[:n]]
+            out.append(t)
+            n -= len(self.vocab[t])
+        return out[::-1]
 
     def append(self, piece: bytes, last: list[int], more: bytes) -> list[int]:
         """The table of ``piece + more`` from the table of ``piece``."""
@@ -147,20 +191,60 @@ class PrefixBpe:
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        known = self._pieces
         for p in self.split.findall(text):
-            got = known.get(p)
-            if got is None:
-                if len(known) >= CACHE_PIECES:
-                    known.clear()
-                got = known[p] = self.encode_piece(p.encode())
-            ids += got
+            ids += self.encode_piece(p.encode())
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocab.__getitem__, ids))
 
 
+class Words:
+    """Encodes whole texts word by word and keeps what it has made of a word.
+
+    Texts are cut before single spaces, where the pattern cuts too: it takes a
+    space together with what follows it, unless that is white space or nothing.
+    Texts with such places are encoded in one go. ``made`` turns ids into what
+    is kept, ``joined`` puts two of these together. When the kept words reach
+    their limit, those not met since the last time it was reached are dropped.
+    """
+
+    def __init__(self, bpe: PrefixBpe, made, joined):
+        self.bpe, self.made, self.joined = bpe, made, joined
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def _word(self, word: str):
+        got = self.now.get(word) or self.before.get(word)
+        if got is None:
+            if word.isalpha():  # one piece
+                got = self.made(self.bpe.encode_piece(b" " + word.encode()))
+            elif word[-1] in ".," and word[:-1].isalpha():  # two pieces
+                return self.joined(self._word(word[:-1]), self._word_end(word[-1]))
+            else:
+                got = self.made(self.bpe.encode(" " + word))
+        if len(self.now) >= CACHE_WORDS:
+            self.before, self.now = self.now, {}
+        self.now[word] = got
+        return got
+
+    def _word_end(self, stop: str):
+        return self.made(self.bpe.encode_piece(stop.encode()))
+
+    def of(self, text: str) -> list:
+        words = text.split(" ")
+        out = list(map(self.now.get, words))
+        out[0] = self.made(self.bpe.encode(words[0]))
+        if None in out:
+            for i, made in enumerate(out):
+                if made is None:
+                    word = words[i]
+                    if not word or word[0].isspace():
+                        return [self.made(self.bpe.encode(text))]
+                    out[i] = self._word(word)
+        return out
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> PrefixBpe:
     with open(path, "rb") as f:
@@ -168,6 +252,14 @@ def load(path: str, pattern: str) -> PrefixBpe:
     return PrefixBpe(ranks, pattern)
 
 
+@functools.lru_cache(maxsize=2)
+def digest_words(path: str, pattern: str) -> Words:
+    """Words as (number of ids, ids as text, decoded bytes)."""
+    bpe = load(path, pattern)
+    return Words(bpe, lambda ids: (len(ids), ",".join(map(str, ids)), bpe.decode(ids)),
+                 lambda a, b: (a[0] + b[0], f"{a[1]},{b[1]}", a[2] + b[2]))
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """doc_id, ids array<int>, decoded binary (the ids decoded again)."""
@@ -194,16 +286,15 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                         ("decoded_sha256", pa.string()), ("round_trip", pa.bool_())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path, pattern)
-        names = {i: str(i) for i in bpe.vocab}
+        words = digest_words(path, pattern)
         sha = hashlib.sha256
         for batch in it:
             n, a, b, same = [], [], [], []
             for text, raw in zip(batch.column(1).to_pylist(), utf8(batch.column(1))):
-                ids = bpe.encode(text)
-                back = bpe.decode(ids)
-                n.append(len(ids))
-                a.append(sha(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                sizes, names, decoded = zip(*words.of(text))
+                back = b"".join(decoded)
+                n.append(sum(sizes))
+                a.append(sha(",".join(names if sizes[0] else names[1:]).encode()).hexdigest())
                 b.append(sha(back).hexdigest())
                 same.append(back == raw)
             yield pa.RecordBatch.from_arrays(
