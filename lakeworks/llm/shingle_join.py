@@ -240,7 +240,7 @@ def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int)
             if (r := root(x)) != x:
                 yield LINK, x, r, None, None
 
-    dealt = texts.mapInArrow(emit, "part int, kind int, data binary").repartition(parts, "part")
+    dealt = texts.mapInArrow(emit, "part int, kind int, data binary").repartitionById(parts, "part")
     return cut(dealt.mapInArrow(lambda it: batches(meet(it), CANDIDATE_FIELDS), CANDIDATES))
 
 
@@ -282,13 +282,13 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def tile_edges(nodes: list[int], sets: list[np.ndarray], group: list[int], num: int, den: int) -> list[tuple[int, int]]:
-    """Edges that join all linked sets of a tile. ``group``: what is connected already."""
+    """Every set of a component of two or more with the component's smallest
+    node. ``group``: what is connected already."""
     order = sorted(range(len(nodes)), key=lambda i: (len(sets[i]), nodes[i]))
     nodes, sets = [nodes[i] for i in order], [sets[i] for i in order]
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     _, root = np.unique(np.asarray([group[i] for i in order]), return_inverse=True)
     maps = bitmaps(sets)
-    edges = []
     last = np.searchsorted(sizes, sizes * den // num, side="right")  # the band each set reaches up to
     for i in range(len(nodes)):
         later = i + 1 + np.flatnonzero(root[i + 1:last[i]] != root[i])
@@ -300,17 +300,19 @@ def tile_edges(nodes: list[int], sets: list[np.ndarray], group: list[int], num:
             part = part[den * bound >= num * (sizes[i] + sizes[part] - bound)]
             for j in part.tolist():
                 if root[j] != root[i] and linked(sets[i], sets[j], num, den):
-                    edges.append((nodes[i], nodes[j]))
                     root[root == root[j]] = root[i]
-    return edges
+    least: dict[int, int] = {}
+    for node, r in zip(nodes, root.tolist()):
+        least[r] = min(node, least.get(r, node))
+    return [(node, least[r]) for node, r in zip(nodes, root.tolist()) if node != least[r]]
 
 
 EDGE_FIELDS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def join_tiles(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) edges inside each tile; ``sets`` has tile, node, grp, hashes. One tile
-    is in memory at a time."""
+    """(a, b): sets and the smallest node of their component inside each tile;
+    ``sets`` has tile, node, grp, hashes. One tile is in memory at a time."""
     ordered = sets.select("tile", "node", "grp", "hashes").repartition("tile").sortWithinPartitions("tile")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -387,7 +389,7 @@ def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str
     spark = docs.sparkSession
     text_batches(spark)
     texts = ids_and_texts(docs, id_col, text_col)
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = candidates(texts, n, (num, den), parts)
     rows = found.where(F.col("kind") == DOC).select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
@@ -397,12 +399,15 @@ def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str
         F.col("root").alias("tile"), "node", F.col("first").alias("doc_id"), (F.col("size") > tile_nodes).alias("large")))
 
     small = sets_for(texts, placed.where("not large").select("tile", "node", "doc_id"), n)
-    edges = cut(join_tiles(small.withColumn("grp", F.col("node")), num, den))
+    # a small tile holds whole components; those of large ones are put together from their parts
+    roots = join_tiles(small.withColumn("grp", F.col("node")), num, den).select(
+        F.col("a").alias("node"), F.col("b").alias("root"))
     large = placed.where("large")
     if not large.isEmpty():
         groups = found.where(F.col("kind") == GROUP).select(F.col("a").alias("grp"), "n", F.explode("nodes").alias("node"))
-        edges = edges.unionByName(large_tiles(groups, large.select("node", "doc_id"), texts, n, num, den, tile_nodes))
-    roots = components(edges)
+        roots = roots.unionByName(components(
+            large_tiles(groups, large.select("node", "doc_id"), texts, n, num, den, tile_nodes)))
+    roots = cut(roots)
 
     named = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
