@@ -56,6 +56,21 @@ def resolve_keys(df: DataFrame, xw: DataFrame, system: str | Column, key_col: st
     return df.join(m, (F.col("__xk") == F.col(key_col)) & (F.col("__xs") == sys_col), "left").drop("__xs", "__xk")
 
 
+def key_kind(key: Column) -> Column:
+    """The family of a source key: the capitals before its first underscore."""
+    return F.when(key.rlike("^[A-Z]+_"), F.regexp_extract(key, "^([A-Z]+)_", 1)).otherwise(F.lit("NONE"))
+
+
+def lookup_keys(df: DataFrame, lookup: DataFrame, system: str, key_col: str, out_col: str, kind: str) -> DataFrame:
+    """As :func:`resolve_keys`, from a stored lookup of one row per (system,
+    key), kept in folders by system and kind: one join, no pass over ``df``
+    before it. Only the mappings of one key family are read, so a dimension's
+    keys stay small next to a fact's. Keys of another kind are unmapped."""
+    m = lookup.filter((F.col("source_system") == system) & (F.col("key_kind") == kind))
+    m = m.select(F.col("source_key").alias("__xk"), F.col("enterprise_key").alias(out_col))
+    return df.join(m, F.col("__xk") == F.col(key_col), "left").drop("__xk")
+
+
 def source_keys_of(xw: DataFrame) -> DataFrame:
     """enterprise_key -> sorted array of (source_system, source_key)."""
     return xw.groupBy("enterprise_key").agg(

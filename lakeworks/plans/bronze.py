@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.operators.dedup import latest_wins
-from lakeworks.operators.keys import build_crosswalk, current_mappings, resolve_keys
+from lakeworks.operators.keys import build_crosswalk, current_mappings, key_kind, lookup_keys
 from lakeworks.operators.unify import conflict_sources, unify_sources
 from lakeworks.plans.registry import entity
 
@@ -52,8 +52,20 @@ def crosswalk_current(lake) -> DataFrame:
     return current_mappings(lake.get("bronze.crosswalk").filter(F.col("mapping_active")))
 
 
-def _resolve(lake, df, system, key_col, out_col):
-    return resolve_keys(df, lake.get("bronze.crosswalk_active"), system, key_col, out_col)
+@entity("bronze.crosswalk_lookup", table=True, partition=("source_system", "key_kind"))
+def crosswalk_lookup(lake) -> DataFrame:
+    """The current mapping of every (system, key), stored by system and key family."""
+    xw = lake.get("bronze.crosswalk_current").select("source_system", "source_key", "enterprise_key")
+    return xw.withColumn("key_kind", key_kind(F.col("source_key")))
+
+
+# the family of the keys in each foreign-key column
+KEY_KINDS = {"portfolio_source_key": "SUP", "security_source_key": "PRT", "contract_source_key": "ORD",
+             "original_source_key": "ORD", "entity_source_key": "CUS", "issuer_source_key": "BRD", "bu_source_key": "BU"}
+
+
+def resolve(lake, df, system, key_col, out_col, kind=None):
+    return lookup_keys(df, lake.get("bronze.crosswalk_lookup"), system, key_col, out_col, kind or KEY_KINDS[key_col])
 
 
 @entity("bronze.security")
@@ -65,7 +77,7 @@ def security(lake) -> DataFrame:
         ("state_street", price, "security_source_key",
          {"latest_close_price": "close_price_local", "latest_close_price_currency": "currency_code",
           "latest_price_date": "price_date"})])
-    u = _resolve(lake, u, "aspen", "issuer_source_key", "issuer_enterprise_key")
+    u = resolve(lake, u, "aspen", "issuer_source_key", "issuer_enterprise_key")
     return u.select(
         "enterprise_key", "source_key", "security_name", F.lit("aspen").alias("security_name_source"),
         "security_type", "asset_class", "sub_asset_class", "issue_date", "maturity_date", "coupon_rate",
@@ -78,7 +90,7 @@ def security(lake) -> DataFrame:
 def entity_(lake) -> DataFrame:
     r = lake.roles
     master = latest_wins(r.entity, ["enterprise_key"], [F.col("version_no").desc()])
-    owners = _resolve(lake, r.contract.select("entity_source_key"), "efront", "entity_source_key", "owner_key") \
+    owners = resolve(lake, r.contract.select("entity_source_key"), "efront", "entity_source_key", "owner_key") \
         .select("owner_key").filter(F.col("owner_key").isNotNull()).distinct()
     u = unify_sources(master, "aspen", "enterprise_key", [("efront", owners, "owner_key", {})])
     return u.select(
@@ -101,7 +113,7 @@ def portfolio(lake) -> DataFrame:
     custodian's portfolio master as overlays."""
     r = lake.roles
     risk = latest_wins(r.portfolio_risk, ["portfolio_source_key"], [F.col("risk_date").desc()])
-    risk = _resolve(lake, risk, "aladdin", "portfolio_source_key", "enterprise_key")
+    risk = resolve(lake, risk, "aladdin", "portfolio_source_key", "enterprise_key")
     cap = r.capital_activity.groupBy("portfolio_source_key").agg(
         F.sum(F.when(F.col("activity_type") == "CAPITAL_CALL", F.col("amount_local"))).alias("total_called_local"),
         F.sum(F.when(F.col("activity_type") == "DISTRIBUTION", F.col("amount_local"))).alias("total_distributed_local"),
@@ -124,7 +136,7 @@ def portfolio(lake) -> DataFrame:
 @entity("bronze.contract")
 def contract(lake) -> DataFrame:
     c = latest_wins(lake.roles.contract, ["enterprise_key"], [F.col("version_no").desc()])
-    c = _resolve(lake, c, "efront", "entity_source_key", "entity_enterprise_key")
+    c = resolve(lake, c, "efront", "entity_source_key", "entity_enterprise_key")
     return c.select("enterprise_key", "source_key", "contract_name", "entity_enterprise_key", "contract_type",
                     "signing_date", "maturity_date", "principal_local", "currency_code", "coupon_rate",
                     "spread_over_benchmark", "status", F.lit("efront").alias("_source_pref"),
@@ -145,8 +157,8 @@ def business_unit(lake) -> DataFrame:
 def position(lake) -> DataFrame:
     r = lake.roles
     p = latest_wins(r.position, ["enterprise_key"], r.position_version_order())
-    p = _resolve(lake, p, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
-    p = _resolve(lake, p, "state_street", "security_source_key", "security_enterprise_key")
+    p = resolve(lake, p, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
+    p = resolve(lake, p, "state_street", "security_source_key", "security_enterprise_key")
     return p.select("enterprise_key", "source_key", "portfolio_enterprise_key", "security_enterprise_key",
                     "contract_source_key", "position_date", "quantity", "market_value_local", "book_value_local",
                     "cost_basis_local", "unrealized_gl_local", "currency_code", "settlement_status", "return_flag",
@@ -173,33 +185,33 @@ def transaction(lake) -> DataFrame:
         F.lit(None).cast("decimal(18,2)").alias("net_amount_local"),
         "currency_code", F.col("trade_status").alias("transaction_status"), F.lit("aladdin").alias("_source_pref"))
     u = settled.unionByName(inflight)
-    u = _resolve(lake, u, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
-    u = _resolve(lake, u, "state_street", "security_source_key", "security_enterprise_key")
+    u = resolve(lake, u, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
+    u = resolve(lake, u, "state_street", "security_source_key", "security_enterprise_key")
     return u.withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.security_price")
 def security_price(lake) -> DataFrame:
-    p = _resolve(lake, lake.roles.security_price, "state_street", "security_source_key", "security_enterprise_key")
+    p = resolve(lake, lake.roles.security_price, "state_street", "security_source_key", "security_enterprise_key")
     return p.withColumn("_source_pref", F.lit("state_street")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.portfolio_risk")
 def portfolio_risk(lake) -> DataFrame:
-    p = _resolve(lake, lake.roles.portfolio_risk, "aladdin", "portfolio_source_key", "portfolio_enterprise_key")
+    p = resolve(lake, lake.roles.portfolio_risk, "aladdin", "portfolio_source_key", "portfolio_enterprise_key")
     return p.withColumn("_source_pref", F.lit("aladdin")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.portfolio_performance")
 def portfolio_performance(lake) -> DataFrame:
-    p = _resolve(lake, lake.roles.portfolio_performance, "aladdin", "portfolio_source_key", "portfolio_enterprise_key")
+    p = resolve(lake, lake.roles.portfolio_performance, "aladdin", "portfolio_source_key", "portfolio_enterprise_key")
     return p.withColumn("_source_pref", F.lit("aladdin")).withColumn("_sources_in_conflict", _no_conflicts())
 
 
 @entity("bronze.rating")
 def rating(lake) -> DataFrame:
     r = lake.roles
-    sec = _resolve(lake, r.security_rating, "aspen", "security_source_key", "rated_enterprise_key").select(
+    sec = resolve(lake, r.security_rating, "aspen", "security_source_key", "rated_enterprise_key").select(
         "source_key", F.lit("SECURITY").alias("rated_object_type"), "rated_enterprise_key", "rating_date",
         "rating_agency", "rating_value", "rating_outlook", "rating_action_type")
     ent = r.rating.select(
@@ -211,7 +223,7 @@ def rating(lake) -> DataFrame:
 
 @entity("bronze.collateral")
 def collateral(lake) -> DataFrame:
-    c = _resolve(lake, lake.roles.collateral_position, "efront", "contract_source_key", "contract_enterprise_key")
+    c = resolve(lake, lake.roles.collateral_position, "efront", "contract_source_key", "contract_enterprise_key")
     return c.withColumn("_source_pref", F.lit("efront")).withColumn("_sources_in_conflict", _no_conflicts())
 
 

@@ -143,6 +143,14 @@ def gate_conflict_density(lake) -> DataFrame:
     return a.select(*_row("conflict_density", F.col("entity_name"), ratio, 0.5, F.coalesce(ratio, F.lit(0.0)) < 0.5))
 
 
+def gate_missing_fx(lake) -> DataFrame:
+    """Positions whose currency has no rate on their day (the default rate of 1
+    was used): per currency, none is allowed."""
+    p = lake.get("silver.position_analytics_fact").filter(F.col("currency_code") != "USD")
+    m = p.groupBy("currency_code").agg(F.sum(F.col("fx_rate_to_usd").isNull().cast("int")).alias("n"))
+    return m.select(*_row("missing_fx", F.col("currency_code"), F.col("n"), 0, F.col("n") == 0))
+
+
 def triplet_coverage(lake) -> DataFrame:
     """E1 re-aimed at the team marts (U4): teams of the business-unit dimension
     EXCEPT (teams with positions INTERSECT teams with portfolio analytics)."""

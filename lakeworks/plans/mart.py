@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.functions.scalar import pick, safe_div
-from lakeworks.operators.keys import resolve_keys
 from lakeworks.operators.rowid import dense_row_id
 from lakeworks.operators.temporal import temporal_join
 from lakeworks.operators.windows import share_of_total
+from lakeworks.plans.bronze import resolve
 from lakeworks.plans.registry import entity
 
 # Fixed values of the star seed
@@ -36,7 +36,7 @@ def _entity_of_contract(lake, df: DataFrame, contract_key: str, date_col: str) -
     owners = lake.roles.contract.filter(F.col("version_no") == 1).select(
         F.col("source_key").alias("__ck"), F.col("entity_source_key").alias("__esk"))
     j = df.join(owners, F.col(contract_key) == F.col("__ck"), "inner").drop("__ck")
-    j = resolve_keys(j, lake.get("bronze.crosswalk_active"), "efront", "__esk", "__eek").drop("__esk")
+    j = resolve(lake, j, "efront", "__esk", "__eek", kind="CUS").drop("__esk")
     ed = lake.get("silver.entity_dim").select(
         F.col("enterprise_key").alias("__ed_key"), "entity_sk",
         F.col("effective_start_date").alias("__ed_s"), F.col("effective_end_date").alias("__ed_e"))
@@ -181,7 +181,9 @@ def key_crosswalk(lake) -> DataFrame:
 def investor_pg_alloc(lake) -> DataFrame:
     c = lake.roles.t.customer.select(F.col("c_custkey").cast("bigint").alias("investor_sk"))
     r = lake.roles.t.region.select(F.col("r_regionkey").cast("bigint").alias("portfolio_group_sk"))
-    pairs = c.crossJoin(F.broadcast(r)).filter((F.col("investor_sk") * 7 + F.col("portfolio_group_sk")) % 5 == 0)
+    # (7 * investor + group) divisible by 5, solved for the group
+    pairs = c.join(F.broadcast(r), F.pmod(F.col("portfolio_group_sk"), F.lit(5))
+                   == F.pmod(F.col("investor_sk") * -7, F.lit(5)))
     pct = (F.lit(Decimal("0.5")) + F.lit(Decimal("0.1")) * ((F.col("investor_sk") * 3 + F.col("portfolio_group_sk")) % 245))
     return pairs.select("investor_sk", "portfolio_group_sk", pct.cast("decimal(8,5)").alias("ownership_percentage"),
                         F.lit(True).alias("is_current"))
@@ -211,7 +213,7 @@ def _enriched_base(lake, fact: DataFrame) -> DataFrame:
                                              "enterprise_security_id")
     a = lake.get("mart.dim_asset").select("asset_sk", "asset_name", "asset_type", F.col("city").alias("asset_city"),
                                           F.col("country_code"))
-    return fact.join(pf, "portfolio_sk").join(e, "entity_sk").join(s, "security_sk").join(F.broadcast(a), "asset_sk")
+    return fact.join(pf, "portfolio_sk").join(e, "entity_sk").join(s, "security_sk").join(a, "asset_sk")
 
 
 @entity("mart.aum_daily_by_portfolio", cluster=("position_date",))
@@ -277,12 +279,20 @@ def portfolio_book(lake) -> DataFrame:
     b = _enriched_base(lake, lake.get("mart.fact_position"))
     by_entity = b.groupBy("position_date", "portfolio_name", "portfolio_type", "enterprise_entity_id",
                           "country_code").agg(F.sum("market_value").alias("entity_mv"))
-    w = Window.partitionBy("position_date", "portfolio_name").orderBy(
-        F.col("entity_mv").desc(), F.col("enterprise_entity_id"), F.col("country_code"))
-    ranked = by_entity.withColumn("rn", F.row_number().over(w))
-    book = ranked.groupBy("position_date", "portfolio_name", "portfolio_type").agg(
-        F.sum("entity_mv").alias("aum"),
-        F.sum(F.when(F.col("rn") <= 3, F.col("entity_mv")).otherwise(F.lit(0))).alias("__top3"),
+    # top 3 in two stages: first of each of 32 parts of a portfolio-day, then of what is left
+    order = [F.col("entity_mv").desc(), F.col("enterprise_entity_id"), F.col("country_code")]
+    part = by_entity.withColumn("__part", F.pmod(F.xxhash64("enterprise_entity_id", "country_code"), F.lit(32)))
+    for cols in (["position_date", "portfolio_name", "__part"], ["position_date", "portfolio_name"]):
+        part = part.withColumn("rn", F.row_number().over(Window.partitionBy(*cols).orderBy(*order))).filter("rn <= 3")
+    key = ["position_date", "portfolio_name", "portfolio_type"]
+    sums = by_entity.select(*key, "enterprise_entity_id", "country_code", "entity_mv",
+                            F.lit(None).cast("decimal(38,2)").alias("top_mv"))
+    tops = part.select(*key, F.lit(None).cast("string").alias("enterprise_entity_id"),
+                       F.lit(None).cast("string").alias("country_code"),
+                       F.lit(None).cast(by_entity.schema["entity_mv"].dataType).alias("entity_mv"),
+                       F.col("entity_mv").cast("decimal(38,2)").alias("top_mv"))
+    book = sums.unionByName(tops).groupBy(*key).agg(
+        F.sum("entity_mv").alias("aum"), F.coalesce(F.sum("top_mv"), F.lit(0)).alias("__top3"),
         F.countDistinct("enterprise_entity_id").alias("entity_count"),
         F.countDistinct("country_code").alias("country_count"))
     wd = Window.partitionBy("position_date").orderBy(F.col("aum").desc())
@@ -298,10 +308,7 @@ def security_book(lake) -> DataFrame:
     ps = b.groupBy("position_date", "portfolio_name", "portfolio_type", "entity_name", "asset_name", "country_code",
                    "security_name", "security_type").agg(
         F.sum("market_value").alias("market_value"), F.sum("unrealized_gain_loss").alias("unrealized_pnl"))
-    w = Window.partitionBy("position_date", "portfolio_name")
-    tot = F.sum("market_value").over(w).cast("double")
-    return ps.withColumn("pct_of_portfolio_aum",
-                         F.col("market_value").cast("double") / F.when(tot != 0, tot))
+    return share_of_total(ps, ["position_date", "portfolio_name"], "market_value", "pct_of_portfolio_aum")
 
 
 @entity("mart.transaction_book")

@@ -294,6 +294,14 @@ def allocation_summary(lake) -> DataFrame:
                                        F.round(F.sum("ownership_percentage"), 2).alias("total_pct_committed"))
 
 
+@query("ownership_distribution")
+def ownership_distribution(lake) -> DataFrame:
+    """X12, second half: entities per ownership percentage."""
+    a = lake.get("mart.portfolio_entity_alloc").filter(F.col("is_current"))
+    return a.groupBy(F.col("ownership_percentage").cast("double").alias("ownership_percentage")).agg(
+        F.count(F.lit(1)).alias("entity_count"))
+
+
 @query("dimension_counts")
 def dimension_counts(lake) -> DataFrame:
     def c(name, df):
@@ -414,7 +422,7 @@ def _gate(name):
 
 
 for _k in ["gate_fk_orphans", "gate_duplicates", "gate_team_nonempty", "gate_consolidated_sum", "gate_scd2_current",
-           "gate_scd2_overlap", "gate_scd2_dates", "gate_scd2_links", "gate_nonempty", "gate_conflict_density",
+           "gate_scd2_overlap", "gate_scd2_dates", "gate_scd2_links", "gate_nonempty", "gate_conflict_density", "gate_missing_fx",
            "triplet_coverage", "gate_parity", "gate_set_difference", "parity_pivot"]:
     QUERIES[_k] = _gate(_k)
 

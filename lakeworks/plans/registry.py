@@ -34,23 +34,26 @@ class Entity:
     incremental: bool = False
     table: bool = False
     cluster: tuple = ()
+    partition: tuple = ()
     deps: set = field(default_factory=set)
 
 
 REGISTRY: dict[str, Entity] = {}
 
 
-def entity(name: str, incremental: bool = False, table: bool = False, cluster: tuple = ()):
+def entity(name: str, incremental: bool = False, table: bool = False, cluster: tuple = (),
+           partition: tuple = ()):
     """Register a builder. ``table=True`` marks entities that are stored
     tables by nature (the reference maintains them with MERGE, e.g. the key
     crosswalk): the lake writes them once per session and every consumer
     scans the snapshot instead of inlining the build. ``cluster`` columns
     order rows inside each written file, so row-group statistics make
-    filters on them (dates) skip data - the reference's clustering hint."""
+    filters on them (dates) skip data - the reference's clustering hint;
+    ``partition`` columns become folders."""
     layer = name.split(".", 1)[0]
 
     def deco(fn):
-        REGISTRY[name] = Entity(name, fn, layer, incremental, table, tuple(cluster))
+        REGISTRY[name] = Entity(name, fn, layer, incremental, table, tuple(cluster), tuple(partition))
         return fn
 
     return deco
@@ -91,7 +94,7 @@ class Lake:
         live too) or "mv"; by default the placement decides."""
         _load_all()
         ent = REGISTRY[name]
-        if self._stack and self._stack[-1][1]:
+        if self._stack and self._stack[-1][1] and not ent.table:
             mode = "view"
         use_store = mode == "mv" or (mode is None and self.placement.stored(ent.layer))
         if use_store and self.auto_refresh and not self._require_store().exists(name):
@@ -156,7 +159,7 @@ class Lake:
         df = self._build(REGISTRY[name], live=False)
         if REGISTRY[name].cluster:
             df = df.sortWithinPartitions(*REGISTRY[name].cluster)
-        version = store.write(name, df, partition_by)
+        version = store.write(name, df, partition_by or list(REGISTRY[name].partition))
         if log:
             rows = store.read(name, version).count()
             store.log_refresh(name, "full", time.time() - t0, rows, version)

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from lakeworks.functions.scalar import hash_int, rating_score, safe_div
 from lakeworks.operators.dedup import latest_wins
 from lakeworks.operators.fx import normalize_currency
-from lakeworks.operators.keys import resolve_keys
 from lakeworks.operators.rowid import dense_row_id
 from lakeworks.operators.scd2 import scd1_as_scd2, scd2_chain
 from lakeworks.operators.snapshot import month_end_snapshot
 from lakeworks.operators.temporal import temporal_join
+from lakeworks.plans.bronze import resolve
 from lakeworks.plans.registry import entity
 
 SCD = ["effective_start_date", "effective_end_date", "is_current", "preceding_record_sk", "succeeding_record_sk"]
@@ -48,15 +48,11 @@ def _cjoin(lake, fact, name, sk, fact_key, prefix, key="enterprise_key", how="le
     return out.drop(f"{prefix}key", f"{prefix}start", f"{prefix}end")
 
 
-def _xw(lake):
-    return lake.get("bronze.crosswalk_active")
-
-
 # ----------------------------------------------------------------- dimensions
 @entity("silver.security_dim")
 def security_dim(lake) -> DataFrame:
     s = lake.roles.security
-    s = resolve_keys(s, _xw(lake), "aspen", "issuer_source_key", "issuer_enterprise_key")
+    s = resolve(lake, s, "aspen", "issuer_source_key", "issuer_enterprise_key")
     ch = scd2_chain(s, "enterprise_key", [F.col("issue_date").asc_nulls_last(), F.col("version_no")],
                     "issue_date", "security_sk")
     return ch.select("security_sk", "enterprise_key", *SCD, "source_key", "security_name", "security_type",
@@ -86,7 +82,7 @@ def contract_dim(lake) -> DataFrame:
 @entity("silver.portfolio_dim")
 def portfolio_dim(lake) -> DataFrame:
     p = lake.get("bronze.portfolio")
-    p = resolve_keys(p, _xw(lake), "internal_admin", "bu_source_key", "business_unit_enterprise_key")
+    p = resolve(lake, p, "internal_admin", "bu_source_key", "business_unit_enterprise_key")
     d = scd1_as_scd2(p, ["enterprise_key"], "portfolio_sk")
     return d.select("portfolio_sk", "enterprise_key", *SCD, "portfolio_name", "base_currency", "custodian_currency",
                     "business_unit_enterprise_key")
@@ -105,7 +101,7 @@ def entity_dim(lake) -> DataFrame:
 
 @entity("silver.industry_dim")
 def industry_dim(lake) -> DataFrame:
-    d = scd1_as_scd2(lake.roles.industry, ["classification_code"], "industry_sk", bounded=True)
+    d = scd1_as_scd2(lake.roles.industry, ["classification_code"], "industry_sk")
     return d.select("industry_sk", F.col("classification_code").alias("enterprise_key"), *SCD,
                     "classification_name", "parent_code", "classification_level", "classification_system")
 
@@ -232,7 +228,7 @@ def contract_details(lake) -> DataFrame:
 
 @entity("silver.contract_summary_fact", cluster=("summary_date",))
 def contract_summary(lake) -> DataFrame:
-    s = resolve_keys(lake.roles.contract_summary, _xw(lake), "efront", "contract_source_key", "enterprise_key")
+    s = resolve(lake, lake.roles.contract_summary, "efront", "contract_source_key", "enterprise_key")
     s = _tjoin(lake, s, "silver.contract_dim", "contract_sk", "enterprise_key", "summary_date", "cd_")
     s = _usd(lake, s, {"outstanding_principal_usd": "outstanding_principal_local",
                        "accrued_interest_usd": "accrued_interest_local", "paid_to_date_usd": "paid_to_date_local"},
@@ -280,7 +276,7 @@ def analytics_monthend(lake) -> DataFrame:
 
 @entity("silver.collateral_exposure_fact")
 def collateral_exposure(lake) -> DataFrame:
-    e = resolve_keys(lake.roles.collateral_exposure, _xw(lake), "efront", "contract_source_key", "enterprise_key")
+    e = resolve(lake, lake.roles.collateral_exposure, "efront", "contract_source_key", "enterprise_key")
     e = _tjoin(lake, e, "silver.contract_dim", "contract_sk", "enterprise_key", "exposure_date", "cd_")
     e = _usd(lake, e, {"exposure_amount_usd": "exposure_amount_local", "collateral_value_usd": "collateral_value_local"},
              "currency_code", "exposure_date")
@@ -294,7 +290,7 @@ def collateral_exposure(lake) -> DataFrame:
 @entity("silver.collateral_positions_fact")
 def collateral_positions(lake) -> DataFrame:
     c = lake.get("bronze.collateral")
-    c = resolve_keys(c, _xw(lake), "state_street", "security_source_key", "security_enterprise_key")
+    c = resolve(lake, c, "state_street", "security_source_key", "security_enterprise_key")
     c = _tjoin(lake, c, "silver.contract_dim", "contract_sk", "contract_enterprise_key", "position_date", "cd_")
     c = _tjoin(lake, c, "silver.security_dim", "security_sk", "security_enterprise_key", "position_date", "sd_")
     ccy = lake.get("silver.contract_dim").select(F.col("contract_sk").alias("__csk"),
@@ -338,7 +334,7 @@ def cancels_amendment(lake) -> DataFrame:
     c1 = raw.select(F.col("source_key").alias("__k1"), F.col("principal_local").alias("original_principal_local"),
                     F.col("currency_code").alias("original_currency_code"))
     a = c2.join(c1, c2.original_source_key == c1.__k1, "inner").drop("__k1")
-    a = resolve_keys(a, _xw(lake), "efront", "original_source_key", "original_enterprise_key")
+    a = resolve(lake, a, "efront", "original_source_key", "original_enterprise_key")
     old = lake.get("silver.contract_dim").filter(~F.col("is_current")).select(
         F.col("enterprise_key").alias("__ek"), "contract_sk")
     a = a.join(old, a.original_enterprise_key == old.__ek, "left").drop("__ek")
@@ -354,8 +350,8 @@ def cancels_amendment(lake) -> DataFrame:
 @entity("silver.position_cancels_fact")
 def cancels_remap(lake) -> DataFrame:
     p = lake.roles.position.filter(F.expr("enterprise_key LIKE 'REMAPPED\\\\_%' ESCAPE '\\\\'"))
-    p = resolve_keys(p, _xw(lake), "state_street", "portfolio_source_key", "portfolio_enterprise_key")
-    p = resolve_keys(p, _xw(lake), "aspen", "security_source_key", "security_enterprise_key")
+    p = resolve(lake, p, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
+    p = resolve(lake, p, "aspen", "security_source_key", "security_enterprise_key")
     p = _cjoin(lake, p, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "pd_")
     p = _tjoin(lake, p, "silver.security_dim", "security_sk", "security_enterprise_key", "position_date", "sd_")
     p = _usd(lake, p, {"cancelled_market_value_usd": "market_value_local"}, "currency_code", "position_date")
@@ -378,7 +374,7 @@ def price_cancels(lake) -> DataFrame:
 @entity("silver.income_bridge")
 def income_bridge(lake) -> DataFrame:
     cf = lake.roles.cash_flow.filter(F.col("cash_flow_type") == "INCOME")
-    cf = resolve_keys(cf, _xw(lake), "state_street", "portfolio_source_key", "portfolio_enterprise_key")
+    cf = resolve(lake, cf, "state_street", "portfolio_source_key", "portfolio_enterprise_key")
     cf = _cjoin(lake, cf, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "pd_", how="inner")
     cf = _usd(lake, cf, {"income_amount_usd": "amount_local"}, "currency_code", "cash_flow_date")
     cf = dense_row_id(cf, [F.col("cash_flow_date"), F.col("portfolio_source_key"), F.col("event_id")],

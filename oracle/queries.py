@@ -238,6 +238,9 @@ SELECT g.group_name, count(DISTINCT a.investor_sk) AS investors_in_group,
 FROM k_dim_portfolio_group g LEFT JOIN (SELECT * FROM k_investor_pg_alloc WHERE is_current) a
   ON g.portfolio_group_sk = a.portfolio_group_sk
 WHERE g.is_current GROUP BY g.group_name"""
+FINAL["ownership_distribution"] = """
+SELECT CAST(ownership_percentage AS DOUBLE) AS ownership_percentage, count(*) AS entity_count
+FROM k_portfolio_entity_alloc WHERE is_current GROUP BY 1"""
 FINAL["dimension_counts"] = """
 SELECT 'investors' AS entity_type, count(*) AS row_count FROM customer
 UNION ALL SELECT 'portfolio_groups', count(*) FROM k_dim_portfolio_group WHERE is_current
@@ -485,6 +488,9 @@ FINAL["gate_conflict_density"] = _gate_row(
     "conflict_density", "entity_name", "CAST(conf AS DOUBLE) / NULLIF(CAST(rows AS DOUBLE), 0)", 0.5,
     "COALESCE(CAST(conf AS DOUBLE) / NULLIF(CAST(rows AS DOUBLE), 0), 0.0) < 0.5") + """
 FROM (SELECT entity_name, sum(row_count) AS rows, sum(conflict_rows) AS conf FROM b_lineage_audit GROUP BY 1)"""
+FINAL["gate_missing_fx"] = _gate_row("missing_fx", "currency_code", "n", 0, "n = 0") + """
+FROM (SELECT currency_code, count(*) FILTER (WHERE fx_rate_to_usd IS NULL) AS n
+      FROM s_position WHERE currency_code <> 'USD' GROUP BY currency_code)"""
 FINAL["triplet_coverage"] = """
 WITH teams AS (SELECT bu_code AS team_code FROM s_business_unit_dim WHERE is_current),
 covered AS (SELECT team_code FROM g_team_position INTERSECT SELECT team_code FROM g_team_portfolio_analytics)

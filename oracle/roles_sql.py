@@ -234,7 +234,7 @@ UNION ALL
 SELECT 'REG_' || CAST(r_regionkey AS VARCHAR), r_name, 'RG_ROOT', 2, 'REGION' FROM region""",
     "r_fx_rate": """
 WITH span AS (
-  SELECT min(d) AS lo, max(d) AS hi FROM (
+  SELECT greatest(min(d), DATE '1970-01-01') AS lo, least(max(d), DATE '2100-12-31') AS hi FROM (
     SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem UNION ALL
     SELECT CAST(o_orderdate AS DATE) FROM orders UNION ALL
     SELECT CAST(ts AS DATE) FROM events)),
