@@ -343,7 +343,7 @@ def find_anchors(texts: DataFrame, length: int, parts: int, hot: int) -> DataFra
             yield CAND, None, int(rows["text"][a]), None, None, np.unique(places[a:b]).astype("<i8").tobytes()
 
     dealt = texts.mapInArrow(lambda it: batches(emit(it), packed, 64), "part int, kind int, data binary")
-    return cut(dealt.repartition(parts, "part").mapInArrow(lambda it: batches(meet(it), FOUND_FIELDS, 2048), FOUND))
+    return cut(dealt.repartitionById(parts, "part").mapInArrow(lambda it: batches(meet(it), FOUND_FIELDS, 2048), FOUND))
 
 
 REF = np.dtype([("id", "<i8"), ("text", "<i8"), ("at", "<i8"), ("times", "<i4")])
@@ -447,7 +447,7 @@ def repeated_spans(rows: DataFrame, length: int, symbols: int, parts: int) -> Da
 
     fields = pa.schema([("text_key", pa.int64()), ("spans", pa.binary())])
     dealt = rows.mapInArrow(lambda it: batches(emit(it), packed, 4), "part int, refs binary, windows binary, "
-                            "ids array<long>, grams array<long>, segments array<binary>").repartition(parts, "part")
+                            "ids array<long>, grams array<long>, segments array<binary>").repartitionById(parts, "part")
     spans = dealt.mapInArrow(lambda it: batches(meet(it), fields, 2048), "text_key long, spans binary")
     return cut(spans.groupBy("text_key").agg(F.collect_list("spans").alias("spans")))
 
@@ -462,7 +462,7 @@ def find_spans(texts: DataFrame, length: int, symbols: int, hot: int = HOT) -> t
         raise ValueError("length must be a multiple of symbols and twice an anchor's bytes at least")
     spark = texts.sparkSession
     text_batches(spark)
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = texts.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     found = find_anchors(keyed, length, parts, hot)
     docs = found.where(F.col("kind") == DOC).select("doc_id", "text_key", "n", "sha")
