@@ -5,11 +5,12 @@ threshold lie in the same or in neighbouring bands. For a pair of neighbouring
 bands the symmetric difference of two linked sets is at most some D; if the
 hash space is cut into D + 1 parts or more, the two sets agree on a whole part.
 So each set sends a key for each of its parts, and only sets that share a key
-can be linked: no pair is lost. Sets with a common key, and sets joined to them
-in this way, form a tile. In a tile every set has a bitmap of its hashes; the
-count of differing bits bounds the overlap from above, and only pairs that pass
-have their sorted arrays intersected. Pairs that are connected already are
-skipped, so a group of copies costs one comparison for each member.
+can be linked: no pair is lost. Every set has a bitmap of its hashes; the count
+of differing bits bounds the overlap from above. In the groups of a common key,
+short bitmaps drop the pairs that can't be linked; sets joined by what is left
+form a tile. In a tile longer bitmaps are compared first, and only pairs that
+pass have their sorted arrays intersected. Pairs that are connected already
+are skipped, so a group of copies costs one comparison for each member.
 
 Equal sets are one node from the start. A tile over ``tile_nodes`` sets is
 taken apart: first every set is compared with the leader of each of its key
@@ -37,6 +38,7 @@ from .common import batches, cut, ids_and_texts, table, text_batches, utf8
 from .graph import components
 
 TILE_NODES = 8192
+SHORT_WORDS = 8
 FLUSH_ROWS = 1 << 20
 CACHE_WORDS = 500_000
 U = np.uint64
@@ -135,15 +137,15 @@ def node_of(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes()) >> 1
 
 
-CANDIDATES = "kind int, a long, b long, n long, nodes array<long>"
+CANDIDATES = "kind int, a long, b long, n long, nodes array<long>, bits binary"
 CANDIDATE_FIELDS = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()),
-                              ("nodes", pa.list_(pa.int64()))])
-DOC, LINK, GROUP = 0, 1, 2
+                              ("nodes", pa.list_(pa.int64())), ("bits", pa.binary())])
+DOC, KEYS, GROUP = 0, 1, 2
 
 
 def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int) -> DataFrame:
-    """Rows of three kinds: DOC (doc_id, node, set size), LINK (node, node: in one
-    tile) and GROUP (digest, nodes: sets with a common key, in chunks).
+    """Rows of two kinds: DOC (doc_id, node, set size, short bitmap) and GROUP
+    (digest, nodes: sets with a common key, in chunks).
 
     Keys travel packed, 12 bytes each, dealt by key, and meet in sorted arrays;
     partition counts follow the session's shuffle partitions."""
@@ -156,9 +158,8 @@ def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int)
 
         def flush() -> Iterator[tuple]:
             nonlocal turn
-            if docs:
-                raw = np.asarray(docs, "<i8").tobytes()
-                yield turn % parts, DOC, raw
+            for head, bits in docs:
+                yield turn % parts, DOC, np.asarray(head, "<i8").tobytes() + bits
                 turn += 1
             if keys:
                 k, v = np.concatenate(keys), np.concatenate(nodes)
@@ -169,7 +170,7 @@ def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int)
                 for p in range(parts):
                     a, b = ends[p], ends[p + 1]
                     if b > a:
-                        yield p, LINK, (k[a:b] & U(0xFFFFFFFF)).astype("<u4").tobytes() + v[a:b].astype("<i8").tobytes()
+                        yield p, KEYS, (k[a:b] & U(0xFFFFFFFF)).astype("<u4").tobytes() + v[a:b].astype("<i8").tobytes()
 
         def rows() -> Iterator[tuple]:
             nonlocal keys, nodes, docs, held, turn
@@ -177,13 +178,14 @@ def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int)
                 turn += 1
                 for doc, h in zip(batch.column(0).to_pylist(), sets_of(utf8(batch.column(1)), n, known)):
                     node = node_of(h) if len(h) else 0
-                    docs.append((0 if doc is None else doc, doc is None, node, len(h)))
+                    docs.append(((0 if doc is None else doc, doc is None, node, len(h)),
+                                 bitmap(h, SHORT_WORDS << (len(h) // 1024).bit_length()).tobytes()))
                     if len(h):
                         k = keys_of(h, bands)
                         keys.append(k)
                         nodes.append(np.full(len(k), node, np.int64))
                         held += len(k)
-                if held > FLUSH_ROWS:
+                if held > FLUSH_ROWS or len(docs) > 1 << 15:
                     yield from flush()
                     keys, nodes, docs, held = [], [], [], 0
             yield from flush()
@@ -194,8 +196,8 @@ def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int)
         for batch in it:
             for kind, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if kind == DOC:
-                    for doc, null, node, size in np.frombuffer(data, "<i8").reshape(-1, 4).tolist():
-                        yield DOC, None if null else doc, node, size, None
+                    doc, null, node, size = np.frombuffer(data, "<i8", 4).tolist()
+                    yield DOC, None if null else doc, node, size, None, data[32:]
                 else:
                     c = len(data) // 12
                     keys.append(np.frombuffer(data, "<u4", c))
@@ -214,31 +216,15 @@ def candidates(texts: DataFrame, n: int, bands_of: tuple[int, int], parts: int)
         starts, sizes = starts[sizes > 1], sizes[sizes > 1]
         if not len(starts):
             return
-        parent: dict[int, int] = {}
         seen: set[int] = set()
-
-        def root(x: int) -> int:
-            while (p := parent.setdefault(x, x)) != x:
-                parent[x] = x = parent.setdefault(p, p)
-            return x
         for s, c in zip(starts.tolist(), sizes.tolist()):
             group = v[s:s + c]
             digest = xxhash.xxh3_64_intdigest(group.tobytes()) >> 1
             if digest in seen:
                 continue
             seen.add(digest)
-            members = group.tolist()
-            a = root(members[0])
-            for x in members[1:]:
-                b = root(x)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    a = min(a, b)
             for at in range(0, c, 4096):
-                yield GROUP, digest, None, c, members[at:at + 4096]
-        for x in list(parent):
-            if (r := root(x)) != x:
-                yield LINK, x, r, None, None
+                yield GROUP, digest, None, c, group[at:at + 4096].tolist(), None
 
     dealt = texts.mapInArrow(emit, "part int, kind int, data binary").repartitionById(parts, "part")
     return cut(dealt.mapInArrow(lambda it: batches(meet(it), CANDIDATE_FIELDS), CANDIDATES))
@@ -271,24 +257,29 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * shared >= num * (len(both) - shared)
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of bits per set, with a few times as many bits as the largest set has members."""
-    longest = max(map(len, sets))
-    bits = min(16_384, max(256, 1 << (4 * longest - 1).bit_length()))
-    out = np.zeros((len(sets), bits // 64), U)
-    for i, h in enumerate(sets):
-        np.bitwise_or.at(out[i], (h >> U(6)) % U(bits // 64), U(1) << (h & U(63)))
+def bitmap(h: np.ndarray, words: int) -> np.ndarray:
+    """A set's bits in ``words`` (a power of two) words: hash modulo the number of bits."""
+    out = np.zeros(words, U)
+    np.bitwise_or.at(out, (h >> U(6)) % U(words), U(1) << (h & U(63)))
     return out
 
 
-def tile_edges(nodes: list[int], sets: list[np.ndarray], group: list[int], num: int, den: int) -> list[tuple[int, int]]:
+def folded(bits: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of several lengths, all brought to the shortest."""
+    words = min(map(len, bits))
+    return np.stack([np.bitwise_or.reduce(b.reshape(-1, words), axis=0) for b in bits])
+
+
+def tile_edges(nodes: list[int], sizes: list[int], maps: np.ndarray, sets: list[np.ndarray] | None, group: list[int],
+               num: int, den: int) -> list[tuple[int, int]]:
     """Every set of a component of two or more with the component's smallest
-    node. ``group``: what is connected already."""
-    order = sorted(range(len(nodes)), key=lambda i: (len(sets[i]), nodes[i]))
-    nodes, sets = [nodes[i] for i in order], [sets[i] for i in order]
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    node. ``group``: what is connected already. Without ``sets`` all pairs that
+    pass the bitmaps' bound count as linked."""
+    order = sorted(range(len(nodes)), key=lambda i: (sizes[i], nodes[i]))
+    nodes, maps = [nodes[i] for i in order], maps[order]
+    sizes = np.asarray([sizes[i] for i in order], np.int64)
+    sets = sets and [sets[i] for i in order]
     _, root = np.unique(np.asarray([group[i] for i in order]), return_inverse=True)
-    maps = bitmaps(sets)
     last = np.searchsorted(sizes, sizes * den // num, side="right")  # the band each set reaches up to
     for i in range(len(nodes)):
         later = i + 1 + np.flatnonzero(root[i + 1:last[i]] != root[i])
@@ -298,6 +289,9 @@ def tile_edges(nodes: list[int], sets: list[np.ndarray], group: list[int], num:
             differ = np.bitwise_count(maps[part] ^ maps[i]).sum(axis=1, dtype=np.int64)
             bound = (sizes[i] + sizes[part] - differ) // 2
             part = part[den * bound >= num * (sizes[i] + sizes[part] - bound)]
+            if sets is None:
+                root[np.isin(root, root[part])] = root[i]
+                continue
             for j in part.tolist():
                 if root[j] != root[i] and linked(sets[i], sets[j], num, den):
                     root[root == root[j]] = root[i]
@@ -315,19 +309,55 @@ def join_tiles(sets: DataFrame, num: int, den: int) -> DataFrame:
     ``sets`` has tile, node, grp, hashes. One tile is in memory at a time."""
     ordered = sets.select("tile", "node", "grp", "hashes").repartition("tile").sortWithinPartitions("tile")
 
+    def edges(nodes: list[int], groups: list[int], held: list[np.ndarray]) -> list[tuple[int, int]]:
+        sizes = list(map(len, held))
+        words = min(256, max(4, (1 << (4 * max(sizes) - 1).bit_length()) // 64))
+        return tile_edges(nodes, sizes, np.stack([bitmap(h, words) for h in held]), held, groups, num, den)
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         key, nodes, groups, held = None, [], [], []
         for batch in it:
             for tile, node, grp, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 if tile != key and nodes:
-                    yield from tile_edges(nodes, held, groups, num, den)
+                    yield from edges(nodes, groups, held)
                     nodes, groups, held = [], [], []
                 key = tile
                 nodes.append(node)
                 groups.append(grp)
                 held.append(np.frombuffer(raw, "<u8"))
         if nodes:
-            yield from tile_edges(nodes, held, groups, num, den)
+            yield from edges(nodes, groups, held)
+
+    return ordered.mapInArrow(lambda it: batches(run(it), EDGE_FIELDS), "a long, b long")
+
+
+def bounded_links(groups: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) that join the sets of each key group which their short bitmaps let
+    pass. A group's bitmaps are in memory at a time, some 100 bytes a set."""
+    rows = groups.select("grp", "node").distinct().join(nodes.select("node", "size", "bits"), "node")
+    ordered = rows.select("grp", "node", "size", "bits").repartition("grp").sortWithinPartitions("grp")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        key, held, done = None, [], set()
+
+        def edges() -> Iterator[tuple]:
+            maps = folded([np.frombuffer(bits, "<u8") for _, _, bits in held])
+            members = [node for node, _, _ in held]
+            for edge in tile_edges(members, [size for _, size, _ in held], maps, None, members, num, den):
+                if edge not in done:
+                    done.add(edge)
+                    yield edge
+        for batch in it:
+            for grp, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if grp != key and held:
+                    yield from edges()
+                    held = []
+                    if len(done) > 1_000_000:
+                        done.clear()
+                key = grp
+                held.append(row)
+        if held:
+            yield from edges()
 
     return ordered.mapInArrow(lambda it: batches(run(it), EDGE_FIELDS), "a long, b long")
 
@@ -391,11 +421,13 @@ def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str
     texts = ids_and_texts(docs, id_col, text_col)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = candidates(texts, n, (num, den), parts)
-    rows = found.where(F.col("kind") == DOC).select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
-    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    tiles = components(found.where(F.col("kind") == LINK).select("a", "b"))
+    rows = found.where(F.col("kind") == DOC).select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n", "bits")
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("size"),
+                                                    F.first("bits").alias("bits"))
+    groups = found.where(F.col("kind") == GROUP).select(F.col("a").alias("grp"), "n", F.explode("nodes").alias("node"))
+    tiles = components(bounded_links(groups, nodes, num, den))
     sizes = tiles.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    placed = cut(tiles.join(sizes, "root").join(nodes, "node").select(
+    placed = cut(tiles.join(sizes, "root").join(nodes.select("node", "first"), "node").select(
         F.col("root").alias("tile"), "node", F.col("first").alias("doc_id"), (F.col("size") > tile_nodes).alias("large")))
 
     small = sets_for(texts, placed.where("not large").select("tile", "node", "doc_id"), n)
@@ -404,12 +436,11 @@ def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str
         F.col("a").alias("node"), F.col("b").alias("root"))
     large = placed.where("large")
     if not large.isEmpty():
-        groups = found.where(F.col("kind") == GROUP).select(F.col("a").alias("grp"), "n", F.explode("nodes").alias("node"))
         roots = roots.unionByName(components(
             large_tiles(groups, large.select("node", "doc_id"), texts, n, num, den, tile_nodes)))
     roots = cut(roots)
 
-    named = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
+    named = nodes.select("node", "first").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
     names = named.join(names, "root").select("node", "component_id")
     out = rows.where("n > 0").join(names, "node").select("doc_id", F.col("n").alias("n_shingles"), "node", "component_id")
