@@ -17,8 +17,9 @@ Every byte that a repeated string of ``length`` bytes covers is removed.
    with a common prefix of a whole window, or its segment occurs twice.
 3. The spans found go back to their texts.
 
-An anchor with more than ``hot`` contexts alike isn't gathered in one task: its
-windows are compared by 128-bit digests spread over all tasks.
+Windows whose context occurs more than ``hot`` times aren't gathered in one task:
+they are compared by 128-bit digests spread over all tasks. The path is chosen
+window by window, by the context that lies inside it, so equal windows take the same.
 
 Equal texts are one text with a count; null texts are empty; texts under
 ``length`` bytes lose nothing. Repeated rows and null ids are documents like
@@ -48,7 +49,8 @@ FILE_BYTES = 64 << 20
 PLACE_BITS = 26  # of a place in a stretch of text; longer texts are read in stretches
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
-DOC, CAND, HOT_FLAG = 0, 1, 1 << 31
+DOC, CAND = 0, 1
+RIGHT, HOT_FLAG = 1 << 31, 1 << 32  # beside a place, which is under 2**31
 
 
 class Powers:
@@ -119,6 +121,12 @@ def context_keys(rolled: Rolled, place: np.ndarray, length: int) -> np.ndarray:
     return np.stack([left, right])
 
 
+def middle(place: int, first: int, end: int, length: int) -> int:
+    """Of an anchor's windows [first, end), those before the result hold its
+    left context, the others its right one."""
+    return min(max(first, place - (length - GRAM + 1) // 2), end)
+
+
 # --- column-wise construction ------------------------------------------------
 
 def column(size: int, kind) -> np.ndarray:
@@ -267,7 +275,8 @@ KEY_KIND = np.dtype([("key", "<u4"), ("text", "<i8"), ("place", "<u4")])
 
 def find_anchors(texts: DataFrame, length: int, parts: int, hot: int) -> DataFrame:
     """DOC rows (one per document) and CAND rows (anchors of a text whose
-    contexts occur more than once, packed)."""
+    contexts occur more than once, packed: place, RIGHT for the right context,
+    HOT_FLAG if it occurs more than ``hot`` times)."""
     packed = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -303,10 +312,10 @@ def find_anchors(texts: DataFrame, length: int, parts: int, hot: int) -> DataFra
                     rolled = Rolled(part)
                     place, *_ = anchors(rolled, length)
                     both = context_keys(rolled, place, length)
-                    for k in both:
+                    for side, k in zip((0, RIGHT), both):
                         there = k != 0
                         c = int(there.sum())
-                        keys.append((k[there], np.full(c, key, np.int64), (place[there] + at).astype(np.uint32)))
+                        keys.append((k[there], np.full(c, key, np.int64), (place[there] + at | side).astype(np.uint32)))
                         size += c
             if size > 1 << 19 or len(docs) > 1 << 16:
                 yield from flush()
@@ -337,7 +346,7 @@ def find_anchors(texts: DataFrame, length: int, parts: int, hot: int) -> DataFra
         rows, size = rows[size > 1], size[size > 1]
         order = np.lexsort((rows["place"], rows["text"]))
         rows, size = rows[order], size[order]
-        places = rows["place"].astype("<i8") | np.where(size > hot, HOT_FLAG << 1, 0)
+        places = rows["place"].astype("<i8") | np.where(size > hot, HOT_FLAG, 0)
         starts = np.flatnonzero(np.append(True, rows["text"][1:] != rows["text"][:-1])) if len(rows) else []
         for a, b in zip(starts, np.append(starts[1:], len(rows)) if len(rows) else []):
             yield CAND, None, int(rows["text"][a]), None, None, np.unique(places[a:b]).astype("<i8").tobytes()
@@ -371,14 +380,22 @@ def repeated_spans(rows: DataFrame, length: int, symbols: int, parts: int) -> Da
             for key, times, places, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                                 batch.column(2).to_pylist(), utf8(batch.column(3))):
                 marked = np.unique(np.concatenate([np.frombuffer(x, "<i8") for x in places]))
-                hot_places = set((marked[marked > HOT_FLAG] & 0xFFFFFFFF).tolist())
-                wanted = np.unique(marked & 0xFFFFFFFF)
+                is_hot = {m & (HOT_FLAG - 1): m >= HOT_FLAG for m in marked.tolist()}
+                wanted = np.unique(marked & (RIGHT - 1))
                 for at, part in stretches(text, length):
                     rolled = Rolled(part)
                     place, gram, first, end = anchors(rolled, length)
                     for k in np.flatnonzero(np.isin(place + at, wanted)).tolist():
-                        a, b = int(first[k]), int(end[k])
-                        if int(place[k]) + at in hot_places:
+                        spot = int(place[k]) + at
+                        mid = middle(int(place[k]), int(first[k]), int(end[k]), length)
+                        cold = []
+                        for side, a, b in ((0, int(first[k]), mid), (RIGHT, mid, int(end[k]))):
+                            hot = is_hot.get(spot | side)
+                            if a == b or hot is None:  # a context that occurs once
+                                continue
+                            if not hot:
+                                cold += [a, b]
+                                continue
                             made = np.empty(b - a, WINDOW)
                             for w in range(a, b):
                                 d = xxhash.xxh3_128_intdigest(part[w:w + length])
@@ -387,7 +404,9 @@ def repeated_spans(rows: DataFrame, length: int, symbols: int, parts: int) -> Da
                             for p in np.unique(owner).tolist():
                                 windows.setdefault(p, []).append(made[owner == p].tobytes())
                             room += made.nbytes
+                        if not cold:
                             continue
+                        a, b = cold[0], cold[-1]
                         segment = part[a:b - 1 + length]
                         id_ = xxhash.xxh3_64_intdigest(segment) >> 1
                         p = int(gram[k]) % parts

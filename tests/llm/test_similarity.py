@@ -154,6 +154,28 @@ def test_repeats_equal_brute_force(spark):
     assert bytes(cleaned[0].spans) == b"x"
 
 
+def test_repeats_with_contexts_on_both_sides_of_the_hot_limit(spark):
+    """Equal windows at the end of a frequent header: one text has the whole header, the other its end only."""
+    g = random.Random(5)
+
+    def noise(n):
+        return "".join(g.choice("abcdefghijklmnop ") for _ in range(n))
+    header, texts = noise(200), []
+    for tail in range(30, 70):
+        passage = noise(60)
+        texts += [header + passage, noise(50) + header[-tail:] + passage + noise(20), passage + noise(30)]
+    raw = [t.encode() for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for length, symbols in ((64, 8), (81, 3)):
+        marks = removed_by_force(raw, length)
+        for hot in (2, 5, 20, 60):
+            got = {r.doc_id: r for r in suffix_dedup.digests(df, length, symbols, hot=hot).collect()}
+            for i, (t, m) in enumerate(zip(raw, marks)):
+                kept = bytes(b for b, x in zip(t, m) if not x)
+                assert (hot, i, got[i].n_removed) == (hot, i, sum(m))
+                assert got[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
 def test_repeats_on_odd_rows(corpus, nothing):
     rows = suffix_dedup.digests(corpus).collect()
     data = corpus.collect()
