@@ -24,8 +24,9 @@ from lakeworks.llm.common import ship, table, text_batches
 from lakeworks.session import ensure_checkpoint_dir
 
 ROW = "_corpus_row"
-#: A passage of more than 50 words has at least this many bytes.
-REPEAT_BYTES = 240
+#: Repeated passages of this many words go, and repeated strings of this many
+#: bytes, whatever their words. 51 short words can have 101 bytes.
+REPEAT_WORDS, REPEAT_BYTES = 51, 240
 
 ORACLE_SQL = None
 
@@ -70,8 +71,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that occur more than once."""
-    return suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES)
+    """Texts without the passages of more than 50 words, or of 240 bytes, that occur more than once."""
+    return suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES, words=REPEAT_WORDS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -471,6 +471,39 @@ def repeated_spans(rows: DataFrame, length: int, symbols: int, parts: int) -> Da
     return cut(spans.groupBy("text_key").agg(F.collect_list("spans").alias("spans")))
 
 
+BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def short_passages(text: bytes, words: int, under: int) -> np.ndarray:
+    """[start, end) of every run of ``words`` words that has fewer than ``under`` bytes."""
+    blank = np.ones(len(text) + 2, bool)
+    blank[1:-1] = BLANK[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    runs = np.stack([edges[::2][:max(0, len(edges) // 2 - words + 1)], edges[1::2][words - 1:]], axis=1)
+    return runs[runs[:, 1] - runs[:, 0] < under]
+
+
+def short_spans(texts: DataFrame, words: int, under: int) -> DataFrame:
+    """(text_key, spans): passages of ``words`` words and fewer than ``under``
+    bytes that occur more than once, in one text or in several. They are compared
+    by 126 bits of their digests. Digests are counted before the shuffle and the
+    join can be split, so a common passage doesn't meet in one task."""
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("text_key", pa.int64()), ("span", pa.binary())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in it:
+            for key, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                for span in short_passages(text, words, under):
+                    d = xxhash.xxh3_128_intdigest(text[span[0]:span[1]])
+                    yield d >> 65, d & ((1 << 63) - 1), key, span.astype("<i8").tobytes()
+
+    found = cut(texts.select(text_key(F.col("text")).alias("text_key"), "text").mapInArrow(
+        lambda it: batches(run(it), fields), "a long, b long, text_key long, span binary"))
+    repeated = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("a", "b")
+    return (found.join(repeated, ["a", "b"], "left_semi")
+            .groupBy("text_key").agg(F.collect_set("span").alias("spans")))
+
+
 def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
@@ -521,11 +554,17 @@ def digests(docs: DataFrame, length: int = LENGTH, symbols: int = SYMBOLS, id_co
     return changed.unionByName(same)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, symbols: int = SYMBOLS, text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, symbols: int = SYMBOLS, text_col: str = "text",
+                   words: int | None = None) -> DataFrame:
     """``docs`` with every repeated string of ``length`` bytes taken out of its
-    texts. Pieces of a character that a cut leaves are dropped; null texts stay null."""
+    texts, and every repeated passage of ``words`` words if that is given, however
+    few its bytes. Pieces of a character that a cut leaves are dropped; null texts stay null."""
     from pyspark.sql.functions import arrow_udf
-    _, spans = find_spans(ids_and_texts(docs, "doc_id", text_col), length, symbols)
+    texts = ids_and_texts(docs, "doc_id", text_col)
+    _, spans = find_spans(texts, length, symbols)
+    if words:  # a passage of ``length`` bytes or more is among the spans
+        spans = spans.unionByName(short_spans(texts, words, length)).groupBy("text_key").agg(
+            F.flatten(F.collect_list("spans")).alias("spans"))
     spans = spans.select(F.col("text_key").alias("_repeat_key"), F.col("spans").alias("_repeat_spans"))
 
     @arrow_udf("string")

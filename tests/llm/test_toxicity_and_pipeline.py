@@ -95,6 +95,25 @@ def test_pipeline_stages(spark, corpus, nothing, tmp_path):
     assert texts[1] is None and texts[4] == "one" and texts[14] == "" and texts[17] == "prefix  suffix"
 
 
+def test_repeated_passages_of_51_short_words_go(spark, tmp_path):
+    g = random.Random(11)
+
+    def words(n, sizes=(1, 2)):
+        return " ".join("".join(g.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(g.choice(sizes))) for _ in range(n))
+    short, fewer, tiny, once, wide = words(51), words(50), words(60, (1,)), words(51), words(51, (5, 6))
+    assert len(short) < corpus_pipeline.REPEAT_BYTES and len(tiny) < 120 and len(wide) > corpus_pipeline.REPEAT_BYTES
+    own = iter([f"own{i}" for i in range(99)])
+    rows = [(i, f"{next(own)} {p} {next(own)}") for i, p in enumerate([short, short, fewer, fewer, tiny, tiny, once, wide, wide])]
+    rows += [(9, f"{next(own)} {tiny}\n{next(own)}\n{tiny}"), (10, None), (11, ""), (None, tiny), (12, f"x{short}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_repeats(spark, docs, str(tmp_path)).collect()}
+    assert len(got) == len(rows) and got[10] is None and got[11] == "" and got[None] == ""
+    assert got[0] == "own0  own1" and got[1] == "own2  own3" and " " not in got[8]
+    assert got[4] == "own8  own9" and got[9] == "own18 \nown19\n"
+    # 50 words, one occurrence, and a first word that is part of another one stay
+    assert all(got[i] == dict(rows)[i] for i in (2, 3, 6, 12))
+
+
 def test_whole_pipeline_on_the_small_tables(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
