@@ -32,7 +32,13 @@ ORACLE_SQL = None
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """``docs`` with row numbers, stored in the shared folder: a number that is
+    made again in a later job may stand for another row, since the splits of a
+    read follow the cores there are at the time."""
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    path = f"{ensure_checkpoint_dir(docs.sparkSession)}/rows-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:

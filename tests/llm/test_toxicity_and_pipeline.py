@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeworks.llm import toxicity
+from lakeworks.llm import common, toxicity
 
 INSULTS = ["stupid", "moron", "scum"]
 
@@ -95,6 +95,26 @@ def test_pipeline_stages(spark, corpus, nothing, tmp_path):
     assert texts[1] is None and texts[4] == "one" and texts[14] == "" and texts[17] == "prefix  suffix"
 
 
+@pytest.mark.parametrize("stage, operator, method", [("exact_dedup", corpus_pipeline.exact_dedup, "dedup"),
+                                                     ("shingle_join", corpus_pipeline.shingle_join, "join")])
+def test_rows_keep_their_numbers_when_the_read_is_split_anew(spark, tmp_path, monkeypatch, stage, operator, method):
+    path, setting = str(tmp_path / "documents"), "spark.sql.files.maxPartitionBytes"
+    rows = [(i, " ".join(f"w{i % 25}x{k}" for k in range(20 + i))[:90]) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(path)
+    docs, real, before = spark.read.parquet(path), getattr(operator, method), spark.conf.get(setting)
+
+    def then_other_splits(*args, **kwargs):
+        found = common.cut(real(*args, **kwargs))
+        spark.conf.set(setting, "1000")
+        return found
+    monkeypatch.setattr(operator, method, then_other_splits)
+    try:
+        kept = dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path)).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(r.doc_id for r in kept) == list(range(25))
+
+
 def test_repeated_passages_of_51_short_words_go(spark, tmp_path):
     g = random.Random(11)
 
