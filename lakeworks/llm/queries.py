@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_format, exact_dedup, packing, sharding, shingle_join, suffix_dedup, token_counts, toxicity, vector_search
+from . import (byte_bpe, chat_format, exact_dedup, hard_negatives, packing, periodic_runs, secret_scan, sharding, shingle_join,
+               suffix_dedup, token_counts, toxicity, vector_search)
 from .common import table
 
 
@@ -35,6 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_search": vector_search.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_packing": op10,
+    "op11_secret_scan": secret_scan.query,
+    "op12_periodic_runs": periodic_runs.query,
+    "op13_hard_negatives": hard_negatives.query,
 }
 
 ORACLE: dict[str, str] = {
