@@ -16,7 +16,6 @@ CURRENCIES = ["USD", "EUR", "GBP", "JPY", "CAD", "AUD"]
 # Made-up FX base rates to USD in units of 1e-4 (EUR 1.20, GBP 1.50, JPY 0.01, CAD 0.80, AUD 0.70)
 FX_BASE_E4 = {"EUR": 12000, "GBP": 15000, "JPY": 100, "CAD": 8000, "AUD": 7000}
 FX_EPOCH = dt.date(1995, 1, 1)
-FX_FIRST, FX_LAST = dt.date(1970, 1, 1), dt.date(2100, 12, 31)   # rates exist for these days at most
 FX_GAP_EVERY = 97                       # days with day_index % 97 = 0 have no rate
 
 # Rating letter -> ordinal score (fixed values)

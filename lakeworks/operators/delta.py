@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,15 +18,22 @@ def row_hash(cols: Sequence[str]) -> Column:
     return F.xxhash64(*parts)
 
 
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of ``keys`` with the columns named ``prefix`` + key."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 def hash_delta(src: DataFrame, tgt: DataFrame, keys: Sequence[str], compare: Sequence[str]) -> DataFrame:
     """Classify every key as INSERT / UPDATE / SOFT_DELETE / UNCHANGED.
 
     Full outer join on the keys with a per-row hash compare: one shuffle of
-    each side on the keys.
+    each side on the keys. Null keys are keys like any other.
     """
     s = src.select(*keys, row_hash(compare).alias("__hs"), F.lit(True).alias("__in_s"))
-    t = tgt.select(*keys, row_hash(compare).alias("__ht"), F.lit(True).alias("__in_t"))
-    j = s.join(t, list(keys), "full_outer")
+    t = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys], row_hash(compare).alias("__ht"), F.lit(True).alias("__in_t"))
+    j = s.join(t, same_keys(keys, "__t_"), "full_outer")
+    j = j.select(*[F.when(F.col("__in_s").isNull(), F.col(f"__t_{k}")).otherwise(F.col(k)).alias(k) for k in keys],
+                 "__hs", "__ht", "__in_s", "__in_t")
     action = (F.when(F.col("__in_t").isNull(), "INSERT")
               .when(F.col("__in_s").isNull(), "SOFT_DELETE")
               .when(F.col("__hs") != F.col("__ht"), "UPDATE")
@@ -51,9 +59,10 @@ def watermark_delta(src: DataFrame, tgt: DataFrame, keys: Sequence[str], wm_col:
     INSERT (new key) or UPDATE (known key). The watermark is a 1-row aggregate."""
     wm = tgt.agg(F.max(wm_col).alias("__wm"))
     fresh = src.crossJoin(F.broadcast(wm)).filter(F.col("__wm").isNull() | (F.col(wm_col) > F.col("__wm")))
-    known = tgt.select(*keys).distinct().withColumn("__known", F.lit(True))
-    j = fresh.join(known, list(keys), "left")
-    return j.withColumn("action", F.when(F.col("__known").isNull(), "INSERT").otherwise("UPDATE")).drop("__wm", "__known")
+    known = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct().withColumn("__known", F.lit(True))
+    j = fresh.join(known, same_keys(keys, "__t_"), "left")
+    return j.withColumn("action", F.when(F.col("__known").isNull(), "INSERT").otherwise("UPDATE")).drop(
+        "__wm", "__known", *[f"__t_{k}" for k in keys])
 
 
 def merge_update(tgt: DataFrame, updates: DataFrame, keys: Sequence[str], set_cols: Sequence[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Currency normalisation (F1).
 
-The FX frame holds one row per (currency pair, calendar day): its size is
-bounded by the calendar, not by the facts, so broadcasting it is safe.
+The FX frame holds one row per (currency pair, calendar day). It is shuffled on
+its own first, so that its measured size, not an estimate, decides whether the
+join broadcasts it; the fact is shuffled only beyond the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ def normalize_currency(df: DataFrame, fx: DataFrame, amounts: dict[str, str], cc
     """
     rates = fx.filter(F.col("to_currency") == to).select(
         F.col("from_currency").alias("__fx_from"), F.col("rate_date").alias("__fx_date"),
-        F.col("fx_rate").alias(rate_col))
-    j = df.join(F.broadcast(rates), (F.col(ccy_col) == F.col("__fx_from")) & (F.col(date_col) == F.col("__fx_date")),
+        F.col("fx_rate").alias(rate_col)).repartition("__fx_from", "__fx_date")
+    j = df.join(rates, (F.col(ccy_col) == F.col("__fx_from")) & (F.col(date_col) == F.col("__fx_date")),
                 "left").drop("__fx_from", "__fx_date")
     rate = F.coalesce(F.col(rate_col), F.lit(1.0).cast("decimal(2,1)")) if missing == "one" else F.col(rate_col)
     for out, src in amounts.items():

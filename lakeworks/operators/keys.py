@@ -8,6 +8,7 @@ AQE turns the join into a broadcast only when the runtime size allows it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,11 @@ def build_crosswalk(arms: Sequence[DataFrame]) -> DataFrame:
 
 
 def merge_insert(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """MERGE ... WHEN NOT MATCHED INSERT: target plus source rows with new keys."""
-    new = src.join(tgt.select(*keys), list(keys), "left_anti")
+    """MERGE ... WHEN NOT MATCHED INSERT: target plus source rows with new keys
+    (S10). Null keys are keys like any other, so a second run inserts none again."""
+    known = tgt.select(*[F.col(k).alias(f"__k_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    new = src.join(known, same, "left_anti")
     return tgt.unionByName(new.select(*tgt.columns))
 
 
@@ -56,18 +60,40 @@ def resolve_keys(df: DataFrame, xw: DataFrame, system: str | Column, key_col: st
     return df.join(m, (F.col("__xk") == F.col(key_col)) & (F.col("__xs") == sys_col), "left").drop("__xs", "__xk")
 
 
-def key_kind(key: Column) -> Column:
-    """The family of a source key: the capitals before its first underscore."""
-    return F.when(key.rlike("^[A-Z]+_"), F.regexp_extract(key, "^([A-Z]+)_", 1)).otherwise(F.lit("NONE"))
-
-
-def lookup_keys(df: DataFrame, lookup: DataFrame, system: str, key_col: str, out_col: str, kind: str) -> DataFrame:
-    """As :func:`resolve_keys`, from a stored lookup of one row per (system,
-    key), kept in folders by system and kind: one join, no pass over ``df``
-    before it. Only the mappings of one key family are read, so a dimension's
-    keys stay small next to a fact's. Keys of another kind are unmapped."""
-    m = lookup.filter((F.col("source_system") == system) & (F.col("key_kind") == kind))
+def explode_keys(df: DataFrame, keys: Sequence[tuple[str, str, str, Column]]) -> DataFrame:
+    """All key columns of a raw frame in one pass over it (C7, C8): one row
+    (source_system, domain, source_key, enterprise_key) for each of ``keys``
+    (system, domain, key column, enterprise key). Null keys are dropped."""
+    found = F.array(*[F.struct(F.lit(system).alias("source_system"), F.lit(domain).alias("domain"),
+                               F.col(key).cast("string").alias("source_key"), ek.alias("enterprise_key"))
+                      for system, domain, key, ek in keys])
+    return df.select(F.inline(found)).filter(F.col("source_key").isNotNull())
+
+
+def lookup_of(keys: DataFrame) -> DataFrame:
+    """source_system, domain, source_key, enterprise_key: the current mapping of
+    every (system, key), once for each domain that a frame names the key in. A
+    mapping of no domain (added by hand) has domain NULL and counts for all."""
+    best = keys.groupBy("source_system", "source_key").agg(
+        F.max("enterprise_key").alias("enterprise_key"),
+        F.collect_set(F.coalesce("domain", F.lit(""))).alias("domains"))  # a handful of code values
+    domains = F.when(F.array_contains("domains", ""), F.array(F.lit(""))).otherwise(F.col("domains"))
+    return best.select("source_system", F.explode(domains).alias("domain"), "source_key", "enterprise_key").withColumn(
+        "domain", F.when(F.col("domain") != "", F.col("domain")))
+
+
+def lookup_keys(df: DataFrame, lookup: DataFrame, system: str, key_col: str, out_col: str,
+                domain: str | None = None) -> DataFrame:
+    """As :func:`resolve_keys`, from a stored lookup (:func:`lookup_of`) kept in
+    folders by system and domain: one join, no pass over ``df`` before it. With a
+    ``domain`` only the keys that some frame names in that domain are read, so a
+    dimension's keys stay small next to a fact's; without one, all of the system."""
+    m = lookup.filter(F.col("source_system") == system)
+    if domain:
+        m = m.filter((F.col("domain") == domain) | F.col("domain").isNull())
     m = m.select(F.col("source_key").alias("__xk"), F.col("enterprise_key").alias(out_col))
+    if not domain:
+        m = m.distinct()  # a key may be listed in several domains
     return df.join(m, F.col("__xk") == F.col(key_col), "left").drop("__xk")
 
 

@@ -2,44 +2,70 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.operators.dedup import latest_wins
-from lakeworks.operators.keys import build_crosswalk, current_mappings, key_kind, lookup_keys
+from lakeworks.operators.keys import build_crosswalk, current_mappings, explode_keys, lookup_keys, lookup_of
 from lakeworks.operators.unify import conflict_sources, unify_sources
 from lakeworks.plans.registry import entity
 
+
 def _no_conflicts():
     return F.array().cast("array<string>")
 
 
-def _arm(df: DataFrame, system: str, key: str = "source_key", ek=None) -> DataFrame:
-    ek = ek if ek is not None else F.col("enterprise_key")
-    return df.select(F.lit(system).alias("source_system"), F.col(key).alias("source_key"), ek.alias("enterprise_key"))
-
-
-def _fk_arm(df: DataFrame, system: str, key: str) -> DataFrame:
-    """Register a foreign-key string under its canonical key 'EK_' || key."""
-    return _arm(df, system, key, F.concat(F.lit("EK_"), F.col(key)))
+def _own(frame: str, system: str, domain: str, key: str = "source_key", ek: str | None = "enterprise_key") -> tuple:
+    """A frame's own keys; without ``ek`` under the canonical key 'EK_' || key."""
+    return frame, system, domain, key, ek
+
+
+# the key columns of the raw frames: first what each row is, then what it names
+# of other frames (C8: under the canonical key 'EK_' || key)
+KEY_COLUMNS = [
+    _own("security", "aspen", "security"), _own("entity", "aspen", "entity"), _own("asset", "aspen", "asset"),
+    _own("contract", "efront", "contract"), _own("portfolio", "state_street", "portfolio"),
+    _own("team", "internal_admin", "team"), _own("position", "state_street", "position"),
+    _own("settled_transaction", "state_street", "transaction"), _own("trade_blotter", "aladdin", "transaction"),
+    _own("rating", "aspen", "rating", ek=None), _own("security_rating", "aspen", "rating", ek=None),
+    _own("industry", "aspen", "industry", "classification_code", None),
+    _own("reporting_group", "aspen", "reporting_group", "group_code", None),
+    _own("compliance", "aladdin", "risk_team", "risk_team_code", None),
+    ("position", "state_street", "security", "security_source_key", None),
+    ("position", "state_street", "portfolio", "portfolio_source_key", None),
+    ("contract", "efront", "entity", "entity_source_key", None),
+    ("security", "aspen", "issuer", "issuer_source_key", None),
+    ("portfolio_risk", "aladdin", "portfolio", "portfolio_source_key", None),
+    ("collateral_position", "efront", "contract", "contract_source_key", None),
+    ("collateral_position", "efront", "security", "security_source_key", None),
+    ("cash_flow", "state_street", "portfolio", "portfolio_source_key", None),
+    ("settled_transaction", "state_street", "portfolio", "portfolio_source_key", None),
+    ("settled_transaction", "state_street", "security", "security_source_key", None),
+    ("trade_blotter", "aladdin", "portfolio", "portfolio_source_key", None),
+    ("trade_blotter", "aladdin", "security", "security_source_key", None),
+    ("rating", "aspen", "entity", "entity_source_key", None),
+    ("security_rating", "aspen", "security", "security_source_key", None),
+]
+
+
+@entity("bronze.crosswalk_keys", table=True)
+def crosswalk_keys(lake) -> DataFrame:
+    """Every (system, domain, key, enterprise key) that a raw frame holds: one
+    pass over each frame for all its key columns, then one distinct, which
+    Spark runs before and after its single shuffle."""
+    by_frame: dict[str, list] = {}
+    for frame, system, domain, key, ek in KEY_COLUMNS:
+        by_frame.setdefault(frame, []).append(
+            (system, domain, key, F.col(ek) if ek else F.concat(F.lit("EK_"), F.col(key))))
+    arms = [explode_keys(getattr(lake.roles, frame), keys) for frame, keys in by_frame.items()]
+    return reduce(DataFrame.unionByName, arms).distinct()
 
 
 @entity("bronze.crosswalk", table=True)
 def crosswalk(lake) -> DataFrame:
-    r = lake.roles
-    arms = [
-        _arm(r.security, "aspen"), _arm(r.entity, "aspen"), _arm(r.asset, "aspen"),
-        _arm(r.contract, "efront"), _arm(r.portfolio, "state_street"), _arm(r.team, "internal_admin"),
-        _arm(r.position, "state_street"), _arm(r.settled_transaction, "state_street"),
-        _arm(r.trade_blotter, "aladdin"),
-        _fk_arm(r.position, "state_street", "security_source_key"),
-        _fk_arm(r.contract, "efront", "entity_source_key"),
-        _fk_arm(r.security, "aspen", "issuer_source_key"),
-        _fk_arm(r.portfolio_risk, "aladdin", "portfolio_source_key"),
-        _fk_arm(r.collateral_position, "efront", "contract_source_key"),
-        _fk_arm(r.cash_flow, "state_street", "portfolio_source_key"),
-    ]
-    return build_crosswalk(arms).withColumn("mapping_active", F.lit(True))
+    return build_crosswalk([lake.get("bronze.crosswalk_keys")]).withColumn("mapping_active", F.lit(True))
 
 
 @entity("bronze.crosswalk_active")
@@ -52,20 +78,20 @@ def crosswalk_current(lake) -> DataFrame:
     return current_mappings(lake.get("bronze.crosswalk").filter(F.col("mapping_active")))
 
 
-@entity("bronze.crosswalk_lookup", table=True, partition=("source_system", "key_kind"))
+@entity("bronze.crosswalk_lookup", table=True, partition=("source_system", "domain"))
 def crosswalk_lookup(lake) -> DataFrame:
-    """The current mapping of every (system, key), stored by system and key family."""
-    xw = lake.get("bronze.crosswalk_current").select("source_system", "source_key", "enterprise_key")
-    return xw.withColumn("key_kind", key_kind(F.col("source_key")))
+    """The current mapping of every (system, key), stored by system and domain."""
+    return lookup_of(lake.get("bronze.crosswalk_keys"))
 
 
-# the family of the keys in each foreign-key column
-KEY_KINDS = {"portfolio_source_key": "SUP", "security_source_key": "PRT", "contract_source_key": "ORD",
-             "original_source_key": "ORD", "entity_source_key": "CUS", "issuer_source_key": "BRD", "bu_source_key": "BU"}
+# the domain that each foreign-key column points to
+KEY_DOMAINS = {"portfolio_source_key": "portfolio", "security_source_key": "security", "contract_source_key": "contract",
+               "original_source_key": "contract", "entity_source_key": "entity", "issuer_source_key": "issuer",
+               "bu_source_key": "team"}
 
 
-def resolve(lake, df, system, key_col, out_col, kind=None):
-    return lookup_keys(df, lake.get("bronze.crosswalk_lookup"), system, key_col, out_col, kind or KEY_KINDS[key_col])
+def resolve(lake, df, system, key_col, out_col, domain=None):
+    return lookup_keys(df, lake.get("bronze.crosswalk_lookup"), system, key_col, out_col, domain or KEY_DOMAINS[key_col])
 
 
 @entity("bronze.security")

@@ -36,7 +36,7 @@ def _entity_of_contract(lake, df: DataFrame, contract_key: str, date_col: str) -
     owners = lake.roles.contract.filter(F.col("version_no") == 1).select(
         F.col("source_key").alias("__ck"), F.col("entity_source_key").alias("__esk"))
     j = df.join(owners, F.col(contract_key) == F.col("__ck"), "inner").drop("__ck")
-    j = resolve(lake, j, "efront", "__esk", "__eek", kind="CUS").drop("__esk")
+    j = resolve(lake, j, "efront", "__esk", "__eek", domain="entity").drop("__esk")
     ed = lake.get("silver.entity_dim").select(
         F.col("enterprise_key").alias("__ed_key"), "entity_sk",
         F.col("effective_start_date").alias("__ed_s"), F.col("effective_end_date").alias("__ed_e"))

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.config import CURRENCIES, FX_BASE_E4, FX_EPOCH, FX_FIRST, FX_GAP_EVERY, FX_LAST, LakeConfig
+from lakeworks.config import CURRENCIES, FX_BASE_E4, FX_EPOCH, FX_GAP_EVERY, LakeConfig
 from lakeworks.functions.scalar import currency_of, day, money, pick
 from lakeworks.sources.tables import Tables
 
@@ -480,16 +480,17 @@ class Roles:
     def fx_rate(self) -> DataFrame:
         """Daily X->USD rates for every day of the span the data covers.
 
-        One row per (currency, day), of days from FX_FIRST to FX_LAST only, so
-        one wrong date in the data can't stretch the span.
+        One row per (currency, day); a date that is far off makes the calendar
+        longer, at most to the years 1 to 9999 that a date can name.
         Days with day_index % 97 = 0 are missing on purpose (default path).
         """
         li, o, e = self.t.lineitem, self.t.orders, self.t.events
         spans = (li.select(day("l_shipdate").alias("d"))
                  .unionByName(o.select(day("o_orderdate").alias("d")))
                  .unionByName(e.select(day("ts").alias("d")))
-                 .agg(F.greatest(F.min("d"), F.lit(FX_FIRST)).alias("lo"), F.least(F.max("d"), F.lit(FX_LAST)).alias("hi")))
-        days = spans.select(F.explode(F.sequence(F.col("lo"), F.date_add(F.col("hi"), 730))).alias("rate_date"))
+                 .agg(F.min("d").alias("lo"), F.max("d").alias("hi")))
+        last = F.date_add(F.least(F.col("hi"), F.date_sub(F.lit(dt.date(9999, 12, 31)), 730)), 730)
+        days = spans.select(F.explode(F.sequence(F.col("lo"), F.greatest(last, F.col("hi")))).alias("rate_date"))
         idx = F.datediff(F.col("rate_date"), F.lit(FX_EPOCH))
         days = days.withColumn("__day", idx).filter(F.col("__day") % FX_GAP_EVERY != 0)
         pairs = self.spark.createDataFrame(

@@ -33,7 +33,20 @@ SELECT DISTINCT source_system, source_key, enterprise_key, TRUE AS mapping_activ
   SELECT 'aspen', issuer_source_key, 'EK_' || issuer_source_key FROM r_security UNION ALL
   SELECT 'aladdin', portfolio_source_key, 'EK_' || portfolio_source_key FROM r_portfolio_risk UNION ALL
   SELECT 'efront', contract_source_key, 'EK_' || contract_source_key FROM r_collateral_position UNION ALL
-  SELECT 'state_street', portfolio_source_key, 'EK_' || portfolio_source_key FROM r_cash_flow
+  SELECT 'state_street', portfolio_source_key, 'EK_' || portfolio_source_key FROM r_cash_flow UNION ALL
+  SELECT 'aspen', source_key, 'EK_' || source_key FROM r_rating UNION ALL
+  SELECT 'aspen', source_key, 'EK_' || source_key FROM r_security_rating UNION ALL
+  SELECT 'aspen', classification_code, 'EK_' || classification_code FROM r_industry UNION ALL
+  SELECT 'aspen', group_code, 'EK_' || group_code FROM r_reporting_group UNION ALL
+  SELECT 'aladdin', risk_team_code, 'EK_' || risk_team_code FROM r_compliance UNION ALL
+  SELECT 'state_street', portfolio_source_key, 'EK_' || portfolio_source_key FROM r_position UNION ALL
+  SELECT 'efront', security_source_key, 'EK_' || security_source_key FROM r_collateral_position UNION ALL
+  SELECT 'state_street', portfolio_source_key, 'EK_' || portfolio_source_key FROM r_settled_transaction UNION ALL
+  SELECT 'state_street', security_source_key, 'EK_' || security_source_key FROM r_settled_transaction UNION ALL
+  SELECT 'aladdin', portfolio_source_key, 'EK_' || portfolio_source_key FROM r_trade_blotter UNION ALL
+  SELECT 'aladdin', security_source_key, 'EK_' || security_source_key FROM r_trade_blotter UNION ALL
+  SELECT 'aspen', entity_source_key, 'EK_' || entity_source_key FROM r_rating UNION ALL
+  SELECT 'aspen', security_source_key, 'EK_' || security_source_key FROM r_security_rating
 ) WHERE source_key IS NOT NULL""",
     "b_xw_current": _latest("(SELECT * FROM b_crosswalk WHERE mapping_active)", "source_system, source_key",
                             "enterprise_key DESC"),

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import SF_SMALL
+from lake_helpers import SF_SMALL
 from lakeworks.plans import gates
 from lakeworks.plans.registry import Lake
 

@@ -3,9 +3,9 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from lake_helpers import rows
 from lakeworks.operators.delta import delta_counts, hash_delta, incremental_agg, merge_update
-from lakeworks.operators.keys import build_crosswalk, merge_insert, resolve_keys
+from lakeworks.operators.keys import build_crosswalk, explode_keys, lookup_keys, lookup_of, merge_insert, resolve_keys
 from lakeworks.plans.maintenance import add_mappings, supersede_mappings
 
 D = dt.date
@@ -140,3 +140,40 @@ def test_merge_insert_matches_on_the_source_key(spark):
     tgt = spark.createDataFrame([("s", "k1", "E1")], cols)
     src = spark.createDataFrame([("s", "k1", "E9"), ("s", "k2", "E2")], cols)
     assert rows(merge_insert(src, tgt, ["source_system", "source_key"])) == [("s", "k1", "E1"), ("s", "k2", "E2")]
+
+
+def test_lookup_resolves_keys_of_any_form(spark):
+    raw = spark.createDataFrame([("SS_PORT_TEAM_01", "EK_PORT_TEAM_01", "sec-1"), ("p2", "EK2", None), (None, "EK3", "p2")],
+                                "source_key string, enterprise_key string, security_key string")
+    keys = explode_keys(raw, [("state_street", "portfolio", "source_key", F.col("enterprise_key")),
+                              ("state_street", "security", "security_key", F.concat(F.lit("EK_"), F.col("security_key")))])
+    assert rows(keys, "domain", "source_key", "enterprise_key") == [
+        ("portfolio", "SS_PORT_TEAM_01", "EK_PORT_TEAM_01"), ("portfolio", "p2", "EK2"), ("security", "p2", "EK_p2"),
+        ("security", "sec-1", "EK_sec-1")]
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 or plan.count("LocalRelation") <= 1          # one pass over the frame
+    by_hand = spark.createDataFrame([("state_street", None, "h1", "EKH"), ("state_street", None, "sec-1", "EK_zz")],
+                                    "source_system string, domain string, source_key string, enterprise_key string")
+    lookup = lookup_of(keys.unionByName(by_hand))
+    facts = spark.createDataFrame([(1, "SS_PORT_TEAM_01"), (2, "p2"), (3, "h1"), (4, "sec-1"), (5, None), (6, "?")], "id int, key string")
+
+    def found(domain, system="state_street"):
+        return [r[1] for r in rows(lookup_keys(facts, lookup, system, "key", "ek", domain), "id", "ek")]
+    # the newest mapping of a key wins in all domains that name it
+    assert found("portfolio") == ["EK_PORT_TEAM_01", "EK_p2", "EKH", "EK_zz", None, None]
+    assert found("security") == [None, "EK_p2", "EKH", "EK_zz", None, None]
+    assert found(None) == found("portfolio") and found("portfolio", "aspen") == [None] * 6
+    whole = keys.unionByName(by_hand).drop("domain")
+    assert [r[1] for r in rows(resolve_keys(facts, whole, "state_street", "key", "ek"), "id", "ek")] == found(None)
+
+
+def test_null_keys_in_deltas_and_merges(spark):
+    t = spark.createDataFrame([(None, "a", 1), (2, None, 1)], "k int, v string, w int")
+    assert rows(hash_delta(t, t, ["k"], ["v"]).select("action")) == [("UNCHANGED",), ("UNCHANGED",)]
+    gone = {r.k: r.action for r in hash_delta(t.where("k = 2"), t, ["k"], ["v"]).collect()}
+    assert gone == {2: "UNCHANGED", None: "SOFT_DELETE"}
+    from lakeworks.operators.delta import watermark_delta
+    newer = spark.createDataFrame([(None, "b", 5), (7, "c", 5)], t.schema)
+    assert {r.k: r.action for r in watermark_delta(newer, t, ["k"], "w").collect()} == {None: "UPDATE", 7: "INSERT"}
+    once = merge_insert(newer, t, ["k"])
+    assert once.count() == 3 and merge_insert(newer, once, ["k"]).count() == 3

@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from lake_helpers import SF_SMALL, rows
 from lakeworks.plans.registry import S3, Lake
 from lakeworks.plans.store import SnapshotStore
 

@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from lake_helpers import rows
 from lakeworks.operators.dedup import latest_wins
 from lakeworks.operators.fx import normalize_currency
 from lakeworks.operators.rowid import dense_row_id

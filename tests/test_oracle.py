@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from lake_helpers import SF_SMALL
 from lakeworks.plans.queries import QUERIES, run_query
 from lakeworks.plans.registry import Lake
 from oracle.harness import compare, duck
