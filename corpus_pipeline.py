@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from lakeworks.llm.common import ship, table, text_batches
 from lakeworks.session import ensure_checkpoint_dir
 
 ROW = "_corpus_row"
+MOST_FILES = 50_000  # whose numbers are broadcast, some MB
 #: Repeated passages of this many words go, and repeated strings of this many
 #: bytes, whatever their words. 51 short words can have 101 bytes.
 REPEAT_WORDS, REPEAT_BYTES = 51, 240
@@ -32,13 +34,25 @@ ORACLE_SQL = None
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with row numbers, stored in the shared folder: a number that is
-    made again in a later job may stand for another row, since the splits of a
-    read follow the cores there are at the time."""
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
-    path = f"{ensure_checkpoint_dir(docs.sparkSession)}/rows-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+    """``docs`` with row numbers that stay the same however a read is split (the
+    splits follow the cores there are at the time). A row of Parquet files is known
+    by its file and its place in it; other rows, and those of very many files, are
+    stored in the shared folder first."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        placed = docs.select("*", place["file_path"].alias("_corpus_file"), place["row_index"].alias("_corpus_at"))
+        files = [r[0] for r in placed.select("_corpus_file").distinct().limit(MOST_FILES + 1).collect()]
+    except AnalysisException:
+        files = None
+    if files is None or len(files) > MOST_FILES:
+        rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+        path = f"{ensure_checkpoint_dir(docs.sparkSession)}/rows-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return docs.sparkSession.read.schema(rows.schema).parquet(path)
+    numbers = docs.sparkSession.createDataFrame([(f, k) for k, f in enumerate(sorted(files))], "_corpus_file string, _corpus_no long")
+    rows = placed.join(F.broadcast(numbers), "_corpus_file", "left")  # a row for each file, MOST_FILES at most
+    number = F.shiftleft(F.col("_corpus_no"), 33) + F.col("_corpus_at")
+    return rows.select(*docs.columns, number.alias(ROW))
 
 
 def _one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
