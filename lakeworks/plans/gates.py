@@ -7,6 +7,8 @@ collected to the driver to decide a status.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,10 +183,21 @@ def _live(lake):
     return type(lake)(lake.spark, lake.sf_dir, lake.cfg)
 
 
+OLD = dt.date(2000, 1, 1)
+
+
+def _old(lake, name: str) -> DataFrame:
+    """A snapshot that is behind: it ends before 2000."""
+    df = lake.store.read(name).filter(F.col("position_date") < F.lit(OLD))
+    return lake.store.read(f"{name}@old", lake.store.write(f"{name}@old", df))
+
+
 def gate_parity(lake) -> DataFrame:
-    """E6 / R9m / J17 over freshly stored snapshots."""
+    """E6 / R9m / J17 over freshly stored snapshots, and over ones that are behind."""
     _materialised(lake, PARITY_ENTITIES)
-    return parity_rows(lake, PARITY_ENTITIES)
+    for n in PARITY_ENTITIES:
+        _old(lake, n)
+    return parity_rows(lake, [x for n in PARITY_ENTITIES for x in (n, f"{n}@old")])
 
 
 def parity_rows(lake, names) -> DataFrame:
@@ -194,7 +207,7 @@ def parity_rows(lake, names) -> DataFrame:
     out = []
     for n in names:
         measure = "market_value_local" if n.startswith("bronze") else "market_value_usd"
-        a = live.get(n, mode="view").agg(F.count(F.lit(1)).alias("v_n"), F.sum(measure).alias("v_sum"))
+        a = live.get(n.split("@")[0], mode="view").agg(F.count(F.lit(1)).alias("v_n"), F.sum(measure).alias("v_sum"))
         there = lake.store is not None and lake.store.exists(n)
         if there:
             b = lake.store.read(n).agg(F.count(F.lit(1)).alias("mv_n"), F.sum(measure).alias("mv_sum"))
@@ -216,12 +229,17 @@ def gate_set_difference(lake) -> DataFrame:
     n = "gold.position_analytics_fact"
     stored = _materialised(lake, [n])[n]
     v = _live(lake).get(n, mode="view")
-    a = v.exceptAll(stored).agg(F.count(F.lit(1)).alias("view_minus_mv"))
-    b = stored.exceptAll(v).agg(F.count(F.lit(1)).alias("mv_minus_view"))
-    j = a.crossJoin(b)
-    return j.select(F.lit(n).alias("subject"), "view_minus_mv", "mv_minus_view",
-                    F.when((F.col("view_minus_mv") == 0) & (F.col("mv_minus_view") == 0), "PASS")
-                    .otherwise("FAIL").alias("status"))
+    late = F.col("position_date") >= F.lit(OLD)
+    value = F.when(late, F.col("market_value_usd") + 1).otherwise(F.col("market_value_usd"))
+    changed = stored.withColumn("market_value_usd", value.cast(stored.schema["market_value_usd"].dataType))
+    out = []
+    for tag, s in (("", stored), ("@old", _old(lake, n)), ("@changed", changed)):
+        a = v.exceptAll(s).agg(F.count(F.lit(1)).alias("view_minus_mv"))
+        b = s.exceptAll(v).agg(F.count(F.lit(1)).alias("mv_minus_view"))
+        out.append(a.crossJoin(b).select(
+            F.lit(n + tag).alias("subject"), "view_minus_mv", "mv_minus_view",
+            F.when((F.col("view_minus_mv") == 0) & (F.col("mv_minus_view") == 0), "PASS").otherwise("FAIL").alias("status")))
+    return _union(out)
 
 
 def parity_pivot(lake) -> DataFrame:
@@ -237,8 +255,11 @@ def parity_pivot(lake) -> DataFrame:
         t_version = lake.store.write(f"t_{n}", live.get(n, mode="view"))
         parts.append(lake.store.read(f"t_{n}", t_version).agg(F.count(F.lit(1)).alias("n"))
                      .select(F.lit(n).alias("entity"), F.lit("t").alias("kind"), "n"))
+        parts.append(_old(lake, n).agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit(n).alias("entity"), F.lit("old").alias("kind"), "n"))
     long = _union(parts)
     return long.groupBy("entity").agg(
         F.max(F.when(F.col("kind") == "v", F.col("n"))).alias("v_count"),
         F.max(F.when(F.col("kind") == "mv", F.col("n"))).alias("mv_count"),
-        F.max(F.when(F.col("kind") == "t", F.col("n"))).alias("t_count"))
+        F.max(F.when(F.col("kind") == "t", F.col("n"))).alias("t_count"),
+        F.max(F.when(F.col("kind") == "old", F.col("n"))).alias("old_count"))

@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.functions.scalar import pick, safe_div
+from lakeworks.operators.changes import CHANGE, COUNT, measure
 from lakeworks.operators.rowid import dense_row_id
+from lakeworks.operators.segments import segmented_window
 from lakeworks.operators.temporal import temporal_join
 from lakeworks.operators.windows import share_of_total
 from lakeworks.plans.bronze import resolve
-from lakeworks.plans.registry import entity
+from lakeworks.plans.registry import Additive, additive, entity
 
 # Fixed values of the star seed
 PORTFOLIO_TYPES = ["FUND", "SMA", "CO_INVEST"]
@@ -216,15 +218,27 @@ def _enriched_base(lake, fact: DataFrame) -> DataFrame:
     return fact.join(pf, "portfolio_sk").join(e, "entity_sk").join(s, "security_sk").join(a, "asset_sk")
 
 
-@entity("mart.aum_daily_by_portfolio", cluster=("position_date",))
-def aum_daily(lake) -> DataFrame:
-    p = lake.get("mart.fact_position")
-    agg = p.groupBy("position_date", "portfolio_sk").agg(
-        F.sum("market_value").alias("aum"), F.sum("book_value").alias("book_value"),
-        F.sum("unrealized_gain_loss").alias("unrealized_pnl"), F.count(F.lit(1)).alias("position_count"))
+# -- aggregates that are kept up to date from the changes of the fact ------------
+MONEY_SUM = "decimal(28,2)"  # of DECIMAL(18,2) values
+
+
+def _carried(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*cols, *[c for c in (CHANGE,) if c in df.columns])
+
+
+def _aum_finish(lake, state: DataFrame) -> DataFrame:
     pf = lake.get("mart.dim_portfolio").select("portfolio_sk", "portfolio_name", "portfolio_type")
-    return agg.join(pf, "portfolio_sk").select("position_date", "portfolio_sk", "portfolio_name", "portfolio_type",
-                                               "aum", "book_value", "unrealized_pnl", "position_count")
+    return state.join(pf, "portfolio_sk").select(
+        "position_date", "portfolio_sk", "portfolio_name", "portfolio_type", measure("market_value", MONEY_SUM).alias("aum"),
+        measure("book_value", MONEY_SUM), measure("unrealized_gain_loss", MONEY_SUM).alias("unrealized_pnl"),
+        F.col(COUNT).alias("position_count"))
+
+
+additive("mart.aum_daily_by_portfolio", Additive(
+    inputs={"mart.fact_position": (("position_date", "portfolio_sk", "market_value", "book_value", "unrealized_gain_loss"),
+                                   ("position_date",))},
+    rows=lambda f: f["mart.fact_position"], keys=("position_date", "portfolio_sk"),
+    measures=("market_value", "book_value", "unrealized_gain_loss"), finish=_aum_finish), cluster=("position_date",))
 
 
 @entity("mart.position_enriched", cluster=("position_date",))
@@ -237,25 +251,34 @@ def position_enriched(lake) -> DataFrame:
                     "local_currency_code", "reporting_currency_code", "fx_rate", "record_source")
 
 
-@entity("mart.portfolio_kpi_daily", cluster=("position_date",))
-def portfolio_kpi(lake) -> DataFrame:
-    p = lake.get("mart.fact_position")
-    da = p.groupBy("position_date", "portfolio_sk").agg(
-        F.sum("market_value").alias("aum"), F.sum("unrealized_gain_loss").alias("unrealized_pnl"),
-        F.countDistinct("entity_sk").alias("active_entity_count"), F.count(F.lit(1)).alias("position_count"))
-    w = Window.partitionBy("portfolio_sk").orderBy("position_date")
+def _kpi_finish(lake, state: DataFrame) -> DataFrame:
+    da = state.select("*", measure("market_value", MONEY_SUM), measure("unrealized_gain_loss", MONEY_SUM)).groupBy(
+        "position_date", "portfolio_sk").agg(
+        F.sum("market_value").cast(MONEY_SUM).alias("aum"), F.sum("unrealized_gain_loss").cast(MONEY_SUM).alias("unrealized_pnl"),
+        F.count("entity_sk").alias("active_entity_count"), F.sum(COUNT).alias("position_count"))
     wd = Window.partitionBy("position_date").orderBy(F.col("aum").desc())
-    w7, w30 = w.rowsBetween(-6, 0), w.rowsBetween(-29, 0)
-    k = (da.withColumn("aum_7day_ma", F.sum("aum").over(w7).cast("double") / F.count(F.lit(1)).over(w7).cast("double"))
-         .withColumn("aum_30day_ma", F.sum("aum").over(w30).cast("double") / F.count(F.lit(1)).over(w30).cast("double"))
-         .withColumn("aum_year_ago", F.lag("aum", 365).over(w))
-         .withColumn("aum_rank_on_date", F.dense_rank().over(wd).cast("bigint")))
+
+    def mean(rows: int):
+        return lambda w: (F.sum("aum").over(w.rowsBetween(1 - rows, 0)).cast("double")
+                          / F.count(F.lit(1)).over(w.rowsBetween(1 - rows, 0)).cast("double"))
+
+    k = segmented_window(da, ["portfolio_sk"], ["position_date"], F.year("position_date"), 365, {
+        "aum_7day_ma": mean(7), "aum_30day_ma": mean(30), "aum_year_ago": lambda w: F.lag("aum", 365).over(w)})
+    k = k.withColumn("aum_rank_on_date", F.dense_rank().over(wd).cast("bigint"))
     pf = lake.get("mart.dim_portfolio").select("portfolio_sk", "portfolio_name", "portfolio_type")
     return k.join(pf, "portfolio_sk").select("position_date", "portfolio_sk", "portfolio_name", "portfolio_type",
                                              "aum", "unrealized_pnl", "active_entity_count", "position_count",
                                              "aum_7day_ma", "aum_30day_ma", "aum_year_ago", "aum_rank_on_date")
 
 
+# a state row per entity, so that entities are counted without a distinct
+additive("mart.portfolio_kpi_daily", Additive(
+    inputs={"mart.fact_position": (("position_date", "portfolio_sk", "entity_sk", "market_value", "unrealized_gain_loss"),
+                                   ("position_date",))},
+    rows=lambda f: f["mart.fact_position"], keys=("position_date", "portfolio_sk", "entity_sk"),
+    measures=("market_value", "unrealized_gain_loss"), finish=_kpi_finish), cluster=("position_date",))
+
+
 def _external_xw(lake, domain: str, system: str, key_alias: str, target_alias: str, prefix: str) -> DataFrame:
     xw = lake.get("mart.key_crosswalk").filter(
         (F.col("relationship_type") == "ONE_TO_ONE") & (F.col("domain_code") == domain) & (F.col("source_system") == system))
@@ -274,11 +297,17 @@ def position_external_keys(lake) -> DataFrame:
                     "country_code", "quantity", "market_value", "state_street_entity_id", "bloomberg_security_id")
 
 
-@entity("mart.portfolio_book")
-def portfolio_book(lake) -> DataFrame:
-    b = _enriched_base(lake, lake.get("mart.fact_position"))
-    by_entity = b.groupBy("position_date", "portfolio_name", "portfolio_type", "enterprise_entity_id",
-                          "country_code").agg(F.sum("market_value").alias("entity_mv"))
+def _book_rows(f: dict[str, DataFrame]) -> DataFrame:
+    star = (f["mart.fact_position"].join(f["mart.dim_portfolio"], "portfolio_sk").join(f["mart.dim_entity"], "entity_sk")
+            .join(f["mart.dim_security"], "security_sk").join(f["mart.dim_asset"], "asset_sk"))
+    return _carried(star, *BOOK_KEYS, "market_value")
+
+
+BOOK_KEYS = ("position_date", "portfolio_name", "portfolio_type", "enterprise_entity_id", "country_code")
+
+
+def _book_finish(lake, state: DataFrame) -> DataFrame:
+    by_entity = state.select(*BOOK_KEYS, measure("market_value", MONEY_SUM).alias("entity_mv"))
     # top 3 in two stages: first of each of 32 parts of a portfolio-day, then of what is left
     order = [F.col("entity_mv").desc(), F.col("enterprise_entity_id"), F.col("country_code")]
     part = by_entity.withColumn("__part", F.pmod(F.xxhash64("enterprise_entity_id", "country_code"), F.lit(32)))
@@ -302,6 +331,16 @@ def portfolio_book(lake) -> DataFrame:
                        F.dense_rank().over(wd).cast("bigint").alias("aum_rank_on_date"))
 
 
+# the star joins lie under the aggregate: a change of a dimension passes through them too
+additive("mart.portfolio_book", Additive(
+    inputs={"mart.fact_position": (("position_date", "portfolio_sk", "entity_sk", "security_sk", "market_value"), ("position_date",)),
+            "mart.dim_portfolio": (("portfolio_sk", "portfolio_name", "portfolio_type"), ()),
+            "mart.dim_entity": (("entity_sk", "enterprise_entity_id"), ()),
+            "mart.dim_security": (("security_sk", "asset_sk"), ()),
+            "mart.dim_asset": (("asset_sk", "country_code"), ())},
+    rows=_book_rows, keys=BOOK_KEYS, measures=("market_value",), finish=_book_finish))
+
+
 @entity("mart.security_book")
 def security_book(lake) -> DataFrame:
     b = _enriched_base(lake, lake.get("mart.fact_position"))

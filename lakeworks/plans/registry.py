@@ -21,9 +21,34 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeworks.config import LakeConfig
+from lakeworks.operators.changes import merged_state, star_changes, state_of
 from lakeworks.sources.roles import Roles
+from lakeworks.sources.tables import TABLES
+
+
+@dataclass
+class Additive:
+    """An aggregate that is kept up to date from the changes of its inputs (R10m).
+
+    ``inputs``: entity -> (columns read, columns by which two versions are first
+    compared). ``rows``: frames by input -> rows to aggregate; it selects, filters
+    and inner-joins, and carries the column CHANGE along where a frame has it.
+    ``keys`` and ``measures`` make the additive state, ``finish(lake, state)`` the
+    entity. The full build runs through the same functions."""
+    inputs: dict[str, tuple[tuple, tuple]]
+    rows: Callable
+    keys: tuple
+    measures: tuple
+    finish: Callable
+
+    def frames(self, read: Callable) -> dict[str, DataFrame]:
+        return {n: read(n).select(*cols) for n, (cols, _) in self.inputs.items()}
+
+    def state(self, frames: dict[str, DataFrame]) -> DataFrame:
+        return state_of(self.rows(frames), self.keys, self.measures)
 
 
 @dataclass
@@ -31,7 +56,7 @@ class Entity:
     name: str
     build: Callable
     layer: str
-    incremental: bool = False
+    incremental: Additive | None = None
     table: bool = False
     cluster: tuple = ()
     partition: tuple = ()
@@ -41,8 +66,14 @@ class Entity:
 REGISTRY: dict[str, Entity] = {}
 
 
-def entity(name: str, incremental: bool = False, table: bool = False, cluster: tuple = (),
-           partition: tuple = ()):
+def additive(name: str, spec: Additive, cluster: tuple = (), partition: tuple = ()) -> None:
+    """Register an entity that ``spec`` builds, in full or from changes."""
+    def build(lake):
+        return spec.finish(lake, spec.state(spec.frames(lake.get)))
+    REGISTRY[name] = Entity(name, build, name.split(".", 1)[0], spec, False, tuple(cluster), tuple(partition))
+
+
+def entity(name: str, table: bool = False, cluster: tuple = (), partition: tuple = ()):
     """Register a builder. ``table=True`` marks entities that are stored
     tables by nature (the reference maintains them with MERGE, e.g. the key
     crosswalk): the lake writes them once per session and every consumer
@@ -53,7 +84,7 @@ def entity(name: str, incremental: bool = False, table: bool = False, cluster: t
     layer = name.split(".", 1)[0]
 
     def deco(fn):
-        REGISTRY[name] = Entity(name, fn, layer, incremental, table, tuple(cluster), tuple(partition))
+        REGISTRY[name] = Entity(name, fn, layer, None, table, tuple(cluster), tuple(partition))
         return fn
 
     return deco
@@ -135,7 +166,7 @@ class Lake:
             except Exception:  # noqa: BLE001 - snapshot folder removed: rebuild
                 _TABLES.pop(key, None)
         store = self._require_store()
-        version = self.refresh(name, log=False)
+        version = store.current_version(name) if not self.stale(name) else self.refresh(name, log=False)
         _TABLES[key] = store._version_dir(name, version)
         return store.read(name, version)
 
@@ -146,28 +177,170 @@ class Lake:
             self.store = SnapshotStore(self.spark)
         return self.store
 
-    def refresh(self, name: str, partition_by: list[str] | None = None, log: bool = True) -> int:
+    def refresh(self, name: str, partition_by: list[str] | None = None, log: bool = True, full: bool = False) -> int:
         """Recompute one entity from its inputs (as the placement resolves
         them) and publish it as a new snapshot version. Readers keep the old
-        version until the pointer swap."""
+        version until the new one is complete.
+
+        An additive entity whose inputs are stored, and whose last version was
+        made from stored versions that are still there, is refreshed from their
+        changes, unless ``full``. What each version was made from is noted beside it."""
         import time
         _load_all()
         store = self._require_store()
+        ent = REGISTRY[name]
         t0 = time.time()
         if not self._stack:  # inside a cascade the frames of this refresh are still good
             self.invalidate()
-        df = self._build(REGISTRY[name], live=False)
-        if REGISTRY[name].cluster:
-            df = df.sortWithinPartitions(*REGISTRY[name].cluster)
-        version = store.write(name, df, partition_by or list(REGISTRY[name].partition))
+        # read before the build: what changes meanwhile leaves this version stale
+        note = {"needs": self.needs(name), "inputs": self._stored_inputs(ent)}
+        strategy = "full"
+        if ent.incremental and note["inputs"]:
+            state = None if full else self._state_from_changes(ent, note["inputs"])
+            strategy = "full" if state is None else "incremental"
+            if state is None:
+                state = ent.incremental.state(ent.incremental.frames(lambda n: store.read(n, note["inputs"][n])))
+            note["state"] = store.write(f"{name}.state", state)
+            df = ent.incremental.finish(self, store.read(f"{name}.state", note["state"]))
+        else:
+            df = self._build(ent, live=False)
+        if ent.cluster:
+            df = df.sortWithinPartitions(*ent.cluster)
+        version = store.write(name, df, partition_by or list(ent.partition))
+        note["rows"], note["content"] = content_of(store.read(name, version))
+        store.write_note(name, version, note)
         if log:
-            rows = store.read(name, version).count()
-            store.log_refresh(name, "full", time.time() - t0, rows, version)
+            store.log_refresh(name, strategy, time.time() - t0, note["rows"], version)
         for n in {name, *dependants(name)}:
             self._memo.pop(n, None)
             self._memo.pop(n + "#view", None)
         return version
 
+    def _stored_inputs(self, ent: Entity) -> dict[str, int] | None:
+        """Current stored versions of an additive entity's inputs; None if one is live."""
+        if not ent.incremental:
+            return None
+        out = {}
+        for n in ent.incremental.inputs:
+            if not self.placement.stored(REGISTRY[n].layer):
+                return None
+            if self.auto_refresh and not self.store.exists(n):
+                self.refresh(n, log=False)
+            out[n] = self.store.current_version(n)
+        return None if None in out.values() else out
+
+    def _state_from_changes(self, ent: Entity, inputs: dict[str, int]) -> DataFrame | None:
+        """The last version's state brought up to date, or None if it can't be."""
+        store, spec = self.store, ent.incremental
+        last = store.current_version(ent.name)
+        note = store.read_note(ent.name, last) if last else None
+        if not note or not note.get("state") or set(note["inputs"] or ()) != set(inputs):
+            return None
+        then = note["inputs"]
+        if not all(store.complete(n, v) for n, v in then.items()) or not store.complete(f"{ent.name}.state", note["state"]):
+            return None
+        moved = [n for n in inputs if inputs[n] != then[n] and (
+            store.content(n, inputs[n]) is None or store.content(n, inputs[n]) != store.content(n, then[n]))]
+        state = store.read(f"{ent.name}.state", note["state"])
+        old, new = (spec.frames(lambda n, at=at: store.read(n, at[n])) for at in (then, inputs))
+        rows = star_changes(spec.rows, old, new, {n: spec.inputs[n][1] for n in moved})
+        return state if rows is None else merged_state(state, state_of(rows, spec.keys, spec.measures), spec.keys)
+
+    # -- staleness (R7m) ------------------------------------------------------
+    def needs(self, name: str, tables: bool = True) -> dict[str, str]:
+        """What an entity's content depends on: files of the source tables that it
+        reads live, and the content of the stored entities below it. A table that
+        isn't in the store (or without ``tables``, any) counts by its own needs."""
+        out = {f"source:{t}": p for t, p in _source_prints(self).items() if t in source_tables(name)}
+        for d in sorted(dependencies(name)):
+            by_content = self.store is not None and self._is_stored(d) and (tables or not REGISTRY[d].table)
+            known = self.store.content(d) if by_content else None
+            if known is not None:
+                out[d] = known
+            else:
+                out |= self.needs(d, tables)
+        return out
+
+    def _is_stored(self, name: str) -> bool:
+        return REGISTRY[name].table or self.placement.stored(REGISTRY[name].layer)
+
+    def stale(self, name: str) -> list[str]:
+        """Why the stored version of an entity is out of date; empty if it isn't."""
+        store = self._require_store()
+        last = store.current_version(name)
+        note = store.read_note(name, last) if last else None
+        if note is None:
+            return ["missing"]
+        # tables may have come into the store since
+        found = []
+        for tables in (True, False):
+            now, then = self.needs(name, tables), note["needs"]
+            found.append(sorted(k for k in now.keys() | then.keys() if now.get(k) != then.get(k)))
+        return min(found, key=len)
+
+    def freshness(self) -> DataFrame:
+        """One row per entity of the stored layers: version, state (fresh, stale,
+        missing), and what has changed below it. An entity above a stale one is
+        stale as well: its input will change."""
+        _load_all()
+        reasons: dict[str, list[str]] = {}
+        for n in self._stored_names():
+            below = [f"{d} is stale" for d in sorted(dependencies(n)) if reasons.get(d)]
+            reasons[n] = self.stale(n) + below
+        rows = [(n, self.store.current_version(n), "fresh" if not r else "missing" if "missing" in r else "stale", ", ".join(r))
+                for n, r in reasons.items()]
+        return self.spark.createDataFrame(rows, "entity string, version int, state string, reasons string")
+
+    def _stored_names(self, names=None) -> list[str]:
+        """Stored entities, or those of ``names`` and the tables below them."""
+        if names is not None:
+            names = set(names) | {d for n in names for d in _below(n) if REGISTRY[d].table}
+        return [n for n in dependency_order() if self._is_stored(n) and (names is None or n in names)]
+
+    def refresh_stale(self, names=None, workers: int = 1) -> DataFrame:
+        """Refresh the stored entities (or ``names`` of them) that are out of
+        date, inputs first: entity, action, reason, seconds.
+
+        An entity whose inputs were rebuilt with the same content stays as it is.
+        Entities of one dependency level don't read each other and are refreshed
+        by ``workers`` jobs at a time, each in a scheduler pool of its own. After
+        a failure only what depends on it is left out (``blocked``)."""
+        import time
+        from concurrent.futures import ThreadPoolExecutor
+        _load_all()
+        self._require_store()
+        self.invalidate()
+        wanted = self._stored_names(names)
+        level: dict[str, int] = {}
+        for n in wanted:
+            level[n] = 1 + max((level[d] for d in _stored_below(n, set(wanted))), default=-1)
+        done: dict[str, tuple] = {}
+
+        def one(n: str) -> tuple:
+            t0 = time.time()
+            blocked = [d for d in _stored_below(n, set(wanted)) if done[d][1] in ("failed", "blocked")]
+            if blocked:
+                return n, "blocked", ", ".join(blocked), 0.0
+            why = self.stale(n)
+            if not why:
+                return n, "fresh", "", time.time() - t0
+            try:
+                self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"refresh-{n}")
+                worker = Lake(self.spark, self.sf_dir, self.cfg, self.placement, self.store, self.auto_refresh)
+                worker.refresh(n)
+            except Exception as e:  # noqa: BLE001 - kept to the entities above this one
+                return n, "failed", str(e).split("\n")[0][:200], time.time() - t0
+            finally:
+                self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            return n, "refreshed", ", ".join(why), time.time() - t0
+
+        for k in range(max(level.values(), default=-1) + 1):
+            own = [n for n in wanted if level[n] == k]
+            with ThreadPoolExecutor(max(1, min(workers, len(own)))) as pool:
+                done.update((r[0], r) for r in pool.map(one, own))
+        self.invalidate()
+        return self.spark.createDataFrame([done[n] for n in wanted], "entity string, action string, reason string, seconds double")
+
     def refresh_layer(self, layer: str) -> list[str]:
         names = [n for n in dependency_order() if REGISTRY[n].layer == layer]
         for n in names:
@@ -188,10 +361,17 @@ class Lake:
 _TABLES: dict[tuple, str] = {}
 
 
+def content_of(df: DataFrame) -> tuple[int, str]:
+    """Row count, and a checksum of the rows in any order."""
+    marked = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+    r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*marked).cast("decimal(38,0)")), F.sum(F.hash(*marked).cast("long"))).first()
+    return r[0], f"{r[0]}:{r[1]}:{r[2]}"
+
+
 def _fingerprint(lake) -> tuple:
     """(path, length, modification time) of every file of the driver tables, in
     folders of any depth."""
-    from lakeworks.sources.tables import TABLES, table_path
+    from lakeworks.sources.tables import table_path
     jvm = lake.spark.sparkContext._jvm
     conf = lake.spark.sparkContext._jsc.hadoopConfiguration()
     out = []
@@ -206,48 +386,121 @@ def _fingerprint(lake) -> tuple:
     return tuple(sorted(out))
 
 
+def _source_prints(lake) -> dict[str, str]:
+    """Per driver table a checksum of its files' names, lengths and times, and of
+    the settings; read once in a lake's life between two invalidations."""
+    if "#prints" not in lake._memo:
+        import hashlib
+        files = _fingerprint(lake)
+        lake._memo["#prints"] = {t: hashlib.sha256(repr((lake.cfg, [f for f in files if f[0] == t])).encode()).hexdigest()[:16]
+                                 for t in TABLES}
+    return lake._memo["#prints"]
+
+
 def _load_all():
     # importing the layer modules registers their builders
     from lakeworks.plans import bronze, gold, mart, silver  # noqa: F401
 
 
-def dependencies(name: str) -> set[str]:
-    """Entities a builder names: read off the code of the builder and of the
-    functions of these modules that it uses, so they are known before anything
-    has run. Reads of a whole group (a name made from a pattern) count as all
-    entities the group's list holds."""
-    ent = REGISTRY[name]
-    if ent.deps:
-        return ent.deps
-    short = {n.split(".", 1)[1]: n for n in REGISTRY}
-    seen, found, todo = set(), set(), [ent.build]
+def _reached(ent: Entity) -> tuple[list, set[str]]:
+    """Constants and names in the code of a builder and of the functions of these
+    modules that it uses."""
+    spec = ent.incremental
+    seen, names, values, todo = set(), set(), [], [ent.build] if not spec else [spec.rows, spec.finish]
+    if spec:
+        values += list(spec.inputs)
     while todo:
         f = todo.pop()
         code = getattr(f, "__code__", None)
         if code is None or f in seen or not f.__module__.startswith("lakeworks.plans"):
             continue
         seen.add(f)
-        values = [c.cell_contents for c in f.__closure__ or ()] + list(f.__defaults__ or ())
+        own = [c.cell_contents for c in f.__closure__ or ()] + list(f.__defaults__ or ())
         codes = [code]
         while codes:
             c = codes.pop()
-            values += c.co_consts
+            own += c.co_consts
+            names |= set(c.co_names)
             codes += [x for x in c.co_consts if hasattr(x, "co_consts")]
             used = {i.argval for i in dis.get_instructions(c) if i.opname == "LOAD_GLOBAL"}
-            values += [f.__globals__[n] for n in sorted(used) if n in f.__globals__]
-        for v in values:
-            if isinstance(v, str) and v in REGISTRY:
-                found.add(v)
-            elif isinstance(v, (list, tuple, dict)):
-                found |= {x if x in REGISTRY else short[x] for x in v
-                          if isinstance(x, str) and (x in REGISTRY or x in short)}
-            elif callable(v):
-                todo.append(v)
+            own += [f.__globals__[n] for n in sorted(used) if n in f.__globals__]
+        values += own
+        todo += [v for v in own if callable(v)]
+    return values, names
+
+
+def dependencies(name: str) -> set[str]:
+    """Entities a builder names: read off the code of the builder and of the
+    functions of these modules that it uses, so they are known before anything
+    has run. Reads of a whole group (a name made from a pattern) count as all
+    entities the group's list holds."""
+    ent = REGISTRY[name]
+    if ent.deps:
+        return ent.deps
+    short = {n.split(".", 1)[1]: n for n in REGISTRY}
+    found = set()
+    for v in _reached(ent)[0]:
+        if isinstance(v, str) and v in REGISTRY:
+            found.add(v)
+        elif isinstance(v, (list, tuple, dict)):
+            found |= {x if x in REGISTRY else short[x] for x in v
+                      if isinstance(x, str) and (x in REGISTRY or x in short)}
     rank = {layer: k for k, layer in enumerate(LAYERS)}
     ent.deps = {n for n in found - {name} if rank.get(REGISTRY[n].layer, 9) <= rank.get(ent.layer, 9)}
     return ent.deps
 
 
+def source_tables(name: str) -> set[str]:
+    """Driver tables that a builder itself reads, by the raw frames it names (a
+    list of frames, as the crosswalk's key columns, counts with all it holds)."""
+    values, names = _reached(REGISTRY[name])
+    frames = vars(Roles)
+    names |= {x for v in values if isinstance(v, list) for t in v if isinstance(t, tuple) for x in t if isinstance(x, str)}
+    out, seen, todo = set(), set(), [n for n in names if n in frames] + [t for t in names if t in TABLES and "t" in names]
+    while todo:
+        n = todo.pop()
+        if n in seen:
+            continue
+        seen.add(n)
+        if n in TABLES:
+            out.add(n)
+        f = frames.get(n)
+        f = getattr(f, "func", None) or getattr(f, "__func__", f)
+        codes = [f.__code__] if hasattr(f, "__code__") else []
+        while codes:
+            c = codes.pop()
+            todo += [x for x in c.co_names if x in TABLES or x in frames]
+            codes += [x for x in c.co_consts if hasattr(x, "co_consts")]
+    return out
+
+
+def _below(name: str) -> set[str]:
+    """All entities that ``name`` reads, directly or through others."""
+    out: set[str] = set()
+    todo = [name]
+    while todo:
+        new = dependencies(todo.pop()) - out
+        out |= new
+        todo += new
+    return out
+
+
+def _stored_below(name: str, names: set[str]) -> set[str]:
+    """Nearest entities under ``name`` that are among ``names``."""
+    out: set[str] = set()
+    todo, seen = list(dependencies(name)), set()
+    while todo:
+        d = todo.pop()
+        if d in seen:
+            continue
+        seen.add(d)
+        if d in names:
+            out.add(d)
+        else:
+            todo += dependencies(d)
+    return out
+
+
 def dependants(name: str) -> set[str]:
     """Entities that read ``name``, directly or through others."""
     out: set[str] = set()

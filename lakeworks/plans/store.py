@@ -10,6 +10,7 @@ Hadoop FileSystem of the path, so the root can live on any shared storage.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
@@ -25,6 +26,7 @@ class SnapshotStore:
         if root is None:
             root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lake-{uuid.uuid4().hex[:12]}"
         self.root = root.rstrip("/")
+        self._notes: dict[tuple[str, int], dict] = {}
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -36,10 +38,41 @@ class SnapshotStore:
     def _version_dir(self, name: str, version: int) -> str:
         return f"{self._dir(name)}/v={version:06d}"
 
+    def complete(self, name: str, version: int) -> bool:
+        return self._fs.exists(self._Path(f"{self._version_dir(name, version)}/_SUCCESS"))
+
     def current_version(self, name: str) -> int | None:
-        done = [v for v in self.versions(name)
-                if self._fs.exists(self._Path(f"{self._version_dir(name, v)}/_SUCCESS"))]
-        return max(done, default=None)
+        return max((v for v in self.versions(name) if self.complete(name, v)), default=None)
+
+    # -- notes: what a version was made from, as JSON beside its folder ---------
+    def _note_path(self, name: str, version: int):
+        return self._Path(f"{self._dir(name)}/_note-{version:06d}.json")
+
+    def write_note(self, name: str, version: int, note: dict) -> None:
+        out = self._fs.create(self._note_path(name, version), True)
+        try:
+            out.write(json.dumps(note).encode())
+        finally:
+            out.close()
+
+    def read_note(self, name: str, version: int) -> dict | None:
+        if (name, version) not in self._notes:
+            path = self._note_path(name, version)
+            if not self._fs.exists(path):
+                return None
+            file = self._fs.open(path)
+            try:
+                text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+            finally:
+                file.close()
+            self._notes[name, version] = json.loads(text)  # a version never changes
+        return self._notes[name, version]
+
+    def content(self, name: str, version: int | None = None) -> str | None:
+        """Checksum of a version's rows, None if it isn't known."""
+        v = version if version is not None else self.current_version(name)
+        note = self.read_note(name, v) if v is not None else None
+        return note["content"] if note else None
 
     # -- API ---------------------------------------------------------------
     def versions(self, name: str) -> list[int]:

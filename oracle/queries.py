@@ -500,20 +500,35 @@ SELECT team_code, 'COVERED' FROM (SELECT team_code FROM teams INTERSECT SELECT t
 _PAR = [("bronze.position", "b_position", "market_value_local"),
         ("silver.position_analytics_fact", "s_position", "market_value_usd"),
         ("gold.position_analytics_fact", "g_team_position", "market_value_usd")]
+# the second row of each entity is a snapshot that ends before 2000
+_PARITY = """
+SELECT 'parity' AS gate, '{n}{tag}' AS subject, v.n AS view_rows, s.n AS mv_rows, CAST(v.s AS DOUBLE) AS view_sum,
+       CAST(s.s AS DOUBLE) AS mv_sum,
+       CASE WHEN v.n IS NOT DISTINCT FROM s.n AND v.s IS NOT DISTINCT FROM s.s THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT count(*) AS n, sum({m}) AS s FROM {c}) v, (SELECT count(*) AS n, sum({m}) AS s FROM {c} WHERE {f}) s"""
+_OLD = "position_date < DATE '2000-01-01'"
 FINAL["gate_parity"] = "\nUNION ALL\n".join(
-    f"SELECT 'parity' AS gate, '{n}' AS subject, count(*) AS view_rows, count(*) AS mv_rows, "
-    f"CAST(sum({m}) AS DOUBLE) AS view_sum, CAST(sum({m}) AS DOUBLE) AS mv_sum, 'PASS' AS status FROM {c}"
-    for n, c, m in _PAR)
-FINAL["gate_set_difference"] = """
-SELECT 'gold.position_analytics_fact' AS subject, CAST(0 AS BIGINT) AS view_minus_mv, CAST(0 AS BIGINT) AS mv_minus_view,
-       CASE WHEN count(*) >= 0 THEN 'PASS' END AS status FROM g_team_position"""
+    _PARITY.format(n=n, c=c, m=m, tag=tag, f=f) for n, c, m in _PAR for tag, f in (("", "TRUE"), ("@old", _OLD)))
+FINAL["gate_set_difference"] = f"""
+WITH v AS (SELECT count(*) AS n, count(*) FILTER (WHERE {_OLD}) AS old FROM g_team_position),
+d AS (SELECT 'gold.position_analytics_fact' AS subject, n - n AS a, n - n AS b FROM v UNION ALL
+      SELECT 'gold.position_analytics_fact@old', n - old, CAST(0 AS BIGINT) FROM v UNION ALL
+      SELECT 'gold.position_analytics_fact@changed', n - old, n - old FROM v)
+SELECT subject, a AS view_minus_mv, b AS mv_minus_view, CASE WHEN a = 0 AND b = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM d"""
 FINAL["parity_pivot"] = "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS entity, count(*) AS v_count, count(*) AS mv_count, count(*) AS t_count FROM {c}"
-    for n, c, m in _PAR)
+    f"SELECT '{n}' AS entity, count(*) AS v_count, count(*) AS mv_count, count(*) AS t_count, "
+    f"count(*) FILTER (WHERE {_OLD}) AS old_count FROM {c}" for n, c, m in _PAR)
 FINAL["incremental_aum"] = """
 SELECT portfolio_sk, position_date, CAST(sum(market_value_usd) AS DOUBLE) AS aum_usd, count(*) AS position_count
 FROM s_position WHERE NOT (return_flag = 'R' AND position_date >= DATE '2001-01-01')
 GROUP BY portfolio_sk, position_date"""
+FINAL["incremental_refresh"] = fin("(SELECT *, 'incremental' AS strategy FROM k_aum_daily)", "$aum, $book_value, $unrealized_pnl")
+_VERSIONED = {"security_dim": "enterprise_key", "contract_dim": "enterprise_key", "portfolio_dim": "enterprise_key",
+              "entity_dim": "enterprise_key", "business_unit_dim": "enterprise_key", "industry_dim": "enterprise_key",
+              "reporting_group_dim": "enterprise_key", "rating_dim": "rated_enterprise_key"}
+FINAL["valid_at"] = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS dimension, {k} AS key, max(effective_start_date) AS effective_start_date FROM s_{n} "
+    f"WHERE DATE '1998-07-01' BETWEEN effective_start_date AND effective_end_date GROUP BY {k}" for n, k in _VERSIONED.items())
 FINAL["streaming_refresh"] = """
 SELECT portfolio_source_key, cash_flow_date, cash_flow_type, CAST(sum(amount_local) AS DOUBLE) AS amount_local,
        count(*) AS flow_count
