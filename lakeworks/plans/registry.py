@@ -17,6 +17,7 @@ copy of any body - view/mv parity holds by construction.
 from __future__ import annotations
 
 import dis
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -207,7 +208,8 @@ class Lake:
         if ent.cluster:
             df = df.sortWithinPartitions(*ent.cluster)
         version = store.write(name, df, partition_by or list(ent.partition))
-        note["rows"], note["content"] = content_of(store.read(name, version))
+        # a cascade doesn't read its results again; what isn't known counts as changed
+        note["rows"], note["content"] = content_of(store.read(name, version)) if log else (None, None)
         store.write_note(name, version, note)
         if log:
             store.log_refresh(name, strategy, time.time() - t0, note["rows"], version)
@@ -465,7 +467,7 @@ def source_tables(name: str) -> set[str]:
         if n in TABLES:
             out.add(n)
         f = frames.get(n)
-        f = getattr(f, "func", None) or getattr(f, "__func__", f)
+        f = inspect.unwrap(getattr(f, "func", None) or getattr(f, "__func__", f))
         codes = [f.__code__] if hasattr(f, "__code__") else []
         while codes:
             c = codes.pop()

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+import functools
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,17 @@ ASSET_COUNTRIES = ["US", "GB", "DE", "FR", "JP", "CA", "AU"]
 SECURITY_RATINGS = ["AAA", "AA", "A", "BBB", "BB", "B", "CCC"]
 
 
-def _empty_if(df: DataFrame, skip: bool) -> DataFrame:
-    """Disabled source (S5): zero rows, schema kept."""
-    return df.limit(0) if skip else df
+# The source system that each raw frame comes from.
+FRAME_SOURCES = {
+    "position": "state_street", "settled_transaction": "state_street", "security_price": "state_street",
+    "cash_flow": "state_street", "portfolio": "state_street",
+    "portfolio_risk": "aladdin", "portfolio_performance": "aladdin", "compliance": "aladdin", "trade_blotter": "aladdin",
+    "security": "aspen", "entity": "aspen", "asset": "aspen", "rating": "aspen", "security_rating": "aspen",
+    "industry": "aspen", "reporting_group": "aspen",
+    "contract": "efront", "contract_summary": "efront", "covenant": "efront", "capital_activity": "efront",
+    "collateral_exposure": "efront", "collateral_position": "efront",
+    "team": "internal_admin", "fx_rate": "bloomberg",
+}
 
 
 class Roles:
@@ -59,7 +68,7 @@ class Roles:
         )
         if self.cfg.skip_teams:
             df = df.filter(~F.col("bu_code").isin(list(self.cfg.skip_teams)))
-        return _empty_if(df, "internal_admin" in self.cfg.skip_sources)
+        return df
 
     @cached_property
     def compliance(self) -> DataFrame:
@@ -116,7 +125,7 @@ class Roles:
             F.col("p_partkey").cast("bigint").alias("part_key"),
             F.col("p_brand").alias("brand"),
         )
-        return _empty_if(out, "aspen" in self.cfg.skip_sources)
+        return out
 
     # ---------------------------------------------------------------- entities
     @cached_property
@@ -147,7 +156,7 @@ class Roles:
             F.col("c_custkey").cast("bigint").alias("customer_key"),
             F.col("n_regionkey").cast("bigint").alias("region_key"),
         )
-        return _empty_if(out, "aspen" in self.cfg.skip_sources)
+        return out
 
     # --------------------------------------------------------------- contracts
     @cached_property
@@ -181,7 +190,7 @@ class Roles:
             F.col("version_no").cast("int").alias("version_no"),
             F.col("o_orderkey").cast("bigint").alias("order_key"),
         )
-        return _empty_if(out, "efront" in self.cfg.skip_sources)
+        return out
 
     # ----------------------------------------------------------------- ratings
     @cached_property
@@ -234,7 +243,7 @@ class Roles:
         remap = (base.filter(F.col("l_orderkey") % 500 == 0)
                  .withColumn("enterprise_key", F.concat(F.lit("REMAPPED_EK_POS_"), F.col("source_key")))
                  .withColumn("position_date", F.date_add(F.col("position_date"), 1)))
-        return _empty_if(orig.unionByName(remap), "state_street" in self.cfg.skip_sources)
+        return orig.unionByName(remap)
 
     @staticmethod
     def position_version_order():
@@ -501,3 +510,23 @@ class Roles:
         return days.crossJoin(F.broadcast(pairs)).select(
             "from_currency", F.lit("USD").alias("to_currency"), "rate_date", rate.alias("fx_rate"),
             F.lit("SPOT").alias("rate_type"))
+
+
+def _toggled(name: str, source: str) -> cached_property:
+    """The frame, or where its source is switched off (``skip_sources``) no rows of
+    the same schema, so that everything above still plans; what unifies several
+    sources falls back on the others."""
+    build = vars(Roles)[name].func
+
+    @functools.wraps(build)
+    def frame(self) -> DataFrame:
+        df = build(self)
+        return df.where(F.lit(False)) if source in self.cfg.skip_sources else df
+
+    made = cached_property(frame)
+    made.__set_name__(Roles, name)
+    return made
+
+
+for _name, _source in FRAME_SOURCES.items():
+    setattr(Roles, _name, _toggled(_name, _source))

@@ -34,16 +34,63 @@ def cash_flow_rows(events: DataFrame) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("amount_local"))
 
 
-def partials(spark: SparkSession, root: str) -> DataFrame:
-    """The state: all batches' partials added up."""
-    return (spark.read.schema(STATE).parquet(f"{root}/batches/batch=*")
-            .groupBy(*KEYS).agg(F.sum("sum_amount_local").alias("sum_amount_local"),
-                                F.sum("row_count").alias("row_count")))
+KEEP = 16  # batch folders that are left lying before they are folded into one
+
+
+def _done(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """Numbers of the finished folders ``<root>/<kind>/<kind>=<n>``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{kind}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    marks = fs.globStatus(_path(spark, f"{root}/{kind}/{kind}=*/_SUCCESS"))
+    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
+
 
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
-def write_batch(root: str, batch: DataFrame, batch_id: int) -> None:
+
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    """The newest generation, which holds all batches up to its number, and the batches after it."""
+    upto = max(_done(spark, root, "upto"), default=-1)
+    return [f"{root}/upto/upto={upto}"] * (upto >= 0) + [f"{root}/batch/batch={b}" for b in _done(spark, root, "batch") if b > upto]
+
+
+def partials(spark: SparkSession, root: str) -> DataFrame:
+    """The state: all batches' partials added up."""
+    folders = _folders(spark, root)
+    rows = spark.read.schema(STATE).parquet(*folders) if folders else spark.createDataFrame([], STATE)
+    return rows.groupBy(*KEYS).agg(F.sum("sum_amount_local").cast("decimal(28,2)").alias("sum_amount_local"),
+                                   F.sum("row_count").alias("row_count"))
+
+
+def write_batch(root: str, batch: DataFrame, batch_id: int, keep: int = KEEP) -> None:
+    """Store a batch's partials under its number. A batch that is played again
+    replaces itself, or is passed over if a generation holds it already. Beyond
+    ``keep`` folders all are folded into a new generation."""
+    spark = batch.sparkSession
+    if batch_id <= max(_done(spark, root, "upto"), default=-1):
+        return
     state = incremental_agg(None, cash_flow_rows(batch), None, KEYS, ["amount_local"])
-    state.write.mode("overwrite").parquet(f"{root}/batches/batch={batch_id}")
+    state.write.mode("overwrite").parquet(f"{root}/batch/batch={batch_id}")
+    if len(_folders(spark, root)) > keep:
+        fold_batches(spark, root)
+
+
+def fold_batches(spark: SparkSession, root: str) -> None:
+    """One generation of all finished batches. It counts from the moment it is
+    complete; only then the folders that it holds are removed, and readers that
+    come in between read the generation alone."""
+    last = max(_done(spark, root, "batch"), default=-1)
+    if last <= max(_done(spark, root, "upto"), default=-1):
+        return
+    partials(spark, root).write.mode("overwrite").parquet(f"{root}/upto/upto={last}")
+    path = _path(spark, root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [f"upto/upto={n}" for n in _done(spark, root, "upto") if n < last]
+    for folder in old + [f"batch/batch={n}" for n in _done(spark, root, "batch") if n <= last]:
+        fs.delete(_path(spark, f"{root}/{folder}"), True)
 
 
 def streaming_refresh(spark: SparkSession, source_path: str, schema, root: str | None = None,
