@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import ids_and_texts, text_batches, utf8
+from .common import LONGEST_KEPT, ids_and_texts, text_batches, utf8
 
 #: What a worker keeps; it only saves time. Words: in each of two generations.
 CACHE_WORDS = 500_000
@@ -114,26 +114,29 @@ class PrefixBpe:
         """``last[i]`` for every prefix of ``piece``; a table for a shorter
         prefix is extended in place of being computed again."""
         last = [-1] if last is None else last
-        get, pairs, longest = self.usable.get, self._pairs, self.longest
         for i in range(len(last), len(piece) + 1):
-            for j in range(i - longest if i > longest else 0, i):
-                t = get(piece[j:i])
-                if t is None:
-                    continue
-                if not j:
-                    last.append(t)
-                    break
-                key = last[j] << 20 | t
-                ok = pairs.get(key)
-                if ok is None:
-                    if len(pairs) > 2_000_000:
-                        pairs.clear()
-                    ok = pairs[key] = self._pair_is_valid(last[j], t)
-                if ok:
-                    last.append(t)
-                    break
+            last.append(self._last_token(piece, last, i))
         return last
 
+    def _last_token(self, piece: bytes, last: list[int], i: int) -> int:
+        """The last token of ``piece[:i]``, from those of the ``longest`` prefixes before it."""
+        get, pairs, longest = self.usable.get, self._pairs, self.longest
+        for j in range(i - longest if i > longest else 0, i):
+            t = get(piece[j:i])
+            if t is None:
+                continue
+            if not j:
+                return t
+            key = last[j] << 20 | t
+            ok = pairs.get(key)
+            if ok is None:
+                if len(pairs) > 2_000_000:
+                    pairs.clear()
+                ok = pairs[key] = self._pair_is_valid(last[j], t)
+            if ok:
+                return t
+        raise ValueError("a byte that no token holds")
+
     def tokens_of(self, last: list[int]) -> list[int]:
         """The encoding that a table of last tokens describes."""
         out, i = [], len(last) - 1
@@ -185,9 +188,20 @@ class PrefixBpe:
         return self.last_tokens(piece + more, list(last))
 
     def edit(self, piece: bytes, last: list[int], at: int, removed: int, added: bytes) -> tuple[bytes, list[int]]:
-        """Replace ``removed`` bytes at ``at``; prefixes before it keep their entries."""
+        """Replace ``removed`` bytes at ``at``. Prefixes before it keep their entries;
+        behind it the table is made anew until it meets the old one: an entry follows
+        from ``longest`` bytes and the entries of the ``longest`` prefixes before it, so
+        once as many in a row are as before (the bytes too), all the others are."""
         new = piece[:at] + added + piece[at + removed:]
-        return new, self.last_tokens(new, last[:at + 1])
+        table, shift, same = last[:at + 1], len(added) - removed, 0
+        for i in range(at + 1, len(new) + 1):
+            table.append(self._last_token(new, table, i))
+            old = i - shift
+            met = i > at + len(added) and old > 0 and table[i] == last[old]
+            same = same + 1 if met else 0
+            if same > self.longest and min(i, old) > 2 * self.longest and i > at + len(added) + self.longest:
+                return new, table + last[old + 1:]
+        return new, table
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -223,6 +237,8 @@ class Words:
                 return self.joined(self._word(word[:-1]), self._word_end(word[-1]))
             else:
                 got = self.made(self.bpe.encode(" " + word))
+        if len(word) > LONGEST_KEPT:
+            return got
         if len(self.now) >= CACHE_WORDS:
             self.before, self.now = self.now, {}
         self.now[word] = got

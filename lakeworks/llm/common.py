@@ -16,6 +16,10 @@ from lakeworks.session import ensure_checkpoint_dir
 #: ASCII white space, as word separator and for normalisation.
 SPACE = r"[\x20\x09-\x0D]"
 
+#: Words of more bytes are not kept in a worker's caches, which so are bounded in
+#: bytes too: texts without spaces are one word each, and seldom the same.
+LONGEST_KEPT = 64
+
 #: Rows of text in one Arrow batch; long texts make batches of some MB.
 TEXT_ROWS = 256
 

@@ -129,7 +129,8 @@ def write_index(texts: DataFrame, directory: list[tuple[int, int]], key_bits: in
 
     out = texts.mapInArrow(lambda it: batches(run(it), schema, 256),
                            "bucket long, key long, text binary, keep_id long, copies long")
-    return cut(out.repartition(max(1, len(directory)), "bucket"))
+    # bucket k is owned by task k, so a file holds one bucket
+    return cut(out.repartitionById(max(1, len(directory)), F.col("bucket").cast("int")))
 
 
 def least(a: int | None, b: int | None) -> int | None:

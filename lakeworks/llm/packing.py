@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import cut, ids_and_texts, text_batches, utf8
+from .common import LONGEST_KEPT, cut, ids_and_texts, text_batches, utf8
 
 CACHE_WORDS = 1_000_000
 WINDOW, END = 4096, 2
@@ -38,7 +38,7 @@ STOPS = re.compile(rb"(?<=[a-z])[.,](?=[ \n])")
 class WordCodec:
     """Token ids as packed little-endian integers. The tokenizer lowers letters
     and drops white space, and no token crosses white space, so texts are encoded
-    word by word; the words' ids are kept while the cache has room. Texts that
+    word by word; the ids of short words are kept while the cache has room. Texts that
     may hold a special token's string, where case matters, are encoded as they are."""
 
     def __init__(self, path: str):
@@ -60,7 +60,9 @@ class WordCodec:
                 if found[i] is None:
                     got = known.get(w)
                     if got is None:
-                        got = known[w] = self._ids(w)
+                        got = self._ids(w)
+                        if len(w) <= LONGEST_KEPT:
+                            known[w] = got
                     found[i] = got
         return b"".join(found)
 

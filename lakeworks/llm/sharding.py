@@ -59,22 +59,27 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
     numbered = numbered.withColumn("nth", F.col("b0") + F.sum("big").over(here))
     page = F.when(F.col("big") == 1, -F.col("nth")).otherwise(
         F.greatest(F.expr(f"(at - 1) div {max(limit // 2, 1)}"), F.lit(0)))
-    return numbered.select("doc_id", "size", "h", F.lit(BITS).alias("depth"), page.cast("long").alias("page"))
+    more = [c for c in ("doc",) if c in rows.columns]
+    return numbered.select("doc_id", "size", "h", F.lit(BITS).alias("depth"), page.cast("long").alias("page"), *more)
 
 
-def assign(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, depth, prefix (the shard's bits as text), page."""
+def assign(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", text_col: str = "text",
+           whole: bool = False) -> DataFrame:
+    """doc_id, n_bytes, depth, prefix (the shard's bits as text), page; with
+    ``whole`` also doc, the row itself as a struct."""
     size = F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
+    more = ["doc"] if whole else []
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), size.alias("size"), key_hash(F.col(id_col)).alias("h"),
-                           F.monotonically_increasing_id().alias("uid")))
+                           F.monotonically_increasing_id().alias("uid"),
+                           *([F.struct(*docs.columns).alias("doc")] if whole else [])))
     settled, left, page = [], rows, F.lit(0).cast("long").alias("page")
     for k in range(PASSES):
-        directory = _directory(left, k * STEP, limit)
+        directory = _directory(left.drop(*more), k * STEP, limit)
         if k == 0:
             directory = F.broadcast(directory)  # at most 2**15 rows of 12 bytes
         joined = left.withColumn("fine", F.shiftright("h", BITS - (k + 1) * STEP)).join(directory, "fine")
-        settled.append(joined.where("depth is not null").select("doc_id", "size", "h", "depth", page))
-        left = cut(joined.where("depth is null").select("doc_id", "size", "h", "uid"))
+        settled.append(joined.where("depth is not null").select("doc_id", "size", "h", "depth", page, *more))
+        left = cut(joined.where("depth is null").select("doc_id", "size", "h", "uid", *more))
         if left.isEmpty():
             break
     else:
@@ -82,16 +87,15 @@ def assign(docs: DataFrame, limit: int = LIMIT_BYTES, id_col: str = "doc_id", te
     bits = F.expr(f"substring(lpad(bin(h), {BITS}, '0'), 1, depth)")
     return reduce(DataFrame.unionByName, settled).select(
         "doc_id", F.col("size").alias("n_bytes"), F.col("depth").cast("int").alias("depth"),
-        bits.alias("prefix"), "page")
+        bits.alias("prefix"), "page", *more)
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
-    """Write all rows of ``docs``, one folder per shard. Rows find their shard
-    by key, so keys must be unique here."""
-    shards = assign(docs, limit, id_col, text_col).select(
-        F.col("doc_id").alias("_key"), F.concat_ws("-", "prefix", "page").alias("_shard"))
-    tagged = docs.join(shards, docs[id_col].eqNullSafe(shards["_key"])).drop("_key")
+    """Write all rows of ``docs``, one folder per shard. Rows are carried along
+    with their keys, so a key may occur in any number of rows."""
+    shards = assign(docs, limit, id_col, text_col, whole=True)
+    tagged = shards.select("doc.*", F.concat_ws("-", "prefix", "page").alias("_shard"))
     tagged.repartition("_shard").write.partitionBy("_shard").parquet(path)
 
 

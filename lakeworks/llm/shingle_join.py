@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, cut, ids_and_texts, table, text_batches, utf8
+from .common import LONGEST_KEPT, batches, cut, ids_and_texts, table, text_batches, utf8
 from .graph import components
 
 TILE_NODES = 8192
@@ -46,9 +46,11 @@ U = np.uint64
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
