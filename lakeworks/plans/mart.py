@@ -159,6 +159,8 @@ def key_crosswalk(lake) -> DataFrame:
              BASE_DATE, None, F.lit(True)),
         rows(p, "SECURITY", "BLOOMBERG", F.concat(F.lit("BBG_"), F.col("p").cast("string")),
              F.concat(F.lit("EK_PRT_"), F.col("p").cast("string")), "ONE_TO_ONE", 1, BASE_DATE, None, F.lit(True)),
+        rows(c.filter(F.col("c") % 2 == 0), "ENTITY", "BLOOMBERG", F.concat(F.lit("BBG_ENT_"), cs),
+             F.concat(F.lit("EK_CUS_"), cs), "ONE_TO_ONE", 1, BASE_DATE, None, F.lit(True)),
     ]
     xw = arms[0]
     for a in arms[1:]:

@@ -133,17 +133,24 @@ for _k, _n in {
 
 @query("current_entity")
 def current_entity(lake) -> DataFrame:
-    """Q1: current entities with their group and external ids pivoted to columns."""
+    """Q1: current entities with their group, the portfolio that owns most of them,
+    and external ids pivoted to columns (A11)."""
     e = lake.get("mart.dim_entity").filter(F.col("is_current"))
     g = lake.get("mart.dim_portfolio_group").select("portfolio_group_sk", "group_name")
     xw = lake.get("mart.key_crosswalk").filter(
         F.col("is_current") & (F.col("domain_code") == "ENTITY") & (F.col("relationship_type") == "ONE_TO_ONE"))
     ids = xw.groupBy(F.col("target_key").alias("enterprise_entity_id")).agg(
         F.max(F.when(F.col("source_system") == "STATE_STREET", F.col("source_key"))).alias("state_street_id"),
+        F.max(F.when(F.col("source_system") == "BLOOMBERG", F.col("source_key"))).alias("bloomberg_id"),
         F.max(F.when(F.col("source_system") == "EFRONT", F.col("source_key"))).alias("efront_id"))
-    return e.join(F.broadcast(g), "portfolio_group_sk", "left").join(ids, "enterprise_entity_id", "left").select(
+    # of several owners the one with the greatest share, then the smallest key
+    owner = lake.get("mart.portfolio_entity_alloc").groupBy("entity_sk").agg(
+        F.max_by("portfolio_sk", F.struct("ownership_percentage", -F.col("portfolio_sk"))).alias("portfolio_sk"))
+    p = lake.get("mart.dim_portfolio").filter(F.col("is_current")).select("portfolio_sk", "enterprise_portfolio_id", "portfolio_name")
+    return (e.join(F.broadcast(g), "portfolio_group_sk", "left").join(ids, "enterprise_entity_id", "left")
+            .join(owner, "entity_sk", "left").join(p, "portfolio_sk", "left").select(
         "entity_sk", "enterprise_entity_id", "entity_name", "entity_type", "jurisdiction", "group_name",
-        "state_street_id", "efront_id")
+        "enterprise_portfolio_id", "portfolio_name", "state_street_id", "bloomberg_id", "efront_id"))
 
 
 @query("portfolio_hierarchy")
@@ -435,6 +442,35 @@ def incremental_aum(lake) -> DataFrame:
     return build(lake)
 
 
+@query("predicate_delete")
+def predicate_delete(lake) -> DataFrame:
+    """Delete the sells of 1998 from a stored fact and put the fees of 1999 to
+    0, rewriting only files that hold such rows; rows and sums by year after it."""
+    from lakeworks.plans.store import SnapshotStore
+    store = SnapshotStore(lake.spark)
+    fact = lake.get("mart.fact_transaction").withColumn("year", F.year("transaction_date"))
+    store.write("t", fact.repartitionByRange(F.col("year")))
+    store.delete_where("t", (F.col("year") == 1998) & (F.col("transaction_type") == "SELL"))
+    store.update_where("t", F.col("year") == 1999, {"fees": F.lit(0)})
+    return store.read("t").groupBy("year").agg(
+        F.count(F.lit(1)).alias("transaction_count"), F.sum("gross_amount").alias("gross_amount"), F.sum("fees").alias("fees"))
+
+
+@query("clone_shape")
+def clone_shape(lake) -> DataFrame:
+    """An empty table of another one's shape, and what both hold then."""
+    from lakeworks.plans.store import SnapshotStore
+    store = SnapshotStore(lake.spark)
+    store.write("t", lake.get("bronze.asset"))
+    store.clone_shape("t", "t_like")
+    out = []
+    for name in ("t", "t_like"):
+        df = store.read(name)
+        out.append(df.agg(F.count(F.lit(1)).alias("rows"), F.count("asset_name").alias("named"), F.max("vintage_year").alias("newest"))
+                   .select(F.lit(name).alias("table_name"), "rows", "named", "newest"))
+    return out[0].unionByName(out[1])
+
+
 @query("incremental_refresh")
 def incremental_refresh(lake) -> DataFrame:
     """Daily AUM refreshed from the changes between two stored versions of the

@@ -104,6 +104,8 @@ class Placement:
 
 
 S0 = Placement()
+S1 = Placement(gold=True)
+S2 = Placement(silver=True)
 S3 = Placement(silver=True, gold=True)
 S4 = Placement(silver=True, gold=True, mart=True)
 

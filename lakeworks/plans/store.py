@@ -11,10 +11,11 @@ Hadoop FileSystem of the path, so the root can live on any shared storage.
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.session import ensure_checkpoint_dir
@@ -89,12 +90,15 @@ class SnapshotStore:
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write a new version, current once it is complete; returns the version."""
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None, note: dict | None = None) -> int:
+        """Write a new version, current once it is complete; returns the version.
+        A ``note`` is there before the version counts."""
         version = max(self.versions(name), default=0) + 1
         self._fs.mkdirs(self._Path(self._dir(name)))
         while not self._claim(name, version):
             version += 1
+        if note is not None:
+            self.write_note(name, version, note)
         w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -113,12 +117,52 @@ class SnapshotStore:
         v = version if version is not None else self.current_version(name)
         if v is None:
             raise KeyError(f"{name} has no snapshot")
-        return self.spark.read.parquet(self._version_dir(name, v))
+        own = self._version_dir(name, v)
+        files = (self.read_note(name, v) or {}).get("files")
+        if not files:
+            return self.spark.read.parquet(own)
+        return self.spark.read.parquet(own, *files)
+
+    # -- changes by predicate (S12, S13) ----------------------------------------
+    def delete_where(self, name: str, predicate: Column) -> tuple[int, int]:
+        """Delete the rows that ``predicate`` is true for; (version, files rewritten).
+        Rows for which it is unknown stay."""
+        return self._rewrite(name, predicate, lambda df: df.where(~F.coalesce(predicate, F.lit(False))))
+
+    def update_where(self, name: str, predicate: Column, values: dict[str, Column]) -> tuple[int, int]:
+        """Set columns of the rows that ``predicate`` is true for; (version, files rewritten)."""
+        hit = F.coalesce(predicate, F.lit(False))
+
+        def change(df: DataFrame) -> DataFrame:
+            kinds = {f.name: f.dataType for f in df.schema}
+            return df.select(*[F.when(hit, values[c].cast(kinds[c])).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+                               for c in df.columns])
+        return self._rewrite(name, predicate, change)
+
+    def _rewrite(self, name: str, predicate: Column, change) -> tuple[int, int]:
+        """A new version in which only files that hold a match are written anew; the
+        others are read where they are (files of a version are never changed). Of
+        snapshots in partition folders the whole version is written."""
+        v = self.current_version(name)
+        df = self.read(name, v)
+        files = {f.rsplit("/", 1)[1]: f for f in df.inputFiles()}  # a name for each file
+        touched = {r[0].rsplit("/", 1)[1] for r in df.where(predicate).select("_metadata.file_path").distinct().collect()}
+        if not touched:
+            return v, 0
+        if any("/" in re.sub(r".*/v=\d{6,}/", "", f) for f in files.values()):
+            return self.write(name, change(df)), len(files)
+        old = self.spark.read.schema(df.schema).parquet(*[files[f] for f in sorted(touched)])
+        note = {"needs": {}, "inputs": None, "rows": None, "content": None,
+                "files": [p for f, p in sorted(files.items()) if f not in touched]}
+        return self.write(name, change(old), note=note), len(touched)
+
+    def clone_shape(self, source: str, target: str) -> int:
+        """An empty table of another one's columns."""
+        return self.write(target, self.read(source).where(F.lit(False)))
 
     def history(self, name: str) -> DataFrame:
         """DESCRIBE HISTORY: one row per version with its row count."""
-        rows = [(v, self.spark.read.parquet(self._version_dir(name, v)).count()) for v in self.versions(name)
-                if self._fs.exists(self._Path(f"{self._version_dir(name, v)}/_SUCCESS"))]
+        rows = [(v, self.read(name, v).count()) for v in self.versions(name) if self.complete(name, v)]
         return self.spark.createDataFrame(rows, "version int, row_count long").withColumn(
             "is_current", F.col("version") == F.lit(self.current_version(name)))
 

@@ -73,7 +73,10 @@ x AS (
   FROM c CROSS JOIN (SELECT unnest([1, 2]) AS k) WHERE c >= 10 AND c < 30
   UNION ALL
   SELECT 'SECURITY', 'BLOOMBERG', 'BBG_' || CAST(p_partkey AS VARCHAR), 'ENTERPRISE', 'EK_PRT_' || CAST(p_partkey AS VARCHAR),
-         'ONE_TO_ONE', 1, DATE '1990-01-01', CAST(NULL AS DATE), TRUE FROM part),
+         'ONE_TO_ONE', 1, DATE '1990-01-01', CAST(NULL AS DATE), TRUE FROM part
+  UNION ALL
+  SELECT 'ENTITY', 'BLOOMBERG', 'BBG_ENT_' || CAST(c AS VARCHAR), 'ENTERPRISE', 'EK_CUS_' || CAST(c AS VARCHAR),
+         'ONE_TO_ONE', 1, DATE '1990-01-01', CAST(NULL AS DATE), TRUE FROM c WHERE c % 2 = 0),
 n AS (SELECT *, row_number() OVER (ORDER BY domain_code, source_system, source_key, effective_start_date, target_key)
                 AS crosswalk_sk FROM x)
 SELECT a.domain_code, a.source_system, a.source_key, a.target_system, a.target_key, a.relationship_type,

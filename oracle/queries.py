@@ -141,13 +141,18 @@ FINAL["current_entity"] = """
 WITH ids AS (
   SELECT target_key AS enterprise_entity_id,
          max(CASE WHEN source_system = 'STATE_STREET' THEN source_key END) AS state_street_id,
+         max(CASE WHEN source_system = 'BLOOMBERG' THEN source_key END) AS bloomberg_id,
          max(CASE WHEN source_system = 'EFRONT' THEN source_key END) AS efront_id
   FROM k_key_crosswalk WHERE is_current AND domain_code = 'ENTITY' AND relationship_type = 'ONE_TO_ONE'
-  GROUP BY target_key)
+  GROUP BY target_key),
+own AS (SELECT entity_sk, portfolio_sk, row_number() OVER (PARTITION BY entity_sk ORDER BY ownership_percentage DESC,
+                                                           portfolio_sk) AS rn FROM k_portfolio_entity_alloc)
 SELECT e.entity_sk, e.enterprise_entity_id, e.entity_name, e.entity_type, e.jurisdiction, g.group_name,
-       ids.state_street_id, ids.efront_id
+       p.enterprise_portfolio_id, p.portfolio_name, ids.state_street_id, ids.bloomberg_id, ids.efront_id
 FROM k_dim_entity e LEFT JOIN k_dim_portfolio_group g ON g.portfolio_group_sk = e.portfolio_group_sk
 LEFT JOIN ids ON ids.enterprise_entity_id = e.enterprise_entity_id
+LEFT JOIN own ON own.entity_sk = e.entity_sk AND own.rn = 1
+LEFT JOIN (SELECT * FROM k_dim_portfolio WHERE is_current) p ON p.portfolio_sk = own.portfolio_sk
 WHERE e.is_current"""
 FINAL["portfolio_hierarchy"] = """
 SELECT p.portfolio_sk, p.enterprise_portfolio_id, p.portfolio_name, p.portfolio_type, p.portfolio_group_sk,
@@ -529,6 +534,14 @@ _VERSIONED = {"security_dim": "enterprise_key", "contract_dim": "enterprise_key"
 FINAL["valid_at"] = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS dimension, {k} AS key, max(effective_start_date) AS effective_start_date FROM s_{n} "
     f"WHERE DATE '1998-07-01' BETWEEN effective_start_date AND effective_end_date GROUP BY {k}" for n, k in _VERSIONED.items())
+FINAL["predicate_delete"] = """
+SELECT CAST(year(transaction_date) AS INTEGER) AS year, count(*) AS transaction_count,
+       CAST(sum(gross_amount) AS DOUBLE) AS gross_amount,
+       CAST(sum(CASE WHEN year(transaction_date) = 1999 THEN 0 ELSE fees END) AS DOUBLE) AS fees
+FROM k_fact_transaction WHERE NOT (year(transaction_date) = 1998 AND transaction_type = 'SELL') GROUP BY 1"""
+FINAL["clone_shape"] = """
+SELECT 't' AS table_name, count(*) AS rows, count(asset_name) AS named, max(vintage_year) AS newest FROM b_asset
+UNION ALL SELECT 't_like', 0, 0, NULL"""
 FINAL["streaming_refresh"] = """
 SELECT portfolio_source_key, cash_flow_date, cash_flow_type, CAST(sum(amount_local) AS DOUBLE) AS amount_local,
        count(*) AS flow_count
