@@ -44,6 +44,10 @@ HEADLINE = [
     "consolidated_contracts",
     "incremental_aum",
 ]
+# the stored entities that these reports read
+ENTITIES = ["silver.position_analytics_fact", "gold.position_analytics_fact", "gold.consolidated_position_book",
+            "gold.consolidated_contract_book", "mart.aum_daily_by_portfolio", "mart.position_enriched", "mart.portfolio_kpi_daily",
+            "mart.position_with_external_keys", "mart.portfolio_book", "mart.security_book", "mart.transaction_book"]
 S0_QUERIES = ["team_position", "aum_daily", "position_external_keys", "portfolio_kpi", "portfolio_book"]
 
 
@@ -67,6 +71,11 @@ def main() -> None:
     store = SnapshotStore(spark)
     builder = Lake(spark, sf_dir, placement=S4, store=store, auto_refresh=True)
     t0 = time.time()
+    # level by level, independent entities at a time; what it leaves out is built on demand below
+    if keys == HEADLINE:
+        done = builder.refresh_stale(builder.stored_inputs(ENTITIES), workers=4)
+        times["refresh_levels"] = round(time.time() - t0, 3)
+        times["refreshed_entities"] = done.where("action = 'refreshed'").count()
     for k in keys:
         t1 = time.time()
         QUERIES[k](builder)

@@ -295,6 +295,11 @@ class Lake:
                 for n, r in reasons.items()]
         return self.spark.createDataFrame(rows, "entity string, version int, state string, reasons string")
 
+    def stored_inputs(self, names) -> set[str]:
+        """``names`` and all stored entities below them."""
+        _load_all()
+        return set(names) | {d for n in names for d in _below(n) if self._is_stored(d)}
+
     def _stored_names(self, names=None) -> list[str]:
         """Stored entities, or those of ``names`` and the tables below them."""
         if names is not None:
