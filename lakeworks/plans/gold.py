@@ -30,7 +30,7 @@ def team_filter(df: DataFrame, team: str) -> DataFrame:
     return df.filter(F.col("team_code") == team)
 
 
-@entity("gold.position_analytics_fact", cluster=("team_code", "position_date"))
+@entity("gold.position_analytics_fact", cluster=("team_code", "position_date"), dated="position_date")
 def team_position(lake) -> DataFrame:
     p = lake.get("silver.position_analytics_fact")
     p = p.join(F.broadcast(_teams(lake).select("business_unit_sk", "team_code")), "business_unit_sk", "inner")
@@ -134,7 +134,7 @@ def _pd_teams(lake) -> DataFrame:
     return _teams(lake).filter(F.col("is_pd_strategy")).select("team_code")
 
 
-@entity("gold.consolidated_position_book", cluster=("position_date",))
+@entity("gold.consolidated_position_book", cluster=("position_date",), dated="position_date")
 def consolidated_positions(lake) -> DataFrame:
     p = lake.get("gold.position_analytics_fact").join(F.broadcast(_pd_teams(lake)), "team_code", "left_semi")
     p = dense_row_id(p, ["position_date", "team_code", "enterprise_key"], "pd_position_book_sk")
@@ -143,7 +143,7 @@ def consolidated_positions(lake) -> DataFrame:
                     "unrealized_gl_usd", "concentration_pct", "portfolio_rank", "currency_code")
 
 
-@entity("gold.consolidated_contract_book", cluster=("summary_date",))
+@entity("gold.consolidated_contract_book", cluster=("summary_date",), dated="summary_date")
 def consolidated_contracts(lake) -> DataFrame:
     s = lake.get("gold.contract_summary_fact").join(F.broadcast(_pd_teams(lake)), "team_code", "left_semi")
     d = lake.get("gold.contract_details_fact").select(
@@ -157,7 +157,7 @@ def consolidated_contracts(lake) -> DataFrame:
                     "has_active_breach")
 
 
-@entity("gold.consolidated_transaction_book", cluster=("transaction_date",))
+@entity("gold.consolidated_transaction_book", cluster=("transaction_date",), dated="transaction_date")
 def consolidated_transactions(lake) -> DataFrame:
     pf = lake.get("silver.portfolio_dim").filter(F.col("is_current")).select(
         "portfolio_sk", F.col("business_unit_enterprise_key").alias("bu_enterprise_key"))

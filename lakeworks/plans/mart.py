@@ -95,7 +95,7 @@ def dim_asset(lake) -> DataFrame:
 
 
 # --------------------------------------------------------------------- facts
-@entity("mart.fact_position", cluster=("position_date",))
+@entity("mart.fact_position", cluster=("position_date",), dated="position_date")
 def fact_position(lake) -> DataFrame:
     p = lake.get("silver.position_analytics_fact")
     p = _entity_of_contract(lake, p, "contract_source_key", "position_date")
@@ -108,7 +108,7 @@ def fact_position(lake) -> DataFrame:
                     F.lit("state_street").alias("record_source"))
 
 
-@entity("mart.fact_transaction", cluster=("transaction_date",))
+@entity("mart.fact_transaction", cluster=("transaction_date",), dated="transaction_date")
 def fact_transaction(lake) -> DataFrame:
     t = lake.get("silver.transaction_fact").filter(F.col("transaction_status") == "SETTLED")
     t = t.withColumn("__txn_ck", F.concat(F.lit("ORD_"), F.substring("enterprise_key", 8, 20)))
@@ -240,10 +240,10 @@ additive("mart.aum_daily_by_portfolio", Additive(
     inputs={"mart.fact_position": (("position_date", "portfolio_sk", "market_value", "book_value", "unrealized_gain_loss"),
                                    ("position_date",))},
     rows=lambda f: f["mart.fact_position"], keys=("position_date", "portfolio_sk"),
-    measures=("market_value", "book_value", "unrealized_gain_loss"), finish=_aum_finish), cluster=("position_date",))
+    measures=("market_value", "book_value", "unrealized_gain_loss"), finish=_aum_finish), cluster=("position_date",), dated="position_date")
 
 
-@entity("mart.position_enriched", cluster=("position_date",))
+@entity("mart.position_enriched", cluster=("position_date",), dated="position_date")
 def position_enriched(lake) -> DataFrame:
     b = _enriched_base(lake, lake.get("mart.fact_position"))
     return b.select("position_id", "position_date", "portfolio_sk", "portfolio_name", "portfolio_type", "entity_sk",
@@ -278,7 +278,7 @@ additive("mart.portfolio_kpi_daily", Additive(
     inputs={"mart.fact_position": (("position_date", "portfolio_sk", "entity_sk", "market_value", "unrealized_gain_loss"),
                                    ("position_date",))},
     rows=lambda f: f["mart.fact_position"], keys=("position_date", "portfolio_sk", "entity_sk"),
-    measures=("market_value", "unrealized_gain_loss"), finish=_kpi_finish), cluster=("position_date",))
+    measures=("market_value", "unrealized_gain_loss"), finish=_kpi_finish), cluster=("position_date",), dated="position_date")
 
 
 def _external_xw(lake, domain: str, system: str, key_alias: str, target_alias: str, prefix: str) -> DataFrame:
@@ -288,7 +288,7 @@ def _external_xw(lake, domain: str, system: str, key_alias: str, target_alias: s
                      F.col("effective_start_date").alias(f"{prefix}s"), F.col("effective_end_date").alias(f"{prefix}e"))
 
 
-@entity("mart.position_with_external_keys", cluster=("position_date",))
+@entity("mart.position_with_external_keys", cluster=("position_date",), dated="position_date")
 def position_external_keys(lake) -> DataFrame:
     b = _enriched_base(lake, lake.get("mart.fact_position"))
     ss = _external_xw(lake, "ENTITY", "STATE_STREET", "state_street_entity_id", "__ss_t", "__ss_")

@@ -173,22 +173,20 @@ def security_with_asset(lake) -> DataFrame:
 
 
 # --- headline / demo queries (X1-X21) --------------------------------------------
-def _between(col, lo, hi):
-    import datetime as dt
-    return F.col(col).between(F.lit(dt.date.fromisoformat(lo)), F.lit(dt.date.fromisoformat(hi)))
+def _between(lake, name, lo, hi):
+    return lake.between(name, dt.date.fromisoformat(lo), dt.date.fromisoformat(hi))
 
 
 @query("demo_aum_window")
 def demo_aum_window(lake) -> DataFrame:
-    a = lake.get("mart.aum_daily_by_portfolio").filter(_between("position_date", "2000-01-01", "2000-12-31"))
+    a = _between(lake, "mart.aum_daily_by_portfolio", "2000-01-01", "2000-12-31")
     return a.orderBy(F.col("position_date").desc(), F.col("aum").desc(), F.col("portfolio_sk")).limit(100) \
         .select("position_date", "portfolio_name", "portfolio_type", "aum", "position_count")
 
 
 @query("demo_position_window")
 def demo_position_window(lake) -> DataFrame:
-    e = lake.get("mart.position_enriched").filter(
-        (F.col("portfolio_type") == "FUND") & _between("position_date", "2000-10-01", "2000-12-31"))
+    e = _between(lake, "mart.position_enriched", "2000-10-01", "2000-12-31").filter(F.col("portfolio_type") == "FUND")
     return e.select("position_id", "position_date", "portfolio_name", "entity_name", "asset_name", "asset_city",
                     "security_name", "security_type", "market_value", "unrealized_gain_loss")
 
@@ -196,16 +194,14 @@ def demo_position_window(lake) -> DataFrame:
 @query("demo_point_lookup")
 def demo_point_lookup(lake) -> DataFrame:
     first = lake.get("mart.dim_security").filter(F.col("is_current")).agg(F.min("security_sk").alias("security_sk"))
-    p = lake.get("mart.fact_position").filter(_between("position_date", "2000-06-01", "2000-06-30"))
+    p = _between(lake, "mart.fact_position", "2000-06-01", "2000-06-30")
     return p.join(F.broadcast(first), "security_sk", "inner").select(
         "position_id", "position_date", "security_sk", "market_value", "quantity")
 
 
 @query("kpi_top_yoy")
 def kpi_top_yoy(lake) -> DataFrame:
-    k = lake.get("mart.portfolio_kpi_daily")
-    last = k.agg(F.max("position_date").alias("position_date"))
-    k = k.join(F.broadcast(last), "position_date", "inner")
+    k = lake.latest("mart.portfolio_kpi_daily")
     ago = F.col("aum_year_ago")
     yoy = F.when(ago.isNull() | (ago == 0), F.lit(None).cast("double")).otherwise(
         (F.col("aum") - ago).cast("double") / ago.cast("double") * 100)
@@ -223,8 +219,7 @@ def kpi_timeline(lake) -> DataFrame:
 
 @query("recon_month")
 def recon_month(lake) -> DataFrame:
-    return lake.get("mart.position_with_external_keys").filter(
-        _between("position_date", "2000-01-01", "2000-01-31")).select(
+    return _between(lake, "mart.position_with_external_keys", "2000-01-01", "2000-01-31").select(
         "position_id", "position_date", "portfolio_name", "entity_name", "security_name", "state_street_entity_id",
         "bloomberg_security_id", "market_value")
 
@@ -354,9 +349,7 @@ def adhoc_top_positions(lake) -> DataFrame:
 
 @query("adhoc_team_aum")
 def adhoc_team_aum(lake) -> DataFrame:
-    b = lake.get("gold.consolidated_position_book")
-    last = b.agg(F.max("position_date").alias("position_date"))
-    b = b.join(F.broadcast(last), "position_date", "inner")
+    b = lake.latest("gold.consolidated_position_book")
     return b.groupBy("team_code").agg(
         F.countDistinct("enterprise_key").alias("unique_positions"), F.sum("market_value_usd").alias("total_aum_usd"),
         F.round(F.avg("concentration_pct"), 9).alias("avg_concentration_pct"),
@@ -365,9 +358,7 @@ def adhoc_team_aum(lake) -> DataFrame:
 
 @query("adhoc_contract_concentration")
 def adhoc_contract_concentration(lake) -> DataFrame:
-    b = lake.get("gold.consolidated_contract_book")
-    last = b.agg(F.max("summary_date").alias("summary_date"))
-    b = b.join(F.broadcast(last), "summary_date", "inner")
+    b = lake.latest("gold.consolidated_contract_book")
     return b.orderBy(F.col("outstanding_principal_usd").desc(), F.col("team_code"), F.col("enterprise_key")).limit(20) \
         .select("team_code", "contract_sk", "summary_date", "outstanding_principal_usd", "accrued_interest_usd",
                 "performance_status", "has_active_breach")

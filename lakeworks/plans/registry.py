@@ -16,6 +16,7 @@ copy of any body - view/mv parity holds by construction.
 
 from __future__ import annotations
 
+import datetime as dt
 import dis
 import inspect
 from collections.abc import Callable
@@ -61,31 +62,33 @@ class Entity:
     table: bool = False
     cluster: tuple = ()
     partition: tuple = ()
+    dated: str | None = None
     deps: set = field(default_factory=set)
 
 
 REGISTRY: dict[str, Entity] = {}
 
 
-def additive(name: str, spec: Additive, cluster: tuple = (), partition: tuple = ()) -> None:
+def additive(name: str, spec: Additive, cluster: tuple = (), partition: tuple = (), dated: str | None = None) -> None:
     """Register an entity that ``spec`` builds, in full or from changes."""
     def build(lake):
         return spec.finish(lake, spec.state(spec.frames(lake.get)))
-    REGISTRY[name] = Entity(name, build, name.split(".", 1)[0], spec, False, tuple(cluster), tuple(partition))
+    REGISTRY[name] = Entity(name, build, name.split(".", 1)[0], spec, False, tuple(cluster), tuple(partition), dated)
 
 
-def entity(name: str, table: bool = False, cluster: tuple = (), partition: tuple = ()):
+def entity(name: str, table: bool = False, cluster: tuple = (), partition: tuple = (), dated: str | None = None):
     """Register a builder. ``table=True`` marks entities that are stored
     tables by nature (the reference maintains them with MERGE, e.g. the key
     crosswalk): the lake writes them once per session and every consumer
     scans the snapshot instead of inlining the build. ``cluster`` columns
     order rows inside each written file, so row-group statistics make
     filters on them (dates) skip data - the reference's clustering hint;
-    ``partition`` columns become folders."""
+    ``partition`` columns become folders; ``dated`` names the date column of a
+    fact that is stored in month folders (``Lake.between``, ``Lake.latest``)."""
     layer = name.split(".", 1)[0]
 
     def deco(fn):
-        REGISTRY[name] = Entity(name, fn, layer, None, table, tuple(cluster), tuple(partition))
+        REGISTRY[name] = Entity(name, fn, layer, None, table, tuple(cluster), tuple(partition), dated)
         return fn
 
     return deco
@@ -123,9 +126,10 @@ class Lake:
         self._memo: dict[str, DataFrame] = {}
         self._stack: list[tuple[str, bool]] = []  # entities being built, and whether fully live
 
-    def get(self, name: str, mode: str | None = None) -> DataFrame:
+    def get(self, name: str, mode: str | None = None, months: tuple | None = None) -> DataFrame:
         """Resolve an entity. ``mode`` forces "view" (live, with all its inputs
-        live too) or "mv"; by default the placement decides."""
+        live too) or "mv"; by default the placement decides. ``months`` (two days)
+        keeps a stored dated entity to the folders of those days' months."""
         _load_all()
         ent = REGISTRY[name]
         if self._stack and self._stack[-1][1] and not ent.table:
@@ -136,7 +140,7 @@ class Lake:
             # its (stored) inputs and published before anyone reads it
             self.refresh(name, log=False)
         if use_store and self.store is not None and self.store.exists(name):
-            return self.store.read(name)
+            return self.store.read(name, dates=months)
         if ent.table and mode != "view":
             return self._table(name)
         key = name if mode != "view" else name + "#view"
@@ -144,6 +148,22 @@ class Lake:
             self._memo[key] = self._build(ent, live=mode == "view")
         return self._memo[key]
 
+    def between(self, name: str, first: dt.date, last: dt.date) -> DataFrame:
+        """Rows of a dated entity from ``first`` to ``last``, both included."""
+        return self.get(name, months=(first, last)).filter(
+            F.col(REGISTRY[name].dated).between(F.lit(first), F.lit(last)))
+
+    def latest(self, name: str) -> DataFrame:
+        """Rows of a dated entity on its newest date. Of a stored one only the newest
+        month's folder is opened."""
+        rows = self.get(name)                    # a cascade stores it before its folders are looked at
+        ent = REGISTRY[name]
+        months = self.store.newest_month(name) if self.store is not None and self.placement.stored(ent.layer) else None
+        if months is not None:
+            rows = self.get(name, months=months)
+        newest = rows.agg(F.max(ent.dated).alias(ent.dated))     # one row
+        return rows.join(F.broadcast(newest), ent.dated, "inner").select(*rows.columns)
+
     def _build(self, ent: Entity, live: bool) -> DataFrame:
         self._stack.append((ent.name, live))
         try:
@@ -207,12 +227,10 @@ class Lake:
             df = ent.incremental.finish(self, store.read(f"{name}.state", note["state"]))
         else:
             df = self._build(ent, live=False)
-        if ent.cluster:
-            df = df.sortWithinPartitions(*ent.cluster)
-        version = store.write(name, df, partition_by or list(ent.partition))
+        version = store.write(name, df, partition_by or list(ent.partition), dated=ent.dated, cluster=ent.cluster)
         # a cascade doesn't read its results again; what isn't known counts as changed
         note["rows"], note["content"] = content_of(store.read(name, version)) if log else (None, None)
-        store.write_note(name, version, note)
+        store.write_note(name, version, {**(store.read_note(name, version) or {}), **note})  # with its layout
         if log:
             store.log_refresh(name, strategy, time.time() - t0, note["rows"], version)
         for n in {name, *dependants(name)}:

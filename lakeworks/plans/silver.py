@@ -133,7 +133,7 @@ def fx_rate_dim(lake) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- facts
-@entity("silver.position_analytics_fact", cluster=("position_date",))
+@entity("silver.position_analytics_fact", cluster=("position_date",), dated="position_date")
 def position_fact(lake) -> DataFrame:
     p = lake.get("bronze.position")
     p = _tjoin(lake, p, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "position_date", "pd_")
@@ -186,7 +186,7 @@ def security_master(lake) -> DataFrame:
                     "days_to_maturity", "is_matured")
 
 
-@entity("silver.security_price_fact", cluster=("price_date",))
+@entity("silver.security_price_fact", cluster=("price_date",), dated="price_date")
 def security_price_fact(lake) -> DataFrame:
     p = lake.get("bronze.security_price")
     p = _tjoin(lake, p, "silver.security_dim", "security_sk", "security_enterprise_key", "price_date", "sd_")
@@ -226,7 +226,7 @@ def contract_details(lake) -> DataFrame:
                     "days_to_maturity", "status", "has_active_breach", "currency_code", "fx_rate_to_usd")
 
 
-@entity("silver.contract_summary_fact", cluster=("summary_date",))
+@entity("silver.contract_summary_fact", cluster=("summary_date",), dated="summary_date")
 def contract_summary(lake) -> DataFrame:
     s = resolve(lake, lake.roles.contract_summary, "efront", "contract_source_key", "enterprise_key")
     s = _tjoin(lake, s, "silver.contract_dim", "contract_sk", "enterprise_key", "summary_date", "cd_")
@@ -305,7 +305,7 @@ def collateral_positions(lake) -> DataFrame:
                     "currency_code", "collateral_role")
 
 
-@entity("silver.transaction_fact", cluster=("transaction_date",))
+@entity("silver.transaction_fact", cluster=("transaction_date",), dated="transaction_date")
 def transaction_fact(lake) -> DataFrame:
     t = latest_wins(lake.get("bronze.transaction"), ["enterprise_key"],
                     [F.col("transaction_date").desc(), F.col("transaction_status")])
