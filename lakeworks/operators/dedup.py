@@ -17,9 +17,11 @@ def latest_wins(df: DataFrame, keys: Sequence, order: Sequence, rank_col: str =
 
     ``row_number() = 1`` is planned as a WindowGroupLimit, which also runs
     before the shuffle, so a hot key is cut to one row per map task before it
-    is exchanged.
+    is exchanged. Rows are sorted by a hash of the keys first: keys that begin
+    alike (``EK_POS_...``) are told apart by one long, not by whole strings.
     """
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
+    by = _cols(keys)
+    w = Window.partitionBy(F.xxhash64(*by), *by).orderBy(*_cols(order))
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) == 1).drop(rank_col)
 
 

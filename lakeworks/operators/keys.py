@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators.dedup import latest_wins
@@ -74,12 +74,12 @@ def lookup_of(keys: DataFrame) -> DataFrame:
     """source_system, domain, source_key, enterprise_key: the current mapping of
     every (system, key), once for each domain that a frame names the key in. A
     mapping of no domain (added by hand) has domain NULL and counts for all."""
-    best = keys.groupBy("source_system", "source_key").agg(
-        F.max("enterprise_key").alias("enterprise_key"),
-        F.collect_set(F.coalesce("domain", F.lit(""))).alias("domains"))  # a handful of code values
-    domains = F.when(F.array_contains("domains", ""), F.array(F.lit(""))).otherwise(F.col("domains"))
-    return best.select("source_system", F.explode(domains).alias("domain"), "source_key", "enterprise_key").withColumn(
-        "domain", F.when(F.col("domain") != "", F.col("domain")))
+    by_domain = keys.groupBy("source_system", "domain", "source_key").agg(F.max("enterprise_key").alias("enterprise_key"))
+    w = Window.partitionBy("source_system", "source_key")          # a row for each domain, a handful of code values
+    best = by_domain.withColumn("enterprise_key", F.max("enterprise_key").over(w)).withColumn(
+        "__for_all", F.max(F.col("domain").isNull()).over(w))
+    return best.where(~F.col("__for_all") | F.col("domain").isNull()).select(
+        "source_system", "domain", "source_key", "enterprise_key")
 
 
 def lookup_keys(df: DataFrame, lookup: DataFrame, system: str, key_col: str, out_col: str,

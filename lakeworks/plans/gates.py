@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.operators.segments import segmented_window
 from lakeworks.plans.bronze import BRONZE_ENTITIES
 
 SCD_DIMS = {"security_dim": "security_sk", "contract_dim": "contract_sk", "entity_dim": "entity_sk",
@@ -91,16 +92,17 @@ def gate_scd2_current(lake) -> DataFrame:
 def gate_scd2_overlap(lake) -> DataFrame:
     """Overlapping validity ranges. Sorting versions by start, two ranges
     of a key overlap iff some version starts on or before the previous one's
-    end, so one lag per row replaces the pairwise self-join."""
+    end, so one lag per row replaces the pairwise self-join. Versions are taken
+    in blocks with the one before, so a key with very many is not one task."""
     out = []
     for dim in SCD_DIMS:
         d = lake.get(f"silver.{dim}")
         key = "rated_enterprise_key" if dim == "rating_dim" else "enterprise_key"
         sk = SCD_DIMS[dim]
-        w = Window.partitionBy(key).orderBy("effective_start_date", sk)
-        prev_end = F.lag("effective_end_date").over(w)
-        bad = d.select((prev_end.isNotNull() & (F.col("effective_start_date") <= prev_end)).alias("ov")) \
-            .filter(F.col("ov"))
+        d = d.select(key, sk, "effective_start_date", "effective_end_date")
+        seen = segmented_window(d, [key], ["effective_start_date", sk], F.year("effective_start_date"), 1, {
+            "prev_end": lambda w: F.lag("effective_end_date").over(w)})
+        bad = seen.filter(F.col("effective_start_date") <= F.col("prev_end"))
         m = bad.agg(F.count(F.lit(1)).alias("n"))
         out.append(m.select(*_row("scd2_overlap", dim, F.col("n"), 0, F.col("n") == 0)))
     return _union(out)
@@ -148,7 +150,7 @@ def gate_conflict_density(lake) -> DataFrame:
 def gate_missing_fx(lake) -> DataFrame:
     """Positions whose currency has no rate on their day (the default rate of 1
     was used): per currency, none is allowed."""
-    p = lake.get("silver.position_analytics_fact").filter(F.col("currency_code") != "USD")
+    p = lake.get("silver.position_analytics_fact", ids=False).filter(F.col("currency_code") != "USD")
     m = p.groupBy("currency_code").agg(F.sum(F.col("fx_rate_to_usd").isNull().cast("int")).alias("n"))
     return m.select(*_row("missing_fx", F.col("currency_code"), F.col("n"), 0, F.col("n") == 0))
 

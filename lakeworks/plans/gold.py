@@ -30,9 +30,10 @@ def team_filter(df: DataFrame, team: str) -> DataFrame:
     return df.filter(F.col("team_code") == team)
 
 
-@entity("gold.position_analytics_fact", cluster=("team_code", "position_date"), dated="position_date")
+@entity("gold.position_analytics_fact", cluster=("team_code", "position_date"), dated="position_date",
+        sk="position_sk")
 def team_position(lake) -> DataFrame:
-    p = lake.get("silver.position_analytics_fact")
+    p = lake.get("silver.position_analytics_fact", ids=lake.ids)
     p = p.join(F.broadcast(_teams(lake).select("business_unit_sk", "team_code")), "business_unit_sk", "inner")
     p = share_of_total(p, ["team_code", "position_date"], "market_value_usd", "concentration_pct")
     p = dense_rank_within(p, ["team_code", "position_date"], "market_value_usd", "portfolio_rank")
@@ -43,7 +44,7 @@ def team_position(lake) -> DataFrame:
 
 @entity("gold.team_securities")
 def team_securities(lake) -> DataFrame:
-    return lake.get("gold.position_analytics_fact").select("team_code", "security_sk") \
+    return lake.get("gold.position_analytics_fact", ids=False).select("team_code", "security_sk") \
         .filter(F.col("security_sk").isNotNull()).distinct()
 
 
@@ -137,7 +138,7 @@ def _pd_teams(lake) -> DataFrame:
 @entity("gold.consolidated_position_book", cluster=("position_date",), dated="position_date")
 def consolidated_positions(lake) -> DataFrame:
     p = lake.get("gold.position_analytics_fact").join(F.broadcast(_pd_teams(lake)), "team_code", "left_semi")
-    p = dense_row_id(p, ["position_date", "team_code", "enterprise_key"], "pd_position_book_sk")
+    p = lake.number(p, ["position_date", "team_code", "enterprise_key"], "pd_position_book_sk", of=p)
     return p.select("pd_position_book_sk", "team_code", "enterprise_key", "position_date", "portfolio_sk",
                     "security_sk", "business_unit_sk", "market_value_usd", "book_value_usd", "cost_basis_usd",
                     "unrealized_gl_usd", "concentration_pct", "portfolio_rank", "currency_code")
@@ -164,7 +165,7 @@ def consolidated_transactions(lake) -> DataFrame:
     teams = _teams(lake).filter(F.col("is_pd_strategy")).select("bu_enterprise_key", "team_code")
     pp = pf.join(F.broadcast(teams), "bu_enterprise_key", "inner").select("portfolio_sk", "team_code")
     t = lake.get("silver.transaction_fact").join(pp, "portfolio_sk", "inner")
-    t = dense_row_id(t, ["transaction_date", "team_code", "enterprise_key"], "pd_transaction_book_sk")
+    t = lake.number(t, ["transaction_date", "team_code", "enterprise_key"], "pd_transaction_book_sk", of=t)
     return t.select("pd_transaction_book_sk", "team_code", "enterprise_key", "transaction_date", "settlement_date",
                     "portfolio_sk", "security_sk", "transaction_type", "gross_amount_usd", "net_amount_usd",
                     "fees_usd", "currency_code")

@@ -24,7 +24,7 @@ CANCEL_FROM = dt.date(2001, 1, 1)
 def incremental_aum(lake) -> DataFrame:
     """Initial build from positions before 2000, then the later positions
     arrive as inserts and returned lines from 2001 on are retracted."""
-    p = lake.get("silver.position_analytics_fact").select(*KEYS, "market_value_usd", "return_flag")
+    p = lake.get("silver.position_analytics_fact", ids=False).select(*KEYS, "market_value_usd", "return_flag")
     initial = p.filter(F.col("position_date") < F.lit(INITIAL_CUTOFF))
     arrivals = p.filter(F.col("position_date") >= F.lit(INITIAL_CUTOFF))
     cancels = p.filter((F.col("return_flag") == "R") & (F.col("position_date") >= F.lit(CANCEL_FROM)))

@@ -95,9 +95,9 @@ def dim_asset(lake) -> DataFrame:
 
 
 # --------------------------------------------------------------------- facts
-@entity("mart.fact_position", cluster=("position_date",), dated="position_date")
+@entity("mart.fact_position", cluster=("position_date",), dated="position_date", sk="position_id")
 def fact_position(lake) -> DataFrame:
-    p = lake.get("silver.position_analytics_fact")
+    p = lake.get("silver.position_analytics_fact", ids=lake.ids)
     p = _entity_of_contract(lake, p, "contract_source_key", "position_date")
     return p.select(F.col("position_sk").alias("position_id"), "position_date", "portfolio_sk", "entity_sk",
                     "security_sk", "quantity", F.col("market_value_usd").alias("market_value"),
@@ -195,7 +195,7 @@ def investor_pg_alloc(lake) -> DataFrame:
 
 @entity("mart.portfolio_entity_alloc")
 def portfolio_entity_alloc(lake) -> DataFrame:
-    f = lake.get("mart.fact_position").select("portfolio_sk", "entity_sk").distinct()
+    f = lake.get("mart.fact_position", ids=False).select("portfolio_sk", "entity_sk").distinct()
     pct = ((F.col("portfolio_sk") + F.col("entity_sk")) % 20 + 1) * 5
     return f.select("portfolio_sk", "entity_sk", pct.cast("decimal(8,5)").alias("ownership_percentage"),
                     F.lit(True).alias("is_current"))
@@ -345,7 +345,7 @@ additive("mart.portfolio_book", Additive(
 
 @entity("mart.security_book")
 def security_book(lake) -> DataFrame:
-    b = _enriched_base(lake, lake.get("mart.fact_position"))
+    b = _enriched_base(lake, lake.get("mart.fact_position", ids=False))
     ps = b.groupBy("position_date", "portfolio_name", "portfolio_type", "entity_name", "asset_name", "country_code",
                    "security_name", "security_type").agg(
         F.sum("market_value").alias("market_value"), F.sum("unrealized_gain_loss").alias("unrealized_pnl"))

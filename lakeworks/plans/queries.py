@@ -211,8 +211,8 @@ def kpi_top_yoy(lake) -> DataFrame:
 
 
 @query("kpi_timeline")
-def kpi_timeline(lake) -> DataFrame:
-    return lake.get("mart.portfolio_kpi_daily").filter(F.col("portfolio_sk") == 1).select(
+def kpi_timeline(lake, portfolio_sk: int = 1) -> DataFrame:
+    return lake.get("mart.portfolio_kpi_daily").filter(F.col("portfolio_sk") == portfolio_sk).select(
         "position_date", "aum", "aum_7day_ma", "aum_30day_ma", "aum_year_ago", "aum_rank_on_date",
         "active_entity_count")
 
@@ -319,7 +319,7 @@ def dimension_counts(lake) -> DataFrame:
         c("assets", lake.get("mart.dim_asset").filter(cur)),
         c("securities", lake.get("mart.dim_security").filter(cur)),
         c("crosswalk_mappings", lake.get("mart.key_crosswalk").filter(cur)),
-        c("positions", lake.get("mart.fact_position")),
+        c("positions", lake.get("mart.fact_position", ids=False)),
         c("investor_pg_alloc", lake.get("mart.investor_portfolio_group_alloc")),
         c("pg_portfolio_alloc", lake.get("mart.pg_portfolio_alloc")),
         c("portfolio_entity_alloc", lake.get("mart.portfolio_entity_alloc")),
@@ -332,7 +332,7 @@ def dimension_counts(lake) -> DataFrame:
 
 @query("position_summary")
 def position_summary(lake) -> DataFrame:
-    p = lake.get("mart.fact_position")
+    p = lake.get("mart.fact_position", ids=False)
     return p.agg(F.min("position_date").alias("earliest_date"), F.max("position_date").alias("latest_date"),
                  F.countDistinct("position_date").alias("distinct_dates"), F.count(F.lit(1)).alias("total_rows"),
                  F.round(F.sum("market_value"), 2).alias("total_market_value"),

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.config import LakeConfig
 from lakeworks.operators.changes import merged_state, star_changes, state_of
+from lakeworks.operators.rowid import dense_row_id
 from lakeworks.sources.roles import Roles
 from lakeworks.sources.tables import TABLES
 
@@ -63,6 +64,7 @@ class Entity:
     cluster: tuple = ()
     partition: tuple = ()
     dated: str | None = None
+    sk: str | None = None
     deps: set = field(default_factory=set)
 
 
@@ -72,11 +74,12 @@ REGISTRY: dict[str, Entity] = {}
 def additive(name: str, spec: Additive, cluster: tuple = (), partition: tuple = (), dated: str | None = None) -> None:
     """Register an entity that ``spec`` builds, in full or from changes."""
     def build(lake):
-        return spec.finish(lake, spec.state(spec.frames(lake.get)))
+        return spec.finish(lake, spec.state(spec.frames(lambda n: lake.get(n, ids=REGISTRY[n].sk in spec.inputs[n][0]))))
     REGISTRY[name] = Entity(name, build, name.split(".", 1)[0], spec, False, tuple(cluster), tuple(partition), dated)
 
 
-def entity(name: str, table: bool = False, cluster: tuple = (), partition: tuple = (), dated: str | None = None):
+def entity(name: str, table: bool = False, cluster: tuple = (), partition: tuple = (), dated: str | None = None,
+           sk: str | None = None):
     """Register a builder. ``table=True`` marks entities that are stored
     tables by nature (the reference maintains them with MERGE, e.g. the key
     crosswalk): the lake writes them once per session and every consumer
@@ -84,11 +87,12 @@ def entity(name: str, table: bool = False, cluster: tuple = (), partition: tuple
     order rows inside each written file, so row-group statistics make
     filters on them (dates) skip data - the reference's clustering hint;
     ``partition`` columns become folders; ``dated`` names the date column of a
-    fact that is stored in month folders (``Lake.between``, ``Lake.latest``)."""
+    fact that is stored in month folders (``Lake.between``, ``Lake.latest``). ``sk``
+    names the surrogate key that readers may do without (``Lake.get(ids=False)``)."""
     layer = name.split(".", 1)[0]
 
     def deco(fn):
-        REGISTRY[name] = Entity(name, fn, layer, None, table, tuple(cluster), tuple(partition), dated)
+        REGISTRY[name] = Entity(name, fn, layer, None, table, tuple(cluster), tuple(partition), dated, sk)
         return fn
 
     return deco
@@ -124,12 +128,14 @@ class Lake:
         self.store = store
         self.auto_refresh = auto_refresh
         self._memo: dict[str, DataFrame] = {}
-        self._stack: list[tuple[str, bool]] = []  # entities being built, and whether fully live
+        self._stack: list[tuple[str, bool, str]] = []  # entities being built, whether fully live, and their numbers
 
-    def get(self, name: str, mode: str | None = None, months: tuple | None = None) -> DataFrame:
+    def get(self, name: str, mode: str | None = None, months: tuple | None = None, ids: bool = True) -> DataFrame:
         """Resolve an entity. ``mode`` forces "view" (live, with all its inputs
         live too) or "mv"; by default the placement decides. ``months`` (two days)
-        keeps a stored dated entity to the folders of those days' months."""
+        keeps a stored dated entity to the folders of those days' months. Without
+        ``ids`` a live fact isn't numbered: its surrogate key is null, and nothing
+        cuts the plan between its reader and the sources."""
         _load_all()
         ent = REGISTRY[name]
         if self._stack and self._stack[-1][1] and not ent.table:
@@ -143,11 +149,27 @@ class Lake:
             return self.store.read(name, dates=months)
         if ent.table and mode != "view":
             return self._table(name)
-        key = name if mode != "view" else name + "#view"
+        ids = ids or not ent.sk
+        key = name + ("#view" if mode == "view" else "") + ("" if ids else "#rows")
         if key not in self._memo:
-            self._memo[key] = self._build(ent, live=mode == "view")
+            self._memo[key] = self._build(ent, live=mode == "view", numbers="whole" if ids else "none")
         return self._memo[key]
 
+    @property
+    def ids(self) -> bool:
+        """Whether the entity that is being built gets its surrogate key."""
+        return self._stack[-1][2] != "none"
+
+    def number(self, df: DataFrame, order: list[str], name: str, of: DataFrame) -> DataFrame:
+        """A fact's surrogate key, by ``order``, whose combinations ``of`` holds once
+        each. A fact that is being stored is numbered by its key columns alone. A live
+        one is checkpointed with its numbers, since its readers go over it several times;
+        it stays unnumbered for those that don't read them."""
+        kind = self._stack[-1][2]
+        if kind == "none":
+            return df.withColumn(name, F.lit(None).cast("bigint"))
+        return dense_row_id(df, order, name, of=of if kind == "narrow" else None)
+
     def between(self, name: str, first: dt.date, last: dt.date) -> DataFrame:
         """Rows of a dated entity from ``first`` to ``last``, both included."""
         return self.get(name, months=(first, last)).filter(
@@ -164,8 +186,8 @@ class Lake:
         newest = rows.agg(F.max(ent.dated).alias(ent.dated))     # one row
         return rows.join(F.broadcast(newest), ent.dated, "inner").select(*rows.columns)
 
-    def _build(self, ent: Entity, live: bool) -> DataFrame:
-        self._stack.append((ent.name, live))
+    def _build(self, ent: Entity, live: bool, numbers: str = "whole") -> DataFrame:
+        self._stack.append((ent.name, live, numbers))
         try:
             return ent.build(self)
         finally:
@@ -226,7 +248,7 @@ class Lake:
             note["state"] = store.write(f"{name}.state", state)
             df = ent.incremental.finish(self, store.read(f"{name}.state", note["state"]))
         else:
-            df = self._build(ent, live=False)
+            df = self._build(ent, live=False, numbers="narrow")
         version = store.write(name, df, partition_by or list(ent.partition), dated=ent.dated, cluster=ent.cluster)
         # a cascade doesn't read its results again; what isn't known counts as changed
         note["rows"], note["content"] = content_of(store.read(name, version)) if log else (None, None)
@@ -234,8 +256,8 @@ class Lake:
         if log:
             store.log_refresh(name, strategy, time.time() - t0, note["rows"], version)
         for n in {name, *dependants(name)}:
-            self._memo.pop(n, None)
-            self._memo.pop(n + "#view", None)
+            for kind in ("", "#view", "#rows", "#view#rows"):
+                self._memo.pop(n + kind, None)
         return version
 
     def _stored_inputs(self, ent: Entity) -> dict[str, int] | None:

@@ -133,7 +133,7 @@ def fx_rate_dim(lake) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- facts
-@entity("silver.position_analytics_fact", cluster=("position_date",), dated="position_date")
+@entity("silver.position_analytics_fact", cluster=("position_date",), dated="position_date", sk="position_sk")
 def position_fact(lake) -> DataFrame:
     p = lake.get("bronze.position")
     p = _tjoin(lake, p, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "position_date", "pd_")
@@ -145,7 +145,7 @@ def position_fact(lake) -> DataFrame:
     p = _usd(lake, p, {"market_value_usd": "market_value_local", "book_value_usd": "book_value_local",
                        "cost_basis_usd": "cost_basis_local", "unrealized_gl_usd": "unrealized_gl_local"},
              "currency_code", "position_date")
-    p = dense_row_id(p, ["enterprise_key"], "position_sk")
+    p = lake.number(p, ["enterprise_key"], "position_sk", of=lake.get("bronze.position"))
     return p.select("position_sk", "enterprise_key", "position_date", "portfolio_sk", "security_sk",
                     "business_unit_sk", "quantity", "market_value_local", "market_value_usd", "book_value_local",
                     "book_value_usd", "cost_basis_local", "cost_basis_usd", "unrealized_gl_local",
@@ -155,7 +155,7 @@ def position_fact(lake) -> DataFrame:
 
 @entity("silver.position_monthend_fact")
 def position_monthend(lake) -> DataFrame:
-    p = lake.get("silver.position_analytics_fact")
+    p = lake.get("silver.position_analytics_fact", ids=False)
     me = month_end_snapshot(
         p, "position_date", ["portfolio_sk", "security_sk", "business_unit_sk", "currency_code"],
         [F.sum("quantity").alias("quantity"), F.sum("market_value_local").alias("market_value_local"),
@@ -220,7 +220,7 @@ def contract_details(lake) -> DataFrame:
     c = c.join(br, c.__csk == br.contract_source_key, "left")
     c = c.withColumn("days_to_maturity", F.datediff(F.col("maturity_date"), as_of).cast("bigint")) \
         .withColumn("has_active_breach", F.coalesce(F.col("has_active_breach"), F.lit(False)))
-    c = dense_row_id(c, ["enterprise_key"], "contract_details_sk")
+    c = lake.number(c, ["enterprise_key"], "contract_details_sk", of=lake.get("bronze.contract"))
     return c.select("contract_details_sk", "enterprise_key", "detail_date", "contract_sk", "entity_sk",
                     "contract_type", "principal_local", "principal_usd", "coupon_rate", "spread_over_benchmark",
                     "days_to_maturity", "status", "has_active_breach", "currency_code", "fx_rate_to_usd")
@@ -307,8 +307,8 @@ def collateral_positions(lake) -> DataFrame:
 
 @entity("silver.transaction_fact", cluster=("transaction_date",), dated="transaction_date")
 def transaction_fact(lake) -> DataFrame:
-    t = latest_wins(lake.get("bronze.transaction"), ["enterprise_key"],
-                    [F.col("transaction_date").desc(), F.col("transaction_status")])
+    t = newest = latest_wins(lake.get("bronze.transaction"), ["enterprise_key"],
+                             [F.col("transaction_date").desc(), F.col("transaction_status")])
     t = _tjoin(lake, t, "silver.portfolio_dim", "portfolio_sk", "portfolio_enterprise_key", "transaction_date", "pd_")
     bu_of = lake.get("silver.portfolio_dim").select(F.col("portfolio_sk").alias("__psk"),
                                                     F.col("business_unit_enterprise_key").alias("__buek"))
@@ -317,7 +317,7 @@ def transaction_fact(lake) -> DataFrame:
     t = _tjoin(lake, t, "silver.security_dim", "security_sk", "security_enterprise_key", "transaction_date", "sd_")
     t = _usd(lake, t, {"gross_amount_usd": "gross_amount_local", "fees_usd": "fees_local",
                        "net_amount_usd": "net_amount_local"}, "currency_code", "transaction_date")
-    t = dense_row_id(t, ["enterprise_key"], "transaction_sk")
+    t = lake.number(t, ["enterprise_key"], "transaction_sk", of=newest)
     return t.select("transaction_sk", "enterprise_key", "transaction_date", "settlement_date", "portfolio_sk",
                     "security_sk", "business_unit_sk", "transaction_type", "transaction_status", "quantity",
                     "gross_amount_local", "gross_amount_usd", "fees_usd", "net_amount_usd", "currency_code",

@@ -151,3 +151,21 @@ def test_close_versions_with_a_repeated_change(spark):
     changes = spark.createDataFrame([(1, dt.date(2001, 1, 1), 7), (1, dt.date(2000, 1, 1), 6), (None, dt.date(2000, 1, 1), 5)],
                                     "sk long, close_date date, successor_sk long")
     assert [tuple(r) for r in close_versions(dim, changes, "sk").collect()] == [(1, False, dt.date(1999, 12, 31), 6)]
+
+
+def test_numbers_by_key_columns_alone(spark):
+    """``of``: only the order columns are numbered; rows that share them share the number."""
+    of = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("a", None)], "k string, n int")
+    whole = dense_row_id(of, ["k", "n"], "id")
+    rich = of.join(spark.createDataFrame([(1, "x"), (2, "y"), (2, "z")], "n int, v string"), "n", "left")
+    got = dense_row_id(rich, ["k", "n"], "id", of=of)
+    by_key = {(r.k, r.n): r.id for r in whole.collect()}
+    assert sorted(by_key.values()) == [1, 2, 3, 4]
+    assert got.count() == 5 and all(r.id == by_key[r.k, r.n] for r in got.collect())
+    assert dense_row_id(of.limit(0), ["k", "n"], "id", of=of.limit(0)).count() == 0
+
+
+def test_latest_wins_with_null_and_alike_keys(spark):
+    df = spark.createDataFrame([("EK_POS_1", 1), ("EK_POS_1", 5), ("EK_POS_10", 2), (None, 3), (None, 4)], "k string, v int")
+    got = {r.k: r.v for r in latest_wins(df, ["k"], [F.col("v").desc()]).collect()}
+    assert got == {"EK_POS_1": 5, "EK_POS_10": 2, None: 4}
