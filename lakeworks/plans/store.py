@@ -51,6 +51,7 @@ class SnapshotStore:
             root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lake-{uuid.uuid4().hex[:12]}"
         self.root = root.rstrip("/")
         self._notes: dict[tuple[str, int], dict] = {}
+        self._frames: dict[str, tuple[int, DataFrame]] = {}
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -164,11 +165,16 @@ class SnapshotStore:
         return df.drop(MONTH)
 
     def _read(self, name: str, version: int | None = None) -> DataFrame:
-        return reduce(DataFrame.unionByName, self._parts(name, version))
+        """A version never changes, so its folders are listed once; of each entity
+        the version read last is kept."""
+        v = version if version is not None else self.current_version(name)
+        kept = self._frames.get(name)
+        if kept is None or kept[0] != v:
+            kept = self._frames[name] = (v, reduce(DataFrame.unionByName, self._parts(name, v)))
+        return kept[1]
 
-    def _parts(self, name: str, version: int | None = None) -> list[DataFrame]:
+    def _parts(self, name: str, v: int | None) -> list[DataFrame]:
         """A version's own rows, and those it takes from folders of other versions."""
-        v = version if version is not None else self.current_version(name)
         if v is None:
             raise KeyError(f"{name} has no snapshot")
         own, note = self._version_dir(name, v), self.read_note(name, v) or {}
