@@ -14,8 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators.dedup import latest_wins
+from lakeworks.operators.segments import positions
 
 XW_COLS = ("source_system", "source_key", "enterprise_key")
+#: Mappings in one array of an enterprise key's source keys, and the characters of a
+#: source key by which a long list is dealt.
+PAGE, SEGMENT_CHARS = 10_000, 12
 
 
 def build_crosswalk(arms: Sequence[DataFrame]) -> DataFrame:
@@ -97,9 +101,15 @@ def lookup_keys(df: DataFrame, lookup: DataFrame, system: str, key_col: str, out
     return df.join(m, F.col("__xk") == F.col(key_col), "left").drop("__xk")
 
 
-def source_keys_of(xw: DataFrame) -> DataFrame:
-    """enterprise_key -> sorted array of (source_system, source_key)."""
-    return xw.groupBy("enterprise_key").agg(
+def source_keys_of(xw: DataFrame, page: int = PAGE) -> DataFrame:
+    """enterprise_key -> its (source_system, source_key) in order, as arrays of at
+    most ``page`` of them, numbered from 0 (C6). Mappings get their place by counts
+    per system and beginning of the key, so an enterprise key with very many of them is
+    neither sorted nor gathered in one task."""
+    begins = F.struct("source_system", F.substring("source_key", 1, SEGMENT_CHARS))
+    placed = positions(xw.select(*XW_COLS), ["enterprise_key"], ["source_system", "source_key"], begins, "__at")
+    paged = placed.withColumn("page", F.floor(F.col("__at") / page).cast("bigint"))
+    return paged.groupBy("enterprise_key", "page").agg(
         F.sort_array(F.collect_list(F.struct("source_system", "source_key"))).alias("source_keys"))
 
 

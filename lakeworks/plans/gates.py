@@ -168,6 +168,29 @@ def triplet_coverage(lake) -> DataFrame:
         present.select("team_code", F.lit("COVERED").alias("coverage")))
 
 
+def entity_coverage(lake, names=None) -> DataFrame:
+    """Entities (``names``, or all of the stored layers) against their stored
+    versions. One row each: the stored version, the columns that are missing in it or
+    only in it, and COVERED if it exists with the columns and types of the live frame."""
+    wanted = lake.stored_names() if names is None else list(names)
+    kinds = "entity string, column string, type string"
+
+    def columns(read, of) -> DataFrame:
+        return lake.spark.createDataFrame([(n, *c) for n in of for c in read(n).dtypes], kinds)
+    version = {n: lake.store.current_version(n) for n in wanted}
+    live = columns(lambda n: lake.get(n, mode="view"), wanted)
+    stored = columns(lake.store.read, [n for n in wanted if version[n] is not None])
+    apart = live.subtract(stored).withColumn("side", F.lit("live")).unionByName(
+        stored.subtract(live).withColumn("side", F.lit("stored")))
+    counts = apart.groupBy("entity").agg(F.sum((F.col("side") == "live").cast("bigint")).alias("only_live"),
+                                         F.sum((F.col("side") == "stored").cast("bigint")).alias("only_stored"))
+    every = lake.spark.createDataFrame(list(version.items()), "entity string, version int")
+    n = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("only_live", "only_stored")}
+    state = F.when(F.col("version").isNull(), "MISSING").when(n["only_live"] + n["only_stored"] > 0, "DIFFERENT")
+    return every.join(counts, "entity", "left").select(
+        "entity", "version", *[v.alias(c) for c, v in n.items()], state.otherwise("COVERED").alias("coverage"))
+
+
 # ----------------------------------------------------------------- parity
 PARITY_ENTITIES = ["bronze.position", "silver.position_analytics_fact", "gold.position_analytics_fact"]
 

@@ -54,10 +54,10 @@ def resolve_current(lake) -> DataFrame:
 
 @query("resolve_source_keys")
 def resolve_source_keys(lake) -> DataFrame:
-    """Enterprise key -> its source keys, flattened for comparison."""
+    """Enterprise key -> its source keys in pages, flattened for comparison."""
     from lakeworks.operators.keys import source_keys_of
     s = source_keys_of(lake.get("bronze.crosswalk"))
-    return s.select("enterprise_key", F.size("source_keys").cast("bigint").alias("n_source_keys"),
+    return s.select("enterprise_key", "page", F.size("source_keys").cast("bigint").alias("n_source_keys"),
                     F.concat_ws(",", F.transform("source_keys", lambda x: F.concat_ws(":", x["source_system"], x["source_key"])))
                     .alias("source_keys"))
 

@@ -328,7 +328,7 @@ class Lake:
         stale as well: its input will change."""
         _load_all()
         reasons: dict[str, list[str]] = {}
-        for n in self._stored_names():
+        for n in self.stored_names():
             below = [f"{d} is stale" for d in sorted(dependencies(n)) if reasons.get(d)]
             reasons[n] = self.stale(n) + below
         rows = [(n, self.store.current_version(n), "fresh" if not r else "missing" if "missing" in r else "stale", ", ".join(r))
@@ -340,7 +340,7 @@ class Lake:
         _load_all()
         return set(names) | {d for n in names for d in _below(n) if self._is_stored(d)}
 
-    def _stored_names(self, names=None) -> list[str]:
+    def stored_names(self, names=None) -> list[str]:
         """Stored entities, or those of ``names`` and the tables below them."""
         if names is not None:
             names = set(names) | {d for n in names for d in _below(n) if REGISTRY[d].table}
@@ -359,7 +359,7 @@ class Lake:
         _load_all()
         self._require_store()
         self.invalidate()
-        wanted = self._stored_names(names)
+        wanted = self.stored_names(names)
         level: dict[str, int] = {}
         for n in wanted:
             level[n] = 1 + max((level[d] for d in _stored_below(n, set(wanted))), default=-1)

@@ -48,9 +48,10 @@ WITH k AS (
 SELECT k.source_system, k.source_key, x.enterprise_key
 FROM k LEFT JOIN b_xw_current x ON x.source_system = k.source_system AND x.source_key = k.source_key"""
 FINAL["resolve_source_keys"] = """
-SELECT enterprise_key, CAST(count(*) AS BIGINT) AS n_source_keys,
+SELECT enterprise_key, page, CAST(count(*) AS BIGINT) AS n_source_keys,
        string_agg(source_system || ':' || source_key, ',' ORDER BY source_system, source_key) AS source_keys
-FROM b_crosswalk GROUP BY enterprise_key"""
+FROM (SELECT *, (row_number() OVER (PARTITION BY enterprise_key ORDER BY source_system, source_key) - 1) // 10000 AS page
+      FROM b_crosswalk) GROUP BY enterprise_key, page"""
 FINAL["crosswalk_merge"] = """
 SELECT source_system, count(DISTINCT source_key) AS mapping_count
 FROM b_crosswalk GROUP BY source_system"""
