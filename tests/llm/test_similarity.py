@@ -186,6 +186,34 @@ def test_repeats_on_odd_rows(corpus, nothing):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_repeated_passages_of_over_50_words_go_from_400_bytes_on(spark, tmp_path):
+    """The contract counts bytes, not words; n_bytes is the length of the text as given, whatever is removed."""
+    g = random.Random(11)
+
+    def passage(size):
+        words = ["".join(g.choice("abcdefghijklmnopé") for _ in range(5)) for _ in range(56)]
+        text = " ".join(words)
+        return text + " " + "".join(g.choice("abcdef") for _ in range(size - 1 - len(text.encode())))
+
+    texts, want = [], []
+    for size in (399, 400, 401):
+        shared = passage(size)
+        assert len(shared.encode()) == size and len(shared.split()) > 50
+        # other bytes beside the passage each time, so that no longer string repeats
+        for before, after in (("1", "2"), ("3", "4")):
+            texts.append(passage(450) + before + shared + after + passage(420))
+            want.append((size, shared) if size >= 400 else (0, ""))
+    texts.append(passage(3000))
+    want.append((0, ""))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in suffix_dedup.query(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for i, (text, (removed, gone)) in enumerate(zip(texts, want)):
+        kept = text.replace(gone, "") if gone else text
+        assert (i, got[i].n_bytes, got[i].n_removed, got[i].n_spans) == (i, len(text.encode()), removed, int(removed > 0))
+        assert got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
 def test_long_texts_are_read_in_stretches():
     text = bytes(random.Random(3).choices(b"abcd", k=1000))
     parts = list(suffix_dedup.stretches(text, 64, most=100))
