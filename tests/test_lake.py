@@ -53,6 +53,7 @@ def test_dependency_order_is_known_before_anything_ran(spark):
 def _copy(tmp_path):
     target = str(tmp_path / "sf")
     shutil.copytree(SF_SMALL, target)
+    os.chmod(target, 0o755)  # the folder too: it is copied as it is, read-only
     for root, dirs, files in os.walk(target):
         for n in dirs + files:
             os.chmod(os.path.join(root, n), 0o755)
