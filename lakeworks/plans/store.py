@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeworks.session import ensure_checkpoint_dir
+from lakeworks.session import ensure_checkpoint_dir, shuffles_freed
 
 MONTH = "in_month"
 _UNKNOWN = {"needs": {}, "inputs": None, "rows": None, "content": None}
@@ -140,10 +140,11 @@ class SnapshotStore:
             note = {**(note or _UNKNOWN), "schema": df.schema.jsonValue()}
         if note is not None:
             self.write_note(name, version, note)
-        w = df.write.mode("append")
+        w = df.write.mode("append").option("compression", "zstd")
         if folders:
             w = w.partitionBy(*folders)
-        w.parquet(self._version_dir(name, version))
+        with shuffles_freed(self.spark):
+            w.parquet(self._version_dir(name, version))
         return version
 
     def _claim(self, name: str, version: int) -> bool:
